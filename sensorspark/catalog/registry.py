@@ -42,4 +42,6 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     from sensorspark.catalog import (  # noqa: F401
         prep,
+        windowing,
+        vectors,
     )
