@@ -44,4 +44,6 @@ def load_all() -> None:
         prep,
         windowing,
         vectors,
+        scoring,
+        steps,
     )
