@@ -46,4 +46,5 @@ def load_all() -> None:
         vectors,
         scoring,
         steps,
+        streams,
     )
