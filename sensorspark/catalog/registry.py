@@ -47,4 +47,5 @@ def load_all() -> None:
         scoring,
         steps,
         streams,
+        holdout,
     )

@@ -54,9 +54,9 @@ def snapshots_over(
     ratio = labels.groupBy(*keys).agg(
         F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / F.count_distinct(snapshot))).alias("__wps")
     )
-    placed = positions(output, finish, keys)
+    placed = positions(output, finish, keys, pos="__pos", size="__n")
     sized = placed.join(ratio, list(keys), "left") if keys else placed.join(F.broadcast(ratio), how="left")
-    index = F.floor(F.col("pos") / F.coalesce(F.col("__wps"), F.lit(1)))
+    index = F.floor(F.col("__pos") / F.coalesce(F.col("__wps"), F.lit(1)))
     high = F.coalesce(F.col(score).cast("double"), F.lit(0.0)) > threshold
     return sized.groupBy(*keys, index.alias("snapshot")).agg(F.bool_or(high).alias("over"))
 

@@ -120,7 +120,7 @@ def merge_chunks(
         .distinct()
     )
     kept = placed.join(twins, [clip, "__id"], "left_anti").drop("__id", "step")
-    return positions(kept, "start", [clip], [chunk]).withColumnRenamed("pos", "step").drop("n", "timestamp_start", "timestamp_end", offset)
+    return positions(kept, "start", [clip], [chunk], pos="step", size="__n").drop("__n", "timestamp_start", "timestamp_end", offset)
 
 
 def coverage(steps: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -28,11 +28,16 @@ def _check_sizes(window_size: int, step: int = 1) -> None:
         raise ValueError(f"window_size and step must be positive, got {window_size} and {step}")
 
 
-def positions(df: DataFrame, timestamp: str, keys: Sequence[str] = (), ties: Sequence[str] = ()) -> DataFrame:
-    """Add the 0-based ``pos`` in the series and the series length ``n``."""
+def positions(
+    df: DataFrame, timestamp: str, keys: Sequence[str] = (), ties: Sequence[str] = (), *, pos: str = "pos", size: str = "n"
+) -> DataFrame:
+    """Add the 0-based position in the series and the series length."""
+    taken = {pos, size} & set(df.columns)
+    if taken:
+        raise ValueError(f"columns {sorted(taken)} already exist")
     rows = df.withColumn(AXIS, micros(df, timestamp))
     lay = plan_layout(rows, keys, AXIS, ties)
-    return lay.detach(scan(rows, lay, pos="pos", size="n")).drop(AXIS)
+    return lay.detach(scan(rows, lay, pos=pos, size=size)).drop(AXIS)
 
 
 def window_at(
@@ -46,9 +51,9 @@ def window_at(
 ) -> DataFrame:
     """The window of every series at row ``start``; an error when it runs past the end."""
     _check_sizes(window_size)
-    rows = positions(df, timestamp, keys, ties)
-    inside = rows.filter((F.col("pos") >= start) & (F.col("pos") < start + window_size))
-    out = collect_windows(inside.withColumn("window_id", F.lit(0).cast("long")), [*keys, "window_id"], "pos", sensors)
+    rows = positions(df, timestamp, keys, ties, pos="__pos", size="__n")
+    inside = rows.filter((F.col("__pos") >= start) & (F.col("__pos") < start + window_size))
+    out = collect_windows(inside.withColumn("window_id", F.lit(0).cast("long")), [*keys, "window_id"], "__pos", sensors)
     short = F.when(F.col("n_rows") < window_size, F.raise_error(F.lit(f"window [{start}:{start + window_size}] out of range")).cast("long"))
     return out.withColumn("n_rows", F.coalesce(short, F.col("n_rows"))).drop("window_id")
 
@@ -77,16 +82,17 @@ def sliding(
     when the windows do not overlap.  Windows never look at time gaps.
     """
     _check_sizes(window_size, step)
-    rows = positions(df, timestamp, keys, ties)
-    first = F.greatest(F.lit(0), F.ceil((F.col("pos") - window_size + 1) / step))
-    last = F.least(F.floor(F.col("pos") / step), F.floor((F.col("n") - window_size) / step))
+    rows = positions(df, timestamp, keys, ties, pos="__pos", size="__n")
+    pos = F.col("__pos")
+    first = F.greatest(F.lit(0), F.ceil((pos - window_size + 1) / step))
+    last = F.least(F.floor(pos / step), F.floor((F.col("__n") - window_size) / step))
     if step >= window_size:
-        ids = rows.withColumn("window_id", F.floor(F.col("pos") / step))
-        ids = ids.filter((F.col("window_id") <= last) & (F.col("pos") < F.col("window_id") * step + window_size))
+        ids = rows.withColumn("window_id", F.floor(pos / step))
+        ids = ids.filter((F.col("window_id") <= last) & (pos < F.col("window_id") * step + window_size))
     else:
         covering = F.when(first <= last, F.sequence(first, last))
         ids = rows.withColumn("window_id", F.explode(covering))
-    return ids.withColumn("in_window", F.col("pos") - F.col("window_id") * step).drop("n")
+    return ids.withColumn("in_window", pos - F.col("window_id") * step).drop("__pos", "__n")
 
 
 def window_spans(df: DataFrame, timestamp: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -263,16 +269,16 @@ def even_subsample(df: DataFrame, order: str, target: int, keys: Sequence[str] =
     """
     if target < 1:
         raise ValueError(f"target must be positive, got {target}")
-    rows = positions(df, order, keys, ties)
+    rows = positions(df, order, keys, ties, pos="__pos", size="__n")
     if target == 1:
-        return rows.filter(F.col("pos") == 0).drop("pos", "n")
-    pace = (F.col("n") - 1) / F.lit(target - 1)
-    near = F.floor(F.col("pos") / pace)
+        return rows.filter(F.col("__pos") == 0).drop("__pos", "__n")
+    pace = (F.col("__n") - 1) / F.lit(target - 1)
+    near = F.floor(F.col("__pos") / pace)
     hit = F.lit(False)
     for shift in (-1, 0, 1):
         i = near + shift
-        hit = hit | ((i >= 0) & (i < target) & (F.bround(i * pace) == F.col("pos")))
-    return rows.filter((F.col("n") <= target) | hit).drop("pos", "n")
+        hit = hit | ((i >= 0) & (i < target) & (F.bround(i * pace) == F.col("__pos")))
+    return rows.filter((F.col("__n") <= target) | hit).drop("__pos", "__n")
 
 
 def sample_frames(df: DataFrame, frame: str, clip: Sequence[str], max_frames: int = 32) -> DataFrame:
