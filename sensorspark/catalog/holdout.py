@@ -9,6 +9,7 @@ from sensorspark.catalog.prep import rounded
 from sensorspark.catalog.registry import Tables, query
 from sensorspark.functions.encoders import moments
 from sensorspark.operators import holdout
+from sensorspark.session import cut
 
 SHOT_HOURS, STRIDE, PER_SERIES = 240, 3, 20
 
@@ -16,9 +17,10 @@ SHOT_HOURS, STRIDE, PER_SERIES = 240, 3, 20
 def hourly_sensors(t: Tables) -> DataFrame:
     """One series per event type: events per hour and their mean value."""
     hour = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 3600).alias("hour")
-    return t.events.groupBy("event_type", hour).agg(
+    frame = t.events.groupBy("event_type", hour).agg(
         F.count(F.lit(1)).cast("double").alias("n"), F.avg("value").alias("v")
     )
+    return cut(frame)
 
 
 def _one_sql(w: int) -> str:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sensorspark.catalog.registry import Tables, query
 from sensorspark.operators import blocks, profile
+from sensorspark.session import cut
 
 SENSORS = ("click", "error", "purchase", "signup", "view")
 
@@ -21,10 +22,14 @@ FRAME_SQL = """frame AS (
 
 
 def daily_frame(t: Tables) -> DataFrame:
-    """A wide sensor frame: one series per user, one sensor per event type, one row per day."""
-    return t.events.groupBy("user_id", F.date_trunc("day", F.col("ts").cast("timestamp")).alias("day")).agg(
+    """A wide sensor frame: one series per user, one sensor per event type, one row per day.
+
+    It is an aggregate that several passes read, so it is written once.
+    """
+    frame = t.events.groupBy("user_id", F.date_trunc("day", F.col("ts").cast("timestamp")).alias("day")).agg(
         *[F.avg(F.when(F.col("event_type") == s, F.col("value"))).alias(s) for s in SENSORS]
     )
+    return cut(frame)
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:

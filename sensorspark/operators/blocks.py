@@ -20,13 +20,6 @@ AXIS = "__us"
 METHODS = ("linear", "time", "ffill", "bfill")
 
 
-def _any(flags: Iterable[Column]) -> Column:
-    out = F.lit(False)
-    for f in flags:
-        out = out | f
-    return out
-
-
 def build(
     df: DataFrame,
     timestamp: str = "timestamp",
@@ -55,7 +48,7 @@ def build(
     lay = plan_layout(rows, keys, AXIS, ties)
 
     # Pass 1: nearest present values around each row.
-    value = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("x"), F.col(AXIS).alias("t"))) for c in cols}
+    value = {c: F.expr(f"if(`{c}` is null, null, struct(`{c}` as x, {AXIS} as t))") for c in cols}
     seen = scan(
         rows,
         lay,
@@ -66,50 +59,58 @@ def build(
         before={f"__b{i}": value[c] for i, c in enumerate(cols)},
         after={f"__a{i}": value[c] for i, c in enumerate(cols)},
     )
-    pos, n = F.col("__pos"), F.col("__n")
-    last = [F.coalesce(F.col(f"__b{i}")["at"], F.lit(-1)) for i in range(len(cols))]
-    nxt = [F.coalesce(F.col(f"__a{i}")["at"], n) for i in range(len(cols))]
-    long_run = [F.col(c).isNull() & (nxt[i] - last[i] - 1 > gap_threshold) for i, c in enumerate(cols)]
+    last = [f"coalesce(__b{i}.at, -1)" for i in range(len(cols))]
+    nxt = [f"coalesce(__a{i}.at, __n)" for i in range(len(cols))]
+    long_run = _any(f"`{c}` is null and {nxt[i]} - {last[i]} - 1 > {gap_threshold}" for i, c in enumerate(cols))
     # The row before (after) a good row is bad when a long run ends (starts) there.
-    ends = [F.col(c).isNotNull() & (pos - last[i] - 1 > gap_threshold) for i, c in enumerate(cols)]
-    starts = [F.col(c).isNotNull() & (nxt[i] - pos - 1 > gap_threshold) for i, c in enumerate(cols)]
-    first, final = (pos == 0) | _any(ends), (pos == n - 1) | _any(starts)
+    first = _any([
+        "__pos = 0", *(f"`{c}` is not null and __pos - {last[i]} - 1 > {gap_threshold}" for i, c in enumerate(cols))
+    ])
+    final = _any([
+        "__pos = __n - 1", *(f"`{c}` is not null and {nxt[i]} - __pos - 1 > {gap_threshold}" for i, c in enumerate(cols))
+    ])
     if max_time_gap_s is not None:
-        limit = F.lit(int(max_time_gap_s * MICROS))
-        first = first | F.coalesce(F.col(AXIS) - F.col("__pt") > limit, F.lit(False))
-        final = final | F.coalesce(F.col("__nt") - F.col(AXIS) > limit, F.lit(False))
-    good = seen.filter(~_any(long_run)).withColumns({"__first": first, "__final": final})
+        limit = int(max_time_gap_s * MICROS)
+        first = f"({first} or coalesce({AXIS} - __pt > {limit}, false))"
+        final = f"({final} or coalesce(__nt - {AXIS} > {limit}, false))"
+    good = seen.filter(f"not {long_run}").selectExpr("*", f"{first} as __first", f"{final} as __final")
 
     # Pass 2: number the blocks and find where each begins and ends.
     blocks = scan(
         good.drop("__pt", "__nt"),
         lay,
         total={"block_id": F.col("__first").cast("long")},
-        upto={"__from": F.when(F.col("__first"), pos)},
-        onward={"__to": F.when(F.col("__final"), pos)},
+        upto={"__from": F.when(F.col("__first"), F.col("__pos"))},
+        onward={"__to": F.when(F.col("__final"), F.col("__pos"))},
     )
-    begin, end = F.col("__from")["v"], F.col("__to")["v"]
-    filled: dict[str, Column] = {"imputed": _any(F.col(c).isNull() for c in cols)}
-    for i, c in enumerate(cols):
-        b, a = F.col(f"__b{i}"), F.col(f"__a{i}")
-        before = F.when(b["at"] >= begin, b)
-        after = F.when(a["at"] <= end, a)
-        filled[c] = F.coalesce(F.col(c), _fill(method, before, after))
-    done = blocks.withColumns(filled).withColumn("still_null", _any(F.col(c).isNull() for c in cols))
-    return lay.detach(done).select(*[c for c in rows.columns if c != AXIS], "block_id", "imputed", "still_null")
+    # Only neighbours inside the row's own block count.
+    near = [f"if(__b{i}.at >= __from.v, __b{i}, null) as __b{i}" for i in range(len(cols))]
+    near += [f"if(__a{i}.at <= __to.v, __a{i}, null) as __a{i}" for i in range(len(cols))]
+    plain = [c for c in blocks.columns if not c.startswith(("__a", "__b"))]
+    sides = blocks.selectExpr(*[f"`{c}`" for c in plain], *near)
+    filled = {c: f"coalesce(`{c}`, {_fill(method, f'__b{i}', f'__a{i}')})" for i, c in enumerate(cols)}
+    out = [f"{filled[c]} as `{c}`" if c in filled else f"`{c}`" for c in rows.columns if c != AXIS]
+    missing_now = _any(f"`{c}` is null" for c in cols)
+    missing_still = _any(f"{e} is null" for e in filled.values())
+    return sides.selectExpr(*out, "block_id", f"{missing_now} as imputed", f"{missing_still} as still_null")
+
+
+def _any(flags: Iterable[str]) -> str:
+    listed = [f"({f})" for f in flags]
+    return f"({' or '.join(listed)})" if listed else "false"
 
 
-def _fill(method: str, before: Column, after: Column) -> Column:
-    low, high = before["v"]["x"], after["v"]["x"]
+def _fill(method: str, before: str, after: str) -> str:
+    low, high = f"{before}.v.x", f"{after}.v.x"
     if method == "ffill":
-        return F.coalesce(low, high)
+        return f"{low}, {high}"
     if method == "bfill":
-        return F.coalesce(high, low)
+        return f"{high}, {low}"
     if method == "linear":
-        share = (F.col("__pos") - before["at"]) / (after["at"] - before["at"])
+        share = f"(__pos - {before}.at) / ({after}.at - {before}.at)"
     else:
-        share = F.try_divide(F.col(AXIS) - before["v"]["t"], after["v"]["t"] - before["v"]["t"])
-    return F.coalesce(low + (high - low) * share, low, high)
+        share = f"try_divide({AXIS} - {before}.v.t, {after}.v.t - {before}.v.t)"
+    return f"{low} + ({high} - {low}) * {share}, {low}, {high}"
 
 
 def segment_on_time(

@@ -147,8 +147,9 @@ def _blocked(q: DataFrame, lib: DataFrame, g: list[str], dim: int, search, schem
     def spread(df: DataFrame, own: str, other: str, key: str) -> DataFrame:
         sized = df.join(plan, g) if g else df.join(F.broadcast(plan))
         mine = F.pmod(F.xxhash64(key), F.col(own)).alias(f"{own}_b")
+        # Fresh aliases keep the two sides apart when both come from one table.
         return sized.select(
-            *df.columns, mine, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(f"{other}_b")
+            *[F.col(c).alias(c) for c in df.columns], mine, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(f"{other}_b")
         )
 
     qs = spread(q, "__nq", "__nl", "__q")

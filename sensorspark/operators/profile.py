@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sensorspark.columns import MICROS, micros, missing
 from sensorspark.plans.ranks import exact_quantile
 from sensorspark.plans.series import plan_layout, scan
+from sensorspark.session import cut
 
 AXIS = "__us"
 
@@ -42,21 +43,24 @@ def sorted_in_source(df: DataFrame, timestamp: str, ordinal: str, keys: Sequence
     return seen.groupBy(*keys).agg(F.bool_and(in_order).alias("is_sorted"))
 
 
-def deltas(df: DataFrame, timestamp: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Steps between sorted unique instants: ``starts_us``, ``ends_us``, ``delta_us``."""
-    instants = (
-        df.select(*keys, micros(df, timestamp).alias(AXIS)).filter(F.col(AXIS).isNotNull()).distinct()
-    )
-    lay = plan_layout(df.select(*keys, micros(df, timestamp).alias(AXIS)), keys, AXIS)
-    seen = scan(instants, lay, lag={"starts_us": F.col(AXIS)})
-    return seen.filter(F.col("starts_us").isNotNull()).select(
-        *keys,
-        "starts_us",
-        F.col(AXIS).alias("ends_us"),
-        (F.col(AXIS) - F.col("starts_us")).alias("delta_us"),
+def _steps(df: DataFrame, timestamp: str, keys: Sequence[str]) -> DataFrame:
+    rows = df.select(*keys, micros(df, timestamp).alias(AXIS)).filter(F.col(AXIS).isNotNull())
+    lay = plan_layout(rows, keys, AXIS)
+    seen = scan(rows, lay, lag={"starts_us": F.col(AXIS)}).filter(F.col("starts_us").isNotNull())
+    return seen.select(
+        *keys, "starts_us", F.col(AXIS).alias("ends_us"), (F.col(AXIS) - F.col("starts_us")).alias("delta_us")
     )
 
 
+def deltas(df: DataFrame, timestamp: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Steps between sorted unique instants: ``starts_us``, ``ends_us``, ``delta_us``.
+
+    In time order a repeated instant shows as a step of 0, so no distinct is needed.
+    The narrow result is written once because its readers go over it several times.
+    """
+    return cut(_steps(df, timestamp, keys).filter(F.col("delta_us") > 0))
+
+
 def sampling(
     df: DataFrame,
     timestamp: str,
@@ -70,33 +74,35 @@ def sampling(
     A gap is a step strictly above ``gap_multiplier`` times the median step.  A series
     with fewer than two instants has NULL sampling columns.
     """
-    steps = deltas(df, timestamp, keys)
+    on = list(keys)
+    all_steps = cut(_steps(df, timestamp, keys))
+    steps = all_steps.filter(F.col("delta_us") > 0)
     rows = df.select(*keys, micros(df, timestamp).alias(AXIS))
-    # NULL counts as one repeated value.
-    instants = rows.groupBy(*keys, AXIS).agg(F.count(F.lit(1)).alias("__c"))
-    counts = instants.groupBy(*keys).agg(
-        F.sum("__c").alias("n_rows"),
-        (F.sum("__c") - F.count(F.lit(1))).alias("n_duplicates"),
+    # Missing instants repeat each other: all but the first are duplicates.
+    counts = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.greatest(F.lit(0), F.count_if(F.col(AXIS).isNull()) - 1).alias("__gone"),
         F.min(AXIS).alias("min_us"),
         F.max(AXIS).alias("max_us"),
     )
+    repeats = all_steps.groupBy(*keys).agg(F.count_if(F.col("delta_us") == 0).alias("__repeats"))
     median = exact_quantile(steps, keys, "delta_us", 0.5, "median_us").drop("n")
-    on = list(keys)
     with_median = steps.join(median, on) if on else steps.join(F.broadcast(median))
     is_gap = F.col("delta_us") > F.lit(gap_multiplier) * F.col("median_us")
-    seconds = F.col("delta_us") / MICROS
     stats = with_median.groupBy(*keys, "median_us").agg(
         (F.min("delta_us") / MICROS).alias("min_delta_s"),
         (F.max("delta_us") / MICROS).alias("max_delta_s"),
-        F.stddev_samp(seconds).alias("__sd"),
+        F.stddev_samp(F.col("delta_us") / MICROS).alias("__sd"),
         F.count_if(is_gap).alias("gap_count"),
         F.coalesce(F.sum(F.when(is_gap, F.col("delta_us"))) / MICROS, F.lit(0.0)).alias("gap_total_s"),
     )
-    out = counts.join(stats, on, "left") if on else counts.join(F.broadcast(stats), how="left")
+    out = counts
+    for part in (repeats, stats):
+        out = out.join(part, on, "left") if on else out.join(F.broadcast(part), how="left")
     return out.select(
         *keys,
         "n_rows",
-        "n_duplicates",
+        (F.col("__gone") + F.coalesce(F.col("__repeats"), F.lit(0))).alias("n_duplicates"),
         "min_us",
         "max_us",
         (F.col("median_us") / MICROS).alias("median_delta_s"),

@@ -12,7 +12,8 @@ axis instead:
    chained scans because the partitioning is kept;
 3. each chunk is reduced to one summary row; a window over the summaries, about a
    million times fewer rows than the data, yields what each chunk inherits from
-   its neighbours;
+   its neighbours.  That small table is written to the shared checkpoint folder, so
+   chained scans read the source once per scan instead of once per branch;
 4. the inherited values are joined back on ``(series, chunk)``.
 
 Chunks depend only on the data, so a recomputed task produces the same rows.
@@ -23,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorspark.session import cut
@@ -41,12 +42,17 @@ def _cell(axis: str, width: int) -> Column:
     return F.col(axis) - F.pmod(F.col(axis), F.lit(width))
 
 
+def _names(columns: Sequence[str], direction: str = "") -> str:
+    return ", ".join(f"`{c}` {direction}".strip() for c in columns)
+
+
 @dataclass(frozen=True)
 class Layout:
     """How the rows of one table are cut: series keys, integer axis, tie columns.
 
     ``levels`` lists the hot cells of each width as ``(width, table, rows)``;
-    the list is empty for a table without hot cells.
+    the list is empty for a table without hot cells, and ``counts`` then holds the
+    number of rows per chunk.
     """
 
     keys: tuple[str, ...]
@@ -55,6 +61,7 @@ class Layout:
     first_width: int = FIRST_WIDTH
     levels: tuple[tuple[int, DataFrame, int], ...] = ()
     splits_ties: bool = False
+    counts: DataFrame | None = None
 
     @property
     def chunk_columns(self) -> list[str]:
@@ -116,6 +123,7 @@ def plan_layout(
     spark = df.sparkSession
     rest = df.select(*keys, axis, *ties).filter(F.col(axis).isNotNull())
     rest = rest.withColumn(CHUNK, _cell(axis, first_width))
+    counts = None
     levels: list[tuple[int, DataFrame, int]] = []
     width, splits_ties = first_width, False
     while True:
@@ -129,12 +137,10 @@ def plan_layout(
                 low.cast("long").alias("__tie_low"),
                 F.greatest(F.lit(1), F.ceil((high - low + 1) / parts)).cast("long").alias("__tie_width"),
             ]
-        cells = (
-            rest.groupBy(*keys, CHUNK)
-            .agg(F.count(F.lit(1)).alias("__rows"), *extra)
-            .filter(F.col("__rows") > target_rows)
-            .drop("__rows")
-        )
+        cells = rest.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("__n"), *extra)
+        if counts is None:
+            counts = cells = cut(cells)
+        cells = cells.filter(F.col("__n") > target_rows).drop("__n")
         if not extra:
             cells = cells.withColumn("__hot", F.lit(True))
         found = cells.limit(MAX_BROADCAST_CELLS + 1).collect()
@@ -153,7 +159,7 @@ def plan_layout(
         rest = rest.join(side.select(*keys, CHUNK), [*keys, CHUNK], "left_semi")
         width = max(1, width // FINER_BY)
         rest = rest.withColumn(CHUNK, _cell(axis, width))
-    return Layout(keys, axis, ties, first_width, tuple(levels), splits_ties)
+    return Layout(keys, axis, ties, first_width, tuple(levels), splits_ties, None if levels else counts)
 
 
 def scan(
@@ -181,108 +187,86 @@ def scan(
     lag, lead, total = dict(lag or {}), dict(lead or {}), dict(total or {})
     upto, before = dict(upto or {}), dict(before or {})
     onward, after = dict(onward or {}), dict(after or {})
-    part, order = layout.partition, layout.order
+    given = {**lag, **lead, **total, **upto, **before, **onward, **after}
     rows = layout.attach(df)
+    kept = [c for c in rows.columns if c not in given and c not in (pos, size)]
+
+    # SQL text keeps the many window expressions to a few calls into the JVM.
+    part = _names(layout.partition)
+    fwd = f"partition by {part} order by {_names(layout.order)}"
+    rev = f"partition by {part} order by {_names(layout.order, 'desc')}"
+    rows = rows.select("*", *[e.alias(f"__e_{n}") for n, e in given.items()])
+    rows = rows.selectExpr("*", f"cast(row_number() over ({fwd}) as bigint) as __i")
 
-    fwd = Window.partitionBy(*part).orderBy(*order)
-    rev = Window.partitionBy(*part).orderBy(*[F.col(c).desc() for c in order])
-    seen = fwd.rowsBetween(Window.unboundedPreceding, 0)
-
-    exprs = {**lag, **lead, **total, **upto, **before, **onward, **after}
-    rows = rows.withColumns({f"__e_{n}": e for n, e in exprs.items()})
-    rows = rows.withColumn("__i", F.row_number().over(fwd).cast("long"))
-
-    def found(n: str) -> Column:
-        value = F.col(f"__e_{n}")
-        return F.when(value.isNotNull(), F.struct(value.alias("v"), F.col("__i").alias("at")))
-
-    local: dict[str, Column] = {}
-    for n in lag:
-        local[f"__l_{n}"] = F.lag(f"__e_{n}").over(fwd)
-    for n in lead:
-        local[f"__l_{n}"] = F.lead(f"__e_{n}").over(fwd)
-    for n in total:
-        local[f"__l_{n}"] = F.sum(f"__e_{n}").over(seen)
+    def found(n: str) -> str:
+        return f"if(`__e_{n}` is null, null, struct(`__e_{n}` as v, __i as at))"
+
+    local = [f"lag(`__e_{n}`) over ({fwd}) as `__l_{n}`" for n in lag]
+    local += [f"lead(`__e_{n}`) over ({fwd}) as `__l_{n}`" for n in lead]
+    local += [f"sum(`__e_{n}`) over ({fwd} rows unbounded preceding) as `__l_{n}`" for n in total]
     # Looking ahead scans the reversed order: a frame that ends at "unbounded
     # following" would be re-evaluated from scratch on every row.
-    for group, window in ((upto, fwd), (before, fwd), (onward, rev), (after, rev)):
-        end = -1 if group is before or group is after else 0
-        frame = window.rowsBetween(Window.unboundedPreceding, end)
-        for n in group:
-            local[f"__l_{n}"] = F.last(found(n), ignorenulls=True).over(frame)
-    rows = rows.withColumns(local) if local else rows
+    for group, order, end in ((upto, fwd, 0), (before, fwd, 1), (onward, rev, 0), (after, rev, 1)):
+        stop = "1 preceding" if end else "current row"
+        frame = f"{order} rows between unbounded preceding and {stop}"
+        local += [f"last({found(n)}, true) over ({frame}) as `__l_{n}`" for n in group]
+    if lead:
+        local.append(f"lead(1) over ({fwd}) is null as __end")
+    rows = rows.selectExpr("*", *local) if local else rows
 
     # One row per chunk: what it hands to the chunks after and before it.
-    hand_on = {n: F.col(f"__e_{n}") for n in lag}
-    hand_on |= {n: F.col(f"__l_{n}") for n in total}
-    hand_on |= {n: F.col(f"__l_{n}") for n in upto}
-    hand_on |= {n: F.coalesce(found(n), F.col(f"__l_{n}")) for n in before}
-    hand_back = {n: F.col(f"__e_{n}") for n in lead}
-    hand_back |= {n: F.col(f"__l_{n}") for n in onward}
-    hand_back |= {n: F.coalesce(found(n), F.col(f"__l_{n}")) for n in after}
-    aggs = [F.max("__i").alias("__n")]
+    hand_on = {n: f"`__e_{n}`" for n in lag}
+    hand_on |= {n: f"`__l_{n}`" for n in (*total, *upto)}
+    hand_on |= {n: f"coalesce({found(n)}, `__l_{n}`)" for n in before}
+    hand_back = {n: f"`__e_{n}`" for n in lead}
+    hand_back |= {n: f"`__l_{n}`" for n in onward}
+    hand_back |= {n: f"coalesce({found(n)}, `__l_{n}`)" for n in after}
+
+    def packed(values: dict[str, str]) -> str:
+        return "struct(" + ", ".join(f"{e} as `{n}`" for n, e in values.items()) + ")"
+
+    aggs = [F.expr("max(__i)").alias("__n")]
     if hand_on:
-        aggs.append(F.max_by(F.struct(*[e.alias(n) for n, e in hand_on.items()]), "__i").alias("__last"))
+        aggs.append(F.expr(f"max_by({packed(hand_on)}, __i)").alias("__last"))
     if hand_back:
-        aggs.append(F.min_by(F.struct(*[e.alias(n) for n, e in hand_back.items()]), "__i").alias("__first"))
+        aggs.append(F.expr(f"min_by({packed(hand_back)}, __i)").alias("__first"))
     if hand_on or hand_back:
-        chunks = rows.groupBy(*part).agg(*aggs)
+        chunks = rows.groupBy(*layout.partition).agg(*aggs)
+    elif layout.counts is not None and CHUNK not in df.columns:
+        chunks = layout.counts
     else:
         # Positions only need counts, which combine before the shuffle.
-        chunks = layout.attach(df).groupBy(*part).agg(F.count(F.lit(1)).alias("__n"))
+        chunks = layout.attach(df).groupBy(*layout.partition).agg(F.count(F.lit(1)).alias("__n"))
 
-    down = Window.partitionBy(*layout.keys).orderBy(*layout.chunk_columns)
-    up = Window.partitionBy(*layout.keys).orderBy(*[F.col(c).desc() for c in layout.chunk_columns])
-    earlier = down.rowsBetween(Window.unboundedPreceding, -1)
-    later = up.rowsBetween(Window.unboundedPreceding, -1)
-    chunks = chunks.withColumn("__base", F.coalesce(F.sum("__n").over(earlier), F.lit(0).cast("long")))
+    by = f"partition by {_names(layout.keys)}" if layout.keys else ""
+    down = f"{by} order by {_names(layout.chunk_columns)}"
+    up = f"{by} order by {_names(layout.chunk_columns, 'desc')}"
+    gone = "rows between unbounded preceding and 1 preceding"
+    chunks = chunks.selectExpr("*", f"coalesce(sum(__n) over ({down} {gone}), 0) as __base")
 
-    def placed(c: Column) -> Column:
+    def placed(c: str) -> str:
         """Turn a chunk-local position into a series position."""
-        return F.when(
-            c.isNotNull(),
-            F.struct(c["v"].alias("v"), (c["at"] - 1 + F.col("__base")).alias("at")),
-        )
-
-    carry: dict[str, Column] = {}
-    for n in lag:
-        carry[n] = F.lag(F.col("__last")[n]).over(down)
-    for n in lead:
-        carry[n] = F.lead(F.col("__first")[n]).over(down)
-    for n in total:
-        carry[n] = F.sum(F.col("__last")[n]).over(earlier)
-    for n in (*upto, *before):
-        carry[n] = F.last(placed(F.col("__last")[n]), ignorenulls=True).over(earlier)
-    for n in (*onward, *after):
-        carry[n] = F.last(placed(F.col("__first")[n]), ignorenulls=True).over(later)
-    inherited = chunks.select(
-        *part,
-        "__base",
-        *([F.sum("__n").over(Window.partitionBy(*layout.keys)).alias("__size")] if size else []),
-        *[c.alias(f"__c_{n}") for n, c in carry.items()],
-    )
-
-    joined = rows.join(inherited, part, "left")
-    last_row = F.lead(F.lit(1)).over(fwd).isNull()
-    out: dict[str, Column] = {}
-    if pos:
-        out[pos] = F.col("__base") + F.col("__i") - 1
-    if size:
-        out[size] = F.col("__size")
-    for n in lag:
-        out[n] = F.when(F.col("__i") == 1, F.col(f"__c_{n}")).otherwise(F.col(f"__l_{n}"))
-    for n in lead:
-        out[n] = F.when(F.col("__end"), F.col(f"__c_{n}")).otherwise(F.col(f"__l_{n}"))
-    for n in total:
-        out[n] = F.coalesce(F.col(f"__c_{n}"), F.lit(0)) + F.col(f"__l_{n}")
+        return f"if({c} is null, null, struct({c}.v as v, {c}.at - 1 + __base as at))"
+
+    carry = [f"sum(__n) over ({by}) as __size"] if size else []
+    carry += [f"lag(__last.`{n}`) over ({down}) as `__c_{n}`" for n in lag]
+    carry += [f"lead(__first.`{n}`) over ({down}) as `__c_{n}`" for n in lead]
+    carry += [f"sum(__last.`{n}`) over ({down} {gone}) as `__c_{n}`" for n in total]
+    for group, side, order in ((upto, "__last", down), (before, "__last", down), (onward, "__first", up), (after, "__first", up)):
+        for n in group:
+            value = placed(f"{side}.`{n}`")
+            carry.append(f"last({value}, true) over ({order} {gone}) as `__c_{n}`")
+    inherited = cut(chunks.selectExpr(*[f"`{c}`" for c in layout.partition], "__base", *carry))
+
+    out = [f"__base + __i - 1 as `{pos}`"] if pos else []
+    out += [f"__size as `{size}`"] if size else []
+    out += [f"if(__i = 1, `__c_{n}`, `__l_{n}`) as `{n}`" for n in lag]
+    out += [f"if(__end, `__c_{n}`, `__l_{n}`) as `{n}`" for n in lead]
+    out += [f"coalesce(`__c_{n}`, 0) + `__l_{n}` as `{n}`" for n in total]
     for n in (*upto, *before, *onward, *after):
-        out[n] = F.coalesce(placed(F.col(f"__l_{n}")), F.col(f"__c_{n}"))
-    if lead:
-        # "last row of the chunk" is a window value, so compute it before the join.
-        joined = rows.withColumn("__end", last_row).join(inherited, part, "left")
-    keep = [c for c in joined.columns if not c.startswith(("__e_", "__l_", "__c_")) and c not in out]
-    keep = [c for c in keep if c not in ("__i", "__base", "__size", "__end")]
-    return joined.select(*keep, *[e.alias(n) for n, e in out.items()])
+        value = placed(f"`__l_{n}`")
+        out.append(f"coalesce({value}, `__c_{n}`) as `{n}`")
+    return rows.join(inherited, layout.partition, "left").selectExpr(*[f"`{c}`" for c in kept], *out)
 
 
 def with_halo(
