@@ -118,7 +118,8 @@ def _documents(spark: SparkSession, path: str | list[str], schema: str) -> DataF
 def read_manuals(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Step documents, one row per step: an object, an array (its first element) or JSON lines.
 
-    A document without steps, or an empty file, keeps one row with NULL step columns.
+    A document without steps keeps one row with NULL step columns.  Spark skips files of
+    zero bytes, so those give no row; find them by joining the expected names.
     """
     docs = _documents(spark, path, STEP_SCHEMA)
     body = F.col("body")

@@ -76,7 +76,7 @@ def test_step_documents(spark, tmp_path):
     put(tmp_path, "a.json", json.dumps(doc, indent=1))
     put(tmp_path, "b.json", json.dumps([doc, {"id": "w", "results": []}]))
     put(tmp_path, "c.json", json.dumps(doc) + "\n" + json.dumps({"id": "w", "results": []}))
-    put(tmp_path, "d.json", "")
+    put(tmp_path, "d.json", "\n")
     put(tmp_path, "e.json", json.dumps({"id": "x", "results": []}))
     rows = readers.read_manuals(spark, str(tmp_path)).collect()
     got = {os.path.basename(r["source"]): (r["id"], r["step"], r["timestamp_end"]) for r in rows}
