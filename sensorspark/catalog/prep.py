@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sensorspark.catalog.registry import Tables, query
 from sensorspark.operators import blocks, profile
+from sensorspark.plans.asof import as_of
 from sensorspark.session import cut
 
 SENSORS = ("click", "error", "purchase", "signup", "view")
@@ -241,3 +242,41 @@ def time_segments(t: Tables) -> DataFrame:
     return out.groupBy("user_id", "segment_id").agg(
         F.count(F.lit(1)).alias("n"), F.unix_micros(F.min("ts").cast("timestamp")).alias("from_us")
     )
+
+
+@query(
+    "limit_values",
+    "SELECT event_id, greatest(10.0, least(80.0, value))::DOUBLE AS value FROM events",
+)
+def limit_values(t: Tables) -> DataFrame:
+    return blocks.limit_values(t.events.select("event_id", "value"), {"value": (10.0, 80.0)})
+
+
+@query(
+    "incident_slices",
+    """WITH p AS (SELECT event_id, user_id, event_type = 'error' AS f, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS pos FROM events),
+n AS (SELECT *, coalesce(lag(f) OVER w, FALSE) AS pf, max(CASE WHEN f THEN pos END) OVER w AS b,
+  min(CASE WHEN f THEN pos END) OVER (PARTITION BY user_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS a
+  FROM p WINDOW w AS (PARTITION BY user_id ORDER BY pos)),
+k AS (SELECT *, sum(CASE WHEN f AND NOT pf THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY pos) AS k FROM n)
+SELECT event_id, user_id, f AS in_episode, (CASE WHEN pos - b <= 2 AND (a IS NULL OR pos - b <= a - pos) THEN k
+  WHEN a - pos <= 2 THEN k + 1 END)::BIGINT AS slice_id FROM k WHERE slice_id IS NOT NULL""",
+)
+def incident_slices(t: Tables) -> DataFrame:
+    rows = t.events.select("event_id", "user_id", "ts", "event_type")
+    out = blocks.incident_slices(rows, "ts", F.col("event_type") == "error", 2, ["user_id"], ["event_id"])
+    return out.drop("ts", "event_type")
+
+
+@query(
+    "asof_join",
+    """SELECT e.event_id, p.value AS last_value, p.event_id AS last_event_id FROM (SELECT * FROM events WHERE event_type = 'error') e
+ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') p ON e.user_id = p.user_id AND e.ts >= p.ts""",
+)
+def asof_join(t: Tables) -> DataFrame:
+    """The last purchase at or before each error of the same user."""
+    rows = t.events.select("event_id", "user_id", "ts", "value", "event_type")
+    errors = rows.filter("event_type = 'error'").select("event_id", "user_id", "ts")
+    bought = rows.filter("event_type = 'purchase'")
+    out = as_of(errors, bought, ["user_id"], "ts", "ts", ["value", "event_id"], ties=["event_id"])
+    return out.select("event_id", "last_value", "last_event_id")

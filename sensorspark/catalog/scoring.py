@@ -466,10 +466,10 @@ def output_sanity(t: Tables) -> DataFrame:
 
 @query(
     "missing_runs",
-    "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)",
 )
 def missing_runs(t: Tables) -> DataFrame:
-    return runs.missing_runs(t.customer.select("c_custkey"), t.orders.select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+    return runs.missing_runs(t.customer.select("c_custkey"), t.events.select(F.col("user_id").alias("c_custkey")), ["c_custkey"])
 
 
 @query(

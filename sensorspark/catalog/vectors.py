@@ -31,8 +31,8 @@ def shot_split(t: Tables) -> tuple[DataFrame, DataFrame]:
     w = Window.partitionBy("label").orderBy("vec_id")
     emb = t.embeddings.select("vec_id", "label", F.col("embedding").alias("features"))
     library = emb.withColumn("shot", F.row_number().over(w)).filter(F.col("shot") <= SHOTS).drop("shot")
-    # The library is SHOTS rows per class, so removing it is a small anti join.
-    return library, emb.join(F.broadcast(library.select("vec_id")), "vec_id", "left_anti")
+    # The limit per class is applied before the shuffle; numbering all rows would not be.
+    return library, emb.join(library.select("vec_id"), "vec_id", "left_anti")
 
 
 def predictions(t: Tables) -> DataFrame:
@@ -219,7 +219,7 @@ def lof_per_asset(t: Tables) -> DataFrame:
     w = Window.partitionBy("asset").orderBy("vec_id")
     emb = t.embeddings.select("vec_id", F.col("label").alias("asset"), F.col("embedding").alias("features"))
     shots = emb.withColumn("s", F.row_number().over(w)).filter("s <= 20").drop("s")
-    rest = emb.join(F.broadcast(shots.select("vec_id")), "vec_id", "left_anti")
+    rest = emb.join(shots.select("vec_id"), "vec_id", "left_anti")
     fitted = lof.fit(shots, id="vec_id", k=5, by=["asset"])
     return rounded(lof.score(rest, fitted, id="vec_id", k=5, by=["asset"]), "anomaly_score")
 
@@ -365,3 +365,21 @@ SELECT user_id, window_id, 16::BIGINT AS encoded_length, 'moments' AS encoder_id
 def encode_windows(t: Tables) -> DataFrame:
     out = encoded_windows(t).drop("samples")
     return out.withColumn("embedding", F.transform("embedding", lambda x: F.round(x.cast("double"), 3)))
+
+
+@query(
+    "fused_features",
+    f"""WITH {POS_SQL}, {_TAGGED.format(w=16, s=16)},
+d AS (SELECT *, pos - window_id * 16 AS p, abs(value - lag(value) OVER (PARTITION BY user_id, window_id ORDER BY pos)) AS dv FROM wins)
+SELECT user_id, window_id, list_transform([avg(value), stddev_pop(value), min(value), max(value), sqrt(avg(value * value)), avg(dv)],
+    lambda x: round(x::FLOAT::DOUBLE, 3)) || [round(max(value) - min(value), 6), round(regr_slope(value, p), 6)] AS fused FROM d GROUP BY 1, 2""",
+)
+def fused_features(t: Tables) -> DataFrame:
+    """Encoder vector and statistics of the same window side by side."""
+    rows = t.events.select("event_id", "user_id", "ts", "value")
+    tagged = windows.sliding(rows, "ts", 16, 16, ["user_id"], ["event_id"])
+    by = ["user_id", "window_id"]
+    stats = features.window_statistics(tagged, by, "in_window", ["value"], ["peak_to_peak", "slope"])
+    out = features.fuse(encoded_windows(t), stats, by, "embedding", ["value_peak_to_peak", "value_slope"])
+    shown = F.transform("fused", lambda x, i: F.when(i < 6, F.round(x, 3)).otherwise(F.round(x, 6)))
+    return out.select(*by, shown.alias("fused"))

@@ -161,7 +161,16 @@ def hash_split(t: Tables) -> DataFrame:
     return split.seeded_random(t.orders.select("o_orderkey"), ["o_orderkey"])
 
 
-@query("chunk_plan")
+@query(
+    "chunk_plan",
+    """WITH RECURSIVE k AS (SELECT DISTINCT o_custkey, epoch(o_orderdate) / 86400 AS d FROM orders),
+c AS (SELECT o_custkey, 0::BIGINT AS chunk, min(d) AS start_s FROM k GROUP BY 1
+  UNION ALL
+  SELECT c.o_custkey, c.chunk + 1, coalesce(max(k.d) FILTER (WHERE k.d <= c.start_s + 500), min(k.d) FILTER (WHERE k.d > c.start_s + 500))
+  FROM c JOIN k ON k.o_custkey = c.o_custkey AND k.d > c.start_s GROUP BY c.o_custkey, c.chunk, c.start_s
+  HAVING max(k.d) > c.start_s + 500)
+SELECT o_custkey, chunk, start_s, start_s + 600.0 AS end_s FROM c""",
+)
 def chunk_plan(t: Tables) -> DataFrame:
     """Order dates play keyframes of one recording per customer; a chunk is 600 days, overlap 100."""
     days = (F.unix_seconds(F.col("o_orderdate").cast("timestamp")) / 86_400).alias("at")

@@ -8,7 +8,7 @@ value strictly before and after each row, and a second one numbers the blocks.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -149,3 +149,38 @@ def repair_windows(
         between = b["x"] + (a["x"] - b["x"]) * (F.col(pos) - b["p"]) / (a["p"] - b["p"])
         filled[c] = F.coalesce(F.col(c), F.when(short, between))
     return rows.withColumns(filled).drop(*near)
+
+
+def limit_values(df: DataFrame, bounds: Mapping[str, tuple[float | None, float | None]]) -> DataFrame:
+    """Clip sensors to ``(low, high)``; an open side is None and missing values stay missing."""
+    out = {}
+    for c, (low, high) in bounds.items():
+        e = F.col(c)
+        if low is not None:
+            e = F.when(e < low, F.lit(low)).otherwise(e)
+        if high is not None:
+            e = F.when(e > high, F.lit(high)).otherwise(e)
+        out[c] = e
+    return df.withColumns(out)
+
+
+def incident_slices(
+    df: DataFrame, timestamp: str, fault: Column, context: int, keys: Sequence[str] = (), ties: Sequence[str] = ()
+) -> DataFrame:
+    """Fault episodes with up to ``context`` normal rows on either side, numbered per series.
+
+    A normal row between two episodes belongs to the nearer one, the earlier on a tie, so
+    no row is used twice.
+    """
+    rows = df.withColumns({AXIS: micros(df, timestamp), "__f": F.coalesce(fault, F.lit(False))})
+    lay = plan_layout(rows, keys, AXIS, ties)
+    mark = F.when(F.col("__f"), F.lit(True))
+    seen = scan(rows, lay, pos="__pos", lag={"__pf": F.col("__f")}, upto={"__b": mark}, onward={"__a": mark})
+    begins = (F.col("__f") & ~F.coalesce(F.col("__pf"), F.lit(False))).cast("long")
+    numbered = scan(seen.withColumn("__new", begins), lay, total={"__k": F.col("__new")})
+    back, ahead = F.col("__pos") - F.col("__b")["at"], F.col("__a")["at"] - F.col("__pos")
+    to_last = back.isNotNull() & (back <= context) & (ahead.isNull() | (back <= ahead))
+    to_next = ahead.isNotNull() & (ahead <= context)
+    number = F.when(to_last, F.col("__k")).when(to_next, F.col("__k") + 1)
+    out = numbered.withColumns({"slice_id": number, "in_episode": F.col("__f")}).filter(F.col("slice_id").isNotNull())
+    return lay.detach(out).select(*df.columns, "slice_id", "in_episode")

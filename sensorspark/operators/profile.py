@@ -194,6 +194,25 @@ def nulls(
     return long.withColumn("pct_null", pct)
 
 
+def diagnose(
+    df: DataFrame, timestamp: str, keys: Sequence[str] = (), *, expected_seconds: float = 60.0,
+    gap_multiplier: float = 2.0, top_n: int = 5,
+) -> dict[str, DataFrame]:
+    """The whole report as small tables: ``axis, sampling, gaps, nulls``; the input is unchanged.
+
+    Without a usable time column only ``axis`` is there.
+    """
+    report = {"axis": time_axis(df, timestamp, keys)}
+    if timestamp not in df.columns:
+        return report
+    if not report["axis"].filter(~F.col("coercible")).isEmpty():
+        return report
+    report["sampling"] = sampling(df, timestamp, keys, expected_seconds=expected_seconds, gap_multiplier=gap_multiplier)
+    report["gaps"] = top_gaps(df, timestamp, keys, gap_multiplier=gap_multiplier, top_n=top_n)
+    report["nulls"] = nulls(df, timestamp, keys)
+    return report
+
+
 def delta_histogram(
     df: DataFrame, timestamp: str, keys: Sequence[str] = (), *, bins: int = 50
 ) -> DataFrame:
