@@ -82,11 +82,11 @@ def top_gaps(t: Tables) -> DataFrame:
     f"""WITH {DELTAS_SQL}, r AS (SELECT user_id, min(delta) AS lo, max(delta) AS hi FROM d GROUP BY 1),
 b AS (SELECT user_id, lo, hi, coalesce(CASE WHEN hi > lo
     THEN least(floor((delta - lo) / ((hi - lo) / 10)), 9) END, 0)::BIGINT AS bin FROM d JOIN r USING (user_id))
-SELECT user_id, bin, round((lo + bin * ((hi - lo) / 10)) / 1e6, 6) AS from_s, count(*) AS n
+SELECT user_id, bin, (lo + bin * ((hi - lo) / 10)) / 1e6 AS from_s, count(*) AS n
 FROM b GROUP BY user_id, bin, lo, hi""",
 )
 def delta_histogram(t: Tables) -> DataFrame:
-    return rounded(profile.delta_histogram(t.events, "ts", ["user_id"], bins=10), "from_s")
+    return profile.delta_histogram(t.events, "ts", ["user_id"], bins=10)
 
 
 @query(

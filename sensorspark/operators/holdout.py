@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sensorspark.functions.encoders import Encoder, encode, spectral
 from sensorspark.functions.vectors import doubles, l2_normalize
 from sensorspark.operators import evaluate, features, neighbors, windows
+from sensorspark.session import cut
 
 # Library stride and number of neighbours.
 LIBRARY_STRIDE, NEIGHBORS = 256, 3
@@ -44,7 +45,8 @@ def library(
     tagged = windows.sliding(shots, tick, window_size, stride, by)
     joint = joint_features(tagged, [*by, "window_id"], "in_window", sensors, scaler, encoder)
     ident = F.concat_ws("/", *[F.col(c).cast("string") for c in (*by, "window_id")])
-    return joint.withColumn("lib_id", ident).select("lib_id", F.col(label).alias("label"), "features", "encoder_id", "encoded_length")
+    # A few shots per class, read by every evaluation step: written once.
+    return cut(joint.select(ident.alias("lib_id"), F.col(label).alias("label"), "features", "encoder_id", "encoded_length"))
 
 
 def test_windows(
