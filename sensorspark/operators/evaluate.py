@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sensorspark.columns import MICROS, micros, truthy
 from sensorspark.operators.windows import trailing_counts
-from sensorspark.plans.series import plan_layout, scan
+from sensorspark.plans.series import explode_range, plan_layout, scan
 
 AXIS = "__us"
 INVALID_STATE = "INVALID_STATE"
@@ -245,11 +245,13 @@ def detect_incidents(
     is kept only in the first, and counts are combined before the final shuffle, so
     neither a long episode nor a busy one needs its own task.
     """
-    a = found.withColumn("__b", F.explode(F.sequence(F.floor(F.col("row_from") / bucket_rows), F.floor((F.col("row_to") - 1) / bucket_rows))))
-    w = alarms.select(*keys, "lo", "hi").withColumn(
-        "__b", F.explode(F.sequence(F.floor(F.col("lo") / bucket_rows), F.floor((F.col("hi") - 1) / bucket_rows)))
-    )
-    first_shared = F.greatest(F.floor(F.col("row_from") / bucket_rows), F.floor(F.col("lo") / bucket_rows))
+
+    def bucket(c: Column) -> Column:
+        return F.floor(c / bucket_rows)
+
+    a = explode_range(found, "__b", bucket(F.col("row_from")), bucket(F.col("row_to") - 1))
+    w = explode_range(alarms.select(*keys, "lo", "hi"), "__b", bucket(F.col("lo")), bucket(F.col("hi") - 1))
+    first_shared = bucket(F.greatest("row_from", "lo"))
     overlap = (F.col("lo") < F.col("row_to")) & (F.col("row_from") < F.col("hi")) & (F.col("__b") == first_shared)
     hits = (
         a.join(w, [*keys, "__b"])

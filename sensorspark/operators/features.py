@@ -38,30 +38,35 @@ def joint_state(
     rank = F.array_position(F.array(*[F.lit(s) for s in sensors]), F.col(sensor))
     rows = df.withColumn("__rank", rank)
     by = [*keys, window]
-    aggs = [
-        F.count(F.lit(1)).alias("__rows"),
-        F.count_distinct("__rank").alias("__sensors"),
-        F.min("__rank").alias("__least"),
-        # A window has as many entries as there are sensors, so the list is short.
-        F.array_sort(F.collect_list(F.struct("__rank", F.col(embedding).alias("e")))).alias("__parts"),
-    ]
-    if label:
-        aggs.append(F.count_distinct(label).alias("__labels"))
-        aggs.append(F.min_by(label, F.when(F.col(label).isNotNull(), F.col("__rank"))).alias(label))
-    if timestamp:
-        aggs.append(F.min_by(timestamp, "__rank").alias(timestamp))
-    out = rows.groupBy(*by).agg(*aggs)
     if check:
+        checks = [
+            F.count(F.lit(1)).alias("__rows"),
+            F.count_distinct("__rank").alias("__sensors"),
+            F.min("__rank").alias("__least"),
+        ]
+        if label:
+            checks.append((F.min(label) != F.max(label)).alias("__clash"))
+        seen = rows.groupBy(*by).agg(*checks)
         n = len(sensors)
         wrong = (F.col("__rows") != n) | (F.col("__sensors") != n) | (F.col("__least") == 0)
-        bad = out.filter(wrong).select(window).limit(5).collect()
+        bad = seen.filter(wrong).select(window).limit(5).collect()
         if bad:
             raise ValueError(f"windows without exactly the sensors {list(sensors)}: {[r[0] for r in bad]}")
         if label:
-            bad = out.filter(F.col("__labels") > 1).select(window).limit(5).collect()
+            bad = seen.filter("__clash").select(window).limit(5).collect()
             if bad:
                 raise ValueError(f"windows with conflicting labels: {[r[0] for r in bad]}")
-    features = F.flatten(F.transform("__parts", lambda p: doubles(p["e"])))
+    # One vector per sensor is kept, however often a window repeats.
+    aggs = [
+        F.any_value(F.when(F.col("__rank") == i + 1, F.col(embedding)), F.lit(True)).alias(f"__v{i}")
+        for i in range(len(sensors))
+    ]
+    if label:
+        aggs.append(F.min_by(label, F.when(F.col(label).isNotNull(), F.col("__rank"))).alias(label))
+    if timestamp:
+        aggs.append(F.min_by(timestamp, "__rank").alias(timestamp))
+    out = rows.groupBy(*by).agg(*aggs)
+    features = F.concat(*[doubles(f"__v{i}") for i in range(len(sensors))])
     extras = [c for c in (label, timestamp) if c]
     return out.select(*by, *extras, features.alias("features"))
 

@@ -140,7 +140,7 @@ def knn(
 def _blocked(q: DataFrame, lib: DataFrame, g: list[str], dim: int, search, schema: str) -> DataFrame:
     block = max(1, BLOCK_BYTES // (8 * dim))
     cells = lib.groupBy(*g).agg(F.ceil(F.count(F.lit(1)) / block).alias("__nl"))
-    wide = q.groupBy(*g).agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).alias("__nq"))
+    wide = q.groupBy(*g).agg(F.ceil(F.count(F.lit(1)) / min(QUERY_BLOCK, block)).alias("__nq"))
     # One row per asset: the number of blocks on each side.
     plan = cells.join(wide, g) if g else cells.join(F.broadcast(wide))
 

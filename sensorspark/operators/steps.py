@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sensorspark.functions.intervals import iou
 from sensorspark.functions.text import ends_mid_clause, is_advisory, jaccard, tokens
 from sensorspark.operators.windows import positions
-from sensorspark.plans.series import plan_layout, scan
+from sensorspark.plans.series import explode_range, plan_layout, scan
 
 THRESHOLDS = (0.1, 0.3, 0.5)
 
@@ -29,7 +29,7 @@ def overlap_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], bucket: float
 
     def spread(df: DataFrame, lo: str, hi: str) -> DataFrame:
         first, last = F.floor(F.col(lo) / bucket), F.floor(F.col(hi) / bucket)
-        return df.filter(F.col(hi) > F.col(lo)).withColumn("__b", F.explode(F.sequence(first, last)))
+        return explode_range(df.filter(F.col(hi) > F.col(lo)), "__b", first, last)
 
     first_shared = F.floor(F.greatest("a_start", "b_start") / bucket)
     joined = spread(a, "a_start", "a_end").join(spread(b, "b_start", "b_end"), [*keys, "__b"])

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from sensorspark.functions.text import labels_in_name
 
+BROADCAST_BYTES = 32 << 20
+
 # The statuses a verdict can have; only the first means "done correctly".
 STATUSES = ("PASSED", "FAILED", "MISSING")
 
@@ -90,10 +92,15 @@ def pair_procedures(videos: DataFrame, procedures: DataFrame, *, video: str, ste
     video meets every procedure.  Without a match the video takes ``default`` or is dropped.
     """
     stems = procedures.select(F.col(stem).alias("__stem")).filter(F.length("__stem") > 0).distinct()
-    if stems.limit(2).count() == 1:
-        return videos.withColumn("procedure", F.lit(stems.first()[0]))
-    lengths = [r[0] for r in stems.select(F.length("__stem")).distinct().collect()]
-    sizes = F.array(*[F.lit(n) for n in sorted(lengths)])
+    shape = stems.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("__stem")).alias("bytes"),
+        F.array_sort(F.collect_set(F.length("__stem"))).alias("lengths"), F.max("__stem").alias("any"),
+    ).first()
+    if shape["n"] == 1:
+        return videos.withColumn("procedure", F.lit(shape["any"]))
+    if shape["n"] and shape["bytes"] <= BROADCAST_BYTES:
+        stems = F.broadcast(stems)
+    sizes = F.array(*[F.lit(n) for n in shape["lengths"]]).cast("array<int>")
     names = videos.select(video).distinct()
     sized = names.withColumn("__n", F.explode(sizes)).filter(F.length(video) >= F.col("__n"))
     cuts = F.transform(

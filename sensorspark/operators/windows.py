@@ -13,15 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorspark.columns import MICROS, micros
-from sensorspark.plans.series import plan_layout, scan, with_halo
+from sensorspark.plans.series import explode_range, plan_layout, scan, with_halo
 
 AXIS = "__us"
 
 # The encoder's trained range of window lengths.
 MIN_WINDOW, MAX_WINDOW = 16, 1024
 
-GRID_BATCH = 10_000
-
 
 def _check_sizes(window_size: int, step: int = 1) -> None:
     if window_size < 1 or step < 1:
@@ -228,10 +226,7 @@ def resample(
     )
     first = F.ceil(F.col(AXIS) / step).cast("long")
     last = F.coalesce(F.ceil(F.col("__nt") / step).cast("long") - 1, F.floor(F.col(AXIS) / step).cast("long"))
-    # Two nested sequences keep the generated arrays short across long gaps.
-    spans = seen.withColumn("__g", F.explode(F.when(first <= last, F.sequence(first, last, F.lit(GRID_BATCH)))))
-    ticks = F.explode(F.sequence(F.col("__g"), F.least(F.col("__g") + GRID_BATCH - 1, last)))
-    grid = spans.withColumn("__k", ticks).withColumn("grid_us", F.col("__k") * step)
+    grid = explode_range(seen, "__k", first, last).withColumn("grid_us", F.col("__k") * step)
     out = {}
     for i, s in enumerate(sensors):
         b, a = F.col(f"__b{i}")["v"], F.col(f"__a{i}")["v"]

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 20_000
+ACCURACY = 100_000
+MAX_VALUES = 200_000
 
 
 def exact_quantile(
@@ -72,21 +73,53 @@ def _at_ranks(rows: DataFrame, bounds: DataFrame, keys: Sequence[str], q: float,
     return out.select(*keys, checked.alias(name), "n")
 
 
+def _value_at(rows: DataFrame, column: str, k: int, n: int):
+    """The value of ``column`` at 0-based rank ``k`` of ``n`` rows and how many are below it.
+
+    A sketch narrows the range until few distinct values are left; copies of a value are
+    counted together, so ties of any size cost one row.
+    """
+    below, inside = 0, rows.select(column)
+    while True:
+        counts = inside.groupBy(column).count().limit(MAX_VALUES + 1).collect()
+        if len(counts) <= MAX_VALUES:
+            for value, c in sorted(counts):
+                if below + c > k:
+                    return value, below
+                below += c
+            raise ValueError(f"rank {k} is beyond the {n} rows")
+        q, slack = (k - below) / n, 2.0 / ACCURACY
+        ends = [max(0.0, q - slack), min(1.0, q + slack)]
+        lo, hi = inside.select(F.percentile_approx(column, ends, ACCURACY).alias("b")).first()["b"]
+        c = F.col(column)
+        part = inside.agg(
+            F.count_if(c < lo).alias("low"),
+            F.count_if(c == lo).alias("at_lo"),
+            F.count_if((c > lo) & (c < hi)).alias("mid"),
+            F.count_if((c == hi) & (c > lo)).alias("at_hi"),
+        ).first()
+        below += part["low"]
+        if not below <= k < below + part["at_lo"] + part["mid"] + part["at_hi"]:
+            raise ValueError(f"the sketch missed rank {k}")
+        if k < below + part["at_lo"]:
+            return lo, below
+        below += part["at_lo"]
+        if k >= below + part["mid"]:
+            return hi, below + part["mid"]
+        inside, n = inside.filter((c > lo) & (c < hi)), part["mid"]
+
+
 def order_statistic(df: DataFrame, order: Sequence[str], k: int, n: int) -> tuple:
-    """The ``order`` columns of the row at 0-based rank ``k`` of ``n`` rows.
+    """The numeric ``order`` columns of the row at 0-based rank ``k`` of ``n`` rows.
 
-    Returns a tuple of driver values.  Only rows near the rank, found by a sketch
-    of the first order column, are sorted.
+    Returns a tuple of driver values.  Each column is settled in turn, among the rows that
+    tie on the ones before it; nothing is sorted.
     """
-    first = order[0]
-    if n <= ACCURACY:
-        near, below = df.select(*order), 0
-    else:
-        q, slack = k / n, 2.0 / ACCURACY
-        lo, hi = df.select(
-            F.percentile_approx(first, [max(0.0, q - slack), min(1.0, q + slack)], ACCURACY).alias("b")
-        ).first()["b"]
-        below = df.filter(F.col(first) < F.lit(lo)).count()
-        near = df.select(*order).filter(F.col(first).between(F.lit(lo), F.lit(hi)))
-    hit = near.orderBy(*order).offset(k - below).limit(1).collect()
-    return tuple(hit[0])
+    found: list = []
+    rows = df.select(*order)
+    for c in order:
+        value, below = _value_at(rows, c, k, n)
+        found.append(value)
+        rows = rows.filter(F.col(c) == value)
+        k, n = k - below, rows.count()
+    return tuple(found)

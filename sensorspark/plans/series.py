@@ -76,10 +76,14 @@ class Layout:
         return [self.axis, *self.ties]
 
     def attach(self, df: DataFrame) -> DataFrame:
-        """Add the chunk columns unless an earlier scan already did."""
+        """Add the chunk columns unless an earlier scan already did.
+
+        Rows without an axis value have no place in the order and are left out.  Series
+        keys must not be NULL.
+        """
         if CHUNK in df.columns:
             return df
-        out = df.withColumn(CHUNK, _cell(self.axis, self.first_width))
+        out = df.filter(F.col(self.axis).isNotNull()).withColumn(CHUNK, _cell(self.axis, self.first_width))
         if self.splits_ties:
             out = out.withColumn(SUB, F.lit(0).cast("long"))
         width = self.first_width
@@ -285,3 +289,12 @@ def with_halo(
         F.explode(F.when(lent, F.array(home, home + 1)).otherwise(F.array(home))),
     ).withColumn("__lent", F.col("__slot") != home)
     return out, [*keys, "__slot"], "__lent"
+
+
+def explode_range(df: DataFrame, name: str, first: Column, last: Column, batch: int = 10_000) -> DataFrame:
+    """One row per integer in ``[first, last]``; two steps keep the generated arrays short."""
+    out = df.withColumns({"__first": first.cast("long"), "__last": last.cast("long")})
+    out = out.filter(F.col("__first") <= F.col("__last"))
+    out = out.withColumn("__from", F.explode(F.sequence("__first", "__last", F.lit(batch).cast("long"))))
+    upto = F.least(F.col("__from") + (batch - 1), F.col("__last"))
+    return out.withColumn(name, F.explode(F.sequence(F.col("__from"), upto))).drop("__first", "__last", "__from")

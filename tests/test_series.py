@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sensorspark.plans.ranks import exact_quantile, order_statistic
-from sensorspark.plans.series import CHUNK, SUB, plan_layout, scan, with_halo
+from sensorspark.plans.series import CHUNK, SUB, explode_range, plan_layout, scan, with_halo
 
 
 def skewed(spark, seed=1):
@@ -103,3 +103,22 @@ def test_exact_quantile_and_order_statistic(spark):
     values = sorted(r["v"] for r in df.collect())
     for k in (0, 50_000, 99_999):
         assert order_statistic(df, ["v"], k, len(values)) == (values[k],)
+
+
+def test_order_statistic_with_huge_ties(spark, monkeypatch):
+    """A third of the rows share one value and the sketch has to narrow several times."""
+    from sensorspark.plans import ranks
+
+    monkeypatch.setattr(ranks, "MAX_VALUES", 40)
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 500).otherwise(F.pmod(F.xxhash64("id"), F.lit(1000))).alias("v"), "id"
+    )
+    rows = sorted((r["v"], r["id"]) for r in df.collect())
+    for k in (0, 1499, 1700, 2999):
+        assert order_statistic(df, ["v", "id"], k, 3000) == rows[k]
+
+
+def test_explode_range(spark):
+    df = spark.createDataFrame([(1, 0, 25), (2, 5, 4), (3, -7, -7)], "k long, a long, b long")
+    got = explode_range(df, "x", F.col("a"), F.col("b"), batch=10)
+    assert sorted((r["k"], r["x"]) for r in got.collect()) == [(1, i) for i in range(26)] + [(3, -7)]
