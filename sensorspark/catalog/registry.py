@@ -48,4 +48,5 @@ def load_all() -> None:
         steps,
         streams,
         holdout,
+        files,
     )

@@ -22,6 +22,9 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 def pin_streaming(spark: SparkSession) -> SparkSession:
     """Keyed state needs the RocksDB store; one state partition per core is enough."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    cores = spark.sparkContext.defaultParallelism
+    if int(spark.conf.get("spark.sql.shuffle.partitions")) > cores:
+        spark.conf.set("spark.sql.shuffle.partitions", str(cores))
     return spark
 
 
