@@ -98,6 +98,19 @@ def knn_vote_shares(t: Tables) -> DataFrame:
     return rounded(shares, "p")
 
 
+@query(
+    "knn_weighted_vote",
+    f"""WITH {KNN_SQL}, wv AS (SELECT vec_id, label, sum(1.0 + neighbor_id % 3)::DOUBLE AS c, sum(distance) AS d FROM near GROUP BY ALL)
+SELECT vec_id, label AS predicted FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY c DESC, d, label) AS r FROM wv) WHERE r = 1""",
+)
+def knn_weighted_vote(t: Tables) -> DataFrame:
+    """Library rows carry their own weight in the vote."""
+    library, test = shot_split(t)
+    weighted = library.withColumn("weight", 1.0 + F.col("vec_id") % 3)
+    near = neighbors.knn(test, weighted, 3, query_id="vec_id", library_id="vec_id", carry=["label", "weight"])
+    return neighbors.vote(near, "vec_id", weight="weight").drop("probabilities")
+
+
 @query(
     "similarity_search",
     """WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)

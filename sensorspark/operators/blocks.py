@@ -48,7 +48,7 @@ def build(
     lay = plan_layout(rows, keys, AXIS, ties)
 
     # Pass 1: nearest present values around each row.
-    value = {c: F.expr(f"if(`{c}` is null, null, struct(`{c}` as x, {AXIS} as t))") for c in cols}
+    timed = {c: F.expr(f"if(`{c}` is null, null, {AXIS})") for c in cols} if method == "time" else {}
     seen = scan(
         rows,
         lay,
@@ -56,8 +56,8 @@ def build(
         size="__n",
         lag={"__pt": F.col(AXIS)} if max_time_gap_s is not None else {},
         lead={"__nt": F.col(AXIS)} if max_time_gap_s is not None else {},
-        before={f"__b{i}": value[c] for i, c in enumerate(cols)},
-        after={f"__a{i}": value[c] for i, c in enumerate(cols)},
+        before={f"__b{i}": F.col(c) for i, c in enumerate(cols)} | {f"__bt{i}": timed[c] for i, c in enumerate(timed)},
+        after={f"__a{i}": F.col(c) for i, c in enumerate(cols)} | {f"__at{i}": timed[c] for i, c in enumerate(timed)},
     )
     last = [f"coalesce(__b{i}.at, -1)" for i in range(len(cols))]
     nxt = [f"coalesce(__a{i}.at, __n)" for i in range(len(cols))]
@@ -83,16 +83,11 @@ def build(
         upto={"__from": F.when(F.col("__first"), F.col("__pos"))},
         onward={"__to": F.when(F.col("__final"), F.col("__pos"))},
     )
-    # Only neighbours inside the row's own block count.
-    near = [f"if(__b{i}.at >= __from.v, __b{i}, null) as __b{i}" for i in range(len(cols))]
-    near += [f"if(__a{i}.at <= __to.v, __a{i}, null) as __a{i}" for i in range(len(cols))]
-    plain = [c for c in blocks.columns if not c.startswith(("__a", "__b"))]
-    sides = blocks.selectExpr(*[f"`{c}`" for c in plain], *near)
-    filled = {c: f"coalesce(`{c}`, {_fill(method, f'__b{i}', f'__a{i}')})" for i, c in enumerate(cols)}
+    filled = {c: f"coalesce(`{c}`, {_fill(method, i)})" for i, c in enumerate(cols)}
     out = [f"{filled[c]} as `{c}`" if c in filled else f"`{c}`" for c in rows.columns if c != AXIS]
     missing_now = _any(f"`{c}` is null" for c in cols)
     missing_still = _any(f"{e} is null" for e in filled.values())
-    return sides.selectExpr(*out, "block_id", f"{missing_now} as imputed", f"{missing_still} as still_null")
+    return blocks.selectExpr(*out, "block_id", f"{missing_now} as imputed", f"{missing_still} as still_null")
 
 
 def _any(flags: Iterable[str]) -> str:
@@ -100,16 +95,18 @@ def _any(flags: Iterable[str]) -> str:
     return f"({' or '.join(listed)})" if listed else "false"
 
 
-def _fill(method: str, before: str, after: str) -> str:
-    low, high = f"{before}.v.x", f"{after}.v.x"
+def _fill(method: str, i: int) -> str:
+    """SQL for the value of sensor ``i`` in a gap; only neighbours in the row's block count."""
+    low = f"if(__b{i}.at >= __from.v, __b{i}.v, null)"
+    high = f"if(__a{i}.at <= __to.v, __a{i}.v, null)"
     if method == "ffill":
         return f"{low}, {high}"
     if method == "bfill":
         return f"{high}, {low}"
     if method == "linear":
-        share = f"(__pos - {before}.at) / ({after}.at - {before}.at)"
+        share = f"(__pos - __b{i}.at) / (__a{i}.at - __b{i}.at)"
     else:
-        share = f"try_divide({AXIS} - {before}.v.t, {after}.v.t - {before}.v.t)"
+        share = f"try_divide({AXIS} - __bt{i}.v, __at{i}.v - __bt{i}.v)"
     return f"{low} + ({high} - {low}) * {share}, {low}, {high}"
 
 

@@ -50,10 +50,11 @@ def window_at(
     """The window of every series at row ``start``; an error when it runs past the end."""
     _check_sizes(window_size)
     rows = positions(df, timestamp, keys, ties, pos="__pos", size="__n")
+    if not rows.filter((F.col("__pos") == 0) & (F.col("__n") < start + window_size)).isEmpty():
+        raise ValueError(f"window [{start}:{start + window_size}] out of range")
     inside = rows.filter((F.col("__pos") >= start) & (F.col("__pos") < start + window_size))
     out = collect_windows(inside.withColumn("window_id", F.lit(0).cast("long")), [*keys, "window_id"], "__pos", sensors)
-    short = F.when(F.col("n_rows") < window_size, F.raise_error(F.lit(f"window [{start}:{start + window_size}] out of range")).cast("long"))
-    return out.withColumn("n_rows", F.coalesce(short, F.col("n_rows"))).drop("window_id")
+    return out.drop("window_id")
 
 
 def collect_windows(df: DataFrame, by: Sequence[str], order: str, sensors: Sequence[str]) -> DataFrame:

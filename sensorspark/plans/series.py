@@ -186,7 +186,7 @@ def scan(
     ``lag``/``lead`` read the neighbouring row and ``total`` is a running sum.
     ``upto``/``before`` give the last non-null value at or before / strictly before
     the row, ``onward``/``after`` the next one, each as ``struct<v, at>`` where
-    ``at`` is the position it was found at.
+    ``at`` is the position it was found at and NULL when there is none.
     """
     lag, lead, total = dict(lag or {}), dict(lead or {}), dict(total or {})
     upto, before = dict(upto or {}), dict(before or {})
@@ -198,33 +198,34 @@ def scan(
     # SQL text keeps the many window expressions to a few calls into the JVM.
     part = _names(layout.partition)
     fwd = f"partition by {part} order by {_names(layout.order)}"
-    rev = f"partition by {part} order by {_names(layout.order, 'desc')}"
     rows = rows.select("*", *[e.alias(f"__e_{n}") for n, e in given.items()])
     rows = rows.selectExpr("*", f"cast(row_number() over ({fwd}) as bigint) as __i")
 
-    def found(n: str) -> str:
-        return f"if(`__e_{n}` is null, null, struct(`__e_{n}` as v, __i as at))"
-
+    # One sort serves both directions: the nearest non-null value is an offset function.
+    # A frame that ends at "unbounded following" would be re-evaluated on every row.
     local = [f"lag(`__e_{n}`) over ({fwd}) as `__l_{n}`" for n in lag]
     local += [f"lead(`__e_{n}`) over ({fwd}) as `__l_{n}`" for n in lead]
     local += [f"sum(`__e_{n}`) over ({fwd} rows unbounded preceding) as `__l_{n}`" for n in total]
-    # Looking ahead scans the reversed order: a frame that ends at "unbounded
-    # following" would be re-evaluated from scratch on every row.
-    for group, order, end in ((upto, fwd, 0), (before, fwd, 1), (onward, rev, 0), (after, rev, 1)):
-        stop = "1 preceding" if end else "current row"
-        frame = f"{order} rows between unbounded preceding and {stop}"
-        local += [f"last({found(n)}, true) over ({frame}) as `__l_{n}`" for n in group]
-    if lead:
+    for group, step in ((upto, "lag"), (before, "lag"), (onward, "lead"), (after, "lead")):
+        for n in group:
+            place = f"if(`__e_{n}` is null, null, __i)"
+            local.append(f"{step}(`__e_{n}`) ignore nulls over ({fwd}) as `__l_{n}`")
+            local.append(f"{step}({place}) ignore nulls over ({fwd}) as `__p_{n}`")
+    if given:
         local.append(f"lead(1) over ({fwd}) is null as __end")
     rows = rows.selectExpr("*", *local) if local else rows
 
-    # One row per chunk: what it hands to the chunks after and before it.
-    hand_on = {n: f"`__e_{n}`" for n in lag}
-    hand_on |= {n: f"`__l_{n}`" for n in (*total, *upto)}
-    hand_on |= {n: f"coalesce({found(n)}, `__l_{n}`)" for n in before}
+    def own_or_near(n: str) -> tuple[str, str]:
+        """Value and chunk-local position at the row itself or next to it."""
+        return f"coalesce(`__e_{n}`, `__l_{n}`)", f"if(`__e_{n}` is null, `__p_{n}`, __i)"
+
+    # One row per chunk: what it hands to the chunks after and before it, read from its
+    # last and its first row.
+    hand_on = {n: f"`__e_{n}`" for n in lag} | {n: f"`__l_{n}`" for n in total}
     hand_back = {n: f"`__e_{n}`" for n in lead}
-    hand_back |= {n: f"`__l_{n}`" for n in onward}
-    hand_back |= {n: f"coalesce({found(n)}, `__l_{n}`)" for n in after}
+    for side, names in ((hand_on, (*upto, *before)), (hand_back, (*onward, *after))):
+        for n in names:
+            side[n], side[f"@{n}"] = own_or_near(n)
 
     def packed(values: dict[str, str]) -> str:
         return "struct(" + ", ".join(f"{e} as `{n}`" for n, e in values.items()) + ")"
@@ -234,8 +235,8 @@ def scan(
         aggs.append(F.expr(f"max_by({packed(hand_on)}, __i)").alias("__last"))
     if hand_back:
         aggs.append(F.expr(f"min_by({packed(hand_back)}, __i)").alias("__first"))
-    if hand_on or hand_back:
-        chunks = rows.groupBy(*layout.partition).agg(*aggs)
+    if given:
+        chunks = rows.filter("__end or __i = 1").groupBy(*layout.partition).agg(*aggs)
     elif layout.counts is not None and CHUNK not in df.columns:
         chunks = layout.counts
     else:
@@ -244,22 +245,17 @@ def scan(
 
     by = f"partition by {_names(layout.keys)}" if layout.keys else ""
     down = f"{by} order by {_names(layout.chunk_columns)}"
-    up = f"{by} order by {_names(layout.chunk_columns, 'desc')}"
     gone = "rows between unbounded preceding and 1 preceding"
     chunks = chunks.selectExpr("*", f"coalesce(sum(__n) over ({down} {gone}), 0) as __base")
 
-    def placed(c: str) -> str:
-        """Turn a chunk-local position into a series position."""
-        return f"if({c} is null, null, struct({c}.v as v, {c}.at - 1 + __base as at))"
-
     carry = [f"sum(__n) over ({by}) as __size"] if size else []
     carry += [f"lag(__last.`{n}`) over ({down}) as `__c_{n}`" for n in lag]
     carry += [f"lead(__first.`{n}`) over ({down}) as `__c_{n}`" for n in lead]
     carry += [f"sum(__last.`{n}`) over ({down} {gone}) as `__c_{n}`" for n in total]
-    for group, side, order in ((upto, "__last", down), (before, "__last", down), (onward, "__first", up), (after, "__first", up)):
+    for group, side, step in ((upto, "__last", "lag"), (before, "__last", "lag"), (onward, "__first", "lead"), (after, "__first", "lead")):
         for n in group:
-            value = placed(f"{side}.`{n}`")
-            carry.append(f"last({value}, true) over ({order} {gone}) as `__c_{n}`")
+            carry.append(f"{step}({side}.`{n}`) ignore nulls over ({down}) as `__c_{n}`")
+            carry.append(f"{step}({side}.`@{n}` - 1 + __base) ignore nulls over ({down}) as `__q_{n}`")
     inherited = cut(chunks.selectExpr(*[f"`{c}`" for c in layout.partition], "__base", *carry))
 
     out = [f"__base + __i - 1 as `{pos}`"] if pos else []
@@ -267,9 +263,11 @@ def scan(
     out += [f"if(__i = 1, `__c_{n}`, `__l_{n}`) as `{n}`" for n in lag]
     out += [f"if(__end, `__c_{n}`, `__l_{n}`) as `{n}`" for n in lead]
     out += [f"coalesce(`__c_{n}`, 0) + `__l_{n}` as `{n}`" for n in total]
-    for n in (*upto, *before, *onward, *after):
-        value = placed(f"`__l_{n}`")
-        out.append(f"coalesce({value}, `__c_{n}`) as `{n}`")
+    for n in (*upto, *onward):
+        v, at = own_or_near(n)
+        out.append(f"struct(coalesce({v}, `__c_{n}`) as v, coalesce({at} - 1 + __base, `__q_{n}`) as at) as `{n}`")
+    for n in (*before, *after):
+        out.append(f"struct(coalesce(`__l_{n}`, `__c_{n}`) as v, coalesce(`__p_{n}` - 1 + __base, `__q_{n}`) as at) as `{n}`")
     return rows.join(inherited, layout.partition, "left").selectExpr(*[f"`{c}`" for c in kept], *out)
 
 
