@@ -73,7 +73,10 @@ def build(
         limit = int(max_time_gap_s * MICROS)
         first = f"({first} or coalesce({AXIS} - __pt > {limit}, false))"
         final = f"({final} or coalesce(__nt - {AXIS} > {limit}, false))"
-    good = seen.filter(f"not {long_run}").selectExpr("*", f"{first} as __first", f"{final} as __final")
+    # From here on only missing cells need their neighbours.
+    owner = {f"{side}{i}": c for i, c in enumerate(cols) for side in ("__a", "__b", "__at", "__bt")}
+    slim = [f"if(`{owner[c]}` is null, {c}, null) as {c}" if c in owner else f"`{c}`" for c in seen.columns]
+    good = seen.filter(f"not {long_run}").selectExpr(*slim, f"{first} as __first", f"{final} as __final")
 
     # Pass 2: number the blocks and find where each begins and ends.
     blocks = scan(

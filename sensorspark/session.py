@@ -19,6 +19,8 @@ def pin(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     # Split a hot join key even where the aggregate above then needs its own shuffle.
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    # Chunks of an ordered scan are bounded; keep the common ones out of the spill path.
+    spark.conf.set("spark.sql.windowExec.buffer.in.memory.threshold", "65536")
     return spark
 
 
