@@ -212,7 +212,7 @@ def scan(
             local.append(f"{step}(`__e_{n}`) ignore nulls over ({fwd}) as `__l_{n}`")
             local.append(f"{step}({place}) ignore nulls over ({fwd}) as `__p_{n}`")
     if given:
-        local.append(f"lead(1) over ({fwd}) is null as __end")
+        local.append(f"lead(1) over ({fwd}) is null as __tail_row")
     rows = rows.selectExpr("*", *local) if local else rows
 
     def own_or_near(n: str) -> tuple[str, str]:
@@ -236,7 +236,7 @@ def scan(
     if hand_back:
         aggs.append(F.expr(f"min_by({packed(hand_back)}, __i)").alias("__first"))
     if given:
-        chunks = rows.filter("__end or __i = 1").groupBy(*layout.partition).agg(*aggs)
+        chunks = rows.filter("__tail_row or __i = 1").groupBy(*layout.partition).agg(*aggs)
     elif layout.counts is not None and CHUNK not in df.columns:
         chunks = layout.counts
     else:
@@ -261,7 +261,7 @@ def scan(
     out = [f"__base + __i - 1 as `{pos}`"] if pos else []
     out += [f"__size as `{size}`"] if size else []
     out += [f"if(__i = 1, `__c_{n}`, `__l_{n}`) as `{n}`" for n in lag]
-    out += [f"if(__end, `__c_{n}`, `__l_{n}`) as `{n}`" for n in lead]
+    out += [f"if(__tail_row, `__c_{n}`, `__l_{n}`) as `{n}`" for n in lead]
     out += [f"coalesce(`__c_{n}`, 0) + `__l_{n}` as `{n}`" for n in total]
     for n in (*upto, *onward):
         v, at = own_or_near(n)
