@@ -74,7 +74,9 @@ def slices(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column end to end, and the ``n + 1`` offsets; NULL is empty."""
-    column = pc.fill_null(column, "").cast(pa.large_binary())
+    if pa.types.is_string(column.type):
+        column = column.cast(pa.binary())
+    column = pc.fill_null(column, b"").cast(pa.large_binary())
     offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
     data = column.buffers()[2]
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
