@@ -6,13 +6,19 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from sensorspark.catalog.registry import Tables, query
-from sensorspark.llm import chat, license_scan, mixing, simhash
+from sensorspark.llm import chat, decontaminate, langid, license_scan, mixing, order_minhash, simhash, suffix_dedup
 from sensorspark.llm.token_cache import TokenCache
 from sensorspark.session import fresh_path
 
 TOKEN_LIMIT = 4096
 
 
+@query("op1_suffix_dedup")
+def repeated_bytes(t: Tables):
+    found = suffix_dedup.remove_repeats(t.documents)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query("op2_chat_format")
 def chat_format(t: Tables):
     rows = t.conversations.select("conv_id", "turn", "role", "text")
@@ -26,6 +32,14 @@ def chat_format(t: Tables):
     return chat.read_back(chat.turns(rows.unionByName(extra)))
 
 
+@query("op3_language")
+def language(t: Tables):
+    docs = t.documents
+    model = langid.fit(docs.filter(~langid.held_out()).select("doc_id", "text", "lang"))
+    found = langid.label(docs, model, spans=False)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query("op4_simhash")
 def simhash_components(t: Tables):
     return simhash.near_duplicates(t.documents)
@@ -36,6 +50,17 @@ def license_labels(t: Tables):
     return license_scan.scan(t.documents)
 
 
+@query("op6_order_minhash")
+def order_fingerprints(t: Tables):
+    return order_minhash.compare_edits(t.documents)
+
+
+@query("op8_decontaminate")
+def benchmark_leaks(t: Tables):
+    found = decontaminate.contaminated(t.documents, t.benchmark)
+    return found.select("doc_id", "item_ids", "n_words", F.size("spans").alias("n_spans"))
+
+
 @query("op9_token_counts")
 def token_counts(t: Tables):
     model = public_tokenizers.path("piece_bpe_32k.model")
