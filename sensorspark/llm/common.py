@@ -10,6 +10,7 @@ Conventions, the same for every operator:
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,12 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans that are no longer used."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
@@ -174,3 +181,19 @@ def window_minimum(x: np.ndarray, w: int) -> np.ndarray:
         size *= 2
     rest = w - size
     return np.minimum(low[: len(low) - rest], low[rest:]) if rest else low
+
+
+def packed(bucket: np.ndarray, columns: dict[str, np.ndarray], **same) -> pa.RecordBatch:
+    """One row per bucket: list columns with the entries dealt to it, and ``same`` as constants."""
+    order = np.argsort(bucket, kind="stable")
+    b = bucket[order]
+    first = np.flatnonzero(np.r_[True, b[1:] != b[:-1]]) if len(b) else np.zeros(0, np.int64)
+    bounds = pa.array(np.r_[first, len(b)].astype(np.int32))
+    out = {"bucket": pa.array(b[first].astype(np.int32))}
+    out |= {c: pa.array([v] * len(first)) for c, v in same.items()}
+    return pa.record_batch(out | {c: pa.ListArray.from_arrays(bounds, pa.array(v[order])) for c, v in columns.items()})
+
+
+def unpacked(table: pa.Table, names: list[str]) -> dict[str, np.ndarray]:
+    """The entries of all list columns ``names``, end to end."""
+    return {c: table.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in names}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from sensorspark.catalog.registry import Tables, query
-from sensorspark.llm import chat, decontaminate, langid, license_scan, mixing, order_minhash, simhash, suffix_dedup
+from sensorspark.llm import chaining, chat, decontaminate, langid, license_scan, mixing, order_minhash, simhash, suffix_dedup
 from sensorspark.llm.token_cache import TokenCache
 from sensorspark.session import fresh_path
 
@@ -55,6 +55,12 @@ def order_fingerprints(t: Tables):
     return order_minhash.compare_edits(t.documents)
 
 
+@query("op7_collinear_chains")
+def fuzzy_passages(t: Tables):
+    found = chaining.repeated_passages(t.documents)
+    return found.select("doc_id", "source_ids", "n_words", F.size("spans").alias("n_spans"))
+
+
 @query("op8_decontaminate")
 def benchmark_leaks(t: Tables):
     found = decontaminate.contaminated(t.documents, t.benchmark)

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorspark.llm.common import batches, numbered, text_or_empty
+from sensorspark.llm.common import batches, gram_hashes, mix64, numbered, packed, release, text_or_empty, unpacked, utf8, word_hashes
 from sensorspark.llm.components import components
 from sensorspark.session import cut
 
@@ -151,12 +151,130 @@ def near_duplicates(docs: DataFrame, most: int = MOST, n_words: int = 3) -> Data
     return prints.join(label, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, most: int = MOST, n_words: int = 3) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each group the first in document order stays."""
+# --- similar texts -------------------------------------------------------------------------
+#
+# Texts whose shingles agree to four fifths differ in up to a ninth of the bits of a
+# fingerprint, far more than three of 64.  The set of their words agrees better: on a wide
+# fingerprint over distinct words, 32 bits a segment, some segment differs by at most one bit
+# in all but a few of a thousand such pairs, and the same one-wildcard keys find them.
+
+WIDTH = 8
+CANDIDATE = "bucket int, key array<int>, id array<long>, sig array<long>"
+
+
+def wide_fingerprints(h: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """``WIDTH`` 32-bit segments for each text from the hashes of its words; every word counts once."""
+    out = np.zeros((len(word) - 1, WIDTH), np.uint32)
+    for i in range(len(word) - 1):
+        own = np.unique(h[word[i] : word[i + 1]])
+        total = np.zeros(32 * WIDTH, np.int64)
+        for a in range(0, len(own), 1 << 14):
+            part = own[a : a + (1 << 14)]
+            with np.errstate(over="ignore"):
+                wide = np.stack([mix64(part + np.uint64((j + 1) * 0x9E3779B97F4A7C15 % 2**64)) for j in range(WIDTH // 2)], axis=1)
+            total += np.unpackbits(wide.view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
+        out[i] = np.packbits(total * 2 > len(own)).view(np.uint32)
+    return out
+
+
+def _keys(parts: Iterator[pa.RecordBatch], spread: int) -> Iterator[pa.RecordBatch]:
+    """One-wildcard keys of the segments, dealt by segment, wildcard and ``spread`` parts of the value."""
+    for part in parts:
+        ids, fp = part.column("id").to_numpy(), part.column("wide").flatten().to_numpy().view(np.uint32).reshape(-1, WIDTH)
+        sig = np.ascontiguousarray(fp[:, :2]).view(np.int64)[:, 0]
+        for j in range(WIDTH):
+            for bit in range(32):
+                key = fp[:, j] & ~np.uint32(1 << bit)
+                bucket = (mix64(key.astype(np.uint64)) % np.uint64(spread)).astype(np.int64) + (j * 32 + bit) * spread
+                yield packed(bucket, {"key": key.view(np.int32), "id": ids, "sig": sig})
+
+
+def _candidates(table: pa.Table) -> pa.Table:
+    """Pairs that share a key: all of a few texts, else each with the one nearest to the majority."""
+    e = unpacked(table, ["key", "id", "sig"])
+    o = np.lexsort((e["id"], e["key"]))
+    key, ids, sig = e["key"][o], e["id"][o], e["sig"][o].view(np.uint64)
+    begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    size = np.diff(np.r_[begin, len(key)])
+    a, b = [ids[:0]], [ids[:0]]
+    for n in range(2, 9):
+        some = begin[size == n]
+        for x in range(n):
+            for y in range(x + 1, n):
+                a.append(ids[some + x])
+                b.append(ids[some + y])
+    for s, n in zip(begin[size > 8].tolist(), size[size > 8].tolist()):
+        own = sig[s : s + n]
+        bits = np.zeros(64, np.int64)
+        for at in range(0, n, 1 << 16):
+            bits += np.unpackbits(own[at : at + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        majority = np.uint64(int.from_bytes(np.packbits(bits * 2 > n).tobytes(), "big"))
+        center = ids[s + int(np.bitwise_count(own ^ majority).argmin())]
+        others = ids[s : s + n]
+        others = others[others != center]
+        a.append(np.minimum(others, center))
+        b.append(np.maximum(others, center))
+    pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0)
+    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+
+def similar_links(texts: DataFrame, similarity: float = 0.8, n_words: int = 5) -> DataFrame:
+    """``(a, b)``: ids of distinct ``(id, text)`` whose sets of word shingles agree to ``similarity``.
+
+    Candidates share a one-wildcard key of their wide fingerprints; each is verified on the
+    shingles of both whole texts.
+    """
+
+    def prints(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in parts:
+            for part in batches(whole, "text"):
+                h, _, _, word = word_hashes(*utf8(part.column("text")))
+                wide = wide_fingerprints(h, word).view(np.int32).reshape(-1)
+                bounds = pa.array(np.arange(len(part) + 1, dtype=np.int32) * WIDTH)
+                yield pa.record_batch({"id": part.column("id"), "wide": pa.ListArray.from_arrays(bounds, pa.array(wide))})
+
+    def shingles(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in parts:
+            for part in batches(whole, "text"):
+                h, _, _, word = word_hashes(*utf8(part.column("text")))
+                sets = []
+                for x, y in zip(word[:-1].tolist(), word[1:].tolist()):
+                    own = gram_hashes(h[x:y], min(n_words, max(y - x, 1)))
+                    sets.append(np.unique(own.astype(np.uint32)).view(np.int32))
+                bounds = pa.array(np.r_[0, np.cumsum([len(s) for s in sets])].astype(np.int32))
+                yield pa.record_batch({"id": part.column("id"), "grams": pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(sets)))})
+
+    spark = texts.sparkSession
+    wide = cut(texts.mapInArrow(prints, "id long, wide array<int>"))
+    # A bucket holds one segment, one wildcard and about a million texts.
+    spread = 1 + wide.count() // 1_000_000
+    keys = wide.mapInArrow(lambda parts: _keys(parts, spread), CANDIDATE)
+    pairs = cut(keys.groupBy("bucket").applyInArrow(_candidates, "a long, b long").distinct())
+    del keys, wide
+    release(spark)
+    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    grams = cut(texts.join(wanted, "id", "left_semi").mapInArrow(shingles, "id long, grams array<int>"))
+    release(spark)
+    left = grams.select(F.col("id").alias("a"), F.col("grams").alias("x"))
+    right = grams.select(F.col("id").alias("b"), F.col("grams").alias("y"))
+    both = F.size(F.array_intersect("x", "y"))
+    enough = both >= F.lit(similarity) * (F.size("x") + F.size("y") - both)
+    return pairs.join(left, "a").join(right, "b").filter(enough).select("a", "b")
+
+
+def keep_one(docs: DataFrame, similarity: float = 0.8, n_words: int = 5) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each group the first in document order stays.
+
+    Equal texts are near duplicates, and so are texts whose sets of ``n_words``-word shingles
+    agree to ``similarity``; a group is what links of these kinds reach.  Texts without a word
+    are alike only if they are equal.
+    """
     rows = numbered(docs, whole=True)
-    prints = cut(fingerprints(rows, n_words, ("key", "copy")))
-    found = components(links(prints.select("fp").distinct(), most))
-    rooted = prints.join(found.withColumnRenamed("node", "fp"), "fp", "left")
-    rooted = rooted.select("key", "copy", F.coalesce("root", "fp").alias("root"))
-    first = rooted.groupBy("root").agg(F.min(F.struct("key", "copy")).alias("first")).select("first.*")
-    return rows.join(first, ["key", "copy"], "left_semi").select("row.*")
+    # Equal texts share a node; only the first of them is compared with others.
+    nodes = cut(rows.select("key", "copy", F.xxhash64("text").alias("id")))
+    first = nodes.groupBy("id").agg(F.min(F.struct("key", "copy")).alias("at")).select("id", "at.*")
+    texts = rows.select("key", "copy", "text").join(first, ["key", "copy"]).select("id", "text")
+    found = components(similar_links(texts, similarity, n_words))
+    rooted = first.join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "copy", F.coalesce("root", "id").alias("root"))
+    kept = rooted.groupBy("root").agg(F.min(F.struct("key", "copy")).alias("first")).select("first.*")
+    return rows.join(kept, ["key", "copy"], "left_semi").select("row.*")

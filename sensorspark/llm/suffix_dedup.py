@@ -16,7 +16,6 @@ large as the one before it and every entry is rewritten a logarithmic number of
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 from functools import reduce
@@ -26,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorspark.llm.common import _BASE, _BYTE, _INVERSE, batches, mix64, numbered, powers, utf8, window_minimum
+from sensorspark.llm.common import _BASE, _BYTE, _INVERSE, batches, mix64, numbered, powers, release, utf8, window_minimum
 from sensorspark.session import fresh_path
 
 GRAM = 20
@@ -40,12 +39,6 @@ FOUND = "kind string, " + ENTRY
 FORCED = 1 << 20
 
 
-def _release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of plans that are no longer used."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def _delete(spark: SparkSession, path: str) -> None:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
@@ -239,7 +232,7 @@ class SuffixIndex:
         self.levels = [*self.levels[: len(self.levels) - merged], (size, path)]
         self.batches.append(path)
         del new, union, found
-        _release(self.spark)
+        release(self.spark)
 
     def _read(self, path: str, kind: str) -> DataFrame:
         return self.spark.read.schema(FOUND).parquet(path).filter(F.col("kind") == kind)
@@ -377,7 +370,7 @@ def repeats(texts: DataFrame, path: str, length: int = 100, batches_: int = 3) -
     rows = every.select(F.explode(F.arrays_zip("key", "copy", "begin", "end")).alias("e")).select("e.*")
     rows.groupBy("key", "copy").agg(F.collect_list(F.struct("begin", "end")).alias("at")).write.parquet(f"{path}/repeats")
     del places, hot, marked, contexts, every, rows
-    _release(spark)
+    release(spark)
     return spark.read.parquet(f"{path}/repeats")
 
 
