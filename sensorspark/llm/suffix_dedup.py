@@ -96,7 +96,8 @@ def _rows(bucket: np.ndarray, columns: dict, level: int, kind: str | None = None
     out |= {"bucket": pa.array(b[first].astype(np.int32)), "level": pa.array(np.full(len(first), level, np.int32))}
     for name in ("a", "f", "key", "copy", "pos", "span"):
         v = columns[name][o]
-        v = v.view(np.int64) if v.dtype == np.uint64 else v.astype(np.int64 if name in ("a", "f", "key") else np.int32)
+        v = v.view(np.int64) if v.dtype == np.uint64 else v
+        v = v.astype(np.int64 if name in ("a", "f", "key") else np.int32, copy=False)
         out[name] = pa.ListArray.from_arrays(bounds, pa.array(v))
     return pa.record_batch(out)
 
