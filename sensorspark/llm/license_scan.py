@@ -18,77 +18,77 @@ from sensorspark.llm.common import numbered
 # The phrases and labels of the contract.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# Names of license families (a pattern over words), their keyword, the identifier
-# they begin with, and the versions they exist in.
+# Names of license families, the identifier they begin with, and the versions
+# they exist in.
 FAMILIES = [
-    ("apache(?: software)?", "apache", "apache", "1 0|1 1|2 0"),
-    ("gnu general public|gnu gpl|gpl", "g", "gpl", "1 0|2 0|3 0"),
-    ("gnu lesser general public|gnu library general public|gnu lgpl|lgpl", "l", "lgpl", "2 0|2 1|3 0"),
-    ("gnu affero general public|affero general public|gnu agpl|agpl", "a", "agpl", "1 0|3 0"),
-    ("gnu free documentation|gfdl", "documentation", "gfdl", "1 1|1 2|1 3"),
-    ("mozilla public|mpl", "m", "mpl", "1 0|1 1|2 0"),
-    ("eclipse public|epl", "e", "epl", "1 0|2 0"),
-    ("eclipse distribution|edl", "e", "edl", "1 0"),
-    ("common development and distribution|cddl", "c", "cddl", "1 0|1 1"),
-    ("common public|cpl", "c", "cpl", "1 0"),
-    ("ibm public", "ibm", "ipl", "1 0"),
-    ("european union public|eupl", "e", "eupl", "1 0|1 1|1 2"),
-    ("open software|osl", "o", "osl", "1 0|2 0|2 1|3 0"),
-    ("academic free|afl", "a", "afl", "1 1|1 2|2 0|2 1|3 0"),
-    ("artistic", "artistic", "artistic", "1 0|2 0"),
-    ("boost software|bsl", "b", "bsl", "1 0"),
-    ("business source|busl", "b", "busl", "1 1"),
-    ("server side public|sspl", "s", "sspl", "1 0"),
-    ("elastic", "elastic", "elastic", "1 0|2 0"),
-    ("microsoft public|ms pl", "m", "ms-pl", ""),
-    ("microsoft reciprocal|ms rl", "m", "ms-rl", ""),
-    ("creative commons attribution noncommercial sharealike|cc by nc sa", "c", "cc-by-nc-sa", "1 0|2 0|2 5|3 0|4 0"),
-    ("creative commons attribution noncommercial noderivatives|cc by nc nd", "c", "cc-by-nc-nd", "1 0|2 0|2 5|3 0|4 0"),
-    ("creative commons attribution noncommercial|cc by nc", "c", "cc-by-nc", "1 0|2 0|2 5|3 0|4 0"),
-    ("creative commons attribution sharealike|cc by sa", "c", "cc-by-sa", "1 0|2 0|2 5|3 0|4 0"),
-    ("creative commons attribution noderivatives|cc by nd", "c", "cc-by-nd", "1 0|2 0|2 5|3 0|4 0"),
-    ("creative commons attribution|cc by", "c", "cc-by", "1 0|2 0|2 5|3 0|4 0"),
-    ("creative commons zero|cc0", "c", "cc0", "1 0"),
-    ("open data commons attribution|odc by", "o", "odc-by", "1 0"),
-    ("open data commons open database|open database|odbl", "o", "odbl", "1 0"),
-    ("public domain dedication and|pddl", "p", "pddl", "1 0"),
-    ("community data agreement permissive|cdla permissive", "c", "cdla-permissive", "1 0|2 0"),
-    ("mit", "mit", "mit", ""),
-    ("x11", "x11", "x11", ""),
-    ("isc", "isc", "isc", ""),
-    ("zlib|zlib libpng", "zlib", "zlib", ""),
-    ("libpng", "libpng", "libpng", "2 0"),
-    ("openssl", "openssl", "openssl", ""),
-    ("php", "php", "php", "3 0|3 01"),
-    ("python software foundation|psf", "p", "psf", "2 0"),
-    ("ruby", "ruby", "ruby", ""),
-    ("perl", "perl", "perl", ""),
-    ("postgresql", "postgresql", "postgresql", ""),
-    ("zope public|zpl", "z", "zpl", "1 1|2 0|2 1"),
-    ("w3c software notice and|w3c", "w3c", "w3c", ""),
-    ("sil open font|ofl", "o", "ofl", "1 0|1 1"),
-    ("latex project public|lppl", "l", "lppl", "1 0|1 1|1 2|1 3"),
-    ("nasa open source agreement|nosa", "n", "nasa", "1 3"),
-    ("educational community|ecl", "e", "ecl", "1 0|2 0"),
-    ("do what the fuck you want to public|wtfpl", "w", "wtfpl", "2"),
-    ("beerware|beer ware", "beer", "beerware", ""),
-    ("unicode", "unicode", "unicode", ""),
-    ("vim", "vim", "vim", ""),
-    ("curl", "curl", "curl", ""),
-    ("bsd 4 clause|4 clause bsd|original bsd", "bsd", "bsd-4-clause", ""),
-    ("bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd", "bsd", "bsd-3-clause", ""),
-    ("bsd 2 clause|2 clause bsd|simplified bsd|freebsd", "bsd", "bsd-2-clause", ""),
-    ("bsd zero clause|zero clause bsd|0bsd", "bsd", "0bsd", ""),
-    ("bsd", "bsd", "bsd", ""),
-    ("mulan permissive software|mulan psl", "mulan", "mulanpsl", "1 0|2 0"),
-    ("blue oak model", "blue", "blueoak", "1 0 0"),
-    ("q public|qpl", "q", "qpl", "1 0"),
-    ("reciprocal public|rpl", "r", "rpl", "1 1|1 5"),
-    ("sun industry standards source|sissl", "s", "sissl", "1 1|1 2"),
+    ("apache|apache software", "apache", "1 0|1 1|2 0"),
+    ("gnu general public|gnu gpl|gpl", "gpl", "1 0|2 0|3 0"),
+    ("gnu lesser general public|gnu library general public|gnu lgpl|lgpl", "lgpl", "2 0|2 1|3 0"),
+    ("gnu affero general public|affero general public|gnu agpl|agpl", "agpl", "1 0|3 0"),
+    ("gnu free documentation|gfdl", "gfdl", "1 1|1 2|1 3"),
+    ("mozilla public|mpl", "mpl", "1 0|1 1|2 0"),
+    ("eclipse public|epl", "epl", "1 0|2 0"),
+    ("eclipse distribution|edl", "edl", "1 0"),
+    ("common development and distribution|cddl", "cddl", "1 0|1 1"),
+    ("common public|cpl", "cpl", "1 0"),
+    ("ibm public", "ipl", "1 0"),
+    ("european union public|eupl", "eupl", "1 0|1 1|1 2"),
+    ("open software|osl", "osl", "1 0|2 0|2 1|3 0"),
+    ("academic free|afl", "afl", "1 1|1 2|2 0|2 1|3 0"),
+    ("artistic", "artistic", "1 0|2 0"),
+    ("boost software|bsl", "bsl", "1 0"),
+    ("business source|busl", "busl", "1 1"),
+    ("server side public|sspl", "sspl", "1 0"),
+    ("elastic", "elastic", "1 0|2 0"),
+    ("microsoft public|ms pl", "ms-pl", ""),
+    ("microsoft reciprocal|ms rl", "ms-rl", ""),
+    ("creative commons attribution noncommercial sharealike|cc by nc sa", "cc-by-nc-sa", "1 0|2 0|2 5|3 0|4 0"),
+    ("creative commons attribution noncommercial noderivatives|cc by nc nd", "cc-by-nc-nd", "1 0|2 0|2 5|3 0|4 0"),
+    ("creative commons attribution noncommercial|cc by nc", "cc-by-nc", "1 0|2 0|2 5|3 0|4 0"),
+    ("creative commons attribution sharealike|cc by sa", "cc-by-sa", "1 0|2 0|2 5|3 0|4 0"),
+    ("creative commons attribution noderivatives|cc by nd", "cc-by-nd", "1 0|2 0|2 5|3 0|4 0"),
+    ("creative commons attribution|cc by", "cc-by", "1 0|2 0|2 5|3 0|4 0"),
+    ("creative commons zero|cc0", "cc0", "1 0"),
+    ("open data commons attribution|odc by", "odc-by", "1 0"),
+    ("open data commons open database|open database|odbl", "odbl", "1 0"),
+    ("public domain dedication and|pddl", "pddl", "1 0"),
+    ("community data agreement permissive|cdla permissive", "cdla-permissive", "1 0|2 0"),
+    ("mit", "mit", ""),
+    ("x11", "x11", ""),
+    ("isc", "isc", ""),
+    ("zlib|zlib libpng", "zlib", ""),
+    ("libpng", "libpng", "2 0"),
+    ("openssl", "openssl", ""),
+    ("php", "php", "3 0|3 01"),
+    ("python software foundation|psf", "psf", "2 0"),
+    ("ruby", "ruby", ""),
+    ("perl", "perl", ""),
+    ("postgresql", "postgresql", ""),
+    ("zope public|zpl", "zpl", "1 1|2 0|2 1"),
+    ("w3c software notice and|w3c", "w3c", ""),
+    ("sil open font|ofl", "ofl", "1 0|1 1"),
+    ("latex project public|lppl", "lppl", "1 0|1 1|1 2|1 3"),
+    ("nasa open source agreement|nosa", "nasa", "1 3"),
+    ("educational community|ecl", "ecl", "1 0|2 0"),
+    ("do what the fuck you want to public|wtfpl", "wtfpl", "2"),
+    ("beerware|beer ware", "beerware", ""),
+    ("unicode", "unicode", ""),
+    ("vim", "vim", ""),
+    ("curl", "curl", ""),
+    ("bsd 4 clause|4 clause bsd|original bsd", "bsd-4-clause", ""),
+    ("bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd", "bsd-3-clause", ""),
+    ("bsd 2 clause|2 clause bsd|simplified bsd|freebsd", "bsd-2-clause", ""),
+    ("bsd zero clause|zero clause bsd|0bsd", "0bsd", ""),
+    ("bsd", "bsd", ""),
+    ("mulan permissive software|mulan psl", "mulanpsl", "1 0|2 0"),
+    ("blue oak model", "blueoak", "1 0 0"),
+    ("q public|qpl", "qpl", "1 0"),
+    ("reciprocal public|rpl", "rpl", "1 1|1 5"),
+    ("sun industry standards source|sissl", "sissl", "1 1|1 2"),
 ]
 # Phrases that speak of terms without naming a family.
 GENERAL = [
-    ("unlicense", "unlicense", "(?:this is free and unencumbered software released into the public domain|the unlicense|unlicense)"),
+    ("unlicense", "unlicense|free and unencumbered", "(?:this is free and unencumbered software released into the public domain|the unlicense|unlicense)"),
     ("public-domain", "domain", "(?:released|dedicated|placed) (?:into|to|in) the public domain"),
     ("proprietary", "licen", "all rights reserved (?:\\S+ ){0,8}licen[cs]e"),
     ("unknown", "licen", "(?:licensed|released|distributed|available) under (?:a|the terms of a|the terms of the) \\S+ licen[cs]e"),
@@ -107,10 +107,11 @@ def rules() -> list[dict]:
     """
     out = []
 
-    def add(priority: int, score: float, label: str, keyword: str, pattern: str) -> None:
-        out.append({"priority": priority, "score": score, "label": label, "keyword": " " + keyword, "pattern": f"(?<= )(?:{pattern})(?= )"})
+    def add(priority: int, score: float, label: str, keywords: str, pattern: str) -> None:
+        words = [" " + k for k in keywords.split("|")]
+        out.append({"priority": priority, "score": score, "label": label, "keywords": words, "pattern": f"(?<= )(?:{pattern})(?= )"})
 
-    for name, keyword, short, versions in FAMILIES:
+    for name, short, versions in FAMILIES:
         ident = short.replace("-", " ")
         any_of = f"(?:{name})"
         for v in filter(None, versions.split("|")):
@@ -120,14 +121,14 @@ def rules() -> list[dict]:
             version = f"(?:(?: version| v| ver)? {number}| v{number})"
             later = "(?: or (?:\\S+ ){0,4}?later(?: version)?| only)?"
             add(1, 1.0, label, "spdx", f"spdx licen[cs]e identifier {ident} {v}(?: only| or later)?")
-            add(2, 0.95, label, keyword, f"{_UNDER}{any_of}{_LICENSE}{version}{later}")
-            add(4, 0.8, label, keyword, f"{any_of}{_LICENSE}{version}{later}")
-        add(3, 0.85, short, keyword, f"{_UNDER}{any_of}{_LICENSE}")
-        add(5, 0.6, short, keyword, f"(?:{name}) licen[cs]e")
+            add(2, 0.95, label, name, f"{_UNDER}{any_of}{_LICENSE}{version}{later}")
+            add(4, 0.8, label, name, f"{any_of}{_LICENSE}{version}{later}")
+        add(3, 0.85, short, name, f"{_UNDER}{any_of}{_LICENSE}")
+        add(5, 0.6, short, name, f"(?:{name}) licen[cs]e")
         if not versions:
             add(1, 1.0, short, "spdx", f"spdx licen[cs]e identifier {ident}")
-    for label, keyword, pattern in GENERAL:
-        add(6, 0.3, label, keyword, pattern)
+    for label, keywords, pattern in GENERAL:
+        add(6, 0.3, label, keywords, pattern)
     return out
 
 
@@ -135,13 +136,6 @@ def _spaces(c: Column) -> Column:
     return F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))
 
 
-def _places(norm: Column, pattern: Column) -> tuple[Column, Column]:
-    """Words before each place and after the last one, and the words of each place."""
-    gaps = F.transform(F.split(norm, pattern, -1), lambda p: (_spaces(p) - 1).cast("int"))
-    lengths = F.transform(F.regexp_extract_all(norm, pattern, F.lit(0)), lambda p: (_spaces(p) + 1).cast("int"))
-    return gaps, lengths
-
-
 def scan(docs: DataFrame, rule_table: list[dict] | None = None) -> DataFrame:
     """``(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, n_detections)``.
 
@@ -152,8 +146,9 @@ def scan(docs: DataFrame, rule_table: list[dict] | None = None) -> DataFrame:
     """
     rows = numbered(docs)
     listed = [{"rule": i, **r} for i, r in enumerate(rules() if rule_table is None else rule_table)]
-    kind = "array<struct<rule:int,priority:int,score:double,label:string,keyword:string,pattern:string>>"
+    kind = "array<struct<rule:int,priority:int,score:double,label:string,keywords:array<string>,pattern:string>>"
     known = F.from_json(F.lit(json.dumps(listed)), kind)
+    keywords = F.array(*[F.lit(k) for k in sorted({k for r in listed for k in r["keywords"]})])
     lower = "abcdefghijklmnopqrstuvwxyz"
     spaced = F.trim(F.regexp_replace("text", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", " "))
     norm = F.when(F.col("text").rlike(GATE), F.concat(F.lit(" "), F.translate(spaced, lower.upper(), lower), F.lit(" ")))
@@ -164,18 +159,31 @@ def scan(docs: DataFrame, rule_table: list[dict] | None = None) -> DataFrame:
         F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).cast("long").alias("n_words"),
         norm.alias("norm"),
     )
-    base = [F.split("norm", F.lit(f"(?<= ){p}(?= )"), -1) for p in BASE]
+    # Each text is split once for each base phrase, and its keywords are looked up once.
+    rows = rows.select(
+        "*",
+        *[F.split("norm", F.lit(f"(?<= ){p}(?= )"), -1).alias(f"base{i}") for i, p in enumerate(BASE)],
+        F.filter(keywords, lambda k: F.contains(F.col("norm"), k)).alias("present"),
+    )
+    base = [F.col(f"base{i}") for i in range(len(BASE))]
     firsts = [F.when(F.size(b) > 1, _spaces(b[0]) - 1) for b in base]
     lasts = [
         F.when(F.size(b) > 1, F.col("n_words") - (_spaces(F.element_at(b, -1)) - 1) - len(p.split()))
         for p, b in zip(BASE, base)
     ]
+    norm = F.col("norm")
 
     def detect(r: Column) -> Column:
-        gaps, lengths = _places(F.col("norm"), r["pattern"])
-        return F.struct(r["rule"].alias("rule"), r["priority"].alias("priority"), r["score"].alias("score"), r["label"].alias("label"), gaps.alias("gaps"), lengths.alias("lengths"))
+        lengths = F.transform(F.regexp_extract_all(norm, r["pattern"], F.lit(0)), lambda p: (_spaces(p) + 1).cast("int"))
+        return F.struct(r.alias("r"), lengths.alias("lengths"))
+
+    def locate(d: Column) -> Column:
+        # Words before each place and after the last one.
+        gaps = F.transform(F.split(norm, d["r"]["pattern"], -1), lambda p: (_spaces(p) - 1).cast("int"))
+        return F.struct(*[d["r"][c].alias(c) for c in ("rule", "priority", "score", "label")], gaps.alias("gaps"), d["lengths"].alias("lengths"))
 
-    found = F.filter(F.transform(F.filter(known, lambda r: F.contains(F.col("norm"), r["keyword"])), detect), lambda d: F.size(d["lengths"]) > 0)
+    gated = F.filter(known, lambda r: F.arrays_overlap(r["keywords"], F.col("present")))
+    found = F.transform(F.filter(F.transform(gated, detect), lambda d: F.size(d["lengths"]) > 0), locate)
     here = F.col("norm").isNotNull()
     found_base = [F.when(F.size(b) > 1, F.lit(name)) for b, name in zip(base, BASE.values())]
     judged = rows.select(

@@ -38,7 +38,7 @@ def brute_labels(text):
     hits = []
     if re.search(L.GATE, text or ""):
         for i, r in enumerate(L.rules()):
-            if r["keyword"] in norm:
+            if any(k in norm for k in r["keywords"]):
                 for m in re.finditer(r["pattern"], norm):
                     begin = norm[: m.start()].count(" ") - 1
                     hits.append((begin, begin + m[0].count(" ") + 1, r["priority"], i, r["label"]))
