@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from sensorspark.catalog.registry import Tables, query
 from sensorspark.catalog.windowing import POS_SQL, _TAGGED
 from sensorspark.functions import encoders, vectors
 from sensorspark.operators import evaluate, features, lof, neighbors, windows
+from sensorspark.plans.series import plan_layout, scan
 
 SHOTS = 10
 
@@ -214,8 +216,8 @@ def lof_threshold(t: Tables) -> DataFrame:
 @query(
     "lof_per_asset",
     """WITH e AS (SELECT vec_id, label AS asset, embedding::DOUBLE[] AS v,
-  row_number() OVER (PARTITION BY label ORDER BY vec_id) AS shot FROM embeddings),
-r AS (SELECT * FROM e WHERE shot <= 20),
+  row_number() OVER (PARTITION BY label ORDER BY vec_id) AS shot, count(*) OVER (PARTITION BY label) AS n FROM embeddings),
+r AS (SELECT * FROM e WHERE 3 * shot <= n),
 rn AS (SELECT * FROM (SELECT a.asset, a.vec_id AS p, b.vec_id AS o, list_distance(a.v, b.v) AS d,
   row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.v, b.v), b.vec_id) AS k
   FROM r a JOIN r b ON a.asset = b.asset AND a.vec_id <> b.vec_id) WHERE k <= 5),
@@ -223,16 +225,17 @@ kd AS (SELECT p, max(d) AS kdist FROM rn GROUP BY 1),
 lrd AS (SELECT rn.p, 1.0 / (avg(greatest(d, kdist)) + 1e-10) AS density FROM rn JOIN kd ON rn.o = kd.p GROUP BY 1),
 qn AS (SELECT * FROM (SELECT a.asset, a.vec_id AS q, b.vec_id AS o, list_distance(a.v, b.v) AS d,
   row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.v, b.v), b.vec_id) AS k
-  FROM e a JOIN r b ON a.asset = b.asset WHERE a.shot > 20) WHERE k <= 5)
+  FROM e a JOIN r b ON a.asset = b.asset WHERE 3 * a.shot > a.n) WHERE k <= 5)
 SELECT asset, q AS vec_id, round(avg(density) * (avg(greatest(d, kdist)) + 1e-10), 6) AS anomaly_score
 FROM qn JOIN kd ON o = kd.p JOIN lrd ON o = lrd.p GROUP BY 1, 2""",
 )
 def lof_per_asset(t: Tables) -> DataFrame:
-    """One detector per asset, fitted on the asset's own first 20 windows."""
-    w = Window.partitionBy("asset").orderBy("vec_id")
+    """One detector per asset, fitted on the first third of the asset's own windows."""
     emb = t.embeddings.select("vec_id", F.col("label").alias("asset"), F.col("embedding").alias("features"))
-    shots = emb.withColumn("s", F.row_number().over(w)).filter("s <= 20").drop("s")
-    rest = emb.join(shots.select("vec_id"), "vec_id", "left_anti")
+    lay = plan_layout(emb, ["asset"], "vec_id")
+    placed = lay.detach(scan(emb, lay, pos="pos", size="n"))
+    shots = placed.filter("3 * (pos + 1) <= n").drop("pos", "n")
+    rest = placed.filter("3 * (pos + 1) > n").drop("pos", "n")
     fitted = lof.fit(shots, id="vec_id", k=5, by=["asset"])
     return rounded(lof.score(rest, fitted, id="vec_id", k=5, by=["asset"]), "anomaly_score")
 
@@ -358,12 +361,12 @@ def window_znorm(t: Tables) -> DataFrame:
     return t.embeddings.select("vec_id", F.transform(z, lambda x: F.round(x, 6)).alias("z"))
 
 
-def encoded_windows(t: Tables, size: int = 16) -> DataFrame:
+def encoded_windows(t: Tables, size: int = 16, encoder: encoders.Encoder = encoders.moments) -> DataFrame:
     rows = t.events.select("event_id", "user_id", "ts", "value")
     tagged = windows.sliding(rows, "ts", size, size, ["user_id"], ["event_id"])
     arrays = windows.collect_windows(tagged, ["user_id", "window_id"], "in_window", ["value"])
     return encoders.encode(
-        arrays.select("user_id", "window_id", F.col("values")["value"].alias("samples")), "samples", encoders.moments
+        arrays.select("user_id", "window_id", F.col("values")["value"].alias("samples")), "samples", encoder, encoder_id="moments"
     )
 
 
@@ -376,10 +379,29 @@ SELECT user_id, window_id, 16::BIGINT AS encoded_length, 'moments' AS encoder_id
     lambda x: round(x::FLOAT::DOUBLE, 3)) AS embedding FROM d GROUP BY 1, 2""",
 )
 def encode_windows(t: Tables) -> DataFrame:
-    out = encoded_windows(t).drop("samples")
+    out = encoded_windows(t).drop("samples", "encode_error")
     return out.withColumn("embedding", F.transform("embedding", lambda x: F.round(x.cast("double"), 3)))
 
 
+def _careful(x: np.ndarray) -> np.ndarray:
+    """An encoder that refuses windows with a very high value."""
+    if (x > 180).any():
+        raise ValueError("value out of range")
+    return encoders.moments(x)
+
+
+@query(
+    "encode_rejected",
+    f"""WITH {POS_SQL}, {_TAGGED.format(w=16, s=16)}
+SELECT user_id, window_id, CASE WHEN max(value) > 180 THEN 'ValueError: value out of range' END AS encode_error,
+  CASE WHEN max(value) <= 180 THEN 6 END::INTEGER AS n_dims FROM wins GROUP BY 1, 2""",
+)
+def encode_rejected(t: Tables) -> DataFrame:
+    """Only the refused windows are without a vector."""
+    out = encoded_windows(t, encoder=_careful)
+    return out.select("user_id", "window_id", "encode_error", F.when(F.col("embedding").isNotNull(), F.size("embedding")).alias("n_dims"))
+
+
 @query(
     "fused_features",
     f"""WITH {POS_SQL}, {_TAGGED.format(w=16, s=16)},

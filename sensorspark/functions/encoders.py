@@ -44,16 +44,19 @@ def encode(
     *,
     encoder_id: str | None = None,
     embedding: str = "embedding",
+    error: str = "encode_error",
 ) -> DataFrame:
-    """Add one vector per row; a failing or empty window gets NULL instead of ending the job.
+    """Add one vector per row; a failing or empty window gets NULL and an error instead of ending the job.
 
-    Windows of one Arrow batch that have the same length are encoded together.
+    Windows of one Arrow batch that have the same length are encoded together.  If that fails
+    they are encoded one by one, so a bad window takes no other with it, whatever batch it is in.
     ``encoder_id`` and ``encoded_length`` are recorded so vectors made under different
     conventions are never compared.
     """
 
-    def run(column: pd.Series) -> pd.Series:
+    def run(column: pd.Series) -> pd.DataFrame:
         out: list = [None] * len(column)
+        errors: list = ["no samples"] * len(column)
         by_length: dict[int, list[int]] = {}
         for i, v in enumerate(column):
             if v is not None and len(v):
@@ -61,21 +64,30 @@ def encode(
         for rows in by_length.values():
             try:
                 vectors = encoder(np.stack([np.asarray(column.iloc[i], dtype=float) for i in rows]))
-            except Exception:
+                for i, v in zip(rows, vectors):
+                    out[i], errors[i] = v.astype(np.float32), None
                 continue
-            for i, v in zip(rows, vectors):
-                out[i] = v.astype(np.float32)
-        return pd.Series(out)
-
-    udf: Callable[[str], Column] = F.pandas_udf(run, "array<float>")
+            except Exception:
+                pass
+            for i in rows:
+                try:
+                    (v,) = encoder(np.asarray(column.iloc[i], dtype=float)[None, :])
+                    out[i], errors[i] = v.astype(np.float32), None
+                except Exception as e:
+                    errors[i] = f"{type(e).__name__}: {e}"
+        return pd.DataFrame({"vector": out, "error": errors})
+
+    udf: Callable[[str], Column] = F.pandas_udf(run, "vector array<float>, error string")
     name = encoder_id or getattr(encoder, "__name__", "encoder")
-    return df.withColumns(
+    made = df.withColumn("__encoded", udf(samples))
+    return made.withColumns(
         {
-            embedding: udf(samples),
+            embedding: F.col("__encoded")["vector"],
+            error: F.col("__encoded")["error"],
             "encoder_id": F.lit(name),
             "encoded_length": F.size(samples).cast("long"),
         }
-    )
+    ).drop("__encoded")
 
 
 def assert_same_convention(queries: DataFrame, library: DataFrame) -> None:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorspark.functions.encoders import Encoder, encode, spectral
+from sensorspark.functions.encoders import Encoder, assert_same_convention, encode, spectral
 from sensorspark.functions.vectors import doubles, l2_normalize
 from sensorspark.operators import evaluate, features, neighbors, windows
 from sensorspark.session import cut
@@ -21,7 +21,7 @@ Scaler = Mapping[str, tuple[float, float]]
 def joint_features(
     tagged: DataFrame, by: Sequence[str], order: str, sensors: Sequence[str], scaler: Scaler, encoder: Encoder = spectral
 ) -> DataFrame:
-    """One unit-length joint vector per window; windows that could not be encoded are dropped.
+    """One unit-length joint vector per window; a window that could not be encoded keeps a NULL vector.
 
     ``tagged`` has one row per window and sample.  Every channel is scaled and encoded on
     its own and the vectors are concatenated in the order of ``sensors``.
@@ -30,10 +30,10 @@ def joint_features(
     arrays = windows.collect_windows(scaled, by, order, sensors)
     out = arrays.select(*by, *[F.col("values")[s].alias(f"__s_{s}") for s in sensors])
     for s in sensors:
-        out = encode(out, f"__s_{s}", encoder, embedding=f"__v_{s}")
+        out = encode(out, f"__s_{s}", encoder, embedding=f"__v_{s}", error=f"__x_{s}")
     joint = F.concat(*[doubles(f"__v_{s}") for s in sensors])
-    kept = out.withColumn("features", l2_normalize(joint, 1e-9)).filter(F.col("features").isNotNull())
-    return kept.select(*by, "encoder_id", "encoded_length", "features")
+    vectors = out.withColumn("features", l2_normalize(joint, 1e-9))
+    return vectors.select(*by, "encoder_id", "encoded_length", "features")
 
 
 def library(
@@ -44,6 +44,7 @@ def library(
     by = [*dict.fromkeys([*series, label])]
     tagged = windows.sliding(shots, tick, window_size, stride, by)
     joint = joint_features(tagged, [*by, "window_id"], "in_window", sensors, scaler, encoder)
+    joint = joint.filter(F.col("features").isNotNull())
     ident = F.concat_ws("/", *[F.col(c).cast("string") for c in (*by, "window_id")])
     # A few shots per class, read by every evaluation step: written once.
     return cut(joint.select(ident.alias("lib_id"), F.col(label).alias("label"), "features", "encoder_id", "encoded_length"))
@@ -65,9 +66,13 @@ def test_windows(
 def predict(
     test: DataFrame, lib: DataFrame, series: Sequence[str] = (), *, k: int = NEIGHBORS
 ) -> DataFrame:
-    """Majority label of the nearest library windows, per test window."""
+    """Majority label of the nearest library windows, per test window that has a vector.
+
+    Test and library must share encoder and window length.
+    """
+    assert_same_convention(test, lib)
     ident = F.concat_ws("/", *[F.col(c).cast("string") for c in (*series, "window_start")])
-    keyed = test.withColumn("test_id", ident)
+    keyed = test.filter(F.col("features").isNotNull()).withColumn("test_id", ident)
     near = neighbors.knn(keyed, lib, k, query_id="test_id", library_id="lib_id", carry=["label"])
     voted = neighbors.vote(near, "test_id").select("test_id", "predicted")
     return keyed.select("test_id", *series, "window_start").join(voted, "test_id")
@@ -81,18 +86,24 @@ def evaluate_window_size(
     """One row of metrics for one window length.
 
     ``shots`` carries ``label``; ``labels`` is ``(series, tick, label)`` and a window's truth
-    is the label of its first row.  The scaler is fitted on the shot pool only.
+    is the label of its first row.  The scaler is fitted on the shot pool only.  Windows
+    that could not be encoded are counted as ``n_unencoded``.
     """
     fitted = scaler or features.fit_channels(shots, sensors)
     lib = library(shots, tick, "label", sensors, fitted, window_size=window_size, stride=stride, encoder=encoder, series=series)
-    test = test_windows(
-        inference, tick, sensors, fitted, window_size=window_size, max_windows=max_windows, encoder=encoder, series=series
+    # Read by the convention check, the search and the count: encoded once.
+    test = cut(
+        test_windows(
+            inference, tick, sensors, fitted, window_size=window_size, max_windows=max_windows, encoder=encoder, series=series
+        )
     )
     truth = labels.select(*series, F.col(tick).alias("window_start"), F.col("label").alias("truth"))
     judged = predict(test, lib, series, k=k).join(truth, [*series, "window_start"])
     n_lib = lib.agg(F.count(F.lit(1)).alias("n_library"))
+    lost = test.agg(F.count_if(F.col("features").isNull()).alias("n_unencoded"))
     out = evaluate.binary(judged, "truth", "predicted", positive)
-    return out.join(F.broadcast(n_lib)).select(F.lit(window_size).cast("long").alias("window_size"), "n_library", *out.columns)
+    named = F.lit(window_size).cast("long").alias("window_size")
+    return out.join(F.broadcast(n_lib)).join(F.broadcast(lost)).select(named, "n_library", "n_unencoded", *out.columns)
 
 
 def sweep(window_sizes: Sequence[int], shots: DataFrame, sensors: Sequence[str], **kwargs) -> DataFrame:
