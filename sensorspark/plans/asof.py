@@ -20,7 +20,8 @@ def as_of(
     """Each left row with the last right row at or before it, as ``<prefix><column>``.
 
     ``ties`` are right columns that order equal instants.  Rows without an earlier match
-    keep NULLs.  Nothing is joined, so a hot key is cut like any other series.
+    keep NULLs, and so do left rows without a time.  Nothing is joined, so a hot key is cut
+    like any other series.
     """
     a = left.select(
         *keys, micros(left, left_ts).alias(AXIS), F.lit(1).alias(SIDE),
@@ -35,4 +36,7 @@ def as_of(
     # Equal instants: right rows first, in tie order.
     lay = plan_layout(both, keys, AXIS, [SIDE, *[f"__t{i}" for i in range(len(ties))]])
     seen = scan(both, lay, upto={"__last": F.col("__hit")}).filter(F.col(SIDE) == 1)
-    return seen.select("__row.*", *[F.col("__last")["v"][f"{prefix}{c}"].alias(f"{prefix}{c}") for c in carry])
+    found = seen.select("__row.*", *[F.col("__last")["v"][f"{prefix}{c}"].alias(f"{prefix}{c}") for c in carry])
+    kinds = {f.name: f.dataType for f in right.schema}
+    timeless = left.filter(micros(left, left_ts).isNull())
+    return found.unionByName(timeless.select(*left.columns, *[F.lit(None).cast(kinds[c]).alias(f"{prefix}{c}") for c in carry]))

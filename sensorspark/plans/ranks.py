@@ -40,8 +40,12 @@ def exact_quantile(
 
 
 def _at_ranks(rows: DataFrame, bounds: DataFrame, keys: Sequence[str], q: float, name: str) -> DataFrame:
-    # NULL-safe keys are not needed: groupBy produced both sides from the same rows.
-    tagged = rows.join(bounds, list(keys), "inner") if keys else rows.join(F.broadcast(bounds))
+    if keys:
+        # A struct never is NULL, so the group of a NULL key meets its bounds as well.
+        side = bounds.select(F.struct(*keys).alias("__k"), *[c for c in bounds.columns if c not in keys])
+        tagged = rows.withColumn("__k", F.struct(*keys)).join(side, "__k").drop("__k")
+    else:
+        tagged = rows.join(F.broadcast(bounds))
     counted = tagged.groupBy(
         *keys,
         "n",

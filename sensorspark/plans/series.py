@@ -35,7 +35,7 @@ FINER_BY = 64
 TARGET_ROWS = 1_000_000
 MAX_BROADCAST_CELLS = 200_000
 
-CHUNK, SUB = "__chunk", "__sub"
+CHUNK, SUB, KEY = "__chunk", "__sub", "__key"
 
 
 def _cell(axis: str, width: int) -> Column:
@@ -69,27 +69,35 @@ class Layout:
 
     @property
     def partition(self) -> list[str]:
-        return [*self.keys, *self.chunk_columns]
+        # The keys as one struct: it never is NULL, so a NULL key joins like any other.
+        return [*([KEY] if self.keys else []), *self.chunk_columns]
+
+    def keyed(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(KEY, F.struct(*self.keys)) if self.keys and KEY not in df.columns else df
 
     @property
     def order(self) -> list[str]:
         return [self.axis, *self.ties]
 
+    @property
+    def _by_cell(self) -> list[str]:
+        return [*([KEY] if self.keys else []), CHUNK]
+
     def attach(self, df: DataFrame) -> DataFrame:
         """Add the chunk columns unless an earlier scan already did.
 
-        Rows without an axis value have no place in the order and are left out.  Series
-        keys must not be NULL.
+        Rows without an axis value have no place in the order and are left out.  A NULL
+        series key is a key like any other.
         """
         if CHUNK in df.columns:
             return df
-        out = df.filter(F.col(self.axis).isNotNull()).withColumn(CHUNK, _cell(self.axis, self.first_width))
+        out = self.keyed(df.filter(F.col(self.axis).isNotNull())).withColumn(CHUNK, _cell(self.axis, self.first_width))
         if self.splits_ties:
             out = out.withColumn(SUB, F.lit(0).cast("long"))
         width = self.first_width
         for width, cells, n in self.levels:
             side = F.broadcast(cells) if n <= MAX_BROADCAST_CELLS else cells
-            out = out.join(side, [*self.keys, CHUNK], "left")
+            out = out.join(side, self._by_cell, "left")
             if width == 1:
                 out = out.withColumn(
                     SUB,
@@ -105,7 +113,7 @@ class Layout:
         return out
 
     def detach(self, df: DataFrame) -> DataFrame:
-        return df.drop(CHUNK, SUB)
+        return df.drop(CHUNK, SUB, KEY)
 
 
 def plan_layout(
@@ -127,6 +135,9 @@ def plan_layout(
     spark = df.sparkSession
     rest = df.select(*keys, axis, *ties).filter(F.col(axis).isNotNull())
     rest = rest.withColumn(CHUNK, _cell(axis, first_width))
+    by = [CHUNK]
+    if keys:
+        rest, by = rest.withColumn(KEY, F.struct(*keys)), [KEY, CHUNK]
     counts = None
     levels: list[tuple[int, DataFrame, int]] = []
     width, splits_ties = first_width, False
@@ -141,7 +152,7 @@ def plan_layout(
                 low.cast("long").alias("__tie_low"),
                 F.greatest(F.lit(1), F.ceil((high - low + 1) / parts)).cast("long").alias("__tie_width"),
             ]
-        cells = rest.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("__n"), *extra)
+        cells = rest.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"), *extra)
         if counts is None:
             counts = cells = cut(cells)
         cells = cells.filter(F.col("__n") > target_rows).drop("__n")
@@ -160,7 +171,7 @@ def plan_layout(
             splits_ties = True
             break
         side = F.broadcast(table) if n <= MAX_BROADCAST_CELLS else table
-        rest = rest.join(side.select(*keys, CHUNK), [*keys, CHUNK], "left_semi")
+        rest = rest.join(side.select(*by), by, "left_semi")
         width = max(1, width // FINER_BY)
         rest = rest.withColumn(CHUNK, _cell(axis, width))
     return Layout(keys, axis, ties, first_width, tuple(levels), splits_ties, None if levels else counts)
@@ -243,7 +254,7 @@ def scan(
         # Positions only need counts, which combine before the shuffle.
         chunks = layout.attach(df).groupBy(*layout.partition).agg(F.count(F.lit(1)).alias("__n"))
 
-    by = f"partition by {_names(layout.keys)}" if layout.keys else ""
+    by = f"partition by {KEY}" if layout.keys else ""
     down = f"{by} order by {_names(layout.chunk_columns)}"
     gone = "rows between unbounded preceding and 1 preceding"
     chunks = chunks.selectExpr("*", f"coalesce(sum(__n) over ({down} {gone}), 0) as __base")
