@@ -18,7 +18,6 @@ class StreamTables:
 
     def __init__(self, t: Tables):
         self.t = t
-        live.pin_streaming(t.spark)
 
     def __getattr__(self, name: str) -> DataFrame:
         # A pattern serves a single file as well as a folder of files.
@@ -72,25 +71,24 @@ def stream_count_windows(t: Tables) -> DataFrame:
 
 @query(
     "stream_sustained_alarm",
-    """WITH p AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS i,
-  value > 30 AS over FROM events),
-s AS (SELECT *, i - coalesce(max(CASE WHEN NOT over THEN i END) OVER (PARTITION BY user_id ORDER BY i), -1) AS k FROM p)
-SELECT user_id, min(event_id) - 2 AS detected_at FROM s WHERE k = 3 GROUP BY 1""",
+    """WITH p AS (SELECT conv_id, turn AS i, length(text) > 150 AS over FROM conversations),
+s AS (SELECT *, i - coalesce(max(CASE WHEN NOT over THEN i END) OVER (PARTITION BY conv_id ORDER BY i), -1) AS k FROM p)
+SELECT conv_id, min(i) FILTER (WHERE k = 3) - 2 AS detected_at FROM s GROUP BY 1 HAVING min(i) FILTER (WHERE k = 3) IS NOT NULL""",
 )
 def stream_sustained_alarm(t: Tables) -> DataFrame:
-    """Event numbers play snapshot numbers."""
-    flags = StreamTables(t).events.select("user_id", "event_id", (F.col("value") > 30).alias("over"))
-    return live.drain(live.sustained_alarm(flags, "user_id", "event_id", "over"), "alarms")
+    """The turns of a conversation play the snapshots of an asset; a long text is over the line."""
+    flags = StreamTables(t).conversations.select("conv_id", "turn", (F.length("text") > 150).alias("over"))
+    return live.drain(live.sustained_alarm(flags, "conv_id", "turn", "over"), "alarms")
 
 
 @query(
     "stream_run_outcomes",
     f"""WITH {LOGS_SQL} SELECT run_id, CASE WHEN bool_or(level = 'ERROR') THEN 'failed'
   WHEN bool_or(level = 'WARN' AND message LIKE '%reasoning block%') THEN 'empty-reasoning-overflow' ELSE 'completed' END AS outcome
-FROM logs GROUP BY 1 HAVING bool_or(event_type IN ('job.completed', 'job.failed'))""",
+FROM logs GROUP BY 1 HAVING arg_max(event_type, (created_at, event_type)) IN ('job.completed', 'job.failed') AND epoch_us(max(created_at)) < {MARK}""",
 )
 def stream_run_outcomes(t: Tables) -> DataFrame:
-    """All rows of a run arrive in one batch here, so every error counts towards its outcome."""
+    """A run ends if its newest row is terminal once the watermark has passed it."""
     rows = logs(StreamTables(t)).withColumn("created_at", F.col("created_at").cast("timestamp"))
     return live.drain(live.run_outcomes(rows, delay="1 day"), "outcomes")
 

@@ -7,6 +7,7 @@ window, the sustained alarm and the run tracker keep a few values per key.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -19,13 +20,18 @@ from sensorspark.session import fresh_path
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def pin_streaming(spark: SparkSession) -> SparkSession:
-    """Keyed state needs the RocksDB store; one state partition per core is enough."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    cores = spark.sparkContext.defaultParallelism
-    if int(spark.conf.get("spark.sql.shuffle.partitions")) > cores:
-        spark.conf.set("spark.sql.shuffle.partitions", str(cores))
-    return spark
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Keyed state needs the RocksDB store while a stream starts; the setting is put back after."""
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
 
 
 def snapshots(
@@ -138,26 +144,33 @@ def count_windows(
 
 
 class _Sustained(StatefulProcessor):
-    """The current streak and whether the alarm has fired."""
+    """The current streak, the next snapshot, those that came too early, and whether the alarm has fired."""
 
-    def __init__(self, sustain: int, key_name: str):
-        self.sustain, self.key_name = sustain, key_name
+    def __init__(self, sustain: int, key_name: str, first: int):
+        self.sustain, self.key_name, self.first = sustain, key_name, first
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("streak", "n long, fired boolean")
+        self.state = handle.getValueState("streak", "n long, next long, fired boolean")
+        self.early = handle.getMapState("early", "snapshot long", "over boolean")
 
     def handleInputRows(self, key, rows, timerValues):
-        n, fired = self.state.get() if self.state.exists() else (0, False)
+        n, due, fired = self.state.get() if self.state.exists() else (0, self.first, False)
         alarms = []
-        pending: list[tuple] = []
         for pdf in rows:
-            pending += list(zip(pdf["snapshot"].tolist(), pdf["over"].tolist()))
-        for snapshot, over in sorted(pending):
-            n = n + 1 if over else 0
-            if n == self.sustain and not fired:
+            for snapshot, over in zip(pdf["snapshot"].tolist(), pdf["over"].tolist()):
+                if snapshot >= due and not fired:
+                    self.early.updateValue((snapshot,), (bool(over),))
+        # Snapshots are judged in their own order, whatever batch brings them.
+        while not fired and self.early.containsKey((due,)):
+            (over,) = self.early.getValue((due,))
+            self.early.removeKey((due,))
+            n, due = (n + 1 if over else 0), due + 1
+            if n == self.sustain:
                 fired = True
-                alarms.append((*key, snapshot - self.sustain + 1))
-        self.state.update((n, fired))
+                alarms.append((*key, due - self.sustain))
+        if fired:
+            self.early.clear()
+        self.state.update((n, due, fired))
         if alarms:
             yield pd.DataFrame(alarms, columns=[self.key_name, "detected_at"])
 
@@ -165,52 +178,63 @@ class _Sustained(StatefulProcessor):
         pass
 
 
-def sustained_alarm(stream: DataFrame, key: str, snapshot: str, over: str, *, sustain: int = 3) -> DataFrame:
+def sustained_alarm(stream: DataFrame, key: str, snapshot: str, over: str, *, sustain: int = 3, first: int = 0) -> DataFrame:
     """Fires once per asset when ``sustain`` consecutive snapshots are over the line.
 
-    Snapshots of one asset must arrive in order across batches.
+    Snapshots are numbered from ``first`` without gaps; one that arrives early waits for those
+    before it, and a repeated one is ignored.
     """
     rows = stream.select(key, F.col(snapshot).cast("long").alias("snapshot"), F.col(over).alias("over"))
     kind = stream.schema[key].dataType.simpleString()
     return rows.groupBy(key).transformWithStateInPandas(
-        _Sustained(sustain, key), f"{key} {kind}, detected_at long", "Append", "None"
+        _Sustained(sustain, key, first), f"{key} {kind}, detected_at long", "Append", "None"
     )
 
 
 class _Outcome(StatefulProcessor):
-    """Whether a run has shown an error or an overflow warning, until a terminal row ends it."""
+    """The newest row of a run and whether it has shown an error or an overflow warning.
+
+    The run is judged by a timer when the watermark has passed its newest row, so it does not
+    matter how its rows are dealt over batches; a judged run leaves no state.
+    """
 
     def __init__(self, key_name: str, timeout_ms: int | None, overflow_phrase: str):
         self.key_name, self.timeout_ms, self.phrase = key_name, timeout_ms, overflow_phrase
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("run", "failed boolean, spent boolean, done boolean")
+        self.state = handle.getValueState("run", "first long, newest long, event string, failed boolean, spent boolean")
 
     def handleInputRows(self, key, rows, timerValues):
-        known = self.state.exists()
-        failed, spent, done = self.state.get() if known else (False, False, False)
-        ends, first = False, None
+        seen = self.state.get() if self.state.exists() else (None, -1, "", False, False)
+        first, newest, event, failed, spent = seen
+        known = first is not None
         for pdf in rows:
             failed = failed or bool((pdf["level"] == "ERROR").any())
             warned = (pdf["level"] == "WARN") & pdf["message"].fillna("").str.contains(self.phrase, regex=False)
             spent = spent or bool(warned.any())
-            ends = ends or bool(pdf["event_type"].isin(TERMINAL_EVENTS).any())
+            newest, event = max([(newest, event), *zip(pdf["us"].tolist(), pdf["event_type"].fillna("").tolist())])
             low = int(pdf["us"].min())
             first = low if first is None else min(first, low)
         if not known and self.timeout_ms is not None:
             self.handle.registerTimer(first // 1000 + self.timeout_ms)
-        if ends and not done:
-            done = True
-            outcome = "failed" if failed else "empty-reasoning-overflow" if spent else "completed"
-            yield pd.DataFrame([(*key, outcome)], columns=[self.key_name, "outcome"])
-        self.state.update((failed, spent, done))
+        self.handle.registerTimer(newest // 1000 + 1)
+        self.state.update((first, newest, event, failed, spent))
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        failed, spent, done = self.state.get()
-        if not done:
-            self.state.update((failed, spent, True))
-            yield pd.DataFrame([(*key, "timeout")], columns=[self.key_name, "outcome"])
+        if not self.state.exists():
+            return
+        first, newest, event, failed, spent = self.state.get()
+        now = timerValues.getCurrentWatermarkInMs()
+        if event in TERMINAL_EVENTS and newest // 1000 < now:
+            outcome = "failed" if failed else "empty-reasoning-overflow" if spent else "completed"
+        elif self.timeout_ms is not None and first // 1000 + self.timeout_ms <= now:
+            outcome = "timeout"
+        else:
+            return
+        self.state.clear()
+        yield pd.DataFrame([(*key, outcome)], columns=[self.key_name, "outcome"])
 
     def close(self) -> None:
         pass
@@ -220,9 +244,12 @@ def run_outcomes(
     logs: DataFrame, run: str = "run_id", *, delay: str = "10 minutes", timeout_s: float | None = None,
     overflow_phrase: str = "reasoning block",
 ) -> DataFrame:
-    """One outcome per run of a log stream, once a terminal event or the timeout arrives.
+    """One outcome per run of a log stream, by the rule of ``runs.outcome_by_event``.
 
-    Repeated deliveries of a log row are dropped first.
+    A run is judged once the watermark has passed its newest row: if that row is terminal it
+    has ended.  Among rows of one instant the event that sorts last is the newest.  A run
+    without a terminal row ends as a timeout, if one is given.  Rows later than the watermark
+    are dropped, repeated deliveries count once.
     """
     marked = logs.withWatermark("created_at", delay).dropDuplicatesWithinWatermark(
         [run, "created_at", "event_type", "message"]
@@ -235,8 +262,8 @@ def run_outcomes(
     )
 
 
-def drain(stream: DataFrame, name: str, *, timeout_s: int = 600) -> DataFrame:
-    """Run a stream over everything available now and read its output back.
+def drain(stream: DataFrame, name: str, *, timeout_s: int | None = None) -> DataFrame:
+    """Run a stream over everything available now and read its output back; no time limit by default.
 
     Output and checkpoint go to a new place under the shared folder, so a restarted
     executor or driver continues from committed state.
@@ -244,8 +271,11 @@ def drain(stream: DataFrame, name: str, *, timeout_s: int = 600) -> DataFrame:
     spark = stream.sparkSession
     path = fresh_path(spark, name)
     out = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{path}/state")
-    running = out.option("path", f"{path}/rows").trigger(availableNow=True).start()
-    if not running.awaitTermination(timeout_s):
-        running.stop()
-        raise TimeoutError(f"stream {name} did not finish in {timeout_s} s")
+    with rocksdb(spark):
+        running = out.option("path", f"{path}/rows").trigger(availableNow=True).start()
+        if timeout_s is None:
+            running.awaitTermination()
+        elif not running.awaitTermination(timeout_s):
+            running.stop()
+            raise TimeoutError(f"stream {name} did not finish in {timeout_s} s")
     return spark.read.schema(stream.schema).parquet(f"{path}/rows")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 
 from sensorspark.streaming import live
@@ -13,11 +12,6 @@ T0 = dt.datetime(2024, 1, 1)
 SCHEMA = "ts timestamp, id long, k string, value double"
 
 
-@pytest.fixture(autouse=True)
-def pinned(spark):
-    live.pin_streaming(spark)
-
-
 def feed(spark, folder, batches, schema=SCHEMA):
     """One file per batch, read one at a time in order."""
     for i, rows in enumerate(batches):
