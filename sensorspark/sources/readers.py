@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,7 @@ FLOW_SCHEMA = (
 )
 
 SOURCE, ORDINAL = "source", "source_row"
+MAX_HEADERS = 1000
 
 
 def source_ordinal() -> Column:
@@ -36,8 +38,38 @@ def source_ordinal() -> Column:
 
 
 def _raw_csv(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:
-    raw = spark.read.options(header="true", **options).csv(path)
-    return raw.withColumns({SOURCE: F.col("_metadata.file_path"), ORDINAL: source_ordinal()})
+    """CSV files as strings with their source and row order; a column is found by its name in each file's own header."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias(SOURCE), source_ordinal().alias(ORDINAL), F.col("_metadata.file_block_start").alias("start"), "value"
+    )
+    # The header is the first line of a file; the lines of its first split are compared by place.
+    headers = lines.filter("start = 0").groupBy(SOURCE).agg(F.min_by("value", ORDINAL).alias("header"))
+    distinct = [r[0] for r in headers.select("header").distinct().limit(MAX_HEADERS + 1).collect()]
+    if len(distinct) > MAX_HEADERS:
+        raise ValueError(f"more than {MAX_HEADERS} different headers under {path}")
+    if len(distinct) <= 1:
+        raw = spark.read.options(header="true", **options).csv(path)
+        return raw.withColumns({SOURCE: F.col("_metadata.file_path"), ORDINAL: source_ordinal()})
+    # Fields are read by position and named by the header of their file.
+    width = max(len(next(csv.reader([h]))) for h in distinct)
+    fields = ", ".join(f"c{i} string" for i in range(width))
+    names: list[str] = []
+    for h in sorted(distinct):
+        names += [c for c in next(csv.reader([h])) if c not in names]
+    parsed = lines.join(headers, SOURCE).filter(F.col("value") != F.col("header"))
+    row, head = (F.array(*[F.from_csv(c, fields)[f"c{i}"] for i in range(width)]) for c in ("value", "header"))
+    parsed = parsed.select(SOURCE, ORDINAL, row.alias("row"), head.alias("head"))
+    at = [F.array_position("head", F.lit(c)).cast("int") for c in names]
+    cells = [F.when(p > 0, F.try_element_at("row", F.nullif(p, F.lit(0)))).alias(c) for c, p in zip(names, at)]
+    return parsed.select(*cells, SOURCE, ORDINAL)
+
+
+def _is_number(text: str) -> bool:
+    try:
+        float(text)
+    except ValueError:
+        return False
+    return True
 
 
 def read_sensors(
@@ -51,17 +83,21 @@ def read_sensors(
     """Sensor CSVs as ``source, source_row, timestamp`` (whole seconds) and one double per channel.
 
     The time axis is the first column with a time name, else the first column.  A channel
-    is a column whose cell in the first data row is a number; ``channels`` caps them.
+    is a column whose first value is a number; ``channels`` caps them.  Files may have their
+    columns in any order, and columns of their own.
     """
     raw = _raw_csv(spark, path)
     names = [c for c in raw.columns if c not in (SOURCE, ORDINAL)]
     known = {c.lower() for c in time_columns}
     time = next((c for c in names if c.strip().lower() in known), names[0])
     numbers = [c for c in names if c.strip().lower() not in known]
-    first = raw.select(*[F.expr(f"try_cast(`{c}` as double)").isNotNull().alias(c) for c in numbers]).first()
+    first = raw.first()
     if first is None:
         raise ValueError(f"no rows in {path}")
-    chosen = [c for c in numbers if first[c]][: channels or None]
+    # A column that the first file lacks is judged by the first row that has it.
+    shown = {c: first[c] for c in numbers if first[c] is not None}
+    shown |= {c: r[0] for c in numbers if c not in shown and (r := raw.select(c).filter(F.col(f"`{c}`").isNotNull()).first())}
+    chosen = [c for c in numbers if c in shown and _is_number(shown[c])][: channels or None]
     axis = [F.col(f"`{time}`").cast("double").cast("long").alias("timestamp")] if keep_time else []
     return raw.select(SOURCE, ORDINAL, *axis, *[F.col(f"`{c}`").cast("double").alias(c.strip()) for c in chosen])
 
