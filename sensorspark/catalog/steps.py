@@ -55,6 +55,21 @@ def interval_best_iou(t: Tables) -> DataFrame:
     return rounded(matches(t), "iou")
 
 
+@query(
+    "manual_score",
+    f"""WITH {SPANS_SQL.replace("WHERE l_returnflag <> 'R'", "WHERE l_returnflag <> 'R' AND l_linenumber % 3 <> 0")}
+SELECT clip, step, s AS "start", e AS "end", round(iou, 6) AS iou, position FROM res""",
+)
+def manual_score(t: Tables) -> DataFrame:
+    """Every third predicted step is a caution and matches nothing."""
+    reference, candidates = intervals(t)
+    says = F.when(F.col("position") % 10 % 3 == 0, " Never touch the blade").otherwise("Turn the blade")
+    predicted = candidates.select(
+        "clip", F.col("position").alias("step"), F.col("start").alias("timestamp_start"), F.col("end").alias("timestamp_end"), says.alias("instruction")
+    )
+    return rounded(steps.score_manual(predicted, reference, ["clip"], bucket=120.0).drop("instruction"), "iou")
+
+
 @query(
     "interval_recall",
     f"""WITH {SPANS_SQL} SELECT clip, threshold, count(*) FILTER (WHERE iou >= threshold) AS hits, count(*) AS n_reference,
@@ -135,7 +150,7 @@ def advisory_steps(t: Tables) -> DataFrame:
 
 VERDICT_SQL = """v AS (SELECT conv_id AS clip, turn // 2 AS step, turn AS position,
   ['PASSED', 'FAILED', 'MISSING'][1 + length(text) % 3] AS status,
-  CASE WHEN turn % 3 = 1 THEN '...' ELSE left(text, 12) END AS reason,
+  CASE WHEN turn % 3 = 1 THEN '...' ELSE text END AS reason,
   CASE WHEN length(text) % 3 < 2 THEN turn * 5.0::DOUBLE END AS timestamp_start,
   CASE WHEN length(text) % 3 < 2 THEN turn * 5.0::DOUBLE + 4 END AS timestamp_end FROM conversations),
 one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY clip, step ORDER BY timestamp_start IS NOT NULL DESC,
@@ -154,7 +169,7 @@ def verdict_rows(t: Tables) -> DataFrame:
         F.floor(F.col("turn") / 2).alias("step"),
         F.col("turn").alias("position"),
         F.when(kind == 0, "PASSED").when(kind == 1, "FAILED").otherwise("MISSING").alias("status"),
-        F.when(F.pmod("turn", F.lit(3)) == 1, "...").otherwise(F.substring("text", 1, 12)).alias("reason"),
+        F.when(F.pmod("turn", F.lit(3)) == 1, "...").otherwise(F.col("text")).alias("reason"),
         F.when(kind < 2, F.col("turn") * 5.0).alias("timestamp_start"),
         F.when(kind < 2, F.col("turn") * 5.0 + 4).alias("timestamp_end"),
     )

@@ -171,6 +171,19 @@ def truth_spans(
     return out.withColumns({"lo": lo, "n_rows": F.col("pos") - lo + 1})
 
 
+def match_spans(predictions: DataFrame, spans: DataFrame, keys: Sequence[str], finish_us: str) -> DataFrame:
+    """Every prediction with the truth span that ends at its finish: ``pos, lo, n_rows, n_fault``.
+
+    Where several truth rows share an instant the last one counts.  A prediction without a
+    span keeps NULLs and is unmatched in ``rare_event_metrics``.  NULL keys match one another.
+    """
+    held = [c for c in ("pos", "lo", "n_rows", "n_fault")]
+    at = F.struct(*keys, F.col("at_us")).alias("__at")
+    last = spans.groupBy(at).agg(F.max_by(F.struct(*held), "pos").alias("__span"))
+    keyed = predictions.withColumn("__at", F.struct(*keys, F.col(finish_us).alias("at_us")))
+    return keyed.join(last, "__at", "left").select(*predictions.columns, *[F.col("__span")[c].alias(c) for c in held])
+
+
 def majority_truth(joined: DataFrame, fault: str, normal: str = "normal") -> Column:
     """Fault when at least half of the window's rows are; ties go to the rare event."""
     return F.when(F.col("n_fault") * 2 >= F.col("n_rows"), F.lit(fault)).otherwise(F.lit(normal))
@@ -272,12 +285,18 @@ def detect_incidents(
 def agreement(
     a: DataFrame, b: DataFrame, on: Sequence[str], *, label: str, score: str, noise_floor: float = 1e-4
 ) -> DataFrame:
-    """Agreement of two runs over the same windows: labels, scores and a noise-floor test."""
+    """Agreement of two runs over the same windows: labels, scores and a noise-floor test.
+
+    Windows of one run only are counted as ``only_a`` and ``only_b``; the figures are over
+    those of both.
+    """
     from sensorspark.plans.ranks import exact_quantile
 
-    both = a.select(*on, F.col(label).alias("la"), F.col(score).alias("sa")).join(
-        b.select(*on, F.col(label).alias("lb"), F.col(score).alias("sb")), list(on)
+    all_ = a.select(*on, F.lit(True).alias("in_a"), F.col(label).alias("la"), F.col(score).alias("sa")).join(
+        b.select(*on, F.lit(True).alias("in_b"), F.col(label).alias("lb"), F.col(score).alias("sb")), list(on), "full"
     )
+    alone = all_.agg(F.count_if(F.col("in_b").isNull()).alias("only_a"), F.count_if(F.col("in_a").isNull()).alias("only_b"))
+    both = all_.filter("in_a and in_b")
     diff = F.abs(F.col("sa") - F.col("sb"))
     rows = both.select(
         (F.col("la").eqNullSafe(F.col("lb"))).cast("double").alias("same"),
@@ -291,7 +310,7 @@ def agreement(
         (F.max("diff") <= noise_floor).alias("within_noise"),
     )
     mid = exact_quantile(rows, [], "relative", 0.5, "median_relative_diff").drop("n")
-    return main.join(F.broadcast(mid), how="left")
+    return main.join(F.broadcast(alone)).join(F.broadcast(mid), how="left")
 
 
 def comparison(rows: DataFrame, by: str = "window_size") -> DataFrame:
