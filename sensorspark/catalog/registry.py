@@ -49,4 +49,5 @@ def load_all() -> None:
         streams,
         holdout,
         files,
+        more,
     )

@@ -93,15 +93,26 @@ def stream_run_outcomes(t: Tables) -> DataFrame:
     return live.drain(live.run_outcomes(rows, delay="1 day"), "outcomes")
 
 
-@query(
-    "stream_knn",
-    f"""WITH {SHOTS_SQL}, d AS (SELECT e.vec_id, l.vec_id AS neighbor_id, l.label, list_distance(e.v, l.v) AS distance FROM emb e, lib l)
+STREAM_KNN_SQL = f"""WITH {SHOTS_SQL}, d AS (SELECT e.vec_id, l.vec_id AS neighbor_id, l.label, list_distance(e.v, l.v) AS distance FROM emb e, lib l)
 SELECT vec_id, neighbor_id, label, rank, round(distance, 6) AS distance FROM (SELECT *,
-  row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbor_id) AS rank FROM d) WHERE rank <= 3""",
-)
+  row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbor_id) AS rank FROM d) WHERE rank <= 3"""
+
+
+@query("stream_knn", STREAM_KNN_SQL)
 def stream_knn(t: Tables) -> DataFrame:
     """Arriving vectors scored against a static library."""
     library, _ = shot_split(t)
     arriving = StreamTables(t).embeddings.select("vec_id", F.col("embedding").alias("features"))
     near = neighbors.knn(arriving, library, 3, query_id="vec_id", library_id="vec_id", carry=["label"])
     return rounded(live.drain(near, "knn"), "distance")
+
+
+@query("stream_knn_blocked", STREAM_KNN_SQL)
+def stream_knn_blocked(t: Tables) -> DataFrame:
+    """The same beyond the broadcast limit, batch by batch."""
+    library, _ = shot_split(t)
+    arriving = StreamTables(t).embeddings.select("vec_id", F.col("embedding").alias("features"))
+    near = live.neighbors_by_batch(
+        arriving, library, 3, "knn-blocked", query_id="vec_id", library_id="vec_id", carry=["label"], broadcast_bytes=1
+    )
+    return rounded(near, "distance").select("vec_id", "neighbor_id", "label", "rank", "distance")

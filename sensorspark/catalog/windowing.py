@@ -156,7 +156,11 @@ def oot_split(t: Tables) -> DataFrame:
     )
 
 
-@query("hash_split")
+@query(
+    "hash_split",
+    """SELECT o_orderkey, CASE WHEN row_number() OVER (ORDER BY md5('42:' || o_orderkey)[1:15], o_orderkey) <= count(*) OVER () - floor(count(*) OVER () * 0.3)
+  THEN 'train' ELSE 'test' END AS split FROM orders""",
+)
 def hash_split(t: Tables) -> DataFrame:
     return split.seeded_random(t.orders.select("o_orderkey"), ["o_orderkey"])
 

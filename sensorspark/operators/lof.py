@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sensorspark.operators.neighbors import BROADCAST_BYTES, knn
 from sensorspark.plans.ranks import exact_quantile
+from sensorspark.session import cut
 
 # Keeps the density of exact duplicates finite.
 TINY = 1e-10
@@ -31,14 +32,17 @@ def fit(
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Reference rows with ``k_distance`` and ``density``; the fitted detector."""
-    near = knn(
-        reference, reference, k, query_id=id, library_id=id, features=features, by=by, skip_same_id=True,
-        broadcast_bytes=broadcast_bytes,
-    ).withColumnRenamed(id, "ref_id")
+    # The neighbours are read twice, the detector by every later scoring: each is computed once.
+    near = cut(
+        knn(
+            reference, reference, k, query_id=id, library_id=id, features=features, by=by, skip_same_id=True,
+            broadcast_bytes=broadcast_bytes,
+        ).withColumnRenamed(id, "ref_id")
+    )
     spread = near.groupBy(*by, "ref_id").agg(F.max("distance").alias("k_distance"))
     dense = _density(near, spread, "ref_id", by)
     base = reference.select(*by, F.col(id).alias("ref_id"), F.col(features).alias("features"))
-    return base.join(spread, [*by, "ref_id"]).join(dense, [*by, "ref_id"])
+    return cut(base.join(spread, [*by, "ref_id"]).join(dense, [*by, "ref_id"]))
 
 
 def score(
@@ -78,6 +82,7 @@ def choose_threshold(scored_reference: DataFrame, target_rate: float, by: Sequen
 
 def distribution(scored: DataFrame, threshold: float, by: Sequence[str] = ()) -> DataFrame:
     """Median, 99th percentile, maximum and crossing share of a set of scores."""
+    scored = cut(scored)
     mid = exact_quantile(scored, by, "anomaly_score", 0.5, "median")
     high = exact_quantile(scored, by, "anomaly_score", 0.99, "p99").drop("n")
     top = scored.groupBy(*by).agg(

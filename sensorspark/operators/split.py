@@ -15,10 +15,10 @@ AXIS = "__us"
 
 def _sizes(n: int, test_size: float) -> int:
     if not 0 < test_size < 1:
-        raise ValueError(f"test_size must be in (0, 1), got {test_size}")
+        raise ValueError(f"a test share lies between 0 and 1, not at {test_size}")
     n_test = int(n * test_size)
     if n_test == 0 or n_test == n:
-        raise ValueError(f"test_size={test_size} of {n} rows leaves an empty train or test set")
+        raise ValueError(f"{test_size} of {n} rows leaves one side without rows")
     return n - n_test
 
 
@@ -51,5 +51,7 @@ def out_of_time(df: DataFrame, timestamp: str, ties: Sequence[str], test_size: f
 
 def seeded_random(df: DataFrame, key: Sequence[str], test_size: float = 0.3, seed: int = 42) -> DataFrame:
     """Same sizes as :func:`out_of_time`, in the order of a seeded hash of a unique key."""
-    rows = df.withColumn("__h", F.xxhash64(F.lit(seed), *key))
+    # Sixty bits of a digest: every engine computes the same order.
+    text = F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in key])
+    rows = df.withColumn("__h", F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long"))
     return _cut(rows, ["__h", *key], test_size).drop("__h")

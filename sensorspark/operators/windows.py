@@ -102,6 +102,26 @@ def window_spans(df: DataFrame, timestamp: str, keys: Sequence[str] = ()) -> Dat
     )
 
 
+def window_bounds(
+    df: DataFrame, timestamp: str, window_size: int, step: int = 1, keys: Sequence[str] = (), ties: Sequence[str] = ()
+) -> DataFrame:
+    """Start and finish instants of the full windows of every series, without a copy of any row.
+
+    A window is known by two rows, its first and its last; the two meet by their number.
+    """
+    _check_sizes(window_size, step)
+    us = micros(df, timestamp)
+    placed = positions(df.select(*keys, timestamp, *ties), timestamp, keys, ties, pos="__pos", size="__n")
+    placed = placed.select(F.struct(*keys).alias("__key") if keys else F.lit(0).alias("__key"), "__pos", "__n", us.alias("us"))
+    full = F.floor((F.col("__n") - window_size) / step)
+    begins = placed.filter((F.col("__pos") % step == 0) & (F.col("__pos") / step <= full))
+    begins = begins.select("__key", F.floor(F.col("__pos") / step).alias("window_id"), F.col("us").alias("start_us"))
+    last = F.col("__pos") - (window_size - 1)
+    ends = placed.filter((last >= 0) & (last % step == 0)).select("__key", F.floor(last / step).alias("window_id"), F.col("us").alias("finish_us"))
+    out = begins.join(ends, ["__key", "window_id"])
+    return out.select(*[F.col("__key")[k].alias(k) for k in keys], "window_id", "start_us", "finish_us")
+
+
 def contiguous(
     df: DataFrame,
     tick: str,

@@ -262,6 +262,24 @@ def run_outcomes(
     )
 
 
+def neighbors_by_batch(stream: DataFrame, library: DataFrame, k: int, name: str, **options) -> DataFrame:
+    """Exact neighbours of a stream's vectors, each micro-batch searched as a batch.
+
+    A library of any size can be searched so, also one that is beyond the broadcast limit.  A
+    batch that is repeated after a failure replaces what it has written.
+    """
+    from sensorspark.operators.neighbors import knn
+
+    path = fresh_path(stream.sparkSession, name)
+
+    def search(batch: DataFrame, number: int) -> None:
+        knn(batch, library, k, **options).write.mode("overwrite").parquet(f"{path}/rows/batch={number}")
+
+    run = stream.writeStream.foreachBatch(search).option("checkpointLocation", f"{path}/state")
+    run.trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.parquet(f"{path}/rows").drop("batch")
+
+
 def drain(stream: DataFrame, name: str, *, timeout_s: int | None = None) -> DataFrame:
     """Run a stream over everything available now and read its output back; no time limit by default.
 
