@@ -114,7 +114,7 @@ def fit(rows: DataFrame, per_language: int = 4000, smoothing: float = 0.2) -> Mo
                     seen = np.flatnonzero(s)
                     yield pa.record_batch(
                         {
-                            "lang": pa.array([lang] * (len(cell) + len(seen))),
+                            "lang": pa.array([lang] * (len(cell) + len(seen)), pa.string()),
                             "cell": pa.array(np.r_[cell, -seen].astype(np.int32)),
                             "n": pa.array(np.r_[n[cell], s[seen]].astype(np.int64)),
                         }
@@ -201,7 +201,7 @@ def label(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), pe
             best = np.where(sums > 0, mass.argmax(axis=1), k)
             share = mass[np.arange(len(whole)), best] / np.maximum(sums, 1)
             out = {c: whole.column(c) for c in keep}
-            out |= {"lang_pred": pa.array([names[i] for i in best.tolist()]), "score": pa.array(np.where(sums > 0, share, 0.0))}
+            out |= {"lang_pred": pa.array([names[i] for i in best.tolist()], pa.string()), "score": pa.array(np.where(sums > 0, share, 0.0))}
             if spans:
                 fresh = np.ones(len(found), bool)
                 fresh[1:] = (found[1:] != found[:-1]) | (text[1:] != text[:-1])

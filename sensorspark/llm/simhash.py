@@ -155,10 +155,13 @@ def near_duplicates(docs: DataFrame, most: int = MOST, n_words: int = 3) -> Data
 #
 # Texts whose shingles agree to four fifths differ in up to a ninth of the bits of a
 # fingerprint, far more than three of 64.  The set of their words agrees better: on a wide
-# fingerprint over distinct words, 32 bits a segment, some segment differs by at most one bit
-# in all but a few of a thousand such pairs, and the same one-wildcard keys find them.
+# fingerprint over distinct words some segment differs by at most one bit in all but a few of a
+# thousand such pairs, and the same one-wildcard keys find them.
 
-WIDTH = 8
+# Segments of a wide fingerprint, and the bits of each that are indexed; more bits suit more texts.
+WIDTH, SEGMENT = 10, 28
+# Texts that share a key by chance differ in half of these 64 bits, similar ones in a tenth at most.
+FAR = 16
 CANDIDATE = "bucket int, key array<int>, id array<long>, sig array<long>"
 
 
@@ -183,9 +186,9 @@ def _keys(parts: Iterator[pa.RecordBatch], spread: int) -> Iterator[pa.RecordBat
         ids, fp = part.column("id").to_numpy(), part.column("wide").flatten().to_numpy().view(np.uint32).reshape(-1, WIDTH)
         sig = np.ascontiguousarray(fp[:, :2]).view(np.int64)[:, 0]
         for j in range(WIDTH):
-            for bit in range(32):
-                key = fp[:, j] & ~np.uint32(1 << bit)
-                bucket = (mix64(key.astype(np.uint64)) % np.uint64(spread)).astype(np.int64) + (j * 32 + bit) * spread
+            for bit in range(SEGMENT):
+                key = fp[:, j] & np.uint32((1 << SEGMENT) - 1) & ~np.uint32(1 << bit)
+                bucket = (mix64(key.astype(np.uint64)) % np.uint64(spread)).astype(np.int64) + (j * SEGMENT + bit) * spread
                 yield packed(bucket, {"key": key.view(np.int32), "id": ids, "sig": sig})
 
 
@@ -201,8 +204,9 @@ def _candidates(table: pa.Table) -> pa.Table:
         some = begin[size == n]
         for x in range(n):
             for y in range(x + 1, n):
-                a.append(ids[some + x])
-                b.append(ids[some + y])
+                near = some[np.bitwise_count(sig[some + x] ^ sig[some + y]) <= FAR]
+                a.append(ids[near + x])
+                b.append(ids[near + y])
     for s, n in zip(begin[size > 8].tolist(), size[size > 8].tolist()):
         own = sig[s : s + n]
         bits = np.zeros(64, np.int64)
@@ -210,7 +214,7 @@ def _candidates(table: pa.Table) -> pa.Table:
             bits += np.unpackbits(own[at : at + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
         majority = np.uint64(int.from_bytes(np.packbits(bits * 2 > n).tobytes(), "big"))
         center = ids[s + int(np.bitwise_count(own ^ majority).argmin())]
-        others = ids[s : s + n]
+        others = ids[s : s + n][np.bitwise_count(own ^ own[ids[s : s + n] == center][0]) <= FAR]
         others = others[others != center]
         a.append(np.minimum(others, center))
         b.append(np.maximum(others, center))
