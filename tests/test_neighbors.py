@@ -112,3 +112,21 @@ def test_outlier_factor(spark, size):
 def test_threshold_is_strict(spark):
     df = spark.createDataFrame([(1.762,), (1.763,)], "anomaly_score double")
     assert [r["predicted_label"] for r in lof.label(df, 1.762).collect()] == ["normal", "anomaly"]
+
+
+def test_a_bad_window_takes_no_other_with_it(spark):
+    import numpy as np
+
+    from sensorspark.functions import encoders
+
+    def picky(x):
+        if (x < 0).any():
+            raise ValueError("negative")
+        return encoders.moments(x)
+
+    rows = [(i, [float(i), 2.0, 3.0] if i != 3 else [-1.0, 0.0, 0.0]) for i in range(8)] + [(8, []), (9, None)]
+    df = spark.createDataFrame(rows, "id int, samples array<double>").coalesce(1)
+    out = {r.id: r for r in encoders.encode(df, "samples", picky).collect()}
+    assert [i for i, r in sorted(out.items()) if r.embedding is None] == [3, 8, 9]
+    assert out[3].encode_error == "ValueError: negative" and out[8].encode_error == "no samples" and out[0].encode_error is None
+    assert np.allclose(out[1].embedding[0], 2.0)

@@ -122,3 +122,13 @@ def test_explode_range(spark):
     df = spark.createDataFrame([(1, 0, 25), (2, 5, 4), (3, -7, -7)], "k long, a long, b long")
     got = explode_range(df, "x", F.col("a"), F.col("b"), batch=10)
     assert sorted((r["k"], r["x"]) for r in got.collect()) == [(1, i) for i in range(26)] + [(3, -7)]
+
+
+def test_a_null_key_is_a_key(spark):
+    rows = [(k, t) for k in ("a", None) for t in (3, 1, 2)]
+    df = spark.createDataFrame(rows, "k string, t long")
+    lay = plan_layout(df, ["k"], "t")
+    out = lay.detach(scan(df, lay, pos="pos", size="n", lag={"prev": F.col("t")}))
+    assert sorted((r.k or "", r.t, r.pos, r.n, r.prev) for r in out.collect()) == [
+        (k, t, t - 1, 3, t - 1 if t > 1 else None) for k in ("", "a") for t in (1, 2, 3)
+    ]

@@ -157,3 +157,11 @@ def test_media_rules(spark):
     df = spark.createDataFrame(rows, "n_images int, max_frames int, multi_image boolean, has_frame_metadata boolean, attachment string")
     got = [r["problem"] is None for r in models.check_media(df).collect()]
     assert got == [False, True, False, True, False, False, True]
+
+
+def test_every_file_is_read_by_its_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("time,temp,vib\n1,10,0.5\n2,11,0.6\n")
+    (tmp_path / "b.csv").write_text('vib,time,"note, long",temp\n0.7,3,"x, y",12\n')
+    out = readers.read_sensors(spark, str(tmp_path))
+    assert out.columns[2:] == ["timestamp", "temp", "vib"] or set(out.columns[3:]) == {"temp", "vib"}
+    assert sorted((r.timestamp, r.temp, r.vib) for r in out.collect()) == [(1, 10.0, 0.5), (2, 11.0, 0.6), (3, 12.0, 0.7)]

@@ -65,3 +65,29 @@ def test_outcomes_duplicates_and_timeout(spark, tmp_path):
     out = live.run_outcomes(feed(spark, tmp_path, batches, schema), delay="5 minutes", timeout_s=3600.0)
     got = sorted((r["run_id"], r["outcome"]) for r in live.drain(out, "t").collect())
     assert got == [("bad", "failed"), ("full", "empty-reasoning-overflow"), ("good", "completed"), ("hung", "timeout")]
+
+
+def test_settings_stay_and_the_newest_row_decides(spark, tmp_path):
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", live.PROVIDER)}
+    schema = "created_at timestamp, run_id string, level string, event_type string, message string"
+
+    def row(i, run, level, event):
+        return (T0 + dt.timedelta(minutes=i), run, level, event, "m")
+
+    batches = [
+        [row(0, "late-error", "INFO", "job.completed"), row(0, "resumed", "INFO", "job.completed"), row(1, "good", "INFO", "job.completed")],
+        [row(2, "late-error", "ERROR", "job.failed"), row(3, "resumed", "INFO", "job.started")],
+        [row(60, "other", "INFO", "x")],
+        [row(120, "other", "INFO", "y")],
+    ]
+    out = live.run_outcomes(feed(spark, tmp_path, batches, schema), delay="5 minutes")
+    got = sorted((r["run_id"], r["outcome"]) for r in live.drain(out, "t").collect())
+    assert got == [("good", "completed"), ("late-error", "failed")]
+    assert before == {k: spark.conf.get(k, None) for k in before}
+
+
+def test_early_snapshots_wait(spark, tmp_path):
+    batches = [[(T0, i, "a", 1.0)] for i in (2, 0, 3, 1, 1)]
+    flags = feed(spark, tmp_path, batches).select("k", "id", (F.col("value") > 0).alias("over"))
+    got = live.drain(live.sustained_alarm(flags, "k", "id", "over", sustain=4), "t").collect()
+    assert [(r["k"], r["detected_at"]) for r in got] == [("a", 0)]
