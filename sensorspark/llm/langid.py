@@ -37,6 +37,8 @@ SCRIPTS = [
 ]
 NAMES = sorted({name for _, name in SCRIPTS})
 CELLS = 1 << 17
+# Bytes of text that go through Viterbi together in one task.
+PIECE = 8 << 20
 UNKNOWN = "und"
 
 
@@ -175,9 +177,9 @@ def label(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), pe
         model = shared.value
         names = [*model.languages, UNKNOWN]
         k = len(model.languages)
-        for whole in parts:
+        for whole in (piece for batch in parts for piece in batches(batch, "text", PIECE)):
             scores, words, letters, begins, total = [], [np.zeros(1, np.int64)], [], [], 0
-            for part in batches(whole, "text", 1 << 20):
+            for part in batches(whole, "text", PIECE >> 4):
                 cells, begin, script, size, at, word = _features(pc.fill_null(part.column("text"), "").to_pylist())
                 if len(begin):
                     s = np.add.reduceat(model.score[cells], begin, axis=0)
