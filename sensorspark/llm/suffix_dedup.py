@@ -30,9 +30,11 @@ from sensorspark.session import fresh_path
 
 GRAM = 20
 # A chunk of a map task is reduced to one entry per context before it is dealt out.
-CHUNK = 48 << 20
+CHUNK = 24 << 20
 # Suffixes with so many contexts in one chunk, or noted places in all, are split by context.
-HOT_IN_CHUNK, HOT = 256, 20_000
+HOT_IN_CHUNK, HOT = 256, 4096
+# Contexts compared at a time, and bytes of text hashed at a time, in one task.
+PART, SLICE = 4096, 1 << 19
 
 ENTRY = "bucket int, level int, a array<long>, f array<long>, key array<long>, copy array<int>, pos array<int>, span array<int>"
 FOUND = "kind string, " + ENTRY
@@ -142,7 +144,7 @@ def _suffixes(parts: Iterator[pa.RecordBatch], length: int, buckets: int) -> Ite
 
     held, total = [], 0
     for whole in parts:
-        for part in batches(whole, "text", 2 << 20):
+        for part in batches(whole, "text", SLICE):
             raw, offsets = utf8(part.column("text"))
             at, a, f, left, right = _anchors(raw, offsets, length)
             text = np.searchsorted(offsets, at, side="right") - 1
@@ -292,7 +294,7 @@ def _compare(table: pa.Table, length: int) -> pa.Table:
     out, start = [], 0
     while start < len(edges) - 1:
         stop = start + 1
-        while stop < len(edges) - 1 and edges[stop + 1] - edges[start] <= 8192:
+        while stop < len(edges) - 1 and edges[stop + 1] - edges[start] <= PART:
             stop += 1
         part = table.slice(edges[start], edges[stop] - edges[start])
         start = stop
@@ -309,8 +311,8 @@ def _compare(table: pa.Table, length: int) -> pa.Table:
 def _strings(parts: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """The strings over hot anchors, dealt by string; repeats inside a chunk are passed on as such."""
     for part in parts:
-        for at in range(0, len(part), 8192):
-            piece = pa.Table.from_batches([part.slice(at, 8192)])
+        for at in range(0, len(part), PART):
+            piece = pa.Table.from_batches([part.slice(at, PART)])
             h, row, begin = _windows(piece, length)
             key, copy = piece.column("key").to_numpy()[row], piece.column("copy").to_numpy()[row]
             pos = (piece.column("pos").to_numpy() - piece.column("left").to_numpy())[row] + begin
