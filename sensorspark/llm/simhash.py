@@ -10,6 +10,7 @@ indexed, and a key hands out a spanning forest of its links, never all pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -160,6 +161,7 @@ def near_duplicates(docs: DataFrame, most: int = MOST, n_words: int = 3) -> Data
 
 # Segments of a wide fingerprint, and the bits of each that are indexed; more bits suit more texts.
 WIDTH, SEGMENT = 10, 28
+AT_ONCE = 2
 # Texts that share a key by chance differ in half of these 64 bits, similar ones in a tenth at most.
 FAR = 16
 CANDIDATE = "bucket int, key array<int>, id array<long>, sig array<long>"
@@ -180,12 +182,12 @@ def wide_fingerprints(h: np.ndarray, word: np.ndarray) -> np.ndarray:
     return out
 
 
-def _keys(parts: Iterator[pa.RecordBatch], spread: int) -> Iterator[pa.RecordBatch]:
-    """One-wildcard keys of the segments, dealt by segment, wildcard and ``spread`` parts of the value."""
+def _keys(parts: Iterator[pa.RecordBatch], segments: range, spread: int) -> Iterator[pa.RecordBatch]:
+    """One-wildcard keys of some segments, dealt by segment, wildcard and ``spread`` parts of the value."""
     for part in parts:
         ids, fp = part.column("id").to_numpy(), part.column("wide").flatten().to_numpy().view(np.uint32).reshape(-1, WIDTH)
         sig = np.ascontiguousarray(fp[:, :2]).view(np.int64)[:, 0]
-        for j in range(WIDTH):
+        for j in segments:
             for bit in range(SEGMENT):
                 key = fp[:, j] & np.uint32((1 << SEGMENT) - 1) & ~np.uint32(1 << bit)
                 bucket = (mix64(key.astype(np.uint64)) % np.uint64(spread)).astype(np.int64) + (j * SEGMENT + bit) * spread
@@ -222,11 +224,12 @@ def _candidates(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
 
-def similar_links(texts: DataFrame, similarity: float = 0.8, n_words: int = 5) -> DataFrame:
-    """``(a, b)``: ids of distinct ``(id, text)`` whose sets of word shingles agree to ``similarity``.
+def similar_links(rows: DataFrame, nodes: DataFrame, similarity: float = 0.8, n_words: int = 5) -> DataFrame:
+    """``(a, b)``: ids of nodes ``(id, key, copy)`` whose texts' sets of word shingles agree to ``similarity``.
 
-    Candidates share a one-wildcard key of their wide fingerprints; each is verified on the
-    shingles of both whole texts.
+    Candidates share a one-wildcard key of their wide fingerprints, the segments being taken
+    ``AT_ONCE`` at a time to keep little on disk; each is verified on the shingles of both
+    whole texts, which ``rows`` holds by ``(key, copy)``.
     """
 
     def prints(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,16 +251,25 @@ def similar_links(texts: DataFrame, similarity: float = 0.8, n_words: int = 5) -
                 bounds = pa.array(np.r_[0, np.cumsum([len(s) for s in sets])].astype(np.int32))
                 yield pa.record_batch({"id": part.column("id"), "grams": pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(sets)))})
 
-    spark = texts.sparkSession
-    wide = cut(texts.mapInArrow(prints, "id long, wide array<int>"))
+    def texts(of: DataFrame) -> DataFrame:
+        return rows.select("key", "copy", "text").join(of, ["key", "copy"]).select("id", "text")
+
+    spark = rows.sparkSession
+    wide = cut(texts(nodes).mapInArrow(prints, "id long, wide array<int>"))
+    release(spark)
     # A bucket holds one segment, one wildcard and about a million texts.
     spread = 1 + wide.count() // 1_000_000
-    keys = wide.mapInArrow(lambda parts: _keys(parts, spread), CANDIDATE)
-    pairs = cut(keys.groupBy("bucket").applyInArrow(_candidates, "a long, b long").distinct())
-    del keys, wide
-    release(spark)
+    found = []
+    for j in range(0, WIDTH, AT_ONCE):
+        segments = range(j, min(j + AT_ONCE, WIDTH))
+        keys = wide.mapInArrow(lambda parts, s=segments: _keys(parts, s, spread), CANDIDATE)
+        found.append(cut(keys.groupBy("bucket").applyInArrow(_candidates, "a long, b long").distinct()))
+        del keys
+        release(spark)
+    pairs = cut(reduce(DataFrame.unionByName, found).distinct())
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    grams = cut(texts.join(wanted, "id", "left_semi").mapInArrow(shingles, "id long, grams array<int>"))
+    grams = cut(texts(nodes.join(wanted, "id", "left_semi")).mapInArrow(shingles, "id long, grams array<int>"))
+    del wide, found, wanted
     release(spark)
     left = grams.select(F.col("id").alias("a"), F.col("grams").alias("x"))
     right = grams.select(F.col("id").alias("b"), F.col("grams").alias("y"))
@@ -277,8 +289,9 @@ def keep_one(docs: DataFrame, similarity: float = 0.8, n_words: int = 5) -> Data
     # Equal texts share a node; only the first of them is compared with others.
     nodes = cut(rows.select("key", "copy", F.xxhash64("text").alias("id")))
     first = nodes.groupBy("id").agg(F.min(F.struct("key", "copy")).alias("at")).select("id", "at.*")
-    texts = rows.select("key", "copy", "text").join(first, ["key", "copy"]).select("id", "text")
-    found = components(similar_links(texts, similarity, n_words))
+    found = components(similar_links(rows, first, similarity, n_words))
     rooted = first.join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "copy", F.coalesce("root", "id").alias("root"))
-    kept = rooted.groupBy("root").agg(F.min(F.struct("key", "copy")).alias("first")).select("first.*")
+    kept = cut(rooted.groupBy("root").agg(F.min(F.struct("key", "copy")).alias("first")).select("first.*"))
+    del nodes, first, found, rooted
+    release(docs.sparkSession)
     return rows.join(kept, ["key", "copy"], "left_semi").select("row.*")
