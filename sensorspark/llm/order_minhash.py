@@ -16,24 +16,26 @@ from sensorspark.session import cut
 
 SLOTS = 32
 K = 5
-_SPACE = r"\x20\x09-\x0D"
 
 
-def kmers(text: Column, k: int = K) -> Column:
-    """Hashes of all runs of ``k`` words; a shorter text with words is one run."""
-    run = rf"(?<![^{_SPACE}])(?=([^{_SPACE}]+(?:[{_SPACE}]+[^{_SPACE}]+){{{k - 1}}}(?![^{_SPACE}])))"
-    found = F.regexp_extract_all(text, F.lit(run), F.lit(1))
-    whole = F.regexp_extract_all(text, F.lit(rf"(?s)^[{_SPACE}]*([^{_SPACE}].*)"), F.lit(1))
-    return F.transform(F.when(F.size(found) > 0, found).otherwise(whole), lambda x: F.xxhash64(x))
+def kmers(texts: DataFrame, k: int = K) -> DataFrame:
+    """``texts`` with ``hashes``: of all runs of ``k`` words of ``text``; a shorter text with words is one run.
+
+    Each step is a column of its own, so that it is computed once however often it is read.
+    """
+    run = rf"(?<!\S)(?=(\S++(?:\s++\S++){{{k - 1}}}))"
+    found = texts.withColumn("found", F.regexp_extract_all("text", F.lit(run), F.lit(1)))
+    whole = F.regexp_extract_all("text", F.lit(r"(?s)^\s*(\S.*)"), F.lit(1))
+    runs = F.when(F.size("found") > 0, F.col("found")).otherwise(whole)
+    return found.withColumn("hashes", F.transform(runs, lambda x: F.xxhash64(x))).drop("found")
 
 
 def occurrences(hashes: Column) -> Column:
-    """``array<struct<at, h>>``: places and hashes; a k-mer that repeats is hashed with its occurrence.
+    """The hashes in text order, those of a k-mer that repeats hashed with its occurrence.
 
     Sorted by hash and place, equal k-mers are runs; each run numbers its own members, so the
     work is linear after the sort.  Texts without a repeat skip it.
     """
-    placed = F.transform(hashes, lambda h, i: F.struct(i.alias("at"), h.alias("h")))
     ordered = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("at"))))
 
     def number(s: Column) -> Column:
@@ -51,8 +53,9 @@ def occurrences(hashes: Column) -> Column:
         return F.flatten(runs)
 
     # One element, so that the sorted array is computed once and bound to a name.
-    numbered_ = F.flatten(F.transform(F.array(ordered), number))
-    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), placed).otherwise(numbered_)
+    in_runs = F.flatten(F.transform(F.array(ordered), number))
+    in_order = F.transform(F.sort_array(in_runs), lambda x: x["h"])
+    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), hashes).otherwise(in_order)
 
 
 def sketches(texts: DataFrame, by: list[str], k: int = K, slots: int = SLOTS) -> DataFrame:
@@ -61,8 +64,7 @@ def sketches(texts: DataFrame, by: list[str], k: int = K, slots: int = SLOTS) ->
     ``texts`` has the columns ``by`` and ``text``; rows of one ``by`` are in one task.
     """
     bins = 2 * slots
-    element = F.inline_outer(occurrences(kmers(F.col("text"), k)))
-    rows = texts.select(*by, element)
+    rows = kmers(texts, k).select(*by, F.posexplode_outer(occurrences(F.col("hashes"))).alias("at", "h"))
     # Rank in the high bits, place in the text in the low ones: the smallest is the selected k-mer.
     packed = F.shiftleft(F.shiftrightunsigned("h", 30), 29).bitwiseOR(F.col("at").cast("long"))
     rows = rows.select(*by, F.pmod("h", F.lit(bins)).alias("bin"), packed.alias("packed"))
