@@ -362,6 +362,9 @@ def repeats(texts: DataFrame, path: str, length: int = 100, batches_: int = 3) -
     )
     buckets = index.buckets
     contexts.write.partitionBy("hot").parquet(f"{path}/contexts")
+    # From here on only the written contexts are read.
+    del places, hot, marked, contexts
+    release(spark)
     kind = "a long, key long, copy int, pos int, left int, context binary, hot boolean"
     contexts = spark.read.schema(kind).parquet(f"{path}/contexts")
     plain = contexts.filter("not hot").withColumn("bucket", F.pmod(F.hash("a"), F.lit(buckets)))
@@ -372,8 +375,10 @@ def repeats(texts: DataFrame, path: str, length: int = 100, batches_: int = 3) -
     every = whole.unionByName(by_suffix).unionByName(by_string)
     rows = every.select(F.explode(F.arrays_zip("key", "copy", "begin", "end")).alias("e")).select("e.*")
     rows.groupBy("key", "copy").agg(F.collect_list(F.struct("begin", "end")).alias("at")).write.parquet(f"{path}/repeats")
-    del places, hot, marked, contexts, every, rows
+    del plain, by_suffix, strings, by_string, whole, every, rows, contexts
     release(spark)
+    for used in (f"{path}/contexts", *index.batches):
+        _delete(spark, used)
     return spark.read.parquet(f"{path}/repeats")
 
 
