@@ -1,7 +1,7 @@
 """License detection by ordered signature rules, with built-in functions only.
 
-A text becomes lower-case words with single spaces between.  A document that names no
-license at all is done after one look; in the others a rule runs only where its keyword
+A text becomes lower-case words with single spaces between.  A document that holds no
+keyword of any rule is done after one look; in the others a rule runs only where its keyword
 occurs.  Every detection is an interval of words.  One that lies inside another is
 suppressed, and of two that overlap the one of the better priority stays.
 """
@@ -9,6 +9,7 @@ suppressed, and of two that overlap the one of the better priority stays.
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -93,8 +94,6 @@ GENERAL = [
     ("proprietary", "licen", "all rights reserved (?:\\S+ ){0,8}licen[cs]e"),
     ("unknown", "licen", "(?:licensed|released|distributed|available) under (?:a|the terms of a|the terms of the) \\S+ licen[cs]e"),
 ]
-GATE = "(?i)licen[cs]|spdx|public domain"
-
 _LICENSE = "(?: licen[cs]e| licen[cs]es)?"
 _UNDER = "(?:(?:dual )?licensed|licen[cs]e|released|distributed|published|available|provided|redistribute(?:d|s)?) (?:\\S+ ){0,4}?under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?"
 
@@ -132,6 +131,16 @@ def rules() -> list[dict]:
     return out
 
 
+def gate(rule_table: list[dict]) -> str:
+    """A pattern for raw texts that finds what holds a keyword of a rule, or a base phrase, once normalised."""
+    break_ = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+    words = {k.strip() for r in rule_table for k in r["keywords"]} | set(BASE)
+    return f"(?i)(?:^|{break_})(?:{'|'.join(re.escape(w).replace(chr(92) + ' ', break_ + '+') for w in sorted(words))})"
+
+
+GATE = gate(rules())
+
+
 def _spaces(c: Column) -> Column:
     return F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))
 
@@ -145,13 +154,14 @@ def scan(docs: DataFrame, rule_table: list[dict] | None = None) -> DataFrame:
     and ``score`` is the best of their confidences, at least 0.5 where a base phrase stands.
     """
     rows = numbered(docs)
-    listed = [{"rule": i, **r} for i, r in enumerate(rules() if rule_table is None else rule_table)]
+    rule_table = rules() if rule_table is None else rule_table
+    listed = [{"rule": i, **r} for i, r in enumerate(rule_table)]
     kind = "array<struct<rule:int,priority:int,score:double,label:string,keywords:array<string>,pattern:string>>"
     known = F.from_json(F.lit(json.dumps(listed)), kind)
     keywords = F.array(*[F.lit(k) for k in sorted({k for r in listed for k in r["keywords"]})])
     lower = "abcdefghijklmnopqrstuvwxyz"
     spaced = F.trim(F.regexp_replace("text", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", " "))
-    norm = F.when(F.col("text").rlike(GATE), F.concat(F.lit(" "), F.translate(spaced, lower.upper(), lower), F.lit(" ")))
+    norm = F.when(F.col("text").rlike(gate(rule_table)), F.concat(F.lit(" "), F.translate(spaced, lower.upper(), lower), F.lit(" ")))
     rows = rows.select(
         "key",
         "copy",

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 from edge import SCHEMA, empty, frame, prose, rows
@@ -78,6 +79,43 @@ def test_against_brute_force(spark):
     assert by_id[6].labels == ""
 
 
+def brute_score(text):
+    """Labels and best score of every rule on the whole normalised text, without gate, keywords or suppression."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in text))
+    norm = " " + " ".join(words) + " "
+    hits = [(r["label"], r["score"]) for r in L.rules() if re.search(r["pattern"], norm)]
+    return {h[0] for h in hits}, max((h[1] for h in hits), default=0.0)
+
+
+def test_notices_without_the_word_license(spark):
+    want = {
+        "Released under the GPL v2 or later.": "gpl-2.0",
+        "distributed under the terms of the Apache 2.0": "apache-2.0",
+        "Published under CC BY-SA 4.0": "cc-by-sa-4.0",
+        "GPL-3.0-only": "gpl-3.0",
+        "x\nCC-BY\n\t4.0": "cc-by-4.0",
+        "released into the public\ndomain": "public-domain",
+        "it is free and unencumbered, see the Unlicense": "unlicense",
+        "permit, submit and gplv2x are words": "",
+        "": "",
+    }
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(want)], "doc_id long, text string")
+    got = {x.doc_id: x for x in L.scan(df).collect()}
+    for i, (text, labels) in enumerate(want.items()):
+        found, best = brute_score(text)
+        assert got[i].labels == labels and set(filter(None, labels.split(","))) <= found
+        assert got[i].score == best and (best > 0) == bool(labels)
+
+
+def test_the_gate_passes_all_that_a_rule_finds():
+    r = random.Random(6)
+    pieces = ["released", "under", "the", "GPL", "v2", "or later", "MIT", "Apache", "2.0", "CC", "BY", "public", "domain", "placed", "in", "BSD", "3", "clause", "license", "spdx"]
+    for _ in range(2000):
+        text = "".join(r.choice(pieces) + r.choice([" ", "-", "\n", ". ", " \t"]) for _ in range(r.randint(1, 12)))
+        if brute_score(text)[0]:
+            assert re.search(L.GATE, text)
+
+
 def test_edge_rows(spark):
     assert L.scan(frame(spark)).count() == len(rows())
     assert L.scan(empty(spark)).count() == 0
