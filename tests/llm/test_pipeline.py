@@ -7,7 +7,7 @@ import pytest
 from edge import empty, frame
 
 import corpus_pipeline
-from sensorspark.llm import simhash
+from sensorspark.llm import mixing, simhash
 from sensorspark.session import fresh_path
 
 SMALL = "/root/testdata/sf0.001"
@@ -44,6 +44,13 @@ def test_near_duplicates_against_all_pairs(spark):
     assert want <= got and len(got - want) <= 0.02 * (len(rows) - len(want))
 
 
+def test_the_mix_drops_what_it_does_not_take(spark):
+    docs = spark.createDataFrame([(i, f"word {i}", "abc"[i % 3]) for i in range(60)] + [(60, "", "a")], "doc_id long, text string, source string")
+    want = {r.doc_id: r.taken for r in mixing.mix(docs, 1.5, 2).collect()}
+    got = {r.doc_id: r.taken for r in corpus_pipeline.source_mix(spark, docs, SMALL).collect()}
+    assert 0 in want.values() and got == {d: n for d, n in want.items() if n > 0}
+
+
 @needs_data
 def test_stages_one_by_one(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
