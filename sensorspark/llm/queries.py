@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sensorspark.catalog.registry import Tables, query
-from sensorspark.llm import chaining, chat, decontaminate, langid, license_scan, mixing, order_minhash, simhash, suffix_dedup
+from sensorspark.llm import chaining, chat, decontaminate, filter_audit, langid, license_scan, mixing, order_minhash, simhash, suffix_dedup
 from sensorspark.llm.token_cache import TokenCache
 from sensorspark.session import fresh_path
 
@@ -111,3 +111,53 @@ from p"""
 @query("op10_source_mix", MIX_SQL)
 def source_mix(t: Tables):
     return mixing.mix(t.documents).select("doc_id", "size", "source_size", "target", "taken")
+
+
+AUDIT_SQL = r"""
+with w as (
+  select doc_id, coalesce(text, '') as text, coalesce(lang, '') as part,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
+  from documents),
+f as (
+  select doc_id, part, [
+      len(words) < 100,
+      100 * len(list_distinct(words)) < 80 * len(words),
+      100 * len(regexp_extract_all(text, '[A-Z]')) > 10 * length(text),
+      regexp_matches(text, '[#$%&*|]'),
+      coalesce(doc_id > min(doc_id) over (partition by text), false)] as fails
+  from w),
+l as (select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic
+      from labels group by doc_id),
+c as (
+  select part, fails, count(*) as n, sum(coalesce(good, 0)) as good, sum(coalesce(toxic, 0)) as toxic
+  from f left join l using (doc_id) group by part, fails),
+i as (select unnest([1, 2, 3, 4, 5]) as i),
+o as (
+  select [a.i, b.i, d.i, e.i, g.i] as ord
+  from i a join i b on b.i <> a.i join i d on d.i not in (a.i, b.i) join i e on e.i not in (a.i, b.i, d.i)
+  join i g on g.i not in (a.i, b.i, d.i, e.i)),
+-- The step at which an order removes documents of a mask, 6 for none.
+x as (
+  select o.ord, c.*,
+    case when fails[ord[1]] then 1 when fails[ord[2]] then 2 when fails[ord[3]] then 3
+         when fails[ord[4]] then 4 when fails[ord[5]] then 5 else 6 end as gone
+  from o cross join c),
+s as (
+  select part, ord, i as step, ord[i] as f,
+    sum(case when gone > i then n else 0 end) as kept,
+    sum(case when gone = i then n else 0 end) as removed,
+    sum(case when gone < i and fails[ord[i]] then n else 0 end) as redundant,
+    sum(case when fails[ord[i]] and len(list_filter(fails, lambda b: b)) = 1 then n else 0 end) as unique_fails,
+    sum(case when gone = i then good else 0 end) as good_lost,
+    sum(case when gone = i then toxic else 0 end) as toxic_lost
+  from x cross join i group by part, ord, i)
+select part, array_to_string(list_transform(ord, lambda j: substr('ABCDE', j, 1)), '') as filter_order, step::int as step,
+  kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant, unique_fails::bigint as unique_fails,
+  good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost,
+  (sum(removed) over (partition by part, f))::bigint as shapley
+from s"""
+
+
+@query("op11_filter_audit", AUDIT_SQL)
+def filter_steps(t: Tables):
+    return filter_audit.audit(t.documents, t.labels)
