@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sensorspark.catalog.registry import Tables, query
-from sensorspark.llm import chaining, chat, decontaminate, filter_audit, langid, license_scan, mixing, order_minhash, simhash, suffix_dedup
+from sensorspark.llm import chaining, chat, decontaminate, filter_audit, langid, license_scan, merkle, mixing, order_minhash, simhash, suffix_dedup
 from sensorspark.llm.token_cache import TokenCache
 from sensorspark.session import fresh_path
 
@@ -161,3 +161,76 @@ from s"""
 @query("op11_filter_audit", AUDIT_SQL)
 def filter_steps(t: Tables):
     return filter_audit.audit(t.documents, t.labels)
+
+
+MERKLE_SQL = r"""
+with recursive
+crc as (
+  select list(list_reduce(list_prepend(i::ubigint, range(8)::ubigint[]),
+    lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as t
+  from range(256) r(i)),
+d as (
+  select *,
+    case when doc_id is not null and (xor(list_reduce(
+      list_prepend(4294967295::ubigint, list_transform(string_split(doc_id::varchar, ''), lambda x: ascii(x)::ubigint)),
+      lambda c, b: xor(c >> 8, t[((xor(c, b) & 255) + 1)::bigint])), 4294967295) & 1) = 0
+      then replace(text, chr(10), '') else text end as tampered
+  from documents, crc),
+e as (
+  select doc_id, source,
+    coalesce(octet_length(encode(doc_id::varchar)) || ':' || doc_id, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-')
+    || coalesce(octet_length(encode(lang)) || ':' || lang, '-') || coalesce(octet_length(encode(n_chars::varchar)) || ':' || n_chars, '-') as head,
+    coalesce(octet_length(encode(text)) || ':' || text, '-') as body, coalesce(octet_length(encode(tampered)) || ':' || tampered, '-') as other
+  from d),
+leaves as (
+  select doc_id, source, sha256(head || body) as leaf, sha256(head || other) as changed,
+    row_number() over (partition by source order by doc_id nulls first, sha256(head || body), sha256(head || other)) - 1 as pos
+  from e),
+tree as (
+  select 0 as level, source, pos, leaf as node, count(*) over (partition by source) as n from leaves
+  union all
+  select level + 1, source, pos // 3, sha256(string_agg(node, '' order by pos)), (n + 2) // 3 from tree
+  where n > 1 group by level, source, pos // 3, n),
+subs as (select source, level, node, row_number() over (order by source nulls first) - 1 as pos from tree where n = 1),
+crown as (
+  select 0 as level, pos, node, count(*) over () as n from subs
+  union all
+  select level + 1, pos // 3, sha256(string_agg(node, '' order by pos)), (n + 2) // 3 from crown
+  where n > 1 group by level, pos // 3, n),
+runs as (
+  select 0 as part, level, source, pos, n,
+    coalesce(string_agg(node, '') over (partition by source, level, pos // 3 order by pos rows between unbounded preceding and 1 preceding), '') as before,
+    coalesce(string_agg(node, '') over (partition by source, level, pos // 3 order by pos rows between 1 following and unbounded following), '') as after
+  from tree where n > 1
+  union all
+  select 1, level, null, pos, n,
+    coalesce(string_agg(node, '') over (partition by level, pos // 3 order by pos rows between unbounded preceding and 1 preceding), ''),
+    coalesce(string_agg(node, '') over (partition by level, pos // 3 order by pos rows between 1 following and unbounded following), '')
+  from crown where n > 1),
+-- Every leaf walks up its source and then over the sources.
+walk as (
+  select l.source, l.pos as leaf_pos, 0 as part, 0 as level, l.pos, changed as node, '' as proof from leaves l
+  union all
+  select w.source, w.leaf_pos,
+    case when r.level is null then 1 else w.part end, case when r.level is null then 0 else w.level + 1 end,
+    case when r.level is null then s.pos else w.pos // 3 end,
+    case when r.level is null then w.node else sha256(r.before || w.node || r.after) end,
+    w.proof || coalesce(r.before || r.after, '')
+  from walk w join subs s on s.source is not distinct from w.source
+  left join runs r on r.part = w.part and r.level = w.level and r.pos = w.pos and (r.part = 1 or r.source is not distinct from w.source)
+  where w.part = 0 or r.level is not null),
+ends as (select source, leaf_pos, node, proof from walk
+         where part = 1 and level = (select max(level) from crown))
+select l.doc_id, l.leaf, s.node as subroot, c.node as root, sha256(w.proof) as proof_sha256, w.node as folded_root,
+  w.node = c.node as verified
+from leaves l join ends w on w.source is not distinct from l.source and w.leaf_pos = l.pos
+join subs s on s.source is not distinct from l.source
+join crown c on c.n = 1"""
+
+
+@query("op12_merkle_manifest", MERKLE_SQL)
+def row_proofs(t: Tables):
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = merkle.manifest(t.documents, tampered, with_proofs=False)
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
