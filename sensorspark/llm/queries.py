@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sensorspark.catalog.registry import Tables, query
-from sensorspark.llm import chaining, chat, decontaminate, filter_audit, langid, license_scan, merkle, mixing, order_minhash, simhash, suffix_dedup
+from sensorspark.llm import chaining, chat, decontaminate, filter_audit, langid, license_scan, merkle, mixing, order_minhash, simhash, suffix_dedup, warc
 from sensorspark.llm.token_cache import TokenCache
 from sensorspark.session import fresh_path
 
@@ -234,3 +234,21 @@ def row_proofs(t: Tables):
     tampered = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
     found = merkle.manifest(t.documents, tampered, with_proofs=False)
     return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+WARC_SQL = """
+with p as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages),
+m as (select *, max(page_id) over (partition by payload_digest) as keeper from p)
+select page_id, payload_bytes::bigint as payload_bytes, payload_digest,
+  case when payload_bytes >= 1000 and page_id <> keeper then 'revisit' else 'response' end as record_type,
+  case when payload_bytes >= 1000 and page_id <> keeper then keeper end as refers_to
+from m"""
+
+
+@query("op13_warc", WARC_SQL)
+def archived_pages(t: Tables):
+    path = fresh_path(t.spark, "warc")
+    warc.write(t.pages, path)
+    found = warc.capture_index(t.spark, path)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
