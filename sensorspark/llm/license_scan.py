@@ -1,15 +1,17 @@
 """License detection by ordered signature rules, with built-in functions only.
 
-A text becomes lower-case words with single spaces between.  A document that holds no
-keyword of any rule is done after one look; in the others a rule runs only where its keyword
-occurs.  Every detection is an interval of words.  One that lies inside another is
+A text becomes lower-case words with single spaces between.  Every rule names words that all
+its matches hold: one of its keywords, and one more (the word ``under``, a form of ``license``
+or the number of the version).  A document whose words name neither is done after one look at
+the set of its words; in the others a rule runs only where both of its evidences occur.
+Every detection is an interval of words.  One that lies inside another is
 suppressed, and of two that overlap the one of the better priority stays.
 """
 
 from __future__ import annotations
 
 import json
-import re
+import string
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,10 +91,10 @@ FAMILIES = [
 ]
 # Phrases that speak of terms without naming a family.
 GENERAL = [
-    ("unlicense", "unlicense|free and unencumbered", "(?:this is free and unencumbered software released into the public domain|the unlicense|unlicense)"),
-    ("public-domain", "domain", "(?:released|dedicated|placed) (?:into|to|in) the public domain"),
-    ("proprietary", "licen", "all rights reserved (?:\\S+ ){0,8}licen[cs]e"),
-    ("unknown", "licen", "(?:licensed|released|distributed|available) under (?:a|the terms of a|the terms of the) \\S+ licen[cs]e"),
+    ("unlicense", "unlicense|free and unencumbered", "", "(?:this is free and unencumbered software released into the public domain|the unlicense|unlicense)"),
+    ("public-domain", "public domain", "", "(?:released|dedicated|placed) (?:into|to|in) the public domain"),
+    ("proprietary", "all rights reserved", "license|licence", "all rights reserved (?:\\S+ ){0,8}licen[cs]e"),
+    ("unknown", "license|licence", "under", "(?:licensed|released|distributed|available) under (?:a|the terms of a|the terms of the) \\S+ licen[cs]e"),
 ]
 _LICENSE = "(?: licen[cs]e| licen[cs]es)?"
 _UNDER = "(?:(?:dual )?licensed|licen[cs]e|released|distributed|published|available|provided|redistribute(?:d|s)?) (?:\\S+ ){0,4}?under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?"
@@ -106,9 +108,21 @@ def rules() -> list[dict]:
     """
     out = []
 
-    def add(priority: int, score: float, label: str, keywords: str, pattern: str) -> None:
-        words = [" " + k for k in keywords.split("|")]
-        out.append({"priority": priority, "score": score, "label": label, "keywords": words, "pattern": f"(?<= )(?:{pattern})(?= )"})
+    def add(priority: int, score: float, label: str, keywords: str, needs: str, pattern: str) -> None:
+        phrases = keywords.split("|")
+        # One word of each keyword, the longest, tells whether the keyword can be there.
+        heads = sorted({max(k.split(), key=len) for k in phrases})
+        out.append(
+            {
+                "priority": priority,
+                "score": score,
+                "label": label,
+                "keywords": [f" {k} " for k in phrases],
+                "heads": heads,
+                "needs": needs.split("|") if needs else heads,
+                "pattern": f"(?<= )(?:{pattern})(?= )",
+            }
+        )
 
     for name, short, versions in FAMILIES:
         ident = short.replace("-", " ")
@@ -119,28 +133,19 @@ def rules() -> list[dict]:
             number = v.removesuffix(" 0") + "(?: 0)?" if v.endswith(" 0") else v
             version = f"(?:(?: version| v| ver)? {number}| v{number})"
             later = "(?: or (?:\\S+ ){0,4}?later(?: version)?| only)?"
-            add(1, 1.0, label, "spdx", f"spdx licen[cs]e identifier {ident} {v}(?: only| or later)?")
-            add(2, 0.95, label, name, f"{_UNDER}{any_of}{_LICENSE}{version}{later}")
-            add(4, 0.8, label, name, f"{any_of}{_LICENSE}{version}{later}")
-        add(3, 0.85, short, name, f"{_UNDER}{any_of}{_LICENSE}")
-        add(5, 0.6, short, name, f"(?:{name}) licen[cs]e")
+            major = v.split()[0]
+            add(1, 1.0, label, "spdx", major, f"spdx licen[cs]e identifier {ident} {v}(?: only| or later)?")
+            add(2, 0.95, label, name, f"{major}|v{major}", f"{_UNDER}{any_of}{_LICENSE}{version}{later}")
+            add(4, 0.8, label, name, f"{major}|v{major}", f"{any_of}{_LICENSE}{version}{later}")
+        add(3, 0.85, short, name, "under", f"{_UNDER}{any_of}{_LICENSE}")
+        add(5, 0.6, short, name, "license|licence", f"(?:{name}) licen[cs]e")
         if not versions:
-            add(1, 1.0, short, "spdx", f"spdx licen[cs]e identifier {ident}")
-    for label, keywords, pattern in GENERAL:
-        add(6, 0.3, label, keywords, pattern)
+            add(1, 1.0, short, "spdx", "license|licence", f"spdx licen[cs]e identifier {ident}")
+    for label, keywords, needs, pattern in GENERAL:
+        add(6, 0.3, label, keywords, needs, pattern)
     return out
 
 
-def gate(rule_table: list[dict]) -> str:
-    """A pattern for raw texts that finds what holds a keyword of a rule, or a base phrase, once normalised."""
-    break_ = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
-    words = {k.strip() for r in rule_table for k in r["keywords"]} | set(BASE)
-    return f"(?i)(?:^|{break_})(?:{'|'.join(re.escape(w).replace(chr(92) + ' ', break_ + '+') for w in sorted(words))})"
-
-
-GATE = gate(rules())
-
-
 def _spaces(c: Column) -> Column:
     return F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))
 
@@ -156,24 +161,36 @@ def scan(docs: DataFrame, rule_table: list[dict] | None = None) -> DataFrame:
     rows = numbered(docs)
     rule_table = rules() if rule_table is None else rule_table
     listed = [{"rule": i, **r} for i, r in enumerate(rule_table)]
-    kind = "array<struct<rule:int,priority:int,score:double,label:string,keywords:array<string>,pattern:string>>"
+    kind = (
+        "array<struct<rule:int,priority:int,score:double,label:string,keywords:array<string>,"
+        "heads:array<string>,needs:array<string>,pattern:string>>"
+    )
     known = F.from_json(F.lit(json.dumps(listed)), kind)
-    keywords = F.array(*[F.lit(k) for k in sorted({k for r in listed for k in r["keywords"]})])
-    lower = "abcdefghijklmnopqrstuvwxyz"
-    spaced = F.trim(F.regexp_replace("text", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", " "))
-    norm = F.when(F.col("text").rlike(gate(rule_table)), F.concat(F.lit(" "), F.translate(spaced, lower.upper(), lower), F.lit(" ")))
+    heads = {h for r in listed for h in r["heads"]} | {p.split()[-1] for p in BASE}
+    needs = {n for r in listed for n in r["needs"]}
+    upper = string.ascii_uppercase
+    breaks = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
+    words = F.split(F.translate("text", breaks + upper, " " * len(breaks) + upper.lower()), " ", -1)
+    rows = rows.select("key", "copy", "doc_id", F.array_remove(words, "").alias("words"))
+    rows = rows.select(
+        "*",
+        F.size("words").cast("long").alias("n_words"),
+        F.array_intersect("words", F.array(*[F.lit(w) for w in sorted(heads | needs)])).alias("hits"),
+    )
+    passed = F.arrays_overlap("hits", F.array(*[F.lit(w) for w in sorted(heads)]))
+    rows = rows.withColumn("norm", F.when(passed, F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))))
+    # Each text that holds a base phrase is split once for it.
     rows = rows.select(
         "key",
         "copy",
         "doc_id",
-        F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).cast("long").alias("n_words"),
-        norm.alias("norm"),
-    )
-    # Each text is split once for each base phrase, and its keywords are looked up once.
-    rows = rows.select(
-        "*",
-        *[F.split("norm", F.lit(f"(?<= ){p}(?= )"), -1).alias(f"base{i}") for i, p in enumerate(BASE)],
-        F.filter(keywords, lambda k: F.contains(F.col("norm"), k)).alias("present"),
+        "n_words",
+        "hits",
+        "norm",
+        *[
+            F.when(F.contains("norm", F.lit(f" {p} ")), F.split("norm", F.lit(f"(?<= ){p}(?= )"), -1)).alias(f"base{i}")
+            for i, p in enumerate(BASE)
+        ],
     )
     base = [F.col(f"base{i}") for i in range(len(BASE))]
     firsts = [F.when(F.size(b) > 1, _spaces(b[0]) - 1) for b in base]
@@ -192,7 +209,11 @@ def scan(docs: DataFrame, rule_table: list[dict] | None = None) -> DataFrame:
         gaps = F.transform(F.split(norm, d["r"]["pattern"], -1), lambda p: (_spaces(p) - 1).cast("int"))
         return F.struct(*[d["r"][c].alias(c) for c in ("rule", "priority", "score", "label")], gaps.alias("gaps"), d["lengths"].alias("lengths"))
 
-    gated = F.filter(known, lambda r: F.arrays_overlap(r["keywords"], F.col("present")))
+    def evident(r: Column) -> Column:
+        words = F.arrays_overlap(r["heads"], F.col("hits")) & F.arrays_overlap(r["needs"], F.col("hits"))
+        return words & F.exists(r["keywords"], lambda k: F.contains(norm, k))
+
+    gated = F.filter(known, evident)
     found = F.transform(F.filter(F.transform(gated, detect), lambda d: F.size(d["lengths"]) > 0), locate)
     here = F.col("norm").isNotNull()
     found_base = [F.when(F.size(b) > 1, F.lit(name)) for b, name in zip(base, BASE.values())]
@@ -201,7 +222,7 @@ def scan(docs: DataFrame, rule_table: list[dict] | None = None) -> DataFrame:
         "copy",
         "doc_id",
         "n_words",
-        F.when(here, sum(F.size(b) - 1 for b in base)).otherwise(0).cast("long").alias("n_base"),
+        sum(F.coalesce(F.size(b) - 1, F.lit(0)) for b in base).cast("long").alias("n_base"),
         F.when(here, F.least(*firsts)).cast("long").alias("first_word"),
         F.when(here, F.greatest(*lasts)).cast("long").alias("last_word"),
         F.when(here, F.array_compact(F.array(*found_base))).otherwise(F.array().cast("array<string>")).alias("base"),
