@@ -41,7 +41,7 @@ def leaf(text: str = "text") -> Column:
 
 
 def positions(rows: DataFrame, group: str, order: list[str], range_rows: int = RANGE_ROWS) -> DataFrame:
-    """``rows`` with ``pos``, the number of rows of the same group before it in ``order``.
+    """``rows`` with ``pos``, the number of rows of the same group before it in ``order``, and ``size``, that of all.
 
     The order must be total.  Rows are dealt to ranges of ``(group, order)``, which are written;
     the counts of the ranges before one are its offset, so no group is ranked in one task.
@@ -51,7 +51,12 @@ def positions(rows: DataFrame, group: str, order: list[str], range_rows: int = R
     dealt = cut(rows.repartitionByRange(n, group, *order).withColumn("range", F.spark_partition_id()))
     before = Window.partitionBy(group).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     counts = dealt.groupBy(group, "range").agg(F.count("*").alias("rows"))
-    offsets = counts.select(group, "range", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
+    offsets = counts.select(
+        group,
+        "range",
+        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"),
+        F.sum("rows").over(Window.partitionBy(group)).alias("size"),
+    )
     inside = Window.partitionBy(group, "range").orderBy(*order)
     ranked = dealt.withColumn("place", F.row_number().over(inside) - 1)
     return ranked.join(offsets, [group, "range"]).withColumn("pos", F.col("offset") + F.col("place")).drop("range", "place", "offset")
@@ -91,14 +96,14 @@ PROVEN = "group string, pos long, root string, places array<int>, others array<s
 
 
 def superblocks(nodes: DataFrame, levels: int) -> DataFrame:
-    """``nodes`` (``group``, ``pos``, ``node`` and more) with ``block`` and ``height``, the levels to reduce the block by.
+    """``nodes`` (``group``, ``pos``, ``size`` of the group, ``node`` and more) with ``block`` and ``height``,
+    the levels to reduce the block by.
 
     Blocks of a group with several are reduced by ``levels``; a group that fits one block by
     what it takes to become one node.
     """
-    sizes = nodes.groupBy("group").agg(F.count("*").alias("size"))
     need = sum(F.when(F.col("size") > FAN**k, 1).otherwise(0) for k in range(levels))
-    return nodes.join(sizes.select("group", need.alias("height")), "group").withColumn("block", F.expr(f"pos div {FAN**levels}"))
+    return nodes.withColumn("height", need).withColumn("block", F.expr(f"pos div {FAN**levels}"))
 
 
 def outer_paths(blocks: DataFrame, levels: int) -> DataFrame:
@@ -110,13 +115,14 @@ def outer_paths(blocks: DataFrame, levels: int) -> DataFrame:
     def top(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("pos")
         node = reduce_block(rows["node"].tolist(), int(rows["height"].iloc[0]))[-1][0]
-        return pd.DataFrame({"group": rows["group"].iloc[:1], "pos": rows["block"].iloc[:1], "node": [node]})
-
-    small = blocks.select("group", "pos", "node", "block", "height")
-    tops = cut(small.groupBy("group", "block").applyInPandas(top, "group string, pos long, node string"))
-    several = tops.filter("pos > 0").select("group").distinct()
-    above = tops.join(several, "group", "left_semi")
-    done = tops.join(several, "group", "left_anti").select(
+        one = rows.iloc[:1]
+        size = -(-one["size"] // FAN**levels)
+        return pd.DataFrame({"group": one["group"], "pos": one["block"], "size": size, "node": [node]})
+
+    small = blocks.select("group", "pos", "size", "node", "block", "height")
+    tops = cut(small.groupBy("group", "block").applyInPandas(top, "group string, pos long, size long, node string"))
+    above = tops.filter("size > 1")
+    done = tops.filter("size = 1").select(
         "group",
         F.col("pos").alias("block"),
         F.col("node").alias("root"),

@@ -122,3 +122,4 @@ def test_positions_of_a_hot_group(spark):
     for g, v, tie in sorted(rows_):
         want[tie] = sum(1 for k in want if rows_[k][0] == g)
     assert {x.tie: x.pos for x in got.collect()} == want
+    assert {x.size for x in got.collect() if x.group == "hot"} == {sum(g == "hot" for g, *_ in rows_)}
