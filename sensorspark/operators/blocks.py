@@ -50,7 +50,7 @@ def build(
     # Pass 1: nearest present values around each row.
     timed = {c: F.expr(f"if(`{c}` is null, null, {AXIS})") for c in cols} if method == "time" else {}
     seen = scan(
-        rows,
+        lay.place(rows),
         lay,
         pos="__pos",
         size="__n",
@@ -119,7 +119,7 @@ def segment_on_time(
     """Number segments split where time jumps by more than ``max_gap_s`` or repeats."""
     rows = df.withColumn(AXIS, micros(df, timestamp))
     lay = plan_layout(rows, keys, AXIS, ties)
-    seen = scan(rows, lay, lag={"__pt": F.col(AXIS)})
+    seen = scan(lay.place(rows), lay, lag={"__pt": F.col(AXIS)})
     step = F.col(AXIS) - F.col("__pt")
     fresh = F.coalesce((step > int(max_gap_s * MICROS)) | (step <= 0), F.lit(True))
     out = scan(seen.withColumn("__new", fresh), lay, total={"segment_id": F.col("__new").cast("long")})
@@ -175,7 +175,7 @@ def incident_slices(
     rows = df.withColumns({AXIS: micros(df, timestamp), "__f": F.coalesce(fault, F.lit(False))})
     lay = plan_layout(rows, keys, AXIS, ties)
     mark = F.when(F.col("__f"), F.lit(True))
-    seen = scan(rows, lay, pos="__pos", lag={"__pf": F.col("__f")}, upto={"__b": mark}, onward={"__a": mark})
+    seen = scan(lay.place(rows), lay, pos="__pos", lag={"__pf": F.col("__f")}, upto={"__b": mark}, onward={"__a": mark})
     begins = (F.col("__f") & ~F.coalesce(F.col("__pf"), F.lit(False))).cast("long")
     numbered = scan(seen.withColumn("__new", begins), lay, total={"__k": F.col("__new")})
     back, ahead = F.col("__pos") - F.col("__b")["at"], F.col("__a")["at"] - F.col("__pos")

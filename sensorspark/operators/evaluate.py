@@ -125,7 +125,7 @@ def steady_rows(
     """
     rows = truth.withColumn(AXIS, micros(truth, timestamp))
     lay = plan_layout(rows, keys, AXIS, ties)
-    seen = scan(rows, lay, lag={"__pt": F.col(AXIS), "__pl": F.col(label)})
+    seen = scan(lay.place(rows), lay, lag={"__pt": F.col(AXIS), "__pl": F.col(label)})
     step = (F.col(AXIS) - F.col("__pt")) / MICROS
     breaks = ~F.col(label).eqNullSafe(F.col("__pl")) | ~step.between(min_step_s, max_step_s)
     marked = scan(seen, lay, pos="pos", upto={"__break": F.when(breaks & F.col("__pt").isNotNull(), F.lit(True))})

@@ -140,7 +140,7 @@ def contiguous(
     rows = df.withColumn("__t", F.col(tick).cast("long"))
     # Cells should cover as many ticks per row as other axes cover microseconds.
     lay = plan_layout(rows, keys, "__t", first_width=1 << 22)
-    seen = scan(rows, lay, lag={"__pt": F.col("__t")}, lead={"__nt": F.col("__t")})
+    seen = scan(lay.place(rows), lay, lag={"__pt": F.col("__t")}, lead={"__nt": F.col("__t")})
     breaks = F.coalesce(F.col("__t") - F.col("__pt") != step, F.lit(True))
     ends = F.coalesce(F.col("__nt") - F.col("__t") != step, F.lit(True))
     runs = scan(
@@ -148,6 +148,7 @@ def contiguous(
         lay,
         upto={"__from": F.when(F.col("__new"), F.col("__t"))},
         onward={"__to": F.when(F.col("__end"), F.col("__t"))},
+        at=False,
     )
     begin, end = F.col("__from")["v"], F.col("__to")["v"]
     index = F.floor((F.col("__t") - begin) / F.lit(step))
@@ -178,7 +179,7 @@ def validity(
     _check_sizes(window_size)
     rows = df.withColumns({"__o": F.col(source_order).cast("long"), AXIS: micros(df, timestamp)})
     lay = plan_layout(rows, keys, "__o", first_width=1 << 40)
-    seen = scan(rows, lay, lag={"__pt": F.col(AXIS)})
+    seen = scan(lay.place(rows), lay, lag={"__pt": F.col(AXIS)})
     step = (F.col(AXIS) - F.col("__pt")) / MICROS
     rules: dict[str, Column] = {"backwards": step <= 0}
     if expected_s is not None and tolerance is not None:
@@ -244,6 +245,7 @@ def resample(
         lead={"__nt": F.col(AXIS)},
         upto={f"__b{i}": value[s] for i, s in enumerate(sensors)},
         after={f"__a{i}": value[s] for i, s in enumerate(sensors)},
+        at=False,
     )
     first = F.ceil(F.col(AXIS) / step).cast("long")
     last = F.coalesce(F.ceil(F.col("__nt") / step).cast("long") - 1, F.floor(F.col(AXIS) / step).cast("long"))

@@ -35,7 +35,7 @@ def as_of(
     both = a.unionByName(b)
     # Equal instants: right rows first, in tie order.
     lay = plan_layout(both, keys, AXIS, [SIDE, *[f"__t{i}" for i in range(len(ties))]])
-    seen = scan(both, lay, upto={"__last": F.col("__hit")}).filter(F.col(SIDE) == 1)
+    seen = scan(both, lay, upto={"__last": F.col("__hit")}, at=False).filter(F.col(SIDE) == 1)
     found = seen.select("__row.*", *[F.col("__last")["v"][f"{prefix}{c}"].alias(f"{prefix}{c}") for c in carry])
     kinds = {f.name: f.dataType for f in right.schema}
     timeless = left.filter(micros(left, left_ts).isNull())

@@ -8,15 +8,21 @@ axis instead:
 1. every row gets a *chunk*: the start of its axis cell.  Cells that hold too many
    rows are divided into finer cells, level by level, down to single instants and
    then by the tie column, so neither a hot series nor a burst overloads a task;
-2. window functions run inside ``(series, chunk)``, one shuffle for any number of
-   chained scans because the partitioning is kept;
-3. each chunk is reduced to one summary row; a window over the summaries, about a
-   million times fewer rows than the data, yields what each chunk inherits from
-   its neighbours.  That small table is written to the shared checkpoint folder, so
-   chained scans read the source once per scan instead of once per branch;
-4. the inherited values are joined back on ``(series, chunk)``.
-
-Chunks depend only on the data, so a recomputed task produces the same rows.
+2. each chunk is reduced to one summary row without sorting it: counts, sums, and the
+   values at the first and the last row by ``min_by`` and ``max_by`` over the order
+   columns.  These combine before the shuffle, so no row moves for the summary;
+3. a window over the summaries, about a million times fewer rows than the data, yields
+   what each chunk inherits from its neighbours;
+4. window functions run inside ``(series, chunk)``, where rows are shuffled and sorted
+   for the only time, and the inherited values are joined on ``(series, chunk)``.
+
+A scan over the result of another has no source to summarise, so operators that chain
+scans *place* their rows first: rows are shuffled and sorted once and written in that
+order to the shared checkpoint folder, and every scan over them runs where they lie.
+
+Chunks depend only on the data, so a recomputed task produces the same rows.  Rows alike
+in axis and ties are ordered by a hash of what the scan reads, so the summary and the
+scan agree on their order.
 """
 
 from __future__ import annotations
@@ -27,15 +33,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorspark.session import cut
+from sensorspark.session import cut, cut_in_order
 
 DAY = 86_400_000_000
 FIRST_WIDTH = 32 * DAY
 FINER_BY = 64
 TARGET_ROWS = 1_000_000
+# Rows of a partition when rows are placed.
+PLACED_ROWS = 1_000_000
 MAX_BROADCAST_CELLS = 200_000
 
-CHUNK, SUB, KEY = "__chunk", "__sub", "__key"
+CHUNK, SUB, KEY, ROW_HASH = "__chunk", "__sub", "__key", "__hash"
 
 
 def _cell(axis: str, width: int) -> Column:
@@ -62,6 +70,7 @@ class Layout:
     levels: tuple[tuple[int, DataFrame, int], ...] = ()
     splits_ties: bool = False
     counts: DataFrame | None = None
+    n_rows: int = 0
 
     @property
     def chunk_columns(self) -> list[str]:
@@ -112,8 +121,19 @@ class Layout:
                 out = out.drop("__hot")
         return out
 
+    def place(self, df: DataFrame) -> DataFrame:
+        """Attach the chunks, shuffle and sort once, and keep the rows in that order.
+
+        For chains of scans.  The copy in the checkpoint folder keeps its partitioning and
+        its order, so scans over it neither shuffle nor sort.
+        """
+        spark = df.sparkSession
+        default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        n = max(default, -(-self.n_rows // PLACED_ROWS))
+        return cut_in_order(self.attach(df).repartition(n, *self.partition).sortWithinPartitions(*self.partition, *self.order))
+
     def detach(self, df: DataFrame) -> DataFrame:
-        return df.drop(CHUNK, SUB, KEY)
+        return df.drop(CHUNK, SUB, KEY, ROW_HASH)
 
 
 def plan_layout(
@@ -138,7 +158,7 @@ def plan_layout(
     by = [CHUNK]
     if keys:
         rest, by = rest.withColumn(KEY, F.struct(*keys)), [KEY, CHUNK]
-    counts = None
+    counts, n_rows = None, 0
     levels: list[tuple[int, DataFrame, int]] = []
     width, splits_ties = first_width, False
     while True:
@@ -155,6 +175,9 @@ def plan_layout(
         cells = rest.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"), *extra)
         if counts is None:
             counts = cells = cut(cells)
+            n_rows = counts.agg(F.sum("__n")).first()[0] or 0
+            if n_rows <= target_rows:
+                break
         cells = cells.filter(F.col("__n") > target_rows).drop("__n")
         if not extra:
             cells = cells.withColumn("__hot", F.lit(True))
@@ -174,7 +197,54 @@ def plan_layout(
         rest = rest.join(side.select(*by), by, "left_semi")
         width = max(1, width // FINER_BY)
         rest = rest.withColumn(CHUNK, _cell(axis, width))
-    return Layout(keys, axis, ties, first_width, tuple(levels), splits_ties, None if levels else counts)
+    return Layout(keys, axis, ties, first_width, tuple(levels), splits_ties, None if levels else counts, n_rows)
+
+
+def _packed(values: Mapping[str, str]) -> str:
+    return "struct(" + ", ".join(f"{e} as `{n}`" for n, e in values.items()) + ")"
+
+
+def _summary(source: DataFrame, layout: Layout, order: Sequence[str], steps: Mapping[str, Sequence[str]], at: bool) -> DataFrame:
+    """``(partition, __n, __last, __first)`` of the chunks of ``source``, whose rows are in no order.
+
+    All aggregates combine before the shuffle.  The place of the last present value in its
+    chunk is the number of rows less those after it, which a second look at the source
+    counts once the order of that value is known.
+    """
+    key = f"struct({_names(order)})"
+    ends = {
+        "__last": ([*steps["lag"], *steps["total"]], steps["last"], "max"),
+        "__first": ([*steps["lead"]], steps["first"], "min"),
+    }
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    for end, (edge, nearest, pick) in ends.items():
+        values = {n: f"sum(`__e_{n}`)" if n in steps["total"] else f"{pick}_by(`__e_{n}`, {key})" for n in edge}
+        values |= {n: f"{pick}_by(`__e_{n}`, {key}) filter (where `__e_{n}` is not null)" for n in nearest}
+        if values:
+            aggs.append(F.expr(_packed(values)).alias(end))
+        if at:
+            aggs += [F.expr(f"{pick}({key}) filter (where `__e_{n}` is not null)").alias(f"__k_{n}") for n in nearest]
+    chunks = source.groupBy(*layout.partition).agg(*aggs)
+    near = [n for _, nearest, _ in ends.values() for n in nearest]
+    if not at or not near:
+        return chunks
+    chunks = cut(chunks)
+    known = chunks.select(*layout.partition, *[f"`__k_{n}`" for n in near])
+    side = F.broadcast(known) if chunks.count() <= MAX_BROADCAST_CELLS else known
+    beyond = []
+    for _, nearest, pick in ends.values():
+        sign = ">" if pick == "max" else "<"
+        beyond += [F.expr(f"count_if({key} {sign} `__k_{n}`)").alias(f"__o_{n}") for n in nearest]
+    counted = source.select(*layout.partition, *order).join(side, layout.partition).groupBy(*layout.partition).agg(*beyond)
+    out = ["__n"]
+    for end, (edge, nearest, pick) in ends.items():
+        values = {n: f"{end}.`{n}`" for n in (*edge, *nearest)}
+        for n in nearest:
+            place = f"__n - `__o_{n}`" if pick == "max" else f"`__o_{n}` + 1"
+            values[f"@{n}"] = f"if(`__k_{n}` is null, null, {place})"
+        if values:
+            out.append(f"{_packed(values)} as {end}")
+    return chunks.join(counted, layout.partition).selectExpr(*[f"`{c}`" for c in layout.partition], *out)
 
 
 def scan(
@@ -190,6 +260,7 @@ def scan(
     before: Mapping[str, Column] | None = None,
     onward: Mapping[str, Column] | None = None,
     after: Mapping[str, Column] | None = None,
+    at: bool = True,
 ) -> DataFrame:
     """Add ordered columns to every row; each mapping is ``{new name: expression}``.
 
@@ -197,19 +268,27 @@ def scan(
     ``lag``/``lead`` read the neighbouring row and ``total`` is a running sum.
     ``upto``/``before`` give the last non-null value at or before / strictly before
     the row, ``onward``/``after`` the next one, each as ``struct<v, at>`` where
-    ``at`` is the position it was found at and NULL when there is none.
+    ``at`` is the position it was found at and NULL when there is none.  Without ``at``
+    the structs hold ``v`` alone and the source is read once less.  Totals should be of
+    whole numbers or decimals, whose sums do not depend on the order.
     """
     lag, lead, total = dict(lag or {}), dict(lead or {}), dict(total or {})
     upto, before = dict(upto or {}), dict(before or {})
     onward, after = dict(onward or {}), dict(after or {})
     given = {**lag, **lead, **total, **upto, **before, **onward, **after}
+    fresh = CHUNK not in df.columns
     rows = layout.attach(df)
-    kept = [c for c in rows.columns if c not in given and c not in (pos, size)]
+    kept = [c for c in rows.columns if c not in given and c not in (pos, size, ROW_HASH)]
 
     # SQL text keeps the many window expressions to a few calls into the JVM.
     part = _names(layout.partition)
-    fwd = f"partition by {part} order by {_names(layout.order)}"
+    order = layout.order
     rows = rows.select("*", *[e.alias(f"__e_{n}") for n, e in given.items()])
+    if fresh and given:
+        order = [*order, ROW_HASH]
+        rows = rows.withColumn(ROW_HASH, F.xxhash64(*[F.col(f"`__e_{n}`") for n in given]))
+    fwd = f"partition by {part} order by {_names(order)}"
+    source = rows
     rows = rows.selectExpr("*", f"cast(row_number() over ({fwd}) as bigint) as __i")
 
     # One sort serves both directions: the nearest non-null value is an offset function.
@@ -219,9 +298,10 @@ def scan(
     local += [f"sum(`__e_{n}`) over ({fwd} rows unbounded preceding) as `__l_{n}`" for n in total]
     for group, step in ((upto, "lag"), (before, "lag"), (onward, "lead"), (after, "lead")):
         for n in group:
-            place = f"if(`__e_{n}` is null, null, __i)"
             local.append(f"{step}(`__e_{n}`) ignore nulls over ({fwd}) as `__l_{n}`")
-            local.append(f"{step}({place}) ignore nulls over ({fwd}) as `__p_{n}`")
+            if at:
+                place = f"if(`__e_{n}` is null, null, __i)"
+                local.append(f"{step}({place}) ignore nulls over ({fwd}) as `__p_{n}`")
     if given:
         local.append(f"lead(1) over ({fwd}) is null as __tail_row")
     rows = rows.selectExpr("*", *local) if local else rows
@@ -230,29 +310,30 @@ def scan(
         """Value and chunk-local position at the row itself or next to it."""
         return f"coalesce(`__e_{n}`, `__l_{n}`)", f"if(`__e_{n}` is null, `__p_{n}`, __i)"
 
-    # One row per chunk: what it hands to the chunks after and before it, read from its
-    # last and its first row.
-    hand_on = {n: f"`__e_{n}`" for n in lag} | {n: f"`__l_{n}`" for n in total}
-    hand_back = {n: f"`__e_{n}`" for n in lead}
-    for side, names in ((hand_on, (*upto, *before)), (hand_back, (*onward, *after))):
-        for n in names:
-            side[n], side[f"@{n}"] = own_or_near(n)
-
-    def packed(values: dict[str, str]) -> str:
-        return "struct(" + ", ".join(f"{e} as `{n}`" for n, e in values.items()) + ")"
-
-    aggs = [F.expr("max(__i)").alias("__n")]
-    if hand_on:
-        aggs.append(F.expr(f"max_by({packed(hand_on)}, __i)").alias("__last"))
-    if hand_back:
-        aggs.append(F.expr(f"min_by({packed(hand_back)}, __i)").alias("__first"))
-    if given:
-        chunks = rows.filter("__tail_row or __i = 1").groupBy(*layout.partition).agg(*aggs)
-    elif layout.counts is not None and CHUNK not in df.columns:
-        chunks = layout.counts
+    # One row per chunk: what it hands to the chunks after and before it.
+    steps = {"total": total, "lag": lag, "lead": lead, "last": (*upto, *before), "first": (*onward, *after)}
+    if not given:
+        if layout.counts is not None and fresh:
+            chunks = layout.counts
+        else:
+            chunks = layout.attach(df).groupBy(*layout.partition).agg(F.count(F.lit(1)).alias("__n"))
+    elif fresh:
+        chunks = _summary(source, layout, order, steps, at)
     else:
-        # Positions only need counts, which combine before the shuffle.
-        chunks = layout.attach(df).groupBy(*layout.partition).agg(F.count(F.lit(1)).alias("__n"))
+        # The rows lie in chunks already: their first and last row tell.
+        hand_on = {n: f"`__e_{n}`" for n in lag} | {n: f"`__l_{n}`" for n in total}
+        hand_back = {n: f"`__e_{n}`" for n in lead}
+        for side, names in ((hand_on, steps["last"]), (hand_back, steps["first"])):
+            for n in names:
+                side[n], place = own_or_near(n)
+                if at:
+                    side[f"@{n}"] = place
+        aggs = [F.expr("max(__i)").alias("__n")]
+        if hand_on:
+            aggs.append(F.expr(f"max_by({_packed(hand_on)}, __i)").alias("__last"))
+        if hand_back:
+            aggs.append(F.expr(f"min_by({_packed(hand_back)}, __i)").alias("__first"))
+        chunks = rows.filter("__tail_row or __i = 1").groupBy(*layout.partition).agg(*aggs)
 
     by = f"partition by {KEY}" if layout.keys else ""
     down = f"{by} order by {_names(layout.chunk_columns)}"
@@ -266,7 +347,8 @@ def scan(
     for group, side, step in ((upto, "__last", "lag"), (before, "__last", "lag"), (onward, "__first", "lead"), (after, "__first", "lead")):
         for n in group:
             carry.append(f"{step}({side}.`{n}`) ignore nulls over ({down}) as `__c_{n}`")
-            carry.append(f"{step}({side}.`@{n}` - 1 + __base) ignore nulls over ({down}) as `__q_{n}`")
+            if at:
+                carry.append(f"{step}({side}.`@{n}` - 1 + __base) ignore nulls over ({down}) as `__q_{n}`")
     inherited = cut(chunks.selectExpr(*[f"`{c}`" for c in layout.partition], "__base", *carry))
 
     out = [f"__base + __i - 1 as `{pos}`"] if pos else []
@@ -275,10 +357,12 @@ def scan(
     out += [f"if(__tail_row, `__c_{n}`, `__l_{n}`) as `{n}`" for n in lead]
     out += [f"coalesce(`__c_{n}`, 0) + `__l_{n}` as `{n}`" for n in total]
     for n in (*upto, *onward):
-        v, at = own_or_near(n)
-        out.append(f"struct(coalesce({v}, `__c_{n}`) as v, coalesce({at} - 1 + __base, `__q_{n}`) as at) as `{n}`")
+        v, place = own_or_near(n)
+        found = f", coalesce({place} - 1 + __base, `__q_{n}`) as at" if at else ""
+        out.append(f"struct(coalesce({v}, `__c_{n}`) as v{found}) as `{n}`")
     for n in (*before, *after):
-        out.append(f"struct(coalesce(`__l_{n}`, `__c_{n}`) as v, coalesce(`__p_{n}` - 1 + __base, `__q_{n}`) as at) as `{n}`")
+        found = f", coalesce(`__p_{n}` - 1 + __base, `__q_{n}`) as at" if at else ""
+        out.append(f"struct(coalesce(`__l_{n}`, `__c_{n}`) as v{found}) as `{n}`")
     return rows.join(inherited, layout.partition, "left").selectExpr(*[f"`{c}`" for c in kept], *out)
 
 

@@ -50,6 +50,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_in_order(df: DataFrame) -> DataFrame:
+    """Like :func:`cut`, and the copy is known to be partitioned and sorted as ``df`` is.
+
+    Spark keeps that knowledge only for plans that are not adaptive, so adaptive execution
+    is off while the copy is written, and as it was afterwards.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no earlier run has used."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

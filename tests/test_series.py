@@ -132,3 +132,45 @@ def test_a_null_key_is_a_key(spark):
     assert sorted((r.k or "", r.t, r.pos, r.n, r.prev) for r in out.collect()) == [
         (k, t, t - 1, 3, t - 1 if t > 1 else None) for k in ("", "a") for t in (1, 2, 3)
     ]
+
+
+def test_rows_of_one_instant_without_ties(spark):
+    """Fresh and placed scans over many small chunks: every place that is named holds the value that is named."""
+    r = random.Random(5)
+    data = [(r.choice("ab"), r.randint(0, 60), r.choice([None, None, r.randint(0, 9)]), n) for n in range(3000)]
+    df = spark.createDataFrame(data, "k string, t long, v long, n long")
+    lay = plan_layout(df, ["k"], "t", first_width=16, target_rows=40)
+    nearest = dict(before={"b": F.col("v")}, after={"a": F.col("v")}, upto={"u": F.col("v")}, onward={"o": F.col("v")})
+    for rows in (df, lay.place(df)):
+        got = scan(rows, lay, pos="p", size="s", lag={"l": F.col("t")}, total={"c": F.lit(1)}, **nearest).collect()
+        for key in "ab":
+            series = sorted((x for x in got if x.k == key), key=lambda x: x.p)
+            assert [x.p for x in series] == list(range(len(series))) and {x.s for x in series} == {len(series)}
+            assert [x.t for x in series] == sorted(x.t for x in series)
+            assert [x.c for x in series] == [i + 1 for i in range(len(series))]
+            assert [x.l for x in series] == [None, *[x.t for x in series[:-1]]]
+            present = [x.p for x in series if x.v is not None]
+            for x in series:
+                want = {
+                    "b": max((p for p in present if p < x.p), default=None),
+                    "u": max((p for p in present if p <= x.p), default=None),
+                    "a": min((p for p in present if p > x.p), default=None),
+                    "o": min((p for p in present if p >= x.p), default=None),
+                }
+                for name, place in want.items():
+                    assert (x[name].v, x[name].at) == ((None, None) if place is None else (series[place].v, place))
+
+
+def test_scans_of_placed_rows_move_nothing(spark):
+    df = spark.range(5000).selectExpr("id % 3 as k", "id as t", "if(id % 7 = 0, id, null) as v", "cast(id as string) as other")
+    lay = plan_layout(df, ["k"], "t", first_width=1000)
+    first = scan(lay.place(df), lay, pos="p", lag={"l": F.col("v")})
+    second = scan(first.withColumn("new", F.col("l").isNull()), lay, total={"c": F.col("new").cast("long")}, upto={"u": F.col("v")})
+    plan = second._jdf.queryExecution().executedPlan().toString()
+    # Only the inherited values of the two scans, which know no other column, are moved or sorted.
+    lines = [(len(x) - len(x.lstrip(" :+-")), x) for x in plan.splitlines()]
+    for i, (depth, line) in enumerate(lines):
+        if "Exchange" in line or "Sort [" in line:
+            below = [x for d, x in lines[i + 1 :] if d > depth][:3]
+            assert not any("other#" in x for x in below), plan
+    assert second.agg(F.max("c")).first()[0] > 1000
