@@ -310,11 +310,34 @@ SELECT user_id, window_id, round(avg(x), 6) AS x_mean, round(stddev_pop(x), 6) A
 )
 def window_features(t: Tables) -> DataFrame:
     rows = t.events.select("event_id", "user_id", "ts", (F.col("value") - 40).alias("x"))
-    tagged = windows.sliding(rows, "ts", 16, 8, ["user_id"], ["event_id"])
-    out = features.window_statistics(tagged, ["user_id", "window_id"], "in_window", ["x"], _STATS)
+    out = features.sliding_statistics(rows, "ts", 16, 8, ["x"], ["user_id"], ["event_id"], _STATS)
     return rounded(out, *[f"x_{n}" for n in _STATS if n != "zero_crossings"])
 
 
+_DENSE = ("mean", "std", "min", "max", "rms", "zero_crossings", "slope")
+
+
+@query(
+    "window_features_dense",
+    """WITH p AS (SELECT *, quantity - 25 AS x, row_number() OVER (PARTITION BY k ORDER BY ts, o, l, quantity) - 1 AS pos FROM
+  (SELECT l_orderkey // 20000 AS k, l_shipdate::TIMESTAMP AS ts, l_orderkey AS o, l_linenumber AS l, l_quantity::DOUBLE AS quantity FROM lineitem)),
+s AS (SELECT *, x >= 0 AS up, coalesce((lag(x >= 0) OVER (PARTITION BY k ORDER BY pos)) <> (x >= 0), FALSE) AS zc FROM p),
+w AS (SELECT k, pos, count(*) OVER f AS n, avg(x) OVER f AS m, stddev_pop(x) OVER f AS d, min(x) OVER f AS lo, max(x) OVER f AS hi,
+  sqrt(avg(x * x) OVER f) AS rms, (sum(zc::INT) OVER f) - first_value(zc::INT) OVER f AS z, regr_slope(x, pos) OVER f AS slope
+  FROM s WINDOW f AS (PARTITION BY k ORDER BY pos ROWS 1023 PRECEDING))
+SELECT k, (pos - 1023)::BIGINT AS window_id, round(m, 6) AS x_mean, round(d, 6) AS x_std, round(lo, 6) AS x_min, round(hi, 6) AS x_max,
+  round(rms, 6) AS x_rms, z::BIGINT AS x_zero_crossings, round(slope, 6) AS x_slope FROM w WHERE n = 1024""",
+)
+def window_features_dense(t: Tables) -> DataFrame:
+    """Windows of 1,024 rows at every row."""
+    rows = t.lineitem.select(
+        F.floor(F.col("l_orderkey") / 20000).alias("k"), F.col("l_shipdate").cast("timestamp").alias("ts"),
+        F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("l"), (F.col("l_quantity").cast("double") - 25).alias("x"),
+    )
+    out = features.sliding_statistics(rows, "ts", 1024, 1, ["x"], ["k"], ["o", "l", "x"], _DENSE)
+    return rounded(out, *[f"x_{n}" for n in _DENSE if n != "zero_crossings"])
+
+
 @query(
     "channel_scaler",
     """WITH s AS (SELECT avg(value) AS m, stddev_pop(value) + 1e-9 AS d FROM events WHERE event_type <> 'error')

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from math import gcd
 
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -11,7 +12,10 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sensorspark.columns import micros
 from sensorspark.functions.vectors import doubles
+from sensorspark.operators import windows
+from sensorspark.plans.series import plan_layout, scan, with_halo
 
 
 def joint_state(
@@ -177,6 +181,157 @@ def window_statistics(
     return rows.groupBy(*by).agg(*aggs)
 
 
+# --- statistics of sliding windows without copies -----------------------------------------
+
+STATISTICS = ("mean", "std", "min", "max", "rms", "peak_to_peak", "skewness", "kurtosis", "crest_factor", "zero_crossings", "slope")
+_MOMENTS = ("n", "mean", "m2", "m3", "m4", "low", "high", "crossings", "edge", "at", "xx", "xy")
+
+
+def _pane_of_one(value: Column, at: Column, crossed: Column) -> Column:
+    """The moments of a pane of one row; ``edge`` tells whether the sign changes where the pane begins."""
+    there = value.isNotNull()
+    zero = F.lit(0.0)
+    fields = {
+        "n": there.cast("double"), "mean": F.coalesce(value, zero), "m2": zero, "m3": zero, "m4": zero, "low": value, "high": value,
+        "crossings": F.lit(0).cast("long"), "edge": crossed.cast("long"), "at": F.when(there, at).otherwise(zero), "xx": zero, "xy": zero,
+    }
+    return F.struct(*[fields[c].alias(c) for c in _MOMENTS])
+
+
+def _pane(value: str, at: Column, crossed: Column, begins: Column) -> Column:
+    """The moments of the rows of a pane as one aggregate; empty sums are zero."""
+    v = F.col(value)
+    x = F.when(v.isNotNull(), at)
+    n = F.count(v).cast("double")
+    m2 = F.coalesce(F.var_pop(v), F.lit(0.0)) * n
+    fields = {
+        "n": n,
+        "mean": F.coalesce(F.avg(v), F.lit(0.0)),
+        "m2": m2,
+        # Without spread there is no skewness, and no moment above the first either.
+        "m3": F.coalesce(F.skewness(v) * F.pow(m2, F.lit(1.5)) / F.sqrt(F.greatest(n, F.lit(1.0))), F.lit(0.0)),
+        "m4": F.coalesce((F.kurtosis(v) + 3) * m2 * m2 / F.greatest(n, F.lit(1.0)), F.lit(0.0)),
+        "low": F.min(v),
+        "high": F.max(v),
+        "crossings": F.count_if(crossed & ~begins),
+        "edge": F.count_if(crossed & begins),
+        "at": F.coalesce(F.avg(x), F.lit(0.0)),
+        "xx": F.coalesce(F.var_pop(x), F.lit(0.0)) * n,
+        "xy": F.coalesce(F.covar_pop(x, v), F.lit(0.0)) * n,
+    }
+    return F.struct(*[fields[c].alias(c) for c in _MOMENTS])
+
+
+def _merged(a: Column, b: Column) -> Column:
+    """The moments of the rows of ``a`` followed by those of ``b``; stable for values far from zero."""
+    na, nb = a["n"], b["n"]
+    total = na + nb
+    n = F.greatest(total, F.lit(1.0))
+    d, dx = b["mean"] - a["mean"], b["at"] - a["at"]
+    both = na * nb / n
+    fields = {
+        "n": total,
+        "mean": a["mean"] + d * nb / n,
+        "m2": a["m2"] + b["m2"] + d * d * both,
+        "m3": a["m3"] + b["m3"] + d * d * d * both * (na - nb) / n + 3.0 * d * (na * b["m2"] - nb * a["m2"]) / n,
+        "m4": a["m4"] + b["m4"] + d * d * d * d * both * (na * na - na * nb + nb * nb) / (n * n)
+        + 6.0 * d * d * (na * na * b["m2"] + nb * nb * a["m2"]) / (n * n) + 4.0 * d * (na * b["m3"] - nb * a["m3"]) / n,
+        "low": F.least(a["low"], b["low"]),
+        "high": F.greatest(a["high"], b["high"]),
+        "crossings": a["crossings"] + b["edge"] + b["crossings"],
+        "edge": a["edge"],
+        "at": a["at"] + dx * nb / n,
+        "xx": a["xx"] + b["xx"] + dx * dx * both,
+        "xy": a["xy"] + b["xy"] + dx * d * both,
+    }
+    return F.struct(*[fields[c].alias(c) for c in _MOMENTS])
+
+
+def _statistic(m: Column, name: str) -> Column:
+    n = F.when(m["n"] > 0, m["n"])
+    spread = F.when(m["m2"] > 0, m["m2"])
+    rms = F.sqrt(m["m2"] / n + m["mean"] * m["mean"])
+    return {
+        "mean": F.when(m["n"] > 0, m["mean"]),
+        "std": F.sqrt(m["m2"] / n),
+        "min": m["low"],
+        "max": m["high"],
+        "rms": rms,
+        "peak_to_peak": m["high"] - m["low"],
+        "skewness": F.sqrt(n) * m["m3"] / F.pow(spread, F.lit(1.5)),
+        "kurtosis": n * m["m4"] / (spread * spread) - 3.0,
+        "crest_factor": F.try_divide(F.greatest(F.abs(m["low"]), F.abs(m["high"])), rms),
+        "zero_crossings": m["crossings"],
+        "slope": m["xy"] / F.when(m["xx"] > 0, m["xx"]),
+    }[name]
+
+
+def sliding_statistics(
+    df: DataFrame,
+    timestamp: str,
+    window_size: int,
+    step: int,
+    sensors: Sequence[str],
+    keys: Sequence[str] = (),
+    ties: Sequence[str] = (),
+    names: Sequence[str] = STATISTICS,
+) -> DataFrame:
+    """The statistics of every full window of ``window_size`` rows, ``step`` rows apart.
+
+    Same columns and values as :func:`window_statistics` over the rows that
+    :func:`~sensorspark.operators.windows.sliding` tags, and no row is copied into its windows:
+    rows are reduced to panes of ``gcd(window_size, step)`` rows, and a window is merged from
+    its panes by doubling, runs of 1, 2, 4, .. panes, so a step costs the logarithm of the
+    window.  Every series is cut into stretches of panes that borrow the panes of one window.
+    """
+    windows._check_sizes(window_size, step)
+    names = list(names)
+    if not names or set(names) - set(STATISTICS):
+        raise ValueError(f"statistic names must be one or more of {STATISTICS}, got {names}")
+    size = gcd(window_size, step)
+    need = window_size // size
+    values = [F.col(s).cast("double").alias(f"__v{i}") for i, s in enumerate(sensors)]
+    rows = df.select(*keys, *ties, micros(df, timestamp).alias("__us"), *values)
+    lay = plan_layout(rows, keys, "__us", ties)
+    signs = {f"__s{i}": F.col(f"__v{i}") >= 0 for i in range(len(sensors))} if "zero_crossings" in names else {}
+    seen = scan(rows, lay, pos="__pos", size="__n", lag=signs)
+    at = F.col("__pos").cast("double")
+
+    def crossed(i: int) -> Column:
+        return F.coalesce(F.col(f"__s{i}") != (F.col(f"__v{i}") >= 0), F.lit(False)) if signs else F.lit(False)
+
+    if size == 1:
+        made = [_pane_of_one(F.col(f"__v{i}"), at, crossed(i)).alias(f"__m{i}") for i in range(len(sensors))]
+        panes = lay.detach(seen).select(*keys, F.col("__pos").alias("__pane"), "__n", *made)
+    else:
+        begins = F.col("__pos") % size == 0
+        tagged = lay.detach(seen).withColumn("__pane", F.floor(F.col("__pos") / size))
+        made = [_pane(f"__v{i}", at, crossed(i), begins).alias(f"__m{i}") for i in range(len(sensors))]
+        panes = tagged.groupBy(*keys, "__pane").agg(F.max("__n").alias("__n"), *made)
+    halo, by, lent = with_halo(panes, keys, "__pane", need - 1)
+    order = Window.partitionBy(*by).orderBy("__pane")
+    # ``run`` holds the moments of the last ``length`` panes, ``__w`` those of the pieces of the window so far.
+    taken, length, run, out = 0, 1, "__m", halo
+    while True:
+        if need & length:
+            for i in range(len(sensors)):
+                piece = F.lag(f"{run}{i}", taken).over(order) if taken else F.col(f"{run}{i}")
+                out = out.withColumn(f"__p{i}", piece)
+                whole = _merged(F.col(f"__p{i}"), F.col(f"__w{i}")) if taken else F.col(f"__p{i}")
+                out = out.withColumn(f"__w{i}", whole).drop(f"__p{i}")
+            taken += length
+        if taken == need:
+            break
+        for i in range(len(sensors)):
+            out = out.withColumn(f"__p{i}", F.lag(f"{run}{i}", length).over(order))
+            out = out.withColumn(f"__r{i}", _merged(F.col(f"__p{i}"), F.col(f"{run}{i}"))).drop(f"__p{i}")
+        run, length = "__r", length * 2
+    first = (F.col("__pane") - (need - 1)) * size
+    full = ~F.col(lent) & (first >= 0) & (first % step == 0) & ((F.col("__pane") + 1) * size <= F.col("__n"))
+    statistics = [_statistic(F.col(f"__w{i}"), n).alias(f"{s}_{n}") for i, s in enumerate(sensors) for n in names]
+    return out.filter(full).select(*keys, F.floor(first / step).alias("window_id"), *statistics)
+
+
 def fuse(embeddings: DataFrame, statistics: DataFrame, by: Sequence[str], embedding: str, columns: Sequence[str]) -> DataFrame:
     """Embedding and statistics of the same window as one vector, aligned by key."""
     stats = F.array(*[F.col(c).cast("double") for c in columns])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -177,3 +179,33 @@ def test_encode_keeps_rows_and_guards_conventions(spark):
 def test_statistics_need_known_names(spark):
     with pytest.raises(ValueError):
         features.window_statistics(spark.range(3), [], "id", ["id"], [])
+
+
+def test_sliding_statistics_equal_those_of_copied_rows(spark):
+    """Against window_statistics over tagged rows: panes of one and of several rows, missing values, constant stretches."""
+    r = random.Random(4)
+    data = []
+    for k, n in (("a", 150), ("b", 40), ("c", 7), ("d", 64)):
+        for i in range(n):
+            x = 1e6 + r.gauss(0, 1) if k == "a" else r.choice([-1.0, 0.0, 2.5])
+            data.append((k, i * 3, None if r.random() < 0.2 or (k == "d" and 10 < i < 45) else x, 5.0))
+    df = spark.createDataFrame(data, "k string, t long, x double, c double").withColumn("ts", F.timestamp_seconds("t"))
+    for w, step in ((16, 4), (7, 1), (12, 8), (5, 9), (1, 1), (32, 1)):
+        tagged = windows.sliding(df, "ts", w, step, ["k"])
+        want = {tuple(x[:2]): x[2:] for x in features.window_statistics(tagged, ["k", "window_id"], "in_window", ["x", "c"]).collect()}
+        got = {tuple(x[:2]): x[2:] for x in features.sliding_statistics(df, "ts", w, step, ["x", "c"], ["k"]).collect()}
+        assert set(got) == set(want)
+        for key, row in want.items():
+            for a, b in zip(got[key], row):
+                assert (a is None) == (b is None) and (a is None or abs(a - b) <= 1e-6 * max(1.0, abs(b))), (w, step, key, got[key], row)
+
+
+def test_sliding_statistics_over_many_stretches(spark, monkeypatch):
+    real = features.with_halo
+    monkeypatch.setattr(features, "with_halo", lambda df, keys, pos, before: real(df, keys, pos, before, chunk_rows=16))
+    df = spark.range(300).select(F.timestamp_seconds("id").alias("ts"), (F.sin("id") * 10).alias("x"))
+    got = features.sliding_statistics(df, "ts", 6, 1, ["x"], names=["mean", "max"]).orderBy("window_id").collect()
+    xs = [x.x for x in df.orderBy("ts").collect()]
+    assert len(got) == 295
+    for i, row in enumerate(got):
+        assert row.window_id == i and row.x_max == max(xs[i : i + 6]) and abs(row.x_mean - sum(xs[i : i + 6]) / 6) < 1e-9
