@@ -1,9 +1,12 @@
 """Exact nearest neighbours, votes and prototypes.
 
 A library that fits the size limit is broadcast and every query is handled where it
-lies.  A larger one is cut into blocks and so are the queries; each (query block,
-library block) cell is one bounded task that returns only its own ``k`` best per query,
-and the partial results are merged.  No pair of rows is ever emitted.
+lies.  A larger one is dealt to cells around pivots, rows of the library drawn by hash, and
+searched in two rounds: a query first meets the cells nearest to it, which gives an upper
+bound of its ``k``-th distance, and then only those that the triangle inequality does not
+rule out.  Cells and the queries that visit them are cut into blocks; each (query block,
+library block) is one bounded task that returns only its own ``k`` best per query, and the
+partial results are merged.  No pair of rows is ever emitted.
 """
 
 from __future__ import annotations
@@ -16,14 +19,19 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorspark.functions.vectors import doubles
+from sensorspark.session import cut
 
 BROADCAST_BYTES = 128 << 20
 BLOCK_BYTES = 64 << 20
 QUERY_BLOCK = 20_000
 SCRATCH = 4_000_000
 SPARE = 8
+# Pivots drawn for each block of the library, and the bytes they may take in all.
+PIVOTS_PER_BLOCK = 4
+PIVOT_BYTES = 32 << 20
 
 
 def nearest(q: np.ndarray, q_ids: np.ndarray, lib: np.ndarray, lib_ids: np.ndarray, k: int, skip_same_id: bool):
@@ -34,38 +42,40 @@ def nearest(q: np.ndarray, q_ids: np.ndarray, lib: np.ndarray, lib_ids: np.ndarr
     recomputed over the whole block, so the result does not depend on the shortcut.
     Ties go to the smaller library id.
     """
-    own = pd.Index(lib_ids).get_indexer(q_ids) if skip_same_id else None
+    own = pd.Index(lib_ids).get_indexer(q_ids) if skip_same_id else np.full(len(q), -1)
+    place = np.empty(len(lib), int)
+    place[np.argsort(lib_ids, kind="stable")] = np.arange(len(lib))
     sq_lib = (lib * lib).sum(axis=1)
-    step = max(1, SCRATCH // max(1, len(lib)))
+    take = min(k + SPARE, len(lib))
+    step = max(1, SCRATCH // max(1, len(lib), take * lib.shape[1]))
     rows, cols, dists = [], [], []
+
+    def measured(part: np.ndarray, mine: np.ndarray, cand: np.ndarray):
+        """The best ``k`` of the candidates of each query, by distance and id."""
+        exact = np.sqrt(((lib[cand] - part[:, None, :]) ** 2).sum(axis=2))
+        exact[cand == mine[:, None]] = np.inf
+        order = np.lexsort((place[cand], exact), axis=1)[:, :k]
+        return np.take_along_axis(cand, order, 1), np.take_along_axis(exact, order, 1)
+
     for a in range(0, len(q), step):
-        part = q[a : a + step]
+        part, mine = q[a : a + step], own[a : a + step]
         sq = (part * part).sum(axis=1)
         guess = sq[:, None] + sq_lib[None, :] - 2.0 * (part @ lib.T)
-        if own is not None:
-            mine = own[a : a + step]
-            has = np.nonzero(mine >= 0)[0]
-            guess[has, mine[has]] = np.inf
-        take = min(k + SPARE, len(lib))
-        near = np.argpartition(guess, take - 1, axis=1)[:, :take] if take < len(lib) else None
-        for i in range(len(part)):
-            cand = near[i] if near is not None else np.arange(len(lib))
-            exact = np.sqrt(((lib[cand] - part[i]) ** 2).sum(axis=1))
-            if own is not None and own[a + i] >= 0:
-                exact[cand == own[a + i]] = np.inf
-            order = np.lexsort((lib_ids[cand], exact))[:k]
-            if near is not None:
-                slack = 1e-9 * (sq[i] + sq_lib.max() + 1.0)
-                if guess[i, cand].max() <= exact[order[-1]] ** 2 + slack:
-                    cand = np.arange(len(lib))
-                    exact = np.sqrt(((lib - part[i]) ** 2).sum(axis=1))
-                    if own is not None and own[a + i] >= 0:
-                        exact[own[a + i]] = np.inf
-                    order = np.lexsort((lib_ids, exact))[:k]
-            order = order[np.isfinite(exact[order])]
-            rows.append(np.full(len(order), a + i))
-            cols.append(cand[order])
-            dists.append(exact[order])
+        has = np.flatnonzero(mine >= 0)
+        guess[has, mine[has]] = np.inf
+        if take < len(lib):
+            near = np.argpartition(guess, take - 1, axis=1)[:, :take]
+            best, exact = measured(part, mine, near)
+            slack = 1e-9 * (sq + sq_lib.max() + 1.0)
+            unsure = np.take_along_axis(guess, near, 1).max(axis=1) <= exact[:, -1] ** 2 + slack
+            for i in np.flatnonzero(unsure):
+                best[i], exact[i] = (x[0] for x in measured(part[i : i + 1], mine[i : i + 1], np.arange(len(lib))[None, :]))
+        else:
+            best, exact = measured(part, mine, np.broadcast_to(np.arange(len(lib)), (len(part), len(lib))))
+        i, j = np.nonzero(np.isfinite(exact))
+        rows.append(a + i)
+        cols.append(best[i, j])
+        dists.append(exact[i, j])
     if not rows:
         return np.array([], int), np.array([], int), np.array([], float)
     return np.concatenate(rows), np.concatenate(cols), np.concatenate(dists)
@@ -104,11 +114,16 @@ def knn(
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in fields) + ", distance double, rank long"
     empty = pd.DataFrame(columns=[*fields, "distance", "rank"])
 
-    def search(qs: pd.DataFrame, ls: pd.DataFrame) -> pd.DataFrame:
+    def search(qs: pd.DataFrame, ls: pd.DataFrame, matrix: np.ndarray | None = None) -> pd.DataFrame:
         if not len(qs) or not len(ls):
             return empty
         r, c, d = nearest(
-            _matrix(qs["__v"]), qs["__q"].to_numpy(), _matrix(ls["__v"]), ls["neighbor_id"].to_numpy(), k, skip_same_id
+            _matrix(qs["__v"]),
+            qs["__q"].to_numpy(),
+            _matrix(ls["__v"]) if matrix is None else matrix,
+            ls["neighbor_id"].to_numpy(),
+            k,
+            skip_same_id,
         )
         left = qs[[*g, "__q"]].iloc[r].reset_index(drop=True)
         right = ls[["neighbor_id", *carry]].iloc[c].reset_index(drop=True)
@@ -121,22 +136,141 @@ def knn(
 
         def local(batches):
             table = shared.value
-            groups = dict(tuple(table.groupby(g))) if g else None
+            groups = dict(tuple(table.groupby(g))) if g else {(): table}
+            made = {}
             for pdf in batches:
-                if groups is None:
-                    yield search(pdf, table)
-                else:
-                    for key, rows in pdf.groupby(g):
-                        yield search(rows, groups.get(key, table.iloc[:0]))
+                for key, rows in pdf.groupby(g) if g else [((), pdf)]:
+                    if key in groups:
+                        if key not in made:
+                            made[key] = _matrix(groups[key]["__v"])
+                        yield search(rows, groups[key], made[key])
 
         found = q.mapInPandas(local, schema)
     else:
         best = Window.partitionBy(*g, "__q").orderBy("distance", "neighbor_id")
-        found = _blocked(q, lib, g, shape["d"], search, schema)
-        found = found.withColumn("rank", F.row_number().over(best).cast("long")).filter(F.col("rank") <= k)
+
+        def merged(parts: DataFrame) -> DataFrame:
+            return parts.withColumn("rank", F.row_number().over(best).cast("long")).filter(F.col("rank") <= k)
+
+        cells = Cells(lib, g, shape["n"], shape["d"])
+        by_cell = [*g, CELL]
+        # A row is not its own neighbour, so one more is needed to be sure of k.
+        first = merged(_blocked(cells.home(q, k + skip_same_id), cells.library, by_cell, shape["d"], search, schema))
+        first = cut(first)
+        bound = first.groupBy(*g, "__q").agg(F.max(F.when(F.col("rank") == k, F.col("distance"))).alias("__far"))
+        second = _blocked(cells.others(q.join(bound, [*g, "__q"], "left"), k + skip_same_id), cells.library, by_cell, shape["d"], search, schema)
+        found = merged(first.unionByName(second))
     return found.withColumnRenamed("__q", query_id)
 
 
+CELL = "__cell"
+
+
+class Cells:
+    """A library dealt to cells around pivots, and the cells that a query has to visit.
+
+    Pivots are library rows drawn by hash, so there are a few for each block of rows and their
+    bytes are bounded.  Each row belongs to its nearest pivot; a cell knows its number of rows and
+    the range of their distances to the pivot.  A library (of an asset) without a pivot is one cell.
+    """
+
+    def __init__(self, lib: DataFrame, by: Sequence[str], n: int, dim: int):
+        self.by = list(by)
+        rows = max(1, BLOCK_BYTES // (8 * dim))
+        share = min(PIVOTS_PER_BLOCK / rows, PIVOT_BYTES / (8 * dim * max(1, n)), 1.0)
+        drawn = F.pmod(F.xxhash64(*by, "neighbor_id"), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))
+        found = lib.filter(drawn).select(*by, "__v").toPandas()
+        groups = found.groupby(self.by) if by else [((), found)]
+        # Copies of one vector are one pivot.
+        pivots = {key: np.unique(_matrix(rows["__v"]), axis=0) for key, rows in groups if len(rows)}
+        self.shared = lib.sparkSession.sparkContext.broadcast(pivots)
+        self.library = cut(lib.mapInPandas(self._deal(), _widened(lib, (CELL, T.IntegerType()), ("__reach", T.DoubleType()))))
+        stats = self.library.filter(F.col(CELL) >= 0).groupBy(*by, CELL).agg(
+            F.count(F.lit(1)).alias("n"), F.min("__reach").alias("low"), F.max("__reach").alias("high")
+        )
+        self.sizes = {}
+        for r in stats.collect():
+            key = tuple(r[c] for c in by)
+            if key not in self.sizes:
+                self.sizes[key] = np.tile([[0.0], [np.inf], [-np.inf]], len(pivots[key]))
+            self.sizes[key][:, r[CELL]] = r["n"], r["low"], r["high"]
+
+    def _deal(self):
+        shared, by = self.shared, self.by
+
+        def deal(batches):
+            for pdf in batches:
+                for key, rows in pdf.groupby(by) if by else [((), pdf)]:
+                    if key in shared.value:
+                        far, _ = _to_pivots(rows, shared.value[key])
+                        cell = far.argmin(axis=1)
+                        yield rows.assign(**{CELL: cell.astype(np.int32), "__reach": far[np.arange(len(rows)), cell]})
+                    else:
+                        yield rows.assign(**{CELL: np.int32(-1), "__reach": 0.0})
+
+        return deal
+
+    def _visits(self, q: DataFrame, choose) -> DataFrame:
+        """A row for each query and cell that ``choose(rows, distances, slack, sizes)``, a boolean matrix, names."""
+        shared, by, sizes = self.shared, self.by, self.sizes
+        names = [c for c in q.columns if c != "__far"]
+
+        def visit(batches):
+            for pdf in batches:
+                for key, rows in pdf.groupby(by) if by else [((), pdf)]:
+                    if key in sizes:
+                        far, slack = _to_pivots(rows, shared.value[key])
+                        i, cell = np.nonzero(choose(rows, far, slack, sizes[key]))
+                        yield rows[names].iloc[i].assign(**{CELL: cell.astype(np.int32)})
+                    elif not choose.later:
+                        yield rows[names].assign(**{CELL: np.int32(-1)})
+
+        return q.mapInPandas(visit, _widened(q.select(*names), (CELL, T.IntegerType())))
+
+    def home(self, q: DataFrame, enough: int) -> DataFrame:
+        """Queries with the nearest cells that hold ``enough`` rows together."""
+
+        def choose(rows, far, slack, sizes):
+            return _nearest_cells(far, sizes, enough)
+
+        choose.later = False
+        return self._visits(q, choose)
+
+    def others(self, q: DataFrame, enough: int) -> DataFrame:
+        """Queries with the other cells that may hold a row within ``__far``, where NULL is any distance."""
+
+        def choose(rows, far, slack, sizes):
+            limit = rows["__far"].to_numpy(dtype=float)
+            limit = np.where(np.isnan(limit), np.inf, limit)[:, None] + slack
+            n, low, high = sizes
+            least = np.maximum(far - high, low - far)
+            return (least <= limit) & (n > 0) & ~_nearest_cells(far, sizes, enough)
+
+        choose.later = True
+        return self._visits(q, choose)
+
+
+def _widened(df: DataFrame, *fields: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([*df.schema.fields, *[T.StructField(n, t) for n, t in fields]])
+
+
+def _to_pivots(rows: pd.DataFrame, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distances of rows to pivots, and a bound of their error and that of a cell's range."""
+    v = _matrix(rows["__v"])
+    sq, sq_p = (v * v).sum(axis=1)[:, None], (pivots * pivots).sum(axis=1)[None, :]
+    far = np.sqrt(np.maximum(sq + sq_p - 2.0 * (v @ pivots.T), 0.0))
+    return far, 1e-5 * (1.0 + np.sqrt(sq) + np.sqrt(sq_p.max()))
+
+
+def _nearest_cells(far: np.ndarray, sizes: np.ndarray, enough: int) -> np.ndarray:
+    """The nearest cells of each row that hold ``enough`` rows together."""
+    order = np.argsort(far, axis=1, kind="stable")
+    before = np.cumsum(sizes[0][order], axis=1) - sizes[0][order]
+    chosen = np.zeros(far.shape, bool)
+    np.put_along_axis(chosen, order, before < enough, axis=1)
+    return chosen & (sizes[0] > 0)
+
+
 def _blocked(q: DataFrame, lib: DataFrame, g: list[str], dim: int, search, schema: str) -> DataFrame:
     block = max(1, BLOCK_BYTES // (8 * dim))
     cells = lib.groupBy(*g).agg(F.ceil(F.count(F.lit(1)) / block).alias("__nl"))
@@ -155,7 +289,7 @@ def _blocked(q: DataFrame, lib: DataFrame, g: list[str], dim: int, search, schem
     qs = spread(q, "__nq", "__nl", "__q")
     ls = spread(lib, "__nl", "__nq", "neighbor_id")
     cell = [*g, "__nq_b", "__nl_b"]
-    return qs.groupBy(*cell).cogroup(ls.groupBy(*cell)).applyInPandas(search, schema)
+    return qs.groupBy(*cell).cogroup(ls.groupBy(*cell)).applyInPandas(lambda left, right: search(left, right), schema)
 
 
 def vote(

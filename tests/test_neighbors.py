@@ -130,3 +130,40 @@ def test_a_bad_window_takes_no_other_with_it(spark):
     assert [i for i, r in sorted(out.items()) if r.embedding is None] == [3, 8, 9]
     assert out[3].encode_error == "ValueError: negative" and out[8].encode_error == "no samples" and out[0].encode_error is None
     assert np.allclose(out[1].embedding[0], 2.0)
+
+
+def test_cells_rule_out_what_is_far(spark, monkeypatch):
+    """Twenty clusters: exact, and a query visits few of the cells; ids, copies and one asset without a pivot."""
+    monkeypatch.setattr(neighbors, "BLOCK_BYTES", 8 * 3 * 40)
+    rng = np.random.default_rng(9)
+    centres = rng.uniform(-1000, 1000, (20, 3))
+    x = np.repeat(centres, 60, axis=0) + rng.standard_normal((1200, 3))
+    x[:60] = x[0]
+    lib, q = table(spark, x), table(spark, x[::10], ids=range(0, 1200, 10))
+    near = neighbors.knn(q, lib, 5, query_id="id", library_id="id", broadcast_bytes=0)
+    got, want = collected(near), brute(x[::10], x, 5, False)
+    assert got == {10 * i: v for i, v in want.items()}
+    plain = lib.select(F.col("id").alias("neighbor_id"), neighbors.doubles("features").alias("__v"))
+    cells = neighbors.Cells(plain, [], 1200, 3)
+    n_cells = cells.library.select("__cell").distinct().count()
+    asked = q.select(F.col("id").alias("__q"), neighbors.doubles("features").alias("__v"))
+    far = near.groupBy(F.col("id").alias("__q")).agg(F.max("distance").alias("__far"))
+    visits = cells.home(asked, 5).count() + cells.others(asked.join(far, "__q"), 5).count()
+    assert n_cells > 40 and visits < 120 * n_cells / 5, (visits, n_cells)
+    # Without a bound no cell is ruled out.
+    assert cells.others(asked.withColumn("__far", F.lit(None).cast("double")), 5).count() + cells.home(asked, 5).count() == 120 * n_cells
+
+
+def test_nearest_in_blocks_of_queries(monkeypatch):
+    """The matrix product only proposes: huge offsets, ties and own rows."""
+    monkeypatch.setattr(neighbors, "SCRATCH", 500)
+    rng = np.random.default_rng(3)
+    for offset in (0.0, 1e7):
+        x = np.round(rng.standard_normal((80, 2)) * 2) + offset
+        ids = rng.permutation(80)
+        r, c, d = neighbors.nearest(x, ids, x, ids, 3, True)
+        for i in range(80):
+            e = np.sqrt(((x - x[i]) ** 2).sum(1))
+            e[i] = np.inf
+            order = np.lexsort((ids, e))[:3]
+            assert list(c[r == i]) == list(order) and list(d[r == i]) == list(e[order])
