@@ -7,8 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sensorspark.session import cut
+
 ACCURACY = 100_000
 MAX_VALUES = 200_000
+# Rows of a group that may lie in its bracket before it is narrowed further.
+IN_BRACKET = 100_000
+GRID = 1_000
+MAX_BROADCAST_GROUPS = 200_000
 
 
 def exact_quantile(
@@ -16,8 +22,11 @@ def exact_quantile(
 ) -> DataFrame:
     """Linear-interpolated quantile per key, plus the number of values as ``n``.
 
-    A mergeable sketch brackets the wanted rank, everything below the bracket is
-    only counted, and only the few distinct values inside it are ranked.
+    A mergeable sketch brackets the wanted rank of every group, everything below the bracket
+    is only counted, and only the few distinct values inside it are ranked.  Where a group is
+    so large that many rows may lie inside, the brackets of all such groups are narrowed
+    together, round by round, until none holds more than ``IN_BRACKET`` rows that differ
+    from its ends.
     """
     rows = df.select(*keys, F.col(value).alias("__v")).filter(F.col("__v").isNotNull())
     slack = 2.0 / ACCURACY
@@ -36,16 +45,63 @@ def exact_quantile(
         F.when(short, F.col("__min")).otherwise(F.col("__lo")).alias("__lo"),
         F.when(short, F.col("__max")).otherwise(F.col("__hi")).alias("__hi"),
     )
-    return _at_ranks(rows, bounds, keys, q, name)
+    bounds = cut(bounds)
+    groups = bounds.agg(F.count(F.lit(1)).alias("n"), F.max("n").alias("most")).first()
+    small = groups["n"] <= MAX_BROADCAST_GROUPS
+    # The sketch is off by a share of the rows: only groups above this may have wide brackets.
+    if (groups["most"] or 0) * 3 * slack > IN_BRACKET:
+        bounds = _narrowed(rows, bounds, keys, q, small)
+    return _at_ranks(rows, bounds, keys, q, name, small)
+
+
+def _with_bounds(rows: DataFrame, bounds: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
+    """Rows with the bounds of their group; rows stay where they are unless there are very many groups."""
+    if not keys:
+        return rows.join(F.broadcast(bounds))
+    # A struct never is NULL, so the group of a NULL key meets its bounds as well.
+    side = bounds.select(F.struct(*keys).alias("__k"), *[c for c in bounds.columns if c not in keys])
+    return rows.withColumn("__k", F.struct(*keys)).join(F.broadcast(side) if small else side, "__k").drop("__k")
 
 
-def _at_ranks(rows: DataFrame, bounds: DataFrame, keys: Sequence[str], q: float, name: str) -> DataFrame:
-    if keys:
-        # A struct never is NULL, so the group of a NULL key meets its bounds as well.
-        side = bounds.select(F.struct(*keys).alias("__k"), *[c for c in bounds.columns if c not in keys])
-        tagged = rows.withColumn("__k", F.struct(*keys)).join(side, "__k").drop("__k")
-    else:
-        tagged = rows.join(F.broadcast(bounds))
+def _narrowed(rows: DataFrame, bounds: DataFrame, keys: Sequence[str], q: float, small: bool) -> DataFrame:
+    """``bounds`` with brackets that hold few rows strictly inside, or are one value.
+
+    Each round counts the rows below, at and between the ends of every bracket, and takes
+    a grid of quantiles of those between; all of it combines before the shuffle.
+    """
+    v, lo, hi = F.col("__v"), F.col("__lo"), F.col("__hi")
+    k = F.floor(F.lit(q) * (F.col("n") - 1))
+    grid = [i / GRID for i in range(GRID + 1)]
+    done = None
+    while True:
+        inside = F.when((v > lo) & (v < hi), v)
+        counted = cut(
+            _with_bounds(rows, bounds.drop("__min", "__max"), keys, small)
+            .groupBy(*keys, "n", "__lo", "__hi")
+            .agg(
+                F.count_if(v < lo).alias("__low"),
+                F.count_if(v == lo).alias("__at_lo"),
+                F.count(inside).alias("__mid"),
+                F.percentile_approx(inside, grid, 20 * GRID).alias("__grid"),
+            )
+        )
+        first = F.col("__low") + F.col("__at_lo")
+        # The wanted rank among the rows between the ends, and the places around it on the grid.
+        share = (k - first) / F.greatest(F.col("__mid"), F.lit(1)) * GRID
+        at = lambda place: F.try_element_at("__grid", F.least(F.greatest(place, F.lit(1)), F.lit(GRID + 1)).cast("int"))
+        between = (k >= first) & (k < first + F.col("__mid"))
+        low = F.when(k < first, lo).when(between, at(F.floor(share) - 1 + 1)).otherwise(hi)
+        high = F.when(k < first, lo).when(between, at(F.ceil(share) + 1 + 1)).otherwise(hi)
+        wide = F.col("__mid") > IN_BRACKET
+        ready = counted.filter(~wide).select(*keys, "n", "__lo", "__hi")
+        done = ready if done is None else done.unionByName(ready)
+        bounds = cut(counted.filter(wide).select(*keys, "n", low.alias("__lo"), high.alias("__hi")))
+        if bounds.isEmpty():
+            return done
+
+
+def _at_ranks(rows: DataFrame, bounds: DataFrame, keys: Sequence[str], q: float, name: str, small: bool) -> DataFrame:
+    tagged = _with_bounds(rows, bounds, keys, small)
     counted = tagged.groupBy(
         *keys,
         "n",
@@ -54,8 +110,8 @@ def _at_ranks(rows: DataFrame, bounds: DataFrame, keys: Sequence[str], q: float,
         .otherwise(F.col("__v"))
         .alias("__v"),
         (F.col("__v") < F.col("__lo")).alias("__below"),
-    ).agg(F.count(F.lit(1)).alias("__c"))
-    # Values above the bracket sort last, those below it first.
+    ).agg(F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__least"))
+    # Values above the bracket sort last, those below it first; of those above the least may be wanted.
     rank = (
         Window.partitionBy(*keys)
         .orderBy(F.col("__below").desc(), F.col("__v").asc_nulls_last())
@@ -66,7 +122,8 @@ def _at_ranks(rows: DataFrame, bounds: DataFrame, keys: Sequence[str], q: float,
 
     def pick(k: Column) -> Column:
         hit = (F.col("__upto") > k) & (F.col("__upto") - F.col("__c") <= k)
-        return F.max(F.when(hit, F.col("__v").cast("double")))
+        above = F.when(~F.col("__below") & (F.col("__upto") - F.col("__c") == k), F.col("__least"))
+        return F.max(F.when(hit, F.coalesce("__v", above).cast("double")))
 
     out = ranked.groupBy(*keys, "n").agg(pick(F.floor(at)).alias("__a"), pick(F.ceil(at)).alias("__b"))
     low, high = F.col("__a"), F.col("__b")
@@ -80,13 +137,14 @@ def _at_ranks(rows: DataFrame, bounds: DataFrame, keys: Sequence[str], q: float,
 def _value_at(rows: DataFrame, column: str, k: int, n: int):
     """The value of ``column`` at 0-based rank ``k`` of ``n`` rows and how many are below it.
 
-    A sketch narrows the range until few distinct values are left; copies of a value are
-    counted together, so ties of any size cost one row.
+    A sketch narrows the range until few rows are left between its ends; copies of the ends
+    are only counted, so ties of any size cost nothing, and no distinct values are shuffled
+    before there are few.
     """
     below, inside = 0, rows.select(column)
     while True:
-        counts = inside.groupBy(column).count().limit(MAX_VALUES + 1).collect()
-        if len(counts) <= MAX_VALUES:
+        if n <= MAX_VALUES:
+            counts = inside.groupBy(column).count().collect()
             for value, c in sorted(counts):
                 if below + c > k:
                     return value, below

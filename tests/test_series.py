@@ -174,3 +174,40 @@ def test_scans_of_placed_rows_move_nothing(spark):
             below = [x for d, x in lines[i + 1 :] if d > depth][:3]
             assert not any("other#" in x for x in below), plan
     assert second.agg(F.max("c")).first()[0] > 1000
+
+
+def test_brackets_are_narrowed_for_all_groups_at_once(spark, monkeypatch):
+    """A hot group of distinct values, one of ties, a small one and a NULL key; coarse sketches need several rounds."""
+    from sensorspark.plans import ranks
+
+    monkeypatch.setattr(ranks, "ACCURACY", 200)
+    monkeypatch.setattr(ranks, "IN_BRACKET", 30)
+    monkeypatch.setattr(ranks, "GRID", 10)
+    hot = spark.range(30_000).select(F.lit("hot").alias("k"), F.pmod(F.xxhash64("id"), F.lit(10**9)).alias("v"))
+    ties = spark.range(9_000).select(F.lit("ties").alias("k"), F.when(F.col("id") % 3 == 0, F.pmod(F.xxhash64("id"), F.lit(900))).otherwise(450).alias("v"))
+    rest = spark.range(5_000).select(F.lit(None).cast("string").alias("k"), F.col("id").alias("v"))
+    df = hot.unionByName(ties).unionByName(rest).unionByName(spark.createDataFrame([("few", 1), ("few", 4)], "k string, v long"))
+    for q in (0.5, 0.9371, 0.0, 1.0):
+        got = {r["k"]: r["quantile"] for r in exact_quantile(df, ["k"], "v", q).collect()}
+        want = {r["k"]: r["p"] for r in df.groupBy("k").agg(F.percentile("v", q).alias("p")).collect()}
+        assert got == pytest.approx(want)
+        assert exact_quantile(df, [], "v", q).first()["quantile"] == pytest.approx(df.agg(F.percentile("v", q)).first()[0])
+    # No group has more than a few rows left to rank.
+    bounds = df.groupBy("k").agg(F.count("*").alias("n"), F.min("v").alias("__lo"), F.max("v").alias("__hi"))
+    rows = df.withColumnRenamed("v", "__v")
+    narrow = ranks._narrowed(rows, bounds, ["k"], 0.5, True)
+    inside = ranks._with_bounds(rows, narrow, ["k"], True).filter("__v > __lo and __v < __hi").groupBy("k").count()
+    assert narrow.count() == 4 and (inside.agg(F.max("count")).first()[0] or 0) <= 30
+
+
+def test_a_cut_shuffles_no_distinct_values(spark, monkeypatch):
+    from sensorspark.plans import ranks
+
+    monkeypatch.setattr(ranks, "MAX_VALUES", 100)
+    seen = []
+    real = type(spark.range(1)).groupBy
+    monkeypatch.setattr(type(spark.range(1)), "groupBy", lambda self, *c: (c and seen.append(self.count()), real(self, *c))[1])
+    df = spark.range(20_000).select(F.pmod(F.xxhash64("id"), F.lit(10**9)).alias("v"))
+    values = sorted(x.v for x in df.collect())
+    assert order_statistic(df, ["v"], 14_000, 20_000) == (values[14_000],)
+    assert max(seen, default=0) <= 100
