@@ -39,6 +39,16 @@ def drop_sensors(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.drop(*names)
 
 
+def join_on(left: DataFrame, right: DataFrame, keys: Iterable[str], how: str = "inner") -> DataFrame:
+    """Join a table of one row per key; a NULL key meets itself, and without keys ``right`` is one row."""
+    keys = list(keys)
+    if not keys:
+        return left.join(F.broadcast(right), how=how)
+    # A struct never is NULL.
+    side = right.select(F.struct(*keys).alias("__on"), *[c for c in right.columns if c not in keys])
+    return left.withColumn("__on", F.struct(*keys)).join(side, "__on", how).drop("__on")
+
+
 def missing(df: DataFrame, name: str) -> Column:
     """True where the value is NULL, or NaN in a floating column."""
     c = F.col(name)

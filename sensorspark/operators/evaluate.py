@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorspark.columns import MICROS, micros, truthy
+from sensorspark.columns import MICROS, join_on, micros, truthy
 from sensorspark.operators.windows import trailing_counts
-from sensorspark.plans.series import explode_range, plan_layout, scan
+from sensorspark.plans.series import plan_layout, scan
 
 AXIS = "__us"
 INVALID_STATE = "INVALID_STATE"
@@ -249,30 +249,48 @@ def episodes(
     )
 
 
-def detect_incidents(
-    found: DataFrame, alarms: DataFrame, keys: Sequence[str] = (), *, bucket_rows: int = 4096
-) -> DataFrame:
+def detect_incidents(found: DataFrame, alarms: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Each episode with the predicted fault windows ``[lo, hi)`` that overlap it.
 
-    The overlap join is an equi join on row buckets.  A pair that shares several buckets
-    is kept only in the first, and counts are combined before the final shuffle, so
-    neither a long episode nor a busy one needs its own task.
+    No pair of an episode and a window is made.  A window overlaps ``[row_from, row_to)`` unless
+    it begins at ``row_to`` or later or ends at ``row_from`` or before, so their number is the
+    difference of two running counts.  The first to end after ``row_from`` is the first alarm
+    if it ends by ``row_to``; otherwise the first alarm is the earliest end among the windows
+    around ``row_to``, which the windows leave at the nodes of a binary tree over the rows.
     """
-
-    def bucket(c: Column) -> Column:
-        return F.floor(c / bucket_rows)
-
-    a = explode_range(found, "__b", bucket(F.col("row_from")), bucket(F.col("row_to") - 1))
-    w = explode_range(alarms.select(*keys, "lo", "hi"), "__b", bucket(F.col("lo")), bucket(F.col("hi") - 1))
-    first_shared = bucket(F.greatest("row_from", "lo"))
-    overlap = (F.col("lo") < F.col("row_to")) & (F.col("row_from") < F.col("hi")) & (F.col("__b") == first_shared)
-    hits = (
-        a.join(w, [*keys, "__b"])
-        .filter(overlap)
-        .groupBy(*keys, "row_from")
-        .agg(F.count(F.lit(1)).alias("n_windows"), (F.min("hi") - 1).alias("first_row"))
+    on = [*keys, "row_from"]
+    none = F.lit(None).cast("long")
+    windows = alarms.select(*keys, F.col("lo").cast("long").alias("lo"), F.col("hi").cast("long").alias("hi"))
+    ends = found.select(*keys, "row_from", "row_to")
+
+    def events(df: DataFrame, at: str, side: int, opens: Column, closes: Column, end: Column, row_from: Column) -> DataFrame:
+        return df.select(
+            *keys, F.col(at).cast("long").alias("__at"), F.lit(side).cast("long").alias("__side"), opens.alias("__opens"),
+            closes.alias("__closes"), end.alias("__hi"), row_from.alias("row_from"), F.lit(at).alias("__kind"),
+        )
+
+    # At one row: windows that end come first, then episodes, then windows that begin; windows alike count once.
+    zero, n = F.lit(0).cast("long"), F.col("__n")
+    closing = windows.groupBy(*keys, "hi").agg(F.count(F.lit(1)).alias("__n"))
+    opening = windows.groupBy(*keys, "lo").agg(F.count(F.lit(1)).alias("__n"))
+    both = events(closing, "hi", 0, zero, n, F.col("hi"), none).unionByName(events(opening, "lo", 2, n, zero, none, none))
+    for at in ("row_from", "row_to"):
+        both = both.unionByName(events(ends, at, 1, zero, zero, none, F.col("row_from").cast("long")))
+    lay = plan_layout(both, keys, "__at", ["__side"], first_width=1 << 22)
+    seen = scan(
+        both, lay, total={"__begun": F.col("__opens"), "__ended": F.col("__closes")}, after={"__next": F.col("__hi")}, at=False
     )
-    out = found.join(hits, [*keys, "row_from"], "left")
+    begins = F.col("__kind") == "row_from"
+    counted = lay.detach(seen).filter("__side = 1").groupBy(*on).agg(
+        (F.max(F.when(~begins, F.col("__begun"))) - F.max(F.when(begins, F.col("__ended")))).alias("n_windows"),
+        F.max(F.when(begins, F.col("__next")["v"])).alias("__next"),
+    )
+    out = join_on(found, counted, on, "left")
+    late = (F.col("n_windows") > 0) & (F.col("__next") > F.col("row_to"))
+    around = _earliest_end(windows, out.filter(late).select(*on, "row_to"), keys)
+    out = join_on(out, around, on, "left")
+    first = F.when(F.col("n_windows") > 0, F.when(late, F.col("__around")).otherwise(F.col("__next"))) - 1
+    out = out.withColumn("first_row", first).drop("__next", "__around")
     return out.withColumns(
         {
             "n_windows": F.coalesce(F.col("n_windows"), F.lit(0).cast("long")),
@@ -282,6 +300,25 @@ def detect_incidents(
     )
 
 
+def _earliest_end(windows: DataFrame, episodes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``(keys, row_from, __around)``: the least ``hi`` of the windows with ``lo < row_to < hi``.
+
+    The rows ``lo + 1 .. hi - 1`` of a window are at most two nodes on each level of a binary
+    tree; ``row_to`` lies in one node on each level, so both sides meet in an equality join.
+    """
+    longest = windows.agg(F.max(F.col("hi") - F.col("lo"))).first()[0] or 0
+    levels = F.sequence(F.lit(0), F.lit(max(0, longest.bit_length() - 1)))
+    left = lambda k: F.expr(f"(lo + 1 + shiftleft(1L, {k}) - 1) div shiftleft(1L, {k})")
+    nodes = windows.filter("hi > lo + 1").withColumn("__level", F.explode(levels))
+    nodes = nodes.withColumns({"__l": left("__level"), "__r": F.expr("hi div shiftleft(1L, __level)")}).filter("__l < __r")
+    taken = F.array_compact(
+        F.array(F.when(F.col("__l") % 2 == 1, F.col("__l")), F.when(F.col("__r") % 2 == 1, F.col("__r") - 1))
+    )
+    nodes = nodes.withColumn("__node", F.explode(taken)).groupBy(*keys, "__level", "__node").agg(F.min("hi").alias("__around"))
+    asked = episodes.withColumn("__level", F.explode(levels)).withColumn("__node", F.expr("row_to div shiftleft(1L, __level)"))
+    return join_on(asked, nodes, [*keys, "__level", "__node"]).groupBy(*keys, "row_from").agg(F.min("__around").alias("__around"))
+
+
 def agreement(
     a: DataFrame, b: DataFrame, on: Sequence[str], *, label: str, score: str, noise_floor: float = 1e-4
 ) -> DataFrame:

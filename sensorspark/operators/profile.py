@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorspark.columns import MICROS, micros, missing
-from sensorspark.plans.ranks import exact_quantile
+from sensorspark.columns import MICROS, join_on, micros, missing
+from sensorspark.plans.ranks import weighted_quantile
 from sensorspark.plans.series import plan_layout, scan
 from sensorspark.session import cut
 
@@ -44,21 +44,32 @@ def sorted_in_source(df: DataFrame, timestamp: str, ordinal: str, keys: Sequence
 
 
 def _steps(df: DataFrame, timestamp: str, keys: Sequence[str]) -> DataFrame:
+    """The instants of every series with the number of rows there, ``n``, and the step that leads there.
+
+    Rows of one instant are counted before any row moves, so a burst is one row.
+    """
     rows = df.select(*keys, micros(df, timestamp).alias(AXIS)).filter(F.col(AXIS).isNotNull())
     lay = plan_layout(rows, keys, AXIS)
-    seen = scan(rows, lay, lag={"starts_us": F.col(AXIS)}).filter(F.col("starts_us").isNotNull())
+    instants = rows.groupBy(*keys, AXIS).agg(F.count(F.lit(1)).alias("n"))
+    seen = scan(instants, lay, lag={"starts_us": F.col(AXIS)})
     return seen.select(
-        *keys, "starts_us", F.col(AXIS).alias("ends_us"), (F.col(AXIS) - F.col("starts_us")).alias("delta_us")
+        *keys, "starts_us", F.col(AXIS).alias("ends_us"), (F.col(AXIS) - F.col("starts_us")).alias("delta_us"), "n"
     )
 
 
 def deltas(df: DataFrame, timestamp: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Steps between sorted unique instants: ``starts_us``, ``ends_us``, ``delta_us``.
+    """Steps between sorted unique instants: ``starts_us``, ``ends_us``, ``delta_us``."""
+    return _steps(df, timestamp, keys).filter(F.col("starts_us").isNotNull()).drop("n")
+
+
+def delta_counts(df: DataFrame, timestamp: str, keys: Sequence[str] = ()) -> DataFrame:
+    """How often each step occurs: ``delta_us, n_steps, n_repeats``; the first instants have no step.
 
-    In time order a repeated instant shows as a step of 0, so no distinct is needed.
-    The narrow result is written once because its readers go over it several times.
+    ``n_repeats`` counts the rows beyond one at the instants behind the steps.  All figures of
+    the steps follow from this table, which is written once; regular series have few steps.
     """
-    return cut(_steps(df, timestamp, keys).filter(F.col("delta_us") > 0))
+    steps = _steps(df, timestamp, keys)
+    return cut(steps.groupBy(*keys, "delta_us").agg(F.count(F.lit(1)).alias("n_steps"), F.sum(F.col("n") - 1).alias("n_repeats")))
 
 
 def sampling(
@@ -74,9 +85,8 @@ def sampling(
     A gap is a step strictly above ``gap_multiplier`` times the median step.  A series
     with fewer than two instants has NULL sampling columns.
     """
-    on = list(keys)
-    all_steps = cut(_steps(df, timestamp, keys))
-    steps = all_steps.filter(F.col("delta_us") > 0)
+    counted = delta_counts(df, timestamp, keys)
+    steps = counted.filter(F.col("delta_us").isNotNull())
     rows = df.select(*keys, micros(df, timestamp).alias(AXIS))
     # Missing instants repeat each other: all but the first are duplicates.
     counts = rows.groupBy(*keys).agg(
@@ -85,20 +95,22 @@ def sampling(
         F.min(AXIS).alias("min_us"),
         F.max(AXIS).alias("max_us"),
     )
-    repeats = all_steps.groupBy(*keys).agg(F.count_if(F.col("delta_us") == 0).alias("__repeats"))
-    median = exact_quantile(steps, keys, "delta_us", 0.5, "median_us").drop("n")
-    with_median = steps.join(median, on) if on else steps.join(F.broadcast(median))
-    is_gap = F.col("delta_us") > F.lit(gap_multiplier) * F.col("median_us")
-    stats = with_median.groupBy(*keys, "median_us").agg(
+    repeats = counted.groupBy(*keys).agg(F.sum("n_repeats").alias("__repeats"))
+    c, delta = F.col("n_steps"), F.col("delta_us")
+    mean = (F.sum(c * delta) / F.sum(c)).alias("__mean")
+    base = join_on(weighted_quantile(steps, keys, "delta_us", "n_steps", 0.5, "median_us"), steps.groupBy(*keys).agg(mean), keys)
+    is_gap = delta > F.lit(gap_multiplier) * F.col("median_us")
+    off = (delta - F.col("__mean")) / MICROS
+    stats = join_on(steps, base, keys).groupBy(*keys, "median_us", "n").agg(
         (F.min("delta_us") / MICROS).alias("min_delta_s"),
         (F.max("delta_us") / MICROS).alias("max_delta_s"),
-        F.stddev_samp(F.col("delta_us") / MICROS).alias("__sd"),
-        F.count_if(is_gap).alias("gap_count"),
-        F.coalesce(F.sum(F.when(is_gap, F.col("delta_us"))) / MICROS, F.lit(0.0)).alias("gap_total_s"),
+        F.sqrt(F.sum(c * off * off) / F.when(F.col("n") > 1, F.col("n") - 1)).alias("__sd"),
+        F.coalesce(F.sum(F.when(is_gap, c)), F.lit(0).cast("long")).alias("gap_count"),
+        F.coalesce(F.sum(F.when(is_gap, c * delta)) / MICROS, F.lit(0.0)).alias("gap_total_s"),
     )
     out = counts
-    for part in (repeats, stats):
-        out = out.join(part, on, "left") if on else out.join(F.broadcast(part), how="left")
+    for part in (repeats, stats.drop("n")):
+        out = join_on(out, part, keys, "left")
     return out.select(
         *keys,
         "n_rows",
@@ -120,12 +132,9 @@ def top_gaps(
     df: DataFrame, timestamp: str, keys: Sequence[str] = (), *, gap_multiplier: float = 2.0, top_n: int = 5
 ) -> DataFrame:
     """The ``top_n`` largest gaps of each series, ``gap_rank`` 1 being the largest."""
-    steps = deltas(df, timestamp, keys)
-    median = exact_quantile(steps, keys, "delta_us", 0.5, "median_us").drop("n")
-    on = list(keys)
-    gaps = (steps.join(median, on) if on else steps.join(F.broadcast(median))).filter(
-        F.col("delta_us") > F.lit(gap_multiplier) * F.col("median_us")
-    )
+    counted = delta_counts(df, timestamp, keys).filter(F.col("delta_us").isNotNull())
+    median = weighted_quantile(counted, keys, "delta_us", "n_steps", 0.5, "median_us").drop("n")
+    gaps = join_on(deltas(df, timestamp, keys), median, keys).filter(F.col("delta_us") > F.lit(gap_multiplier) * F.col("median_us"))
     # Spark keeps only the first top_n rows per group on the map side as well.
     w = Window.partitionBy(*keys).orderBy(F.col("delta_us").desc(), F.col("starts_us"))
     return (
@@ -194,11 +203,17 @@ def nulls(
     return long.withColumn("pct_null", pct)
 
 
+def columns_with_nulls(profile: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """How many columns of each series miss a value, and which, from the result of :func:`nulls`."""
+    names = F.array_sort(F.collect_list(F.when(F.col("n_null") > 0, F.col("column"))))
+    return profile.groupBy(*keys).agg(F.count_if(F.col("n_null") > 0).alias("n_columns"), names.alias("columns"))
+
+
 def diagnose(
     df: DataFrame, timestamp: str, keys: Sequence[str] = (), *, expected_seconds: float = 60.0,
     gap_multiplier: float = 2.0, top_n: int = 5,
 ) -> dict[str, DataFrame]:
-    """The whole report as small tables: ``axis, sampling, gaps, nulls``; the input is unchanged.
+    """The whole report as small tables: ``axis, sampling, gaps, nulls, columns_with_nulls``; the input is unchanged.
 
     Without a usable time column only ``axis`` is there.
     """
@@ -210,6 +225,7 @@ def diagnose(
     report["sampling"] = sampling(df, timestamp, keys, expected_seconds=expected_seconds, gap_multiplier=gap_multiplier)
     report["gaps"] = top_gaps(df, timestamp, keys, gap_multiplier=gap_multiplier, top_n=top_n)
     report["nulls"] = nulls(df, timestamp, keys)
+    report["columns_with_nulls"] = columns_with_nulls(report["nulls"], keys)
     return report
 
 
@@ -217,15 +233,14 @@ def delta_histogram(
     df: DataFrame, timestamp: str, keys: Sequence[str] = (), *, bins: int = 50
 ) -> DataFrame:
     """Equal-width histogram of the steps; the last bin includes its upper edge."""
-    steps = deltas(df, timestamp, keys)
-    on = list(keys)
+    steps = delta_counts(df, timestamp, keys).filter(F.col("delta_us").isNotNull())
     span = steps.groupBy(*keys).agg(F.min("delta_us").alias("__lo"), F.max("delta_us").alias("__hi"))
-    both = steps.join(span, on) if on else steps.join(F.broadcast(span))
+    both = join_on(steps, span, keys)
     width = (F.col("__hi") - F.col("__lo")) / F.lit(bins)
     index = F.when(width > 0, F.least(F.floor((F.col("delta_us") - F.col("__lo")) / width), F.lit(bins - 1)))
     return (
         both.groupBy(*keys, F.coalesce(index, F.lit(0)).cast("long").alias("bin"), "__lo", "__hi")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n_steps").alias("n"))
         .select(
             *keys,
             "bin",

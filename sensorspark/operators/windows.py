@@ -12,8 +12,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorspark.columns import MICROS, micros
+from sensorspark.columns import MICROS, join_on, micros
 from sensorspark.plans.series import explode_range, plan_layout, scan, with_halo
+from sensorspark.session import cut
 
 AXIS = "__us"
 
@@ -332,35 +333,34 @@ def plan_chunks(
     """Chunks of long recordings, cut on keyframes and stepped from each actual start.
 
     A chunk starts at the last keyframe at or before the previous start plus
-    ``chunk_s - overlap_s``; without such a keyframe it starts at the next one.  The
-    recurrence is sequential per recording, so it walks the sorted keyframe times (two
-    columns of metadata) with constant state and holds no group in memory.
+    ``chunk_s - overlap_s``; without such a keyframe it starts at the next one.  Every keyframe
+    gets a pointer to the start that would follow it, by an as-of lookup; the starts that are
+    really reached are found by doubling: pointers of 1, 2, 4, .. steps take the known starts
+    on, so a recording of any length is cut in a logarithmic number of joins.
     """
     stride = chunk_s - overlap_s
-
-    def walk(batches):
-        import pandas as pd
-
-        current, number, start, previous = None, 0, 0.0, None
-        for pdf in batches:
-            out = []
-            for name, t in zip(pdf[clip], pdf[at]):
-                if name != current:
-                    current, number, start, previous = name, 0, t, t
-                    out.append((name, 0, t))
-                    continue
-                while t > start + stride and previous is not None and previous > start:
-                    number, start = number + 1, previous
-                    out.append((name, number, start))
-                if t > start + stride:
-                    number, start = number + 1, t
-                    out.append((name, number, t))
-                previous = t
-            yield pd.DataFrame(out, columns=[clip, "chunk", "start_s"]).astype({"chunk": "int64", "start_s": "float64"})
-
-    kind = keyframes.schema[clip].dataType.simpleString()
-    ordered = (
-        keyframes.select(clip, F.col(at).cast("double").alias(at)).repartition(clip).sortWithinPartitions(clip, at)
-    )
-    starts = ordered.mapInPandas(walk, f"{clip} {kind}, chunk long, start_s double")
-    return starts.withColumn("end_s", F.col("start_s") + chunk_s)
+    clips = [clip]
+    frames = keyframes.select(clip, F.col(at).cast("double").alias("__t")).filter(F.col("__t").isNotNull()).distinct()
+    axis = lambda t: F.floor(t * MICROS).cast("long").alias(AXIS)
+    known = frames.select(clip, axis(F.col("__t")), "__t", F.lit(0).alias("__side"), F.col("__t").alias("__frame"))
+    asks = frames.select(
+        clip, axis(F.col("__t") + stride), (F.col("__t") + stride).alias("__t"), F.lit(1).alias("__side"), F.lit(None).cast("double").alias("__frame"),
+        F.col("__t").alias("__from"),
+    )
+    both = known.unionByName(asks, allowMissingColumns=True)
+    lay = plan_layout(both, clips, AXIS, ["__t", "__side"])
+    frame = F.col("__frame")
+    seen = lay.detach(scan(both, lay, upto={"__last": frame}, after={"__next": frame}, at=False)).filter("__side = 1")
+    last, following = F.col("__last")["v"], F.col("__next")["v"]
+    # Nothing follows where no keyframe lies beyond the stride.
+    target = F.when(following.isNull(), F.lit(None)).when(last > F.col("__from"), last).otherwise(following)
+    jumps = cut(seen.select(clip, "__from", target.alias("__to")).filter(F.col("__to").isNotNull()))
+    starts = cut(frames.groupBy(clip).agg(F.min("__t").alias("__from")).withColumn("chunk", F.lit(0).cast("long")))
+    length = 1
+    while not jumps.isEmpty():
+        reached = join_on(starts, jumps, [clip, "__from"]).select(clip, F.col("__to").alias("__from"), (F.col("chunk") + length).alias("chunk"))
+        starts = cut(starts.unionByName(reached))
+        onward = jumps.select(clip, F.col("__from").alias("__to"), F.col("__to").alias("__end"))
+        jumps = cut(join_on(jumps, onward, [clip, "__to"]).select(clip, "__from", F.col("__end").alias("__to")))
+        length *= 2
+    return starts.select(clip, "chunk", F.col("__from").alias("start_s"), (F.col("__from") + chunk_s).alias("end_s"))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sensorspark.columns import join_on
+from sensorspark.plans.series import plan_layout, scan
 from sensorspark.session import cut
 
 ACCURACY = 100_000
@@ -54,6 +56,27 @@ def exact_quantile(
     return _at_ranks(rows, bounds, keys, q, name, small)
 
 
+def weighted_quantile(
+    counts: DataFrame, keys: Sequence[str], value: str, weight: str, q: float, name: str = "quantile"
+) -> DataFrame:
+    """:func:`exact_quantile` of whole numbers that are given once each with their number.
+
+    ``counts`` has one row per key and value, and is read several times.  Running totals come
+    from an ordered scan, so the values of a key are not ranked in one task.
+    """
+    rows = counts.select(*keys, F.col(value).cast("long").alias("__v"), F.col(weight).alias("__w"))
+    lay = plan_layout(rows, keys, "__v", first_width=1 << 40)
+    upto = lay.detach(scan(rows, lay, total={"__upto": F.col("__w")}))
+    tagged = join_on(upto, rows.groupBy(*keys).agg(F.sum("__w").alias("n")), keys)
+    at = F.lit(q) * (F.col("n") - 1)
+
+    def pick(k: Column) -> Column:
+        return F.max(F.when((F.col("__upto") > k) & (F.col("__upto") - F.col("__w") <= k), F.col("__v")))
+
+    out = tagged.groupBy(*keys, "n").agg(pick(F.floor(at)).alias("__a"), pick(F.ceil(at)).alias("__b"))
+    return out.select(*keys, (F.col("__a") + (F.col("__b") - F.col("__a")) * (at - F.floor(at))).alias(name), "n")
+
+
 def _with_bounds(rows: DataFrame, bounds: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
     """Rows with the bounds of their group; rows stay where they are unless there are very many groups."""
     if not keys:

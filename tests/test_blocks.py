@@ -153,3 +153,29 @@ def test_hot_series_gives_the_same_blocks(spark):
     finally:
         blocks.plan_layout = planned
     assert got == want
+
+
+def test_diagnose_a_burst(spark):
+    """A third of the rows at one instant, a series of one row, missing times, a NULL key; times of another zone."""
+    data = [("a", i * 10, 1.0 if i % 3 else None) for i in range(60)] + [("a", 200, 2.0)] * 40 + [("b", 5, None), (None, 7, 1.0), (None, 9, None), ("a", None, 3.0)]
+    df = spark.createDataFrame(data, "k string, s long, v double").withColumn("ts", F.timestamp_seconds("s"))
+    report = profile.diagnose(df.drop("s"), "ts", ["k"], expected_seconds=10.0)
+    assert set(report) == {"axis", "sampling", "gaps", "nulls", "columns_with_nulls"}
+    got = {r.k: r for r in report["sampling"].collect()}
+    assert (got["a"].n_rows, got["a"].n_duplicates, got["a"].median_delta_s, got["a"].matches_expected, got["a"].gap_count) == (101, 40, 10.0, True, 0)
+    assert (got["b"].n_rows, got["b"].n_duplicates, got["b"].median_delta_s, got["b"].gap_count) == (1, 0, None, None)
+    assert (got[None].median_delta_s, got[None].n_duplicates) == (2.0, 0)
+    missing = {r.k: (r.n_columns, r["columns"]) for r in report["columns_with_nulls"].collect()}
+    assert missing["b"] == (1, ["v"]) and missing["a"][0] == 1
+    assert set(profile.diagnose(df, "nowhere")) == {"axis"}
+
+
+def test_weighted_quantile(spark):
+    from sensorspark.plans.ranks import weighted_quantile
+
+    rows = [("a", v, w) for v, w in ((1, 5), (7, 1), (9, 4), (40, 2))] + [(None, 3, 10**12), (None, 4, 10**12)]
+    df = spark.createDataFrame(rows, "k string, v long, w long")
+    for q in (0.0, 0.25, 0.5, 0.9, 1.0):
+        got = {r.k: r.quantile for r in weighted_quantile(df, ["k"], "v", "w", q).collect()}
+        want = df.filter("k = 'a'").agg(F.percentile("v", q, F.col("w"))).first()[0]
+        assert got["a"] == pytest.approx(want) and 3 <= got[None] <= 4

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,14 +58,38 @@ def test_invalid_and_unmatched(spark):
     assert (m["invalid"], m["unmatched"], m["tn"]) == (2, 1, 0)
 
 
-def test_long_episode_over_many_buckets(spark):
+def test_long_episode_and_many_windows(spark):
     found = spark.createDataFrame([(5, 5005)], "row_from long, row_to long")
     alarms = spark.range(0, 6000, 7).select(F.col("id").alias("lo"), (F.col("id") + 64).alias("hi"))
-    got = evaluate.detect_incidents(found, alarms, bucket_rows=64).first()
+    got = evaluate.detect_incidents(found, alarms).first()
     want = [w for w in range(0, 6000, 7) if w < 5005 and 5 < w + 64]
     assert got["n_windows"] == len(want) and got["first_row"] == 63
 
 
+def test_incidents_against_all_pairs(spark):
+    """Windows of any length, nested and repeated, episodes that touch; a NULL key is a key."""
+    r = random.Random(17)
+    found, alarms = [], []
+    for k in ("a", "b", None):
+        edges = sorted(r.sample(range(0, 400), 40))
+        found += [(k, edges[i], edges[i + 1]) for i in range(0, 40, 2)]
+        for _ in range({"a": 60, "b": 5, None: 12}[k]):
+            lo = r.randint(0, 420)
+            alarms += [(k, lo, lo + r.choice([1, 3, 16, 200, 350]))] * r.choice([1, 1, 2])
+    got = evaluate.detect_incidents(
+        spark.createDataFrame(found, "k string, row_from long, row_to long"), spark.createDataFrame(alarms, "k string, lo long, hi long"), ["k"]
+    ).collect()
+    assert len(got) == len(found)
+    late = 0
+    for e in got:
+        hits = [hi for k, lo, hi in alarms if k == e.k and lo < e.row_to and e.row_from < hi]
+        first = min(hits) - 1 if hits else None
+        late += bool(hits) and min(hits) > e.row_to
+        assert (e.n_windows, e.first_row, e.detected) == (len(hits), first, bool(hits)), e
+        assert e.latency == (None if first is None else max(0, first - e.row_from)) or not hits
+    assert late > 3
+
+
 def test_infer_fault_label(spark):
     def labels(*x):
         return spark.createDataFrame([(v,) for v in x], "label string")

@@ -91,6 +91,23 @@ def test_chunk_plan(spark):
     assert got == [0.0, 70.0, 140.0, 150.0, 230.0, 400.0]
 
 
+def test_chunk_plan_against_a_walk(spark):
+    r = random.Random(8)
+    clips = {c: sorted({round(r.uniform(0, span), 2) for _ in range(n)}) for c, span, n in (("long", 20_000, 3000), ("sparse", 9000, 40), ("one", 5, 1), ("dense", 60, 50))}
+    df = spark.createDataFrame([(c, t) for c, ts in clips.items() for t in ts for _ in range(1 + (t > 100))], "clip string, at double")
+    want = set()
+    for c, ts in clips.items():
+        start, n = ts[0], 0
+        while True:
+            want.add((c, n, start))
+            beyond = [t for t in ts if t > start + 75]
+            if not beyond:
+                break
+            within = [t for t in ts if start < t <= start + 75]
+            start, n = (within[-1] if within else beyond[0]), n + 1
+    assert {tuple(x) for x in windows.plan_chunks(df, "clip", "at").collect()} == want
+
+
 def test_splits(spark):
     df = spark.range(20).select((F.lit(100) - F.col("id")).alias("t"), "id")
     got = split.out_of_time(df, "t", ["id"], 0.3).collect()
