@@ -91,7 +91,7 @@ def delta_histogram(t: Tables) -> DataFrame:
 
 @query(
     "time_axis",
-    """SELECT user_id, count(*) AS n_rows, TRUE AS present, 'timestamp_ntz' AS dtype, TRUE AS coercible,
+    """SELECT user_id, count(*) AS n_rows, TRUE AS present, 'timestamp_ntz' AS dtype, NULL::VARCHAR AS timezone, TRUE AS coercible,
   epoch_us(min(ts)) AS min_us, epoch_us(max(ts)) AS max_us,
   round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 6) AS duration_s FROM events GROUP BY 1""",
 )
@@ -146,14 +146,14 @@ def missing_by_time(t: Tables) -> DataFrame:
 _GAP = 6
 
 
-def _flags_sql() -> str:
+def _flags_sql(sensors=SENSORS) -> str:
     runs = ", ".join(
         f"row_number() OVER (PARTITION BY user_id ORDER BY day) - row_number() OVER "
         f"(PARTITION BY user_id, {s} IS NULL ORDER BY day) AS g_{s}"
-        for s in SENSORS
+        for s in sensors
     )
     bad = " OR ".join(
-        f"({s} IS NULL AND count(*) OVER (PARTITION BY user_id, {s} IS NULL, g_{s}) > {_GAP})" for s in SENSORS
+        f"({s} IS NULL AND count(*) OVER (PARTITION BY user_id, {s} IS NULL, g_{s}) > {_GAP})" for s in sensors
     )
     return f"""{FRAME_SQL}, runs AS (SELECT *, {runs} FROM frame),
 flags AS (SELECT *, {bad} AS bad FROM runs),

@@ -50,4 +50,5 @@ def load_all() -> None:
         holdout,
         files,
         more,
+        checks,
     )

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorspark.columns import missing
+from sensorspark.columns import MICROS, join_on, missing
+from sensorspark.operators.profile import delta_counts
+from sensorspark.plans.ranks import weighted_quantile
 
 
 def _unpivot(df: DataFrame, sensors: Sequence[str], keep: dict[str, Column]) -> DataFrame:
@@ -69,6 +71,23 @@ def input_contract(
     return out.withColumn("z_scored", scored)
 
 
+def cadence(
+    df: DataFrame, timestamp: str, by: Sequence[str] = (), *, tolerance: float = 0.05, share: float = 0.99
+) -> DataFrame:
+    """Whether the instants of each series come at a steady pace.
+
+    ``on_pace`` is the share of steps within ``tolerance`` of the median step, and the series is
+    ``regular`` when that is at least ``share``.  A series of one instant has no pace.
+    """
+    steps = delta_counts(df, timestamp, by).filter(F.col("delta_us").isNotNull())
+    median = weighted_quantile(steps, by, "delta_us", "n_steps", 0.5, "median_us").drop("n")
+    near = F.abs(F.col("delta_us") - F.col("median_us")) <= F.lit(tolerance) * F.col("median_us")
+    out = join_on(steps, median, by).groupBy(*by, (F.col("median_us") / MICROS).alias("pace_s")).agg(
+        F.sum("n_steps").alias("n_steps"), (F.sum(F.when(near, F.col("n_steps")).otherwise(0)) / F.sum("n_steps")).alias("on_pace")
+    )
+    return out.withColumn("regular", F.col("on_pace") >= share)
+
+
 def drift(
     df: DataFrame, period: str, baseline: Column, features: str, by: Sequence[str] = ()
 ) -> DataFrame:

@@ -18,9 +18,12 @@ from sensorspark.operators import windows
 from sensorspark.plans.series import plan_layout, scan, with_halo
 
 
+MAX_SENSORS = 1_000
+
+
 def joint_state(
     df: DataFrame,
-    sensors: Sequence[str],
+    sensors: Sequence[str] | None = None,
     *,
     keys: Sequence[str] = (),
     window: str = "read_index",
@@ -30,7 +33,7 @@ def joint_state(
     timestamp: str | None = None,
     check: bool = True,
 ) -> DataFrame:
-    """One row per window: the sensor vectors concatenated in the order of ``sensors``.
+    """One row per window: the sensor vectors concatenated in the order of ``sensors``, by default the alphabet.
 
     With ``check`` a missing, unknown or repeated sensor, or labels that differ inside a
     window, raise an error naming up to five windows.  The label is the first non-null
@@ -39,6 +42,11 @@ def joint_state(
     for needed in (window, sensor, embedding, *([label] if label else []), *([timestamp] if timestamp else [])):
         if needed not in df.columns:
             raise ValueError(f"column {needed!r} is missing")
+    if sensors is None:
+        names = df.select(sensor).filter(F.col(sensor).isNotNull()).distinct().limit(MAX_SENSORS + 1).collect()
+        if len(names) > MAX_SENSORS:
+            raise ValueError(f"more than {MAX_SENSORS} sensors; is {sensor!r} a sensor column?")
+        sensors = sorted(r[0] for r in names)
     rank = F.array_position(F.array(*[F.lit(s) for s in sensors]), F.col(sensor))
     rows = df.withColumn("__rank", rank)
     by = [*keys, window]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,28 +16,39 @@ def endpoints(flows: DataFrame, protocol: str = "prot") -> DataFrame:
     return flows.select(hour.alias("hour"), F.col(protocol).alias("protocol"), F.inline(sides))
 
 
-def profile(flows: DataFrame, *, protocol: str = "prot", top: int = 3) -> DataFrame:
+def profile(flows: DataFrame, *, protocol: str = "prot", top: int = 3, shards: int = 64) -> DataFrame:
     """Top protocols, bytes, flows, mean bytes, active hours and distinct peers per device.
 
-    Distinct counts go through a ``(device, value)`` aggregate, which spreads a busy
-    device over many tasks.
+    The endpoints are read once: every row counts for its
+    device by hour, by peer and by protocol in one aggregate, combined before the shuffle.  The groups of a device are then reduced in
+    ``shards`` and merged, so a busy device is many tasks and nothing is joined.
     """
-    rows = endpoints(flows, protocol)
-    per = rows.groupBy("device").agg(
-        F.count(F.lit(1)).alias("flow_count"),
+    rows = endpoints(flows, protocol).withColumn("__by", F.explode(F.array(*[F.lit(i) for i in range(3)])))
+    value = F.when(F.col("__by") == 0, F.col("hour").cast("string")).when(F.col("__by") == 1, F.col("peer")).otherwise(F.col("protocol"))
+    groups = rows.groupBy("device", "__by", value.alias("value")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("up").alias("up"), F.sum("down").alias("down")
+    )
+    of = lambda by, c: F.when(F.col("__by") == by, F.col(c))
+    # The most frequent first, then by name.
+    named = F.when(F.col("__by") == 2, F.struct((-F.col("n")).alias("c"), F.col("value").alias("protocol")))
+    parts = groups.groupBy("device", F.pmod(F.xxhash64("value"), F.lit(shards)).alias("__shard")).agg(
+        F.sum(of(2, "n")).alias("n"),
+        F.sum(of(2, "up")).alias("up"),
+        F.sum(of(2, "down")).alias("down"),
+        F.count(of(0, "n")).alias("hours"),
+        F.count(of(1, "n")).alias("peers"),
+        F.slice(F.array_sort(F.collect_list(named)), 1, top).alias("best"),
+    )
+    whole = parts.groupBy("device").agg(
+        F.sum("n").alias("flow_count"),
         F.sum("up").alias("bytes_up"),
         F.sum("down").alias("bytes_down"),
-        F.avg(F.col("up") + F.col("down")).alias("mean_flow_bytes"),
-    )
-    hours = rows.select("device", "hour").distinct().groupBy("device").agg(F.count(F.lit(1)).alias("active_hours"))
-    peers = rows.select("device", "peer").distinct().groupBy("device").agg(F.count(F.lit(1)).alias("distinct_peers"))
-    best = Window.partitionBy("device").orderBy(F.col("c").desc(), "protocol")
-    common = (
-        rows.groupBy("device", "protocol").agg(F.count(F.lit(1)).alias("c"))
-        .withColumn("r", F.row_number().over(best))
-        .filter(F.col("r") <= top)
-        .groupBy("device")
-        .agg(F.array_sort(F.collect_list(F.struct("r", "protocol"))).alias("p"))
-        .select("device", F.array_join(F.col("p")["protocol"], ",").alias("top_protocols"))
+        F.sum("hours").alias("active_hours"),
+        F.sum("peers").alias("distinct_peers"),
+        F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, top).alias("best"),
     )
-    return per.join(hours, "device").join(peers, "device").join(common, "device")
+    mean = (F.col("bytes_up") + F.col("bytes_down")) / F.col("flow_count")
+    return whole.select(
+        "device", "flow_count", "bytes_up", "bytes_down", mean.alias("mean_flow_bytes"), "active_hours", "distinct_peers",
+        F.array_join(F.col("best")["protocol"], ",").alias("top_protocols"),
+    )

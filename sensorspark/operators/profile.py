@@ -16,17 +16,21 @@ AXIS = "__us"
 
 
 def time_axis(df: DataFrame, timestamp: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Presence, type, coercibility and range of the time column, per series."""
+    """Presence, type, time zone, coercibility and range of the time column, per series.
+
+    Only instants have a zone, that of the session; clock times, text and numbers have none.
+    """
     kind = df.schema[timestamp].dataType.simpleString() if timestamp in df.columns else None
     if kind is None:
         out = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-        return out.withColumn("present", F.lit(False)).withColumn("dtype", F.lit(None).cast("string"))
+        return out.withColumns({"present": F.lit(False), "dtype": F.lit(None).cast("string"), "timezone": F.lit(None).cast("string")})
     us = micros(df, timestamp)
     rows = df.select(*keys, F.col(timestamp).isNotNull().alias("given"), us.alias(AXIS))
     return rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.lit(True).alias("present"),
         F.lit(kind).alias("dtype"),
+        (F.current_timezone() if kind == "timestamp" else F.lit(None).cast("string")).alias("timezone"),
         F.bool_and(~F.col("given") | F.col(AXIS).isNotNull()).alias("coercible"),
         F.min(AXIS).alias("min_us"),
         F.max(AXIS).alias("max_us"),

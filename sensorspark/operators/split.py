@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorspark.columns import micros
+from sensorspark.operators.windows import positions
 from sensorspark.plans.ranks import order_statistic
 
 AXIS = "__us"
@@ -55,3 +56,27 @@ def seeded_random(df: DataFrame, key: Sequence[str], test_size: float = 0.3, see
     text = F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in key])
     rows = df.withColumn("__h", F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long"))
     return _cut(rows, ["__h", *key], test_size).drop("__h")
+
+
+MODES = ("oot", "random")
+
+
+def problems(df: DataFrame, timestamp: str, mode: str = "oot", test_size: float = 0.3) -> DataFrame:
+    """What is wrong with the settings of a split, one row per problem; no rows when it can be made."""
+    found = []
+    if mode not in MODES:
+        found.append(("mode", f"{mode!r} is not one of {list(MODES)}"))
+    if mode == "oot" and timestamp not in df.columns:
+        found.append(("timestamp", f"no column {timestamp!r} to order by"))
+    if not 0 < test_size < 1:
+        found.append(("test_size", f"a test share lies between 0 and 1, not at {test_size}"))
+    else:
+        n = df.count()
+        if int(n * test_size) in (0, n):
+            found.append(("test_size", f"{test_size} of {n} rows leaves one side without rows"))
+    return df.sparkSession.createDataFrame(found, "setting string, problem string")
+
+
+def in_time_order(parts: DataFrame, timestamp: str, ties: Sequence[str] = ()) -> DataFrame:
+    """Both parts of a split with ``part_pos``, the place of a row in its part in order of time."""
+    return positions(parts, timestamp, ["split"], ties, pos="part_pos", size="part_rows")
