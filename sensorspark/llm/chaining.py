@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorspark.llm.common import batches, gram_hashes, numbered, packed, unpacked, utf8, window_minimum, word_hashes
+from sensorspark.llm.decontaminate import longest
 from sensorspark.session import cut
 
 SHINGLE = 5
@@ -286,8 +287,29 @@ def align(x: np.ndarray, y: np.ndarray, segments: list[tuple[int, int, int]]) ->
 def passages(hit: np.ndarray, least: int, share: float) -> list[tuple[int, int]]:
     """Disjoint parts of at least ``least`` words that begin and end with a match and match to ``share``.
 
-    Found as the maximal scoring parts when a match is worth ``1 - share`` and a miss ``-share``.
+    First the maximal scoring parts, when a match is worth ``1 - share`` and a miss ``-share``:
+    they end where the text stops to agree.  They cut off ends that lose as much as they win, so
+    what lies beside them is searched for the longest part that holds the share, and again
+    beside that one; no part of ``least`` words with the share is left between the results.
     """
+    dense = _scoring(hit, least, share)
+    out, at = [], 0
+    for a, b in [*dense, (len(hit), len(hit))]:
+        todo = [(at, a)]
+        while todo:
+            low, high = todo.pop()
+            if high - low < least:
+                continue
+            p, q = longest(hit[low:high], share)
+            if q - p >= least:
+                out.append((low + p, low + q))
+                todo += [(low, low + p), (low + q, high)]
+        at = b
+    return sorted([*dense, *out])
+
+
+def _scoring(hit: np.ndarray, least: int, share: float) -> list[tuple[int, int]]:
+    """The maximal scoring parts of at least ``least`` words."""
     out, stack, level = [], [], 0.0
     edge = np.flatnonzero(np.diff(np.r_[False, hit, False].astype(np.int8)))
     last = 0

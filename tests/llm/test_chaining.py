@@ -45,6 +45,26 @@ def test_passages_hold_their_share():
     assert C.passages(np.r_[np.zeros(9, bool), np.ones(51, bool), np.zeros(9, bool)], 50, 0.8) == [(9, 60)]
 
 
+def test_passages_leave_none_out():
+    """Between the passages no part of the length holds the share; scattered changes at the rate of the rule."""
+    rng = np.random.default_rng(6)
+    for size, changed in ((50, 5), (50, 8), (50, 10), (60, 10), (100, 18), (100, 20), (73, 14)):
+        for _ in range(40):
+            inner = np.ones(size, bool)
+            inner[rng.choice(np.arange(1, size - 1), changed, replace=False)] = False
+            hit = np.r_[rng.random(35) < 0.05, inner, rng.random(35) < 0.05]
+            found = C.passages(hit, 50, 0.8)
+            assert found and max(b for _, b in found) > 35 and min(a for a, _ in found) < 35 + size
+    for _ in range(150):
+        hit = rng.random(160) < np.repeat(rng.choice([0.1, 0.75, 0.85], 8), 20)
+        found = C.passages(hit, 20, 0.8)
+        level = np.r_[0, np.cumsum(hit)]
+        for (_, a), (b, _) in zip([(0, 0), *found], [*found, (160, 160)]):
+            for x in range(a, b):
+                for y in range(x + 20, b + 1):
+                    assert not (hit[x] and hit[y - 1]) or level[y] - level[x] < 0.8 * (y - x) - 1e-9
+
+
 def planted():
     r = random.Random(3)
     passages = [prose(70, 7000 + i).split() for i in range(6)]
