@@ -195,8 +195,8 @@ def _chains(table: pa.Table, least: int) -> pa.Table:
     pair = d["pair"]
     first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]]) if len(pair) else np.zeros(0, np.int64)
     last = np.r_[first[1:], len(pair)]
-    # The edits of a passage may leave two seeds of it; the alignment finds its ends.
-    shortest = min(least, 2 * SHINGLE)
+    # The edits of a passage may leave two seeds of it, even overlapping ones; the alignment finds its ends.
+    shortest = min(least, SHINGLE + 1)
     found = []
     for a, b in zip(first.tolist(), last.tolist()):
         left = np.arange(a, b)
