@@ -90,7 +90,21 @@ FROM logs GROUP BY 1 HAVING arg_max(event_type, (created_at, event_type)) IN ('j
 def stream_run_outcomes(t: Tables) -> DataFrame:
     """A run ends if its newest row is terminal once the watermark has passed it."""
     rows = logs(StreamTables(t)).withColumn("created_at", F.col("created_at").cast("timestamp"))
-    return live.drain(live.run_outcomes(rows, delay="1 day"), "outcomes")
+    return live.drain(live.run_outcomes(rows, delay="1 day", timeout_s=None), "outcomes")
+
+
+@query(
+    "stream_run_timeouts",
+    f"""WITH {LOGS_SQL}, r AS (SELECT run_id, bool_or(level = 'ERROR') AS bad, bool_or(level = 'WARN' AND message LIKE '%reasoning block%') AS spent,
+  arg_max(event_type, (created_at, event_type)) IN ('job.completed', 'job.failed') AND epoch_us(max(created_at)) < {MARK} AS ended,
+  epoch_us(min(created_at)) // 1000 + 86400000 <= {MARK} // 1000 AS expired FROM logs GROUP BY 1)
+SELECT run_id, CASE WHEN NOT ended THEN 'timeout' WHEN bad THEN 'failed' WHEN spent THEN 'empty-reasoning-overflow' ELSE 'completed' END AS outcome
+FROM r WHERE ended OR expired""",
+)
+def stream_run_timeouts(t: Tables) -> DataFrame:
+    """A run that shows no end within a day is given up, so no run keeps state for ever."""
+    rows = logs(StreamTables(t)).withColumn("created_at", F.col("created_at").cast("timestamp"))
+    return live.drain(live.run_outcomes(rows, delay="1 day"), "timeouts")
 
 
 STREAM_KNN_SQL = f"""WITH {SHOTS_SQL}, d AS (SELECT e.vec_id, l.vec_id AS neighbor_id, l.label, list_distance(e.v, l.v) AS distance FROM emb e, lib l)

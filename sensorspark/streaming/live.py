@@ -19,6 +19,8 @@ from sensorspark.session import fresh_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+# A run without an end is given up after a day.
+RUN_TIMEOUT_S = 86_400.0
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
@@ -59,28 +61,49 @@ def sessions(stream: DataFrame, timestamp: str, gap: str, keys: Sequence[str], *
 class _CountWindows(StatefulProcessor):
     """Rows wait until the watermark passes them, then leave in event-time order.
 
-    State per key: the waiting rows, the last ``size - 1`` released rows and the position.
+    State per key: the waiting rows by time cell, the last ``size - 1`` released rows and the
+    position.  A batch reads and writes the cells its rows fall into; the timers, which fire in
+    the order of time, name the cells that the watermark has reached.  Other cells are not touched.
     """
 
-    def __init__(self, size: int, step: int, key_names: Sequence[str]):
-        self.size, self.step, self.key_names = size, step, list(key_names)
+    def __init__(self, size: int, step: int, key_names: Sequence[str], cell_ms: int):
+        self.size, self.step, self.key_names, self.cell_ms = size, step, list(key_names), cell_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "us long, tie long, value double")
+        self.waiting = handle.getMapState("waiting", "cell long", "us array<long>, tie array<long>, value array<double>")
         self.tail = handle.getListState("tail", "us long, tie long, value double")
         self.position = handle.getValueState("position", "n long")
 
-    def _release(self, key, rows: list[tuple], watermark_ms: int) -> Iterator[pd.DataFrame]:
-        limit = watermark_ms * 1000
-        ready = sorted(r for r in rows if r[0] < limit)
-        rest = [r for r in rows if r[0] >= limit]
-        self.waiting.clear()
-        if rest:
-            self.waiting.put(rest)
-            self.handle.registerTimer(min(r[0] for r in rest) // 1000 + 1)
+    def _cell(self, cell: int) -> list[tuple]:
+        return list(zip(*self.waiting.getValue((cell,)))) if self.waiting.containsKey((cell,)) else []
+
+    def _keep(self, cell: int, rows: list[tuple]) -> None:
+        us, tie, value = zip(*rows)
+        self.waiting.updateValue((cell,), (list(us), list(tie), list(value)))
+        self.handle.registerTimer(min(us) // 1000 + 1)
+
+    def handleInputRows(self, key, rows, timerValues):
+        fresh: dict[int, list[tuple]] = {}
+        for pdf in rows:
+            value = [None if v != v else v for v in pdf["value"].tolist()]
+            for row in zip(pdf["us"].tolist(), pdf["tie"].tolist(), value):
+                fresh.setdefault(row[0] // 1000 // self.cell_ms, []).append(row)
+        for cell, new in fresh.items():
+            self._keep(cell, self._cell(cell) + new)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        limit = timerValues.getCurrentWatermarkInMs() * 1000
+        cell = (expiredTimerInfo.getExpiryTimeInMs() - 1) // self.cell_ms
+        rows = self._cell(cell)
+        ready = sorted((r for r in rows if r[0] < limit), key=lambda r: r[:2])
         if not ready:
             return
+        if len(ready) < len(rows):
+            self._keep(cell, [r for r in rows if r[0] >= limit])
+        else:
+            self.waiting.removeKey((cell,))
         n = self.position.get()[0] if self.position.exists() else 0
         tail = [tuple(r) for r in self.tail.get()] if self.tail.exists() else []
         line = tail + ready
@@ -90,8 +113,9 @@ class _CountWindows(StatefulProcessor):
             start = first + i - self.size + 1
             if start >= 0 and start % self.step == 0:
                 window = line[i - self.size + 1 : i + 1]
-                values = [r[2] for r in window]
-                out.append((*key, start // self.step, window[0][0], window[-1][0], sum(values) / self.size))
+                values = [r[2] for r in window if r[2] is not None]
+                mean = sum(values) / len(values) if values else None
+                out.append((*key, start // self.step, window[0][0], window[-1][0], mean))
         self.position.update((n + len(ready),))
         keep = line[len(line) - min(len(line), self.size - 1) :]
         self.tail.clear()
@@ -100,35 +124,25 @@ class _CountWindows(StatefulProcessor):
         if out:
             yield pd.DataFrame(out, columns=[*self.key_names, "window_id", "start_us", "finish_us", "mean"])
 
-    def _timed(self, key, timer_values, rows):
-        watermark = timer_values.getCurrentWatermarkInMs()
-        yield from self._release(key, rows, max(0, watermark))
-
-    def handleInputRows(self, key, rows, timerValues):
-        waiting = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
-        for pdf in rows:
-            waiting += list(zip(pdf["us"].tolist(), pdf["tie"].tolist(), pdf["value"].tolist()))
-        yield from self._timed(key, timerValues, waiting)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        waiting = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
-        yield from self._timed(key, timerValues, waiting)
-
     def close(self) -> None:
         pass
 
 
 def count_windows(
-    stream: DataFrame, timestamp: str, tie: str, value: str, key: str, *, size: int, step: int = 1, delay: str = "10 minutes"
+    stream: DataFrame, timestamp: str, tie: str, value: str, key: str, *, size: int, step: int = 1, delay: str = "10 minutes",
+    cell_s: float = 60.0,
 ) -> DataFrame:
     """Row-count windows of a stream with the rows carried over between batches.
 
     Emits ``window_id, start_us, finish_us, mean`` once every row of a window is behind
     the watermark; rows later than the watermark are dropped by Spark and counted in the
-    query progress.
+    query progress.  The mean is over the values that are present.  Waiting rows are kept by
+    cells of ``cell_s`` seconds.
     """
     if size < 1 or step < 1:
         raise ValueError(f"size and step must be positive, got {size} and {step}")
+    if cell_s < 0.001:
+        raise ValueError(f"a cell takes a millisecond at least, got {cell_s} s")
     marked = stream.withWatermark(timestamp, delay)
     rows = marked.select(
         key, timestamp, F.unix_micros(timestamp).alias("us"), F.col(tie).cast("long").alias("tie"),
@@ -136,7 +150,7 @@ def count_windows(
     )
     kind = stream.schema[key].dataType.simpleString()
     return rows.groupBy(key).transformWithStateInPandas(
-        _CountWindows(size, step, [key]),
+        _CountWindows(size, step, [key], int(cell_s * 1000)),
         f"{key} {kind}, window_id long, start_us long, finish_us long, mean double",
         "Append",
         "EventTime",
@@ -146,48 +160,84 @@ def count_windows(
 class _Sustained(StatefulProcessor):
     """The current streak, the next snapshot, those that came too early, and whether the alarm has fired."""
 
-    def __init__(self, sustain: int, key_name: str, first: int):
-        self.sustain, self.key_name, self.first = sustain, key_name, first
+    def __init__(self, sustain: int, key_name: str, first: int, reach: int, patience_ms: int | None):
+        self.sustain, self.key_name, self.first, self.reach, self.patience_ms = sustain, key_name, first, reach, patience_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.state = handle.getValueState("streak", "n long, next long, fired boolean")
-        self.early = handle.getMapState("early", "snapshot long", "over boolean")
+        self.early = handle.getMapState("early", "snapshot long", "over boolean, ms long")
 
-    def handleInputRows(self, key, rows, timerValues):
+    def _judge(self, key, given_up) -> Iterator[pd.DataFrame]:
+        """Judge what is due; where it is missing, go on at the next one that waits if ``given_up`` says so."""
         n, due, fired = self.state.get() if self.state.exists() else (0, self.first, False)
-        alarms = []
-        for pdf in rows:
-            for snapshot, over in zip(pdf["snapshot"].tolist(), pdf["over"].tolist()):
-                if snapshot >= due and not fired:
-                    self.early.updateValue((snapshot,), (bool(over),))
-        # Snapshots are judged in their own order, whatever batch brings them.
-        while not fired and self.early.containsKey((due,)):
-            (over,) = self.early.getValue((due,))
-            self.early.removeKey((due,))
-            n, due = (n + 1 if over else 0), due + 1
-            if n == self.sustain:
-                fired = True
-                alarms.append((*key, due - self.sustain))
+        waiting = None
+        while not fired:
+            # Snapshots are judged in their own order, whatever batch brings them.
+            if self.early.containsKey((due,)):
+                over, _ = self.early.getValue((due,))
+                self.early.removeKey((due,))
+                n, due = (n + 1 if over else 0), due + 1
+                fired = n == self.sustain
+                continue
+            if waiting is None:
+                waiting = {k[0]: v[1] for k, v in self.early.iterator()}
+            ahead = {k: ms for k, ms in waiting.items() if k >= due}
+            if not ahead or not given_up(due, ahead):
+                break
+            n, due = 0, min(ahead)
         if fired:
             self.early.clear()
         self.state.update((n, due, fired))
-        if alarms:
-            yield pd.DataFrame(alarms, columns=[self.key_name, "detected_at"])
+        if fired:
+            yield pd.DataFrame([(*key, due - self.sustain)], columns=[self.key_name, "detected_at"])
+
+    def handleInputRows(self, key, rows, timerValues):
+        _, due, fired = self.state.get() if self.state.exists() else (0, self.first, False)
+        if fired:
+            return
+        for pdf in rows:
+            for snapshot, over, ms in zip(pdf["snapshot"].tolist(), pdf["over"].tolist(), pdf["ms"].tolist()):
+                if snapshot >= due:
+                    self.early.updateValue((snapshot,), (bool(over), ms))
+                    if self.patience_ms is not None:
+                        self.handle.registerTimer(ms + self.patience_ms)
+        yield from self._judge(key, lambda due, ahead: max(ahead) - due >= self.reach)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if not self.state.exists() or self.state.get()[2]:
+            return
+        now = timerValues.getCurrentWatermarkInMs()
+        yield from self._judge(key, lambda due, ahead: min(ahead.values()) + self.patience_ms <= now)
 
     def close(self) -> None:
         pass
 
 
-def sustained_alarm(stream: DataFrame, key: str, snapshot: str, over: str, *, sustain: int = 3, first: int = 0) -> DataFrame:
+def sustained_alarm(
+    stream: DataFrame, key: str, snapshot: str, over: str, *, sustain: int = 3, first: int = 0, reach: int = 10_000,
+    timestamp: str | None = None, delay: str = "10 minutes", patience_s: float = 3_600.0,
+) -> DataFrame:
     """Fires once per asset when ``sustain`` consecutive snapshots are over the line.
 
-    Snapshots are numbered from ``first`` without gaps; one that arrives early waits for those
-    before it, and a repeated one is ignored.
+    Snapshots are numbered from ``first``; one that arrives early waits for those before it,
+    and a repeated one is ignored.  One that is lost breaks the streak: it is given up when
+    one that is ``reach`` numbers later has come or, with ``timestamp``, when the watermark is
+    ``patience_s`` past a later one.  An asset so keeps ``reach`` snapshots at most, and of
+    one that has fired the mark that it has.
     """
-    rows = stream.select(key, F.col(snapshot).cast("long").alias("snapshot"), F.col(over).alias("over"))
+    if sustain < 1 or reach < 1:
+        raise ValueError(f"sustain and reach must be positive, got {sustain} and {reach}")
+    marked = stream.withWatermark(timestamp, delay) if timestamp else stream
+    time = [timestamp, F.unix_millis(timestamp).alias("ms")] if timestamp else [F.lit(0).cast("long").alias("ms")]
+    rows = marked.select(key, F.col(snapshot).cast("long").alias("snapshot"), F.col(over).alias("over"), *time)
     kind = stream.schema[key].dataType.simpleString()
-    return rows.groupBy(key).transformWithStateInPandas(
-        _Sustained(sustain, key, first), f"{key} {kind}, detected_at long", "Append", "None"
+    patience_ms = int(patience_s * 1000) if timestamp else None
+    return rows.filter("snapshot is not null").groupBy(key).transformWithStateInPandas(
+        _Sustained(sustain, key, first, reach, patience_ms),
+        f"{key} {kind}, detected_at long",
+        "Append",
+        "EventTime" if timestamp else "None",
     )
 
 
@@ -241,15 +291,16 @@ class _Outcome(StatefulProcessor):
 
 
 def run_outcomes(
-    logs: DataFrame, run: str = "run_id", *, delay: str = "10 minutes", timeout_s: float | None = None,
+    logs: DataFrame, run: str = "run_id", *, delay: str = "10 minutes", timeout_s: float | None = RUN_TIMEOUT_S,
     overflow_phrase: str = "reasoning block",
 ) -> DataFrame:
     """One outcome per run of a log stream, by the rule of ``runs.outcome_by_event``.
 
     A run is judged once the watermark has passed its newest row: if that row is terminal it
     has ended.  Among rows of one instant the event that sorts last is the newest.  A run
-    without a terminal row ends as a timeout, if one is given.  Rows later than the watermark
-    are dropped, repeated deliveries count once.
+    without a terminal row ends as a timeout when the watermark is ``timeout_s`` past its first
+    row; with None it keeps its state for ever.  Rows later than the watermark are dropped,
+    repeated deliveries count once.
     """
     marked = logs.withWatermark("created_at", delay).dropDuplicatesWithinWatermark(
         [run, "created_at", "event_type", "message"]

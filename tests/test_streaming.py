@@ -80,7 +80,7 @@ def test_settings_stay_and_the_newest_row_decides(spark, tmp_path):
         [row(60, "other", "INFO", "x")],
         [row(120, "other", "INFO", "y")],
     ]
-    out = live.run_outcomes(feed(spark, tmp_path, batches, schema), delay="5 minutes")
+    out = live.run_outcomes(feed(spark, tmp_path, batches, schema), delay="5 minutes", timeout_s=None)
     got = sorted((r["run_id"], r["outcome"]) for r in live.drain(out, "t").collect())
     assert got == [("good", "completed"), ("late-error", "failed")]
     assert before == {k: spark.conf.get(k, None) for k in before}
@@ -91,3 +91,42 @@ def test_early_snapshots_wait(spark, tmp_path):
     flags = feed(spark, tmp_path, batches).select("k", "id", (F.col("value") > 0).alias("over"))
     got = live.drain(live.sustained_alarm(flags, "k", "id", "over", sustain=4), "t").collect()
     assert [(r["k"], r["detected_at"]) for r in got] == [("a", 0)]
+
+
+def test_a_lost_snapshot_breaks_the_streak_and_is_passed(spark, tmp_path):
+    # Snapshot 2 never comes; 9 is five numbers past it.
+    over = {0: 1, 1: 1, 3: 1, 4: 1, 5: 0, 6: 1, 7: 1, 8: 1, 9: 1}
+    batches = [[(T0, i, "a", float(v))] for i, v in over.items()]
+    flags = feed(spark, tmp_path, batches).select("k", "id", (F.col("value") > 0).alias("over"))
+    got = live.drain(live.sustained_alarm(flags, "k", "id", "over", reach=5), "t").collect()
+    assert [(r["k"], r["detected_at"]) for r in got] == [("a", 6)]
+
+
+def test_a_lost_snapshot_is_passed_by_the_watermark(spark, tmp_path):
+    seen = [0, 1, 3, 4, 5]
+    batches = [[minute(i, i)] for i in seen] + [[minute(200, 0, "b")], [minute(400, 1, "b")]]
+    flags = feed(spark, tmp_path, batches).select("ts", "k", "id", F.lit(True).alias("over"))
+    out = live.sustained_alarm(flags, "k", "id", "over", timestamp="ts", delay="5 minutes", patience_s=600.0)
+    got = live.drain(out, "t").collect()
+    assert [(r["k"], r["detected_at"]) for r in got] == [("a", 3)]
+
+
+def test_a_run_without_an_end_is_dropped_by_default(spark, tmp_path):
+    schema = "created_at timestamp, run_id string, level string, event_type string, message string"
+    batches = [[(T0 + dt.timedelta(hours=h), run, "INFO", "x", "m")] for h, run in ((0, "hung"), (30, "other"), (31, "other"))]
+    got = live.drain(live.run_outcomes(feed(spark, tmp_path, batches, schema)), "t").collect()
+    assert [(r["run_id"], r["outcome"]) for r in got] == [("hung", "timeout")]
+
+
+def test_count_windows_over_many_cells_batches_and_missing_values(spark, tmp_path):
+    n = 90
+    rows = [(T0 + dt.timedelta(seconds=20 * (i // 3)), i, "a", None if i % 7 == 0 else float(i)) for i in range(n)]
+    near = [r for i in range(0, n, 9) for r in reversed(rows[i : i + 9])]
+    batches = [near[a : a + 10] for a in range(0, n, 10)] + [[(T0 + dt.timedelta(hours=1), n, "b", 0.0)], [(T0 + dt.timedelta(hours=2), n, "b", 0.0)]]
+    out = live.count_windows(feed(spark, tmp_path, batches), "ts", "id", "value", "k", size=5, step=3, delay="2 minutes", cell_s=30.0)
+    got = sorted((r["window_id"], r["mean"]) for r in live.drain(out, "t").collect() if r["k"] == "a")
+    want = []
+    for w, a in enumerate(range(0, n - 4, 3)):
+        values = [r[3] for r in rows[a : a + 5] if r[3] is not None]
+        want.append((w, sum(values) / len(values)))
+    assert got == want
