@@ -4,15 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorspark.functions.intervals import iou
+from sensorspark.functions.sweep import best_overlap
 from sensorspark.functions.text import ends_mid_clause, is_advisory, jaccard, tokens
 from sensorspark.operators.windows import positions
-from sensorspark.plans.series import explode_range, plan_layout, scan
+from sensorspark.plans.series import MAX_BROADCAST_CELLS, explode_range, plan_layout, scan
+from sensorspark.session import cut
 
 THRESHOLDS = (0.1, 0.3, 0.5)
+# A bucket is crowded when it holds more pairs than this many for each of its intervals.
+CROWDED = 64
+# Intervals of one side that a task sweeps at once.
+SWEPT_ROWS = 50_000
 
 
 def hull(reference: DataFrame, keys: Sequence[str] = (), step: str = "step") -> DataFrame:
@@ -20,37 +28,100 @@ def hull(reference: DataFrame, keys: Sequence[str] = (), step: str = "step") ->
     return reference.groupBy(*keys, step).agg(F.min("start").alias("start"), F.max("end").alias("end"))
 
 
-def overlap_pairs(a: DataFrame, b: DataFrame, keys: Sequence[str], bucket: float) -> DataFrame:
+def _spread(df: DataFrame, lo: str, hi: str, bucket: float) -> DataFrame:
+    """One row per time bucket that an interval reaches; empty intervals overlap nothing."""
+    first, last = F.floor(F.col(lo) / bucket), F.floor(F.col(hi) / bucket)
+    return explode_range(df.filter(F.col(hi) > F.col(lo)), "__b", first, last)
+
+
+def overlap_pairs(
+    a: DataFrame, b: DataFrame, keys: Sequence[str], bucket: float, without: DataFrame | None = None
+) -> DataFrame:
     """Overlapping pairs of ``a(a_start, a_end)`` and ``b(b_start, b_end)``, each exactly once.
 
     An equi join on time buckets of width ``bucket``; a pair is kept in the first bucket
-    both reach.  Only overlapping pairs are produced, never all pairs of a key.
+    both reach.  Only overlapping pairs are produced, never all pairs of a key.  Buckets
+    of ``without`` are left out, and a pair is then kept in every other bucket it shares.
     """
+    left = _spread(a, "a_start", "a_end", bucket)
+    joined = left if without is None else left.join(without, [*keys, "__b"], "left_anti")
+    joined = joined.join(_spread(b, "b_start", "b_end", bucket), [*keys, "__b"])
+    met = (F.col("a_start") < F.col("b_end")) & (F.col("b_start") < F.col("a_end"))
+    if without is None:
+        met = met & (F.col("__b") == F.floor(F.greatest("a_start", "b_start") / bucket))
+    return joined.filter(met).drop("__b")
 
-    def spread(df: DataFrame, lo: str, hi: str) -> DataFrame:
-        first, last = F.floor(F.col(lo) / bucket), F.floor(F.col(hi) / bucket)
-        return explode_range(df.filter(F.col(hi) > F.col(lo)), "__b", first, last)
 
-    first_shared = F.floor(F.greatest("a_start", "b_start") / bucket)
-    joined = spread(a, "a_start", "a_end").join(spread(b, "b_start", "b_end"), [*keys, "__b"])
-    met = (F.col("a_start") < F.col("b_end")) & (F.col("b_start") < F.col("a_end"))
-    return joined.filter(met & (F.col("__b") == first_shared)).drop("__b")
+def _crowded(a: DataFrame, b: DataFrame, keys: Sequence[str], bucket: float, crowded: int) -> tuple[DataFrame, int]:
+    """``(keys, __b, __na, __nb)`` of the buckets with more than ``crowded`` pairs for each interval, and their number."""
+    by = [*keys, "__b"]
+    na = _spread(a, "a_start", "a_end", bucket).groupBy(*by).agg(F.count(F.lit(1)).alias("__na"))
+    nb = _spread(b, "b_start", "b_end", bucket).groupBy(*by).agg(F.count(F.lit(1)).alias("__nb"))
+    full = na.join(nb, by).filter(F.col("__na").cast("double") * F.col("__nb") > crowded * (F.col("__na") + F.col("__nb")))
+    full = cut(full)
+    return full, full.count()
+
+
+def _swept(
+    a: DataFrame, b: DataFrame, keys: Sequence[str], bucket: float, full: DataFrame, position: str, rows: int
+) -> DataFrame:
+    """``(keys, a_start, a_end, b_start, b_end)``: the best ``b`` of every ``a`` in the buckets of ``full``, by parts.
+
+    Both sides of a bucket are dealt to parts of about ``rows`` intervals by hash, and each part of
+    one meets each part of the other in a task that makes no pairs.
+    """
+    by = [*keys, "__b"]
+    parts = {n: F.ceil(F.col(n) / F.lit(rows)) for n in ("__na", "__nb")}
+
+    def dealt(df: DataFrame, lo: str, hi: str, own: str, other: str) -> DataFrame:
+        out = _spread(df, lo, hi, bucket).join(full, by)
+        home = F.pmod(F.xxhash64(lo, hi), parts[own])
+        return out.withColumn("__home", home).withColumn("__met", F.explode(F.sequence(F.lit(0).cast("long"), parts[other] - 1)))
+
+    left = dealt(a, "a_start", "a_end", "__na", "__nb").withColumnsRenamed({"__home": "__i", "__met": "__j"})
+    right = dealt(b, "b_start", "b_end", "__nb", "__na").withColumnsRenamed({"__home": "__j", "__met": "__i"})
+    spans = ["a_start", "a_end", "b_start", "b_end"]
+
+    def sweep(key, own: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        side = [others[c].to_numpy() for c in ("b_start", "b_end", "__p")]
+        _, at = best_overlap(own["a_start"].to_numpy(), own["a_end"].to_numpy(), *side)
+        met = at >= 0
+        out = {c: own[c].to_numpy()[met] for c in ("a_start", "a_end")}
+        out |= {c: others[c].to_numpy()[at[met]] for c in ("b_start", "b_end")}
+        same = {k: pd.Series([v] * int(met.sum()), dtype=object) for k, v in zip(keys, key)}
+        return pd.DataFrame({**same, **out})
+
+    slot = [*by, "__i", "__j"]
+    left = left.select(*slot, *[F.col(c).cast("double").alias(c) for c in spans[:2]])
+    right = right.select(*slot, *[F.col(c).cast("double").alias(c) for c in spans[2:]], F.col("__c")[position].alias("__p"))
+    kind = T.StructType([*[a.schema[k] for k in keys], *[T.StructField(c, T.DoubleType()) for c in spans]])
+    return left.groupBy(*slot).cogroup(right.groupBy(*slot)).applyInPandas(sweep, kind)
 
 
 def best_match(
     reference: DataFrame, candidates: DataFrame, keys: Sequence[str] = (), *, bucket: float = 60.0,
-    position: str = "position", carry: Sequence[str] = (),
+    position: str = "position", carry: Sequence[str] = (), crowded: int = CROWDED, swept_rows: int = SWEPT_ROWS,
 ) -> DataFrame:
     """Best temporal IoU of every reference interval, 0 and NULL when nothing overlaps.
 
     Ties go to the earliest candidate.  Copies of an interval are matched once: both
     sides are reduced to distinct spans first, and the best is combined before the shuffle.
+    A bucket with few pairs is joined; in one with more than ``crowded`` for each interval the
+    intervals are packed into blocks, and a block meets those whose bound on the IoU can win.
     """
     spans = candidates.groupBy(*keys, F.col("start").alias("b_start"), F.col("end").alias("b_end")).agg(
         F.min_by(F.struct(position, *carry), position).alias("__c")
     )
     asked = reference.select(*keys, F.col("start").alias("a_start"), F.col("end").alias("a_end")).distinct()
-    pairs = overlap_pairs(asked, spans, keys, bucket)
+    full, n_full = _crowded(asked, spans, keys, bucket, crowded)
+    if not n_full:
+        pairs = overlap_pairs(asked, spans, keys, bucket)
+    else:
+        side = F.broadcast(full) if n_full <= MAX_BROADCAST_CELLS else full
+        pairs = overlap_pairs(asked, spans, keys, bucket, side.select(*keys, "__b"))
+        won = _swept(asked, spans, keys, bucket, side, position, swept_rows)
+        known = spans.select(*keys, *[F.col(c).cast("double").alias(c) for c in ("b_start", "b_end")], "__c")
+        pairs = pairs.unionByName(won.join(known, [*keys, "b_start", "b_end"]))
     value = iou(F.col("a_start"), F.col("a_end"), F.col("b_start"), F.col("b_end"))
     pairs = pairs.withColumn("iou", value)
     best = pairs.groupBy(*keys, "a_start", "a_end").agg(
