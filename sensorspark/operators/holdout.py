@@ -106,11 +106,23 @@ def evaluate_window_size(
     return out.join(F.broadcast(n_lib)).join(F.broadcast(lost)).select(named, "n_library", "n_unencoded", *out.columns)
 
 
-def sweep(window_sizes: Sequence[int], shots: DataFrame, sensors: Sequence[str], **kwargs) -> DataFrame:
-    """The evaluation once per window length as one table; the scaler is fitted once."""
+def sweep(
+    window_sizes: Sequence[int], shots: DataFrame, sensors: Sequence[str], *, inference: DataFrame, tick: str,
+    series: Sequence[str] = (), **kwargs,
+) -> DataFrame:
+    """The evaluation once per window length as one table.
+
+    The scaler is fitted once, and rows are ordered once: all lengths cut their windows from
+    the same positions and the same runs of ticks.
+    """
     fitted = features.fit_channels(shots, sensors)
+    placed = windows.prepare_sliding(shots, tick, [*dict.fromkeys([*series, "label"])])
+    runs = windows.prepare_contiguous(inference, tick, series)
     rows = [
-        evaluate_window_size(shots, sensors=sensors, window_size=w, scaler=fitted, **kwargs) for w in window_sizes
+        evaluate_window_size(
+            placed, runs, tick=tick, sensors=sensors, window_size=w, scaler=fitted, series=series, **kwargs
+        )
+        for w in window_sizes
     ]
     out = rows[0]
     for r in rows[1:]:

@@ -17,6 +17,8 @@ from sensorspark.plans.series import explode_range, plan_layout, scan, with_halo
 from sensorspark.session import cut
 
 AXIS = "__us"
+# Columns of prepared rows: position and length of the series, ends of the run of ticks.
+POS, SIZE, BEGIN, END = "__pos", "__n", "__begin", "__end"
 
 # The encoder's trained range of window lengths.
 MIN_WINDOW, MAX_WINDOW = 16, 1024
@@ -68,6 +70,11 @@ def collect_windows(df: DataFrame, by: Sequence[str], order: str, sensors: Seque
     return out.withColumn("values", F.create_map(*pairs)).drop("__cells")
 
 
+def prepare_sliding(df: DataFrame, timestamp: str, keys: Sequence[str] = (), ties: Sequence[str] = ()) -> DataFrame:
+    """The rows with their positions, written once; ``sliding`` takes them for any window length and step."""
+    return cut(positions(df, timestamp, keys, ties, pos=POS, size=SIZE))
+
+
 def sliding(
     df: DataFrame,
     timestamp: str,
@@ -79,20 +86,21 @@ def sliding(
     """Rows tagged with every full window that covers them: ``window_id`` and ``in_window``.
 
     A row belongs to at most ``ceil(window_size / step)`` windows, and to exactly one
-    when the windows do not overlap.  Windows never look at time gaps.
+    when the windows do not overlap.  Windows never look at time gaps.  Rows that
+    ``prepare_sliding`` has seen are not ordered again.
     """
     _check_sizes(window_size, step)
-    rows = positions(df, timestamp, keys, ties, pos="__pos", size="__n")
-    pos = F.col("__pos")
+    rows = df if POS in df.columns else positions(df, timestamp, keys, ties, pos=POS, size=SIZE)
+    pos = F.col(POS)
     first = F.greatest(F.lit(0), F.ceil((pos - window_size + 1) / step))
-    last = F.least(F.floor(pos / step), F.floor((F.col("__n") - window_size) / step))
+    last = F.least(F.floor(pos / step), F.floor((F.col(SIZE) - window_size) / step))
     if step >= window_size:
         ids = rows.withColumn("window_id", F.floor(pos / step))
         ids = ids.filter((F.col("window_id") <= last) & (pos < F.col("window_id") * step + window_size))
     else:
         covering = F.when(first <= last, F.sequence(first, last))
         ids = rows.withColumn("window_id", F.explode(covering))
-    return ids.withColumn("in_window", pos - F.col("window_id") * step).drop("__pos", "__n")
+    return ids.withColumn("in_window", pos - F.col("window_id") * step).drop(POS, SIZE)
 
 
 def window_spans(df: DataFrame, timestamp: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -123,6 +131,30 @@ def window_bounds(
     return out.select(*[F.col("__key")[k].alias(k) for k in keys], "window_id", "start_us", "finish_us")
 
 
+def _tick_runs(df: DataFrame, tick: str, keys: Sequence[str], step: int) -> DataFrame:
+    """The rows with the first and the last tick of their run of consecutive ticks."""
+    rows = df.withColumn("__t", F.col(tick).cast("long"))
+    # Cells should cover as many ticks per row as other axes cover microseconds.
+    lay = plan_layout(rows, keys, "__t", first_width=1 << 22)
+    seen = scan(lay.place(rows), lay, lag={"__pt": F.col("__t")}, lead={"__nt": F.col("__t")})
+    breaks = F.coalesce(F.col("__t") - F.col("__pt") != step, F.lit(True))
+    ends = F.coalesce(F.col("__nt") - F.col("__t") != step, F.lit(True))
+    runs = scan(
+        seen.withColumns({"__new": breaks, "__last": ends}),
+        lay,
+        upto={"__from": F.when(F.col("__new"), F.col("__t"))},
+        onward={"__to": F.when(F.col("__last"), F.col("__t"))},
+        at=False,
+    )
+    found = [F.col("__from")["v"].alias(BEGIN), F.col("__to")["v"].alias(END)]
+    return lay.detach(runs).select(*df.columns, *found)
+
+
+def prepare_contiguous(df: DataFrame, tick: str, keys: Sequence[str] = (), *, step: int = 1) -> DataFrame:
+    """The rows with the ends of their runs of ticks, written once; ``contiguous`` takes them for any window length."""
+    return cut(_tick_runs(df, tick, keys, step))
+
+
 def contiguous(
     df: DataFrame,
     tick: str,
@@ -135,28 +167,16 @@ def contiguous(
 
     Returns the rows of complete windows tagged with ``window_start`` (the tick the
     window starts at) and ``in_window``.  After a jump the windows restart at the first
-    row behind it.  Ticks must be strictly increasing per series.
+    row behind it.  Ticks must be strictly increasing per series.  Rows that
+    ``prepare_contiguous`` has seen, with the same step, are not ordered again.
     """
     _check_sizes(window_size)
-    rows = df.withColumn("__t", F.col(tick).cast("long"))
-    # Cells should cover as many ticks per row as other axes cover microseconds.
-    lay = plan_layout(rows, keys, "__t", first_width=1 << 22)
-    seen = scan(lay.place(rows), lay, lag={"__pt": F.col("__t")}, lead={"__nt": F.col("__t")})
-    breaks = F.coalesce(F.col("__t") - F.col("__pt") != step, F.lit(True))
-    ends = F.coalesce(F.col("__nt") - F.col("__t") != step, F.lit(True))
-    runs = scan(
-        seen.withColumns({"__new": breaks, "__end": ends}),
-        lay,
-        upto={"__from": F.when(F.col("__new"), F.col("__t"))},
-        onward={"__to": F.when(F.col("__end"), F.col("__t"))},
-        at=False,
-    )
-    begin, end = F.col("__from")["v"], F.col("__to")["v"]
-    index = F.floor((F.col("__t") - begin) / F.lit(step))
+    runs = df if BEGIN in df.columns else _tick_runs(df, tick, keys, step)
+    begin, end = F.col(BEGIN), F.col(END)
+    index = F.floor((F.col(tick).cast("long") - begin) / F.lit(step))
     start = begin + F.floor(index / window_size) * (window_size * step)
     out = runs.withColumns({"window_start": start, "in_window": F.pmod(index, F.lit(window_size))})
-    out = out.filter(F.col("window_start") + (window_size - 1) * step <= end)
-    return lay.detach(out).select(*df.columns, "window_start", "in_window")
+    return out.filter(F.col("window_start") + (window_size - 1) * step <= end).drop(BEGIN, END)
 
 
 def validity(

@@ -99,7 +99,7 @@ def test_chunk_plan_against_a_walk(spark):
     for c, ts in clips.items():
         start, n = ts[0], 0
         while True:
-            want.add((c, n, start))
+            want.add((c, n, start, start + 90))
             beyond = [t for t in ts if t > start + 75]
             if not beyond:
                 break
@@ -226,3 +226,17 @@ def test_sliding_statistics_over_many_stretches(spark, monkeypatch):
     assert len(got) == 295
     for i, row in enumerate(got):
         assert row.window_id == i and row.x_max == max(xs[i : i + 6]) and abs(row.x_mean - sum(xs[i : i + 6]) / 6) < 1e-9
+
+
+def test_all_lengths_from_one_layout(spark):
+    rows = [("a", t, float(t)) for t in [*range(0, 23), *range(30, 41)]] + [("b", t, 0.0) for t in range(5, 12)]
+    df = spark.createDataFrame(rows, "k string, t long, v double")
+    placed, runs = windows.prepare_sliding(df, "t", ["k"]), windows.prepare_contiguous(df, "t", ["k"])
+    for w in (1, 3, 5, 8):
+        for given, fresh in ((windows.sliding(placed, "t", w, 2, ["k"]), windows.sliding(df, "t", w, 2, ["k"])),
+                             (windows.contiguous(runs, "t", w, ["k"]), windows.contiguous(df, "t", w, ["k"]))):
+            assert given.columns == fresh.columns
+            assert sorted(map(tuple, given.collect())) == sorted(map(tuple, fresh.collect()))
+    # The prepared rows lie in the checkpoint folder: cutting windows from them moves no row.
+    plan = windows.contiguous(runs, "t", 5, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
