@@ -164,6 +164,21 @@ def score_manual(steps: DataFrame, reference: DataFrame, keys: Sequence[str] = (
     return best_match(hull(reference, keys), usable, keys, bucket=bucket, carry=["instruction"])
 
 
+def _rare_words(sides: DataFrame, clip: str, similarity: float) -> DataFrame:
+    """``(clip, id, h, word)``: the rarest words of each step, of which similar steps share at least one.
+
+    Texts of ``n`` words that agree to ``similarity`` share ``similarity * n`` of them at least, so one is
+    among the first ``n - ceil(similarity * n) + 1`` in any common order; here, rarest in the clip first.
+    """
+    said = sides.select(clip, "id", "h", F.explode("words").alias("word"))
+    often = said.groupBy(clip, "word").agg(F.count(F.lit(1)).alias("n"))
+    ranked = said.join(often, [clip, "word"]).groupBy(clip, "id", "h").agg(F.array_sort(F.collect_set(F.struct("n", "word"))).alias("ranked"))
+    n = F.size("ranked")
+    # A little room for products that are whole numbers but for their last bit.
+    first = n - F.ceil(similarity * n - 1e-9).cast("int") + 1
+    return ranked.select(clip, "id", "h", F.explode(F.slice("ranked", F.lit(1), first)["word"]).alias("word"))
+
+
 def merge_chunks(
     steps: DataFrame, clip: str, *, chunk: str = "chunk", offset: str = "chunk_start", similarity: float = 0.6,
     bucket: float = 30.0, text: str = "instruction",
@@ -172,8 +187,11 @@ def merge_chunks(
 
     A step is dropped only when a step of an earlier chunk overlaps it in time *and* has
     similar words; similarity alone would delete real repetitions.  Steps are renumbered
-    from 0 in time order.
+    from 0 in time order.  Steps meet under a rare word and a time bucket, and words are
+    fetched for the pairs that overlap.
     """
+    if not 0 < similarity <= 1:
+        raise ValueError(f"similarity must be above 0 and at most 1, got {similarity}")
     placed = steps.withColumns(
         {
             "start": F.col("timestamp_start") + F.col(offset),
@@ -181,15 +199,19 @@ def merge_chunks(
             "__id": F.struct(F.col(chunk).alias("c"), F.col("step").alias("s")),
         }
     )
-    sides = placed.select(clip, "__id", "start", "end", tokens(F.col(text)).alias("words"))
-    a = sides.select(clip, F.col("__id").alias("a"), F.col("start").alias("a_start"), F.col("end").alias("a_end"), F.col("words").alias("wa"))
-    b = sides.select(clip, F.col("__id").alias("__id"), F.col("start").alias("b_start"), F.col("end").alias("b_end"), F.col("words").alias("wb"))
-    twins = (
-        overlap_pairs(a, b, [clip], bucket)
-        .filter((F.col("a")["c"] < F.col("__id")["c"]) & (jaccard(F.col("wa"), F.col("wb")) >= similarity))
-        .select(clip, "__id")
-        .distinct()
-    )
+    # Steps that repeat a number are told apart by their text.
+    sides = placed.select(clip, F.col("__id").alias("id"), F.xxhash64(text).alias("h"), "start", "end", tokens(F.col(text)).alias("words"))
+    timed = sides.select(clip, "id", "h", "start", "end").join(_rare_words(sides, clip, similarity), [clip, "id", "h"])
+
+    def side(x: str) -> DataFrame:
+        return timed.select(clip, "word", F.struct("id", "h").alias(x), F.col("start").alias(f"{x}_start"), F.col("end").alias(f"{x}_end"))
+
+    met = overlap_pairs(side("a"), side("b"), [clip, "word"], bucket).filter(F.col("a")["id"]["c"] < F.col("b")["id"]["c"])
+    said = sides.select(clip, F.struct("id", "h").alias("at"), "words").distinct()
+    pairs = met.select(clip, "a", "b").distinct()
+    for x in ("a", "b"):
+        pairs = pairs.join(said.withColumnsRenamed({"at": x, "words": f"w{x}"}), [clip, x])
+    twins = pairs.filter(jaccard(F.col("wa"), F.col("wb")) >= similarity).select(clip, F.col("b")["id"].alias("__id")).distinct()
     kept = placed.join(twins, [clip, "__id"], "left_anti").drop("__id", "step")
     return positions(kept, "start", [clip], [chunk], pos="step", size="__n").drop("__n", "timestamp_start", "timestamp_end", offset)
 

@@ -87,3 +87,26 @@ def test_best_match_without_keys_and_of_empty_tables(spark):
     none = steps.best_match(reference, candidates.limit(0), crowded=0).collect()
     assert len(none) == 90 and {(r["iou"], r["position"]) for r in none} == {(0.0, None)}
     assert steps.best_match(reference.limit(0), candidates).count() == 0
+
+
+@pytest.mark.parametrize("similarity", [0.2, 0.5, 0.6, 1.0])
+def test_merge_against_all_pairs(spark, similarity):
+    rng = np.random.default_rng(5)
+    words = ["turn", "the", "cap", "valve", "open", "close", "red", "blue"]
+    rows = []
+    for i in range(160):
+        start = float(rng.integers(0, 80))
+        said = None if i % 23 == 0 else " ".join(rng.choice(words, rng.integers(0, 6)))
+        rows.append(("hot" if i % 3 else "cold", i % 4, float(i % 4) * 10, i // 4, said, start, start + float(rng.integers(0, 30))))
+    schema = "clip string, chunk int, chunk_start double, step int, instruction string, timestamp_start double, timestamp_end double"
+    got = steps.merge_chunks(spark.createDataFrame(rows, schema), "clip", similarity=similarity, bucket=7.0).collect()
+
+    def twins(x, y):
+        a, b = set((x[4] or "").split()), set((y[4] or "").split())
+        met = x[5] + x[2] < y[6] + y[2] and y[5] + y[2] < x[6] + x[2] and x[6] > x[5] and y[6] > y[5]
+        return x[0] == y[0] and x[1] < y[1] and met and a | b and len(a & b) / len(a | b) >= similarity
+
+    kept = [y for y in rows if not any(twins(x, y) for x in rows)]
+    assert len(kept) < len(rows)
+    want = sorted((y[0], y[1], y[4] or "", y[5] + y[2], y[6] + y[2]) for y in kept)
+    assert sorted((r["clip"], r["chunk"], r["instruction"] or "", r["start"], r["end"]) for r in got) == want
