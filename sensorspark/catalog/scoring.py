@@ -267,7 +267,7 @@ def scored_windows(t: Tables) -> DataFrame:
 
 def lead_runs(t: Tables) -> DataFrame:
     scored = scored_windows(t)
-    return leadtime.score_runs(scored, scored, 1.0, keys=["user_id"])
+    return leadtime.score_runs(scored, scored, 1.0, keys=["user_id"], ties=["event_id"])
 
 
 @query(
@@ -282,6 +282,27 @@ def lead_time(t: Tables) -> DataFrame:
     return rounded(lead_runs(t), "max_score", "crossing_rate", "median_score", "lead_hours")
 
 
+@query(
+    "lead_time_by_end",
+    f"""WITH {POS_SQL}, w AS (SELECT user_id, event_id, value / 40 AS s, epoch_us(ts) AS us, pos // 2 AS snap,
+  (max(epoch_us(ts)) OVER (PARTITION BY user_id) - epoch_us(ts)) / 3.6e9 AS h FROM pos),
+lb AS (SELECT user_id, us, min(snap) AS k FROM w GROUP BY 1, 2),
+seen AS (SELECT user_id, k, bool_or(s > 1.0) AS over FROM lb JOIN (SELECT * FROM w WHERE event_id % 5 <> 0) USING (user_id, us) GROUP BY 1, 2),
+ev AS (SELECT user_id, unnest(range(min(k), max(k) + 1)) AS k FROM lb GROUP BY 1),
+ov AS (SELECT user_id, k, coalesce(over, FALSE) AS over FROM ev LEFT JOIN seen USING (user_id, k)),
+sk AS (SELECT *, k - coalesce(max(CASE WHEN NOT over THEN k END) OVER (PARTITION BY user_id ORDER BY k), -1) AS streak FROM ov),
+det AS (SELECT user_id, min(k) - 2 AS detected_at FROM sk WHERE streak = 3 GROUP BY 1)
+SELECT r.user_id, count(*) AS windows, (SELECT count(*) FROM ov WHERE ov.user_id = r.user_id) AS snapshots, det.detected_at,
+  round((SELECT arg_min(h, us) FROM w l WHERE l.user_id = r.user_id AND l.snap = det.detected_at), 6) AS lead_hours
+FROM (SELECT * FROM w WHERE event_id % 5 <> 0) r LEFT JOIN det USING (user_id) GROUP BY r.user_id, det.detected_at""",
+)
+def lead_time_by_end(t: Tables) -> DataFrame:
+    """A fifth of the windows has no score; the others keep their snapshots, which they find by their end."""
+    labels = scored_windows(t)
+    out = leadtime.score_runs(labels.filter("event_id % 5 <> 0"), labels, 1.0, keys=["user_id"], by_time=True)
+    return rounded(out.select("user_id", "windows", "snapshots", "detected_at", "lead_hours"), "lead_hours")
+
+
 @query(
     "failure_modes",
     f"""WITH {LEAD_SQL}, r AS (SELECT 'mode' || (runs.user_id % 3) AS mode, runs.user_id AS asset, detected_at, lead_hours

@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorspark.columns import MICROS, micros, truthy
+from sensorspark.columns import MICROS, join_on, micros, truthy
 from sensorspark.operators.evaluate import binary
 from sensorspark.operators.windows import positions
 from sensorspark.plans.ranks import exact_quantile
-from sensorspark.plans.series import plan_layout, scan
+from sensorspark.plans.series import explode_range, plan_layout, scan
 
 AXIS = "__us"
 SUSTAIN = 3
@@ -43,6 +43,7 @@ def snapshots_over(
     *,
     finish: str = "finish_timestamp",
     keys: Sequence[str] = (),
+    ties: Sequence[str] = (),
     snapshot: str = "snapshot_index",
     score: str = "anomaly_score",
 ) -> DataFrame:
@@ -54,13 +55,43 @@ def snapshots_over(
     ratio = labels.groupBy(*keys).agg(
         F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / F.count_distinct(snapshot))).alias("__wps")
     )
-    placed = positions(output, finish, keys, pos="__pos", size="__n")
+    placed = positions(output, finish, keys, ties, pos="__pos", size="__n")
     sized = placed.join(ratio, list(keys), "left") if keys else placed.join(F.broadcast(ratio), how="left")
     index = F.floor(F.col("__pos") / F.coalesce(F.col("__wps"), F.lit(1)))
     high = F.coalesce(F.col(score).cast("double"), F.lit(0.0)) > threshold
     return sized.groupBy(*keys, index.alias("snapshot")).agg(F.bool_or(high).alias("over"))
 
 
+def snapshots_at(
+    output: DataFrame,
+    labels: DataFrame,
+    threshold: float,
+    *,
+    finish: str = "finish_timestamp",
+    window_end: str = "window_end_timestamp",
+    keys: Sequence[str] = (),
+    snapshot: str = "snapshot_index",
+    score: str = "anomaly_score",
+) -> DataFrame:
+    """Like ``snapshots_over`` for labels that know when their windows end: windows are assigned by time.
+
+    A window belongs to the snapshot of the label row with its end, the smallest if several have it;
+    a window whose end no label row has belongs to none.  Snapshots without a window, between
+    the first and the last label, are not over, so lost windows never move the others.  Both
+    sides are reduced to instants before they meet.
+    """
+    number = F.col(snapshot).cast("long")
+    known = labels.select(*keys, micros(labels, window_end).alias(AXIS), number.alias("snapshot")).filter(F.col("snapshot").isNotNull())
+    known = known.groupBy(*keys, AXIS).agg(F.min("snapshot").alias("snapshot"))
+    high = F.coalesce(F.col(score).cast("double"), F.lit(0.0)) > threshold
+    seen = output.select(*keys, micros(output, finish).alias(AXIS), high.alias("over")).groupBy(*keys, AXIS).agg(F.bool_or("over").alias("over"))
+    met = join_on(known, seen, [*keys, AXIS]).groupBy(*keys, "snapshot").agg(F.bool_or("over").alias("over"))
+    ends = known.groupBy(*keys).agg(F.min("snapshot").alias("__lo"), F.max("snapshot").alias("__hi"))
+    every = explode_range(ends, "snapshot", F.col("__lo"), F.col("__hi")).select(*keys, "snapshot")
+    blank = every.withColumn("over", F.lit(False))
+    return met.unionByName(blank).groupBy(*keys, "snapshot").agg(F.bool_or("over").alias("over"))
+
+
 def score_runs(
     output: DataFrame,
     labels: DataFrame,
@@ -74,12 +105,16 @@ def score_runs(
     score: str = "anomaly_score",
     invalid: str = "invalid",
     sustain: int = SUSTAIN,
+    ties: Sequence[str] = (),
+    by_time: bool = False,
 ) -> DataFrame:
     """Lead time and crossing rate of each run.
 
     Windows are counted, not judged: a run to failure has no per-window truth, so there
     is no precision or recall.  Detection needs ``sustain`` consecutive snapshots over
-    the line; the lead is the hours to the end of the record at the first of them.
+    the line; the lead is the hours to the end of the record at the first of them.  Windows go
+    to snapshots by their position, or by their end with ``by_time`` (``label_order`` then holds
+    the end of the window of a label row); ``ties`` orders windows that end together.
     """
     s = F.col(score).cast("double")
     base = output.groupBy(*keys).agg(
@@ -90,7 +125,11 @@ def score_runs(
         (F.count_if(F.coalesce(s > threshold, F.lit(False))) / F.count(s)).alias("crossing_rate"),
     )
     mid = exact_quantile(output.withColumn("__s", s), keys, "__s", 0.5, "median_score").drop("n")
-    over = snapshots_over(output, labels, threshold, finish=finish, keys=keys, snapshot=snapshot, score=score)
+    names = {"finish": finish, "keys": keys, "snapshot": snapshot, "score": score}
+    if by_time:
+        over = snapshots_at(output, labels, threshold, window_end=label_order, **names)
+    else:
+        over = snapshots_over(output, labels, threshold, ties=ties, **names)
     total = over.groupBy(*keys).agg(F.count(F.lit(1)).alias("snapshots"))
     first = first_sustained(over, "snapshot", "over", keys, sustain)
     hours = labels.groupBy(*keys, F.col(snapshot).cast("long").alias("detected_at")).agg(

@@ -127,6 +127,27 @@ def test_sustained_detection_and_lead(spark):
     assert not r["detected"] and r["lead_hours"] is None
 
 
+def test_lead_by_the_end_of_windows(spark):
+    lab = spark.createDataFrame(
+        [(i // 2, float(i), float(20 - i)) for i in range(16)], "snapshot_index int, window_end_timestamp double, operating_hours_to_end double"
+    )
+
+    def run(high, lost=()):
+        rows = [(float(i), 2.0 if i in high else 1.0, "false") for i in range(16) if i not in lost]
+        out = spark.createDataFrame(rows, "finish_timestamp double, anomaly_score double, invalid string")
+        r = leadtime.score_runs(out, lab, 1.5, by_time=True).first()
+        return r["detected_at"], r["lead_hours"], r["snapshots"]
+
+    assert run({6, 8, 10}) == (3, 14.0, 8)
+    # Lost windows before the crossing do not move it; a snapshot that lost both breaks a streak.
+    assert run({6, 8, 10}, lost={0, 1, 2, 3}) == (3, 14.0, 8)
+    assert run({6, 8, 10, 12, 14}, lost={8, 9}) == (5, 10.0, 8)
+    # A window that no label row knows belongs to no snapshot.
+    extra = spark.createDataFrame([(0.5, 9.0, "false"), (2.5, 9.0, "false"), (4.5, 9.0, "false")], "finish_timestamp double, anomaly_score double, invalid string")
+    r = leadtime.score_runs(extra, lab, 1.5, by_time=True).first()
+    assert (r["crossings"], r["detected"]) == (3, False)
+
+
 def manual(spark, rows):
     return spark.createDataFrame(rows, "step int, instruction string, timestamp_start double, timestamp_end double")
 
