@@ -120,10 +120,12 @@ def _sweep_sql() -> str:
 
 @query("window_size_sweep", _sweep_sql())
 def window_size_sweep(t: Tables) -> DataFrame:
-    """The whole evaluation once per window length, as one job; positions are computed once per length."""
+    """The whole evaluation once per window length, as one job; all lengths share the positions."""
+    placed = evaluate.prepare_truth(fault_rows(t), "ts", ["user_id"], ["event_id"])
     out = None
     for w in (2, 4, 8):
-        one = evaluate.rare_event_metrics(_flagged(spans(t, w)), "fault").withColumn("window_size", F.lit(w).cast("long"))
+        counted = evaluate.truth_spans(placed, "ts", "label", "fault", w, ["user_id"], ["event_id"])
+        one = evaluate.rare_event_metrics(_flagged(counted), "fault").withColumn("window_size", F.lit(w).cast("long"))
         out = one if out is None else out.unionByName(one)
     return evaluate.comparison(rounded(out, *_RED_RATES))
 

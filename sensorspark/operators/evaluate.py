@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sensorspark.columns import MICROS, join_on, micros, truthy
 from sensorspark.operators.windows import trailing_counts
 from sensorspark.plans.series import plan_layout, scan
+from sensorspark.session import cut
 
 AXIS = "__us"
 INVALID_STATE = "INVALID_STATE"
@@ -157,14 +158,29 @@ def infer_fault_label(truth: DataFrame, label: str = "label", normal: str = "nor
     return others[0] if others else None
 
 
+def prepare_truth(
+    truth: DataFrame, timestamp: str, keys: Sequence[str] = (), ties: Sequence[str] = ()
+) -> DataFrame:
+    """Truth rows with ``pos`` and ``at_us``, written once; ``truth_spans`` takes them for any window length."""
+    return cut(_placed_truth(truth, timestamp, keys, ties))
+
+
+def _placed_truth(truth: DataFrame, timestamp: str, keys: Sequence[str], ties: Sequence[str]) -> DataFrame:
+    rows = truth.withColumn(AXIS, micros(truth, timestamp))
+    lay = plan_layout(rows, keys, AXIS, ties)
+    return lay.detach(scan(rows, lay, pos="pos")).withColumn("at_us", F.col(AXIS)).drop(AXIS)
+
+
 def truth_spans(
     truth: DataFrame, timestamp: str, label: str, fault: str, window_size: int, keys: Sequence[str] = (),
     ties: Sequence[str] = (),
 ) -> DataFrame:
-    """Truth rows with ``pos`` and, for the window ending there, ``lo``, ``n_rows``, ``n_fault``."""
-    rows = truth.withColumn(AXIS, micros(truth, timestamp))
-    lay = plan_layout(rows, keys, AXIS, ties)
-    placed = lay.detach(scan(rows, lay, pos="pos")).withColumn("at_us", F.col(AXIS)).drop(AXIS)
+    """Truth rows with ``pos`` and, for the window ending there, ``lo``, ``n_rows``, ``n_fault``.
+
+    Rows that ``prepare_truth`` has seen are not ordered again.
+    """
+    prepared = {"pos", "at_us"} <= set(truth.columns)
+    placed = truth if prepared else _placed_truth(truth, timestamp, keys, ties)
     is_fault = (F.col(label) == fault).cast("long")
     out = trailing_counts(placed, keys, "pos", window_size, {"n_fault": is_fault})
     lo = F.greatest(F.lit(0), F.col("pos") - window_size + 1)
