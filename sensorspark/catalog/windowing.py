@@ -132,11 +132,7 @@ SELECT user_id, CASE WHEN len(v) > 64 THEN v[-64:] ELSE v || list_transform(rang
   least(len(v), 64)::BIGINT AS n_real FROM a""",
 )
 def fit_length(t: Tables) -> DataFrame:
-    placed = windows.positions(t.events.select("user_id", "ts", "event_id", "value"), "ts", ["user_id"], ["event_id"])
-    # Only the newest 64 samples can survive, so earlier ones are dropped before collecting.
-    recent = placed.filter(F.col("pos") >= F.col("n") - 65)
-    arrays = windows.collect_windows(recent, ["user_id"], "pos", ["value"])
-    fitted = windows.fit_length(arrays.withColumn("v", F.col("values")["value"]), "v", longest=64)
+    fitted = windows.fit_series(t.events, "ts", "value", ["user_id"], ["event_id"], longest=64)
     return fitted.select(
         "user_id",
         "fitted",

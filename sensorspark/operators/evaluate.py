@@ -200,11 +200,6 @@ def match_spans(predictions: DataFrame, spans: DataFrame, keys: Sequence[str], f
     return keyed.join(last, "__at", "left").select(*predictions.columns, *[F.col("__span")[c].alias(c) for c in held])
 
 
-def majority_truth(joined: DataFrame, fault: str, normal: str = "normal") -> Column:
-    """Fault when at least half of the window's rows are; ties go to the rare event."""
-    return F.when(F.col("n_fault") * 2 >= F.col("n_rows"), F.lit(fault)).otherwise(F.lit(normal))
-
-
 def rare_event_metrics(joined: DataFrame, fault: str, normal: str = "normal", by: Sequence[str] = ()) -> DataFrame:
     """Both classes' precision, recall, F1, macro-F1 and the false-alarm rate.
 

@@ -279,10 +279,32 @@ def resample(
     return grid.select(*keys, "grid_us", *[e.alias(s) for s, e in out.items()])
 
 
-def fit_length(df: DataFrame, values: str, *, shortest: int = MIN_WINDOW, longest: int = MAX_WINDOW) -> DataFrame:
-    """Fit sample arrays to the encoder: the last ``longest`` samples, zero padded with a mask."""
-    n = F.size(values)
-    kept = F.when(n > longest, F.slice(values, -longest, longest)).otherwise(F.col(values))
+def fit_series(
+    df: DataFrame, timestamp: str, value: str, keys: Sequence[str] = (), ties: Sequence[str] = (), *,
+    shortest: int = MIN_WINDOW, longest: int = MAX_WINDOW,
+) -> DataFrame:
+    """Every series fitted to the encoder as ``samples, n`` and the columns of :func:`fit_length`.
+
+    Only the newest ``longest`` samples can stay, so earlier ones are counted and not collected:
+    a series of any length is an array of bounded size.
+    """
+    placed = positions(df.select(*keys, timestamp, *ties, value), timestamp, keys, ties, pos=POS, size=SIZE)
+    recent = placed.filter(F.col(POS) >= F.col(SIZE) - longest)
+    cells = F.array_sort(F.collect_list(F.struct(POS, F.col(value).cast("double").alias("v"))))
+    arrays = recent.groupBy(*keys).agg(cells["v"].alias("samples"), F.max(SIZE).alias("n"))
+    return fit_length(arrays, "samples", length="n", shortest=shortest, longest=longest)
+
+
+def fit_length(
+    df: DataFrame, values: str, *, length: str | None = None, shortest: int = MIN_WINDOW, longest: int = MAX_WINDOW
+) -> DataFrame:
+    """Fit sample arrays to the encoder: the last ``longest`` samples, zero padded with a mask.
+
+    ``length`` names the whole length where an array holds the newest samples only.
+    """
+    held = F.size(values)
+    n = F.col(length).cast("int") if length else held
+    kept = F.when(held > longest, F.slice(values, -longest, longest)).otherwise(F.col(values))
     pad = F.greatest(F.lit(0), F.lit(longest) - n)
     notes = F.array(
         F.when(n < shortest, F.lit(f"shorter than {shortest} samples")),

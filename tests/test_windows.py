@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorspark.functions import encoders, vectors
-from sensorspark.operators import features, split, windows
+from sensorspark.operators import audit, features, split, windows
 
 
 def ticks(spark, values):
@@ -240,3 +240,21 @@ def test_all_lengths_from_one_layout(spark):
     # The prepared rows lie in the checkpoint folder: cutting windows from them moves no row.
     plan = windows.contiguous(runs, "t", 5, ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Sort" not in plan
+
+
+def test_fit_series_counts_what_it_does_not_collect(spark):
+    rows = [("long", t, float(t)) for t in range(50)] + [("exact", t, float(t)) for t in range(8)] + [("short", 0, 1.0)]
+    df = spark.createDataFrame(rows, "k string, t long, v double")
+    got = {r["k"]: r for r in windows.fit_series(df, "t", "v", ["k"], shortest=4, longest=8).collect()}
+    assert got["long"]["fitted"] == [float(t) for t in range(42, 50)] and got["long"]["n"] == 50
+    assert got["long"]["warnings"] == ["truncated to the last 8 samples"] and all(got["long"]["mask"])
+    assert got["exact"]["warnings"] == [] and len(got["exact"]["fitted"]) == 8
+    assert got["short"]["fitted"] == [1.0] + [0.0] * 7 and got["short"]["mask"] == [True] + [False] * 7
+    assert got["short"]["warnings"] == ["shorter than 4 samples"]
+
+
+def test_a_test_table_must_not_hold_the_label(spark):
+    df = spark.createDataFrame([(1, "x")], "id long, label string")
+    audit.assert_no_label(df.drop("label"))
+    with pytest.raises(ValueError):
+        audit.assert_no_label(df)
