@@ -181,14 +181,15 @@ def _rare_words(sides: DataFrame, clip: str, similarity: float) -> DataFrame:
 
 def merge_chunks(
     steps: DataFrame, clip: str, *, chunk: str = "chunk", offset: str = "chunk_start", similarity: float = 0.6,
-    bucket: float = 30.0, text: str = "instruction",
+    bucket: float = 30.0, text: str = "instruction", crowded: int = CROWDED,
 ) -> DataFrame:
     """Chunk-local steps on one timeline, without the duplicates of the chunk overlap.
 
     A step is dropped only when a step of an earlier chunk overlaps it in time *and* has
     similar words; similarity alone would delete real repetitions.  Steps are renumbered
-    from 0 in time order.  Steps meet under a rare word and a time bucket, and words are
-    fetched for the pairs that overlap.
+    from 0 in time order.  Steps meet in time buckets; where a bucket has more than ``crowded``
+    pairs for each step, they meet under a rare word and a bucket, which costs a copy of the
+    step for each rare word.  Words are fetched for the pairs that overlap.
     """
     if not 0 < similarity <= 1:
         raise ValueError(f"similarity must be above 0 and at most 1, got {similarity}")
@@ -201,12 +202,16 @@ def merge_chunks(
     )
     # Steps that repeat a number are told apart by their text.
     sides = placed.select(clip, F.col("__id").alias("id"), F.xxhash64(text).alias("h"), "start", "end", tokens(F.col(text)).alias("words"))
-    timed = sides.select(clip, "id", "h", "start", "end").join(_rare_words(sides, clip, similarity), [clip, "id", "h"])
+    timed = sides.select(clip, "id", "h", "start", "end")
 
-    def side(x: str) -> DataFrame:
-        return timed.select(clip, "word", F.struct("id", "h").alias(x), F.col("start").alias(f"{x}_start"), F.col("end").alias(f"{x}_end"))
+    def side(rows: DataFrame, x: str, by: Sequence[str]) -> DataFrame:
+        return rows.select(*by, F.struct("id", "h").alias(x), F.col("start").alias(f"{x}_start"), F.col("end").alias(f"{x}_end"))
 
-    met = overlap_pairs(side("a"), side("b"), [clip, "word"], bucket).filter(F.col("a")["id"]["c"] < F.col("b")["id"]["c"])
+    by = [clip]
+    if _crowded(side(timed, "a", by), side(timed, "b", by), by, bucket, crowded)[1]:
+        by = [clip, "word"]
+        timed = timed.join(_rare_words(sides, clip, similarity), [clip, "id", "h"])
+    met = overlap_pairs(side(timed, "a", by), side(timed, "b", by), by, bucket).filter(F.col("a")["id"]["c"] < F.col("b")["id"]["c"])
     said = sides.select(clip, F.struct("id", "h").alias("at"), "words").distinct()
     pairs = met.select(clip, "a", "b").distinct()
     for x in ("a", "b"):

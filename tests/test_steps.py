@@ -89,8 +89,8 @@ def test_best_match_without_keys_and_of_empty_tables(spark):
     assert steps.best_match(reference.limit(0), candidates).count() == 0
 
 
-@pytest.mark.parametrize("similarity", [0.2, 0.5, 0.6, 1.0])
-def test_merge_against_all_pairs(spark, similarity):
+@pytest.mark.parametrize(("similarity", "crowded"), [(0.2, 0), (0.6, 0), (1.0, 0), (0.6, 10_000)])
+def test_merge_against_all_pairs(spark, similarity, crowded):
     rng = np.random.default_rng(5)
     words = ["turn", "the", "cap", "valve", "open", "close", "red", "blue"]
     rows = []
@@ -99,7 +99,7 @@ def test_merge_against_all_pairs(spark, similarity):
         said = None if i % 23 == 0 else " ".join(rng.choice(words, rng.integers(0, 6)))
         rows.append(("hot" if i % 3 else "cold", i % 4, float(i % 4) * 10, i // 4, said, start, start + float(rng.integers(0, 30))))
     schema = "clip string, chunk int, chunk_start double, step int, instruction string, timestamp_start double, timestamp_end double"
-    got = steps.merge_chunks(spark.createDataFrame(rows, schema), "clip", similarity=similarity, bucket=7.0).collect()
+    got = steps.merge_chunks(spark.createDataFrame(rows, schema), "clip", similarity=similarity, bucket=7.0, crowded=crowded).collect()
 
     def twins(x, y):
         a, b = set((x[4] or "").split()), set((y[4] or "").split())
