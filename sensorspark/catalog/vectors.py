@@ -282,7 +282,8 @@ def channel_rows(t: Tables) -> DataFrame:
   list_transform(flatten(list(embedding ORDER BY sensor)), lambda x: round(x::DOUBLE, 6)) AS features FROM ({JOINT}) GROUP BY 1""",
 )
 def joint_state(t: Tables) -> DataFrame:
-    joint = features.joint_state(channel_rows(t), ["ch0", "ch1", "ch2", "ch3"])
+    """The last window may lack channels, as a table may end anywhere."""
+    joint = features.joint_state(channel_rows(t), ["ch0", "ch1", "ch2", "ch3"], whole=False)
     return joint.withColumn("features", F.transform("features", lambda x: F.round(x, 6)))
 
 

@@ -32,12 +32,15 @@ def joint_state(
     label: str | None = "label",
     timestamp: str | None = None,
     check: bool = True,
+    whole: bool = True,
 ) -> DataFrame:
     """One row per window: the sensor vectors concatenated in the order of ``sensors``, by default the alphabet.
 
     With ``check`` a missing, unknown or repeated sensor, or labels that differ inside a
     window, raise an error naming up to five windows.  The label is the first non-null
-    one in sensor order.
+    one in sensor order.  Without ``whole`` windows may lack or repeat a sensor: all vectors
+    they have are joined, copies side by side and those of unknown sensors last, and only
+    labels are checked.
     """
     for needed in (window, sensor, embedding, *([label] if label else []), *([timestamp] if timestamp else [])):
         if needed not in df.columns:
@@ -56,29 +59,36 @@ def joint_state(
             F.count_distinct("__rank").alias("__sensors"),
             F.min("__rank").alias("__least"),
         ]
+        checks = checks if whole else checks[:1]
         if label:
             checks.append((F.min(label) != F.max(label)).alias("__clash"))
         seen = rows.groupBy(*by).agg(*checks)
         n = len(sensors)
         wrong = (F.col("__rows") != n) | (F.col("__sensors") != n) | (F.col("__least") == 0)
-        bad = seen.filter(wrong).select(window).limit(5).collect()
+        bad = seen.filter(wrong).select(window).limit(5).collect() if whole else []
         if bad:
             raise ValueError(f"windows without exactly the sensors {list(sensors)}: {[r[0] for r in bad]}")
         if label:
             bad = seen.filter("__clash").select(window).limit(5).collect()
             if bad:
                 raise ValueError(f"windows with conflicting labels: {[r[0] for r in bad]}")
-    # One vector per sensor is kept, however often a window repeats.
-    aggs = [
-        F.any_value(F.when(F.col("__rank") == i + 1, F.col(embedding)), F.lit(True)).alias(f"__v{i}")
-        for i in range(len(sensors))
-    ]
+    if whole:
+        # One vector per sensor is kept, however often a window repeats.
+        aggs = [
+            F.any_value(F.when(F.col("__rank") == i + 1, F.col(embedding)), F.lit(True)).alias(f"__v{i}")
+            for i in range(len(sensors))
+        ]
+        features = F.concat(*[doubles(f"__v{i}") for i in range(len(sensors))])
+    else:
+        place = F.when(F.col("__rank") > 0, F.col("__rank")).otherwise(len(sensors) + 1)
+        vector = F.struct(place.alias("i"), F.col(sensor).isNull().alias("u"), F.col(sensor).alias("s"), doubles(embedding).alias("v"))
+        aggs = [F.array_sort(F.collect_list(vector)).alias("__all")]
+        features = F.flatten(F.col("__all")["v"])
     if label:
         aggs.append(F.min_by(label, F.when(F.col(label).isNotNull(), F.col("__rank"))).alias(label))
     if timestamp:
         aggs.append(F.min_by(timestamp, "__rank").alias(timestamp))
     out = rows.groupBy(*by).agg(*aggs)
-    features = F.concat(*[doubles(f"__v{i}") for i in range(len(sensors))])
     extras = [c for c in (label, timestamp) if c]
     return out.select(*by, *extras, features.alias("features"))
 

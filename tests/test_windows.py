@@ -8,9 +8,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sensorspark.catalog.registry import QUERIES, load_all
 from sensorspark.functions import encoders, vectors
 from sensorspark.operators import audit, features, split, windows
 
+load_all()
+
 
 def ticks(spark, values):
     return spark.createDataFrame([(int(v),) for v in values], "t long")
@@ -154,6 +157,28 @@ def test_joint_state_errors(spark):
         features.joint_state(df.drop("label"), ["a", "b"])
 
 
+def vector_table(spark, folder, ids):
+    """An embeddings table whose vectors are ``[id, -id]``."""
+    rows = [(i, [float(i), float(-i)], i % 3) for i in ids]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{folder}/embeddings.parquet")
+
+
+IDS = [0, 1, 2, 3, 4, 6, 6, 7, 8, 9]
+WINDOWS = {0: [0, 1, 2, 3], 1: [4, 6, 6, 7], 2: [8, 9]}
+
+
+def test_joint_state_keeps_windows_that_lack_or_repeat_a_sensor(spark, tmp_path):
+    vector_table(spark, tmp_path, IDS)
+    got = {r.read_index: (r.label, r.features) for r in QUERIES["joint_state"](spark, str(tmp_path)).collect()}
+    assert got == {w: ("0", [x for i in ids for x in (float(i), float(-i))]) for w, ids in WINDOWS.items()}
+    odd = embedding_rows(spark).unionByName(spark.createDataFrame([(0, None, [9.0], None), (0, "z", [8.0], None)], "read_index long, sensor string, embedding array<float>, label string"))
+    got = {r.read_index: r.features for r in features.joint_state(odd, ["b", "a"], whole=False).collect()}
+    assert got == {0: [0.0, 1.0, 0.0, 0.0, 8.0, 9.0], 1: [1.0, 1.0, 0.0, 1.0], 2: [2.0, 1.0, 0.0, 2.0]}
+    clash = embedding_rows(spark).withColumn("label", F.col("sensor"))
+    with pytest.raises(ValueError, match="conflicting"):
+        features.joint_state(clash, ["a", "b"], whole=False)
+
+
 def test_normalisation_and_scalers(spark):
     df = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],)], "v array<double>")
     got = [r[0] for r in df.select(vectors.l2_normalize(F.col("v"))).collect()]
