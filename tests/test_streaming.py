@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
+import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from sensorspark.streaming import live
 
@@ -130,3 +133,95 @@ def test_count_windows_over_many_cells_batches_and_missing_values(spark, tmp_pat
         values = [r[3] for r in rows[a : a + 5] if r[3] is not None]
         want.append((w, sum(values) / len(values)))
     assert got == want
+
+
+class FakeState:
+    """Keyed state of one key that counts the calls."""
+
+    def __init__(self):
+        self.calls, self.stores, self.timers = 0, {}, set()
+
+    def getMapState(self, name, *_):
+        return FakeStore(self, name)
+
+    getValueState = getListState = getMapState
+
+    def registerTimer(self, ms):
+        self.calls += 1
+        self.timers.add(ms)
+
+
+class FakeStore:
+    def __init__(self, handle, name):
+        self.handle, self.at = handle, handle.stores.setdefault(name, {})
+
+    def _called(self, out=None):
+        self.handle.calls += 1
+        return out
+
+    def get(self):
+        return self._called(self.at.get("all"))
+
+    def exists(self):
+        return self._called("all" in self.at)
+
+    def update(self, value):
+        self._called(self.at.update(all=value))
+
+    put = update
+
+    def clear(self):
+        self._called(self.at.clear())
+
+    def getValue(self, key):
+        return self._called(self.at.get(key))
+
+    def containsKey(self, key):
+        return self._called(key in self.at)
+
+    def updateValue(self, key, value):
+        self._called(self.at.update({key: value}))
+
+    def removeKey(self, key):
+        self._called(self.at.pop(key))
+
+
+def run_one_key(batches, size, step):
+    """``(means, calls to the state)`` of batches ``(rows of (us, tie, value), watermark in ms)`` of one key."""
+    state, out = FakeState(), []
+    work = live._CountWindows(size, step, ["k"], 60_000_000)
+    work.init(state)
+    for rows, mark in batches:
+        if rows:
+            list(work.handleInputRows(("a",), iter([pd.DataFrame(rows, columns=["us", "tie", "value"])]), None))
+        for ms in sorted(t for t in state.timers if t <= mark):
+            state.timers.discard(ms)
+            out += work.handleExpiredTimer(("a",), TimerValues(0, mark), ExpiredTimerInfo(ms))
+    got = [(int(w), m) for pdf in out for w, m in zip(pdf["window_id"], pdf["mean"])]
+    return got, state.calls
+
+
+def test_count_windows_call_the_state_by_pieces():
+    # Rows that are minutes apart, in one batch: each used to be a cell and a timer of its own.
+    n, minute_us = 2_000, 60_000_000
+    rows = [(i * 5 * minute_us, i, float(i)) for i in range(n)]
+    random.Random(0).shuffle(rows)
+    got, calls = run_one_key([(rows, 0), ([], n * 5 * 60_000)], 8, 4)
+    assert got == [(w, 4 * w + 3.5) for w in range((n - 8) // 4 + 1)]
+    assert calls < 50
+
+
+def test_count_windows_over_overlapping_pieces(monkeypatch):
+    monkeypatch.setattr(live._CountWindows, "PIECE", 7, raising=False)
+    draw = random.Random(1)
+    rows = [(i // 2 * 20_000_000, i, float(i)) for i in range(400)]
+    late = sorted(rows, key=lambda r: r[0] + draw.random() * 500_000_000)
+    batches, done = [], 0
+    for a in range(0, len(late), 23):
+        batches.append((late[a : a + 23], max(0, late[min(a + 22, len(late) - 1)][0] // 1000 - 600_000)))
+    batches = [(b, max(m for _, m in batches[: i + 1])) for i, (b, _) in enumerate(batches)] + [([], 10**9)]
+    for b, m in batches:
+        assert all(us >= done * 1000 for us, _, _ in b)
+        done = m
+    got, _ = run_one_key(batches, 5, 3)
+    assert got == [(w, 3 * w + 2.0) for w in range((400 - 5) // 3 + 1)]
