@@ -7,8 +7,10 @@ import re
 from collections import defaultdict
 
 import public_tokenizers
+import pytest
 import sentencepiece
 from edge import empty, frame, rows
+from pyspark.sql import functions as F
 
 from sensorspark.llm import chat, mixing
 from sensorspark.llm.token_cache import TokenCache
@@ -49,6 +51,23 @@ def test_chat_round_trip(spark):
     assert chat.read_back(chat.turns(df.limit(0))).count() == 0
 
 
+def test_chat_is_read_from_expanded_examples(spark, monkeypatch):
+    df = spark.createDataFrame(TALK, "conv_id long, turn long, role string, text string")
+    formatted = chat.turns(df)
+    texts = chat.render(formatted, rest=True).collect()
+    whole = {}
+    for r in formatted.orderBy("conv_id", "ordinal").collect():
+        whole[r.conv_id] = whole.get(r.conv_id, "") + r.piece
+    # Every turn lies in the last text of its conversation, also behind the last reply.
+    assert {r.conv_id: r.text for r in texts} == whole
+    assert sorted(r.conv_id for r in texts if r.example is None) == [1, 2, 3]
+    render = chat.render
+    # Another text in the contexts, of the same length, is noticed.
+    monkeypatch.setattr(chat, "render", lambda f, **k: render(f, **k).withColumn("text", F.when(F.col("example") == 1, F.replace("text", F.lit("brief"), F.lit("BRIEF"))).otherwise(F.col("text"))))
+    with pytest.raises(Exception, match="another context"):
+        chat.read_back(formatted).collect()
+
+
 def test_token_counts_and_cache(spark):
     path, model = fresh_path(spark, "counts"), public_tokenizers.path("piece_bpe_32k.model")
     sp = sentencepiece.SentencePieceProcessor(model_file=model)
