@@ -24,10 +24,12 @@ from pyspark.sql import types as T
 from sensorspark.functions.vectors import doubles
 from sensorspark.session import cut
 
-BROADCAST_BYTES = 128 << 20
+# A worker holds its own copy of a broadcast library, and all workers of an executor do.
+BROADCAST_BYTES = 32 << 20
 BLOCK_BYTES = 64 << 20
 QUERY_BLOCK = 20_000
-SCRATCH = 4_000_000
+# Numbers in the largest array of a search beside the library.
+SCRATCH = 2_000_000
 SPARE = 8
 # Pivots drawn for each block of the library, and the bytes they may take in all.
 PIVOTS_PER_BLOCK = 4
@@ -45,7 +47,7 @@ def nearest(q: np.ndarray, q_ids: np.ndarray, lib: np.ndarray, lib_ids: np.ndarr
     own = pd.Index(lib_ids).get_indexer(q_ids) if skip_same_id else np.full(len(q), -1)
     place = np.empty(len(lib), int)
     place[np.argsort(lib_ids, kind="stable")] = np.arange(len(lib))
-    sq_lib = (lib * lib).sum(axis=1)
+    sq_lib = np.einsum("ij,ij->i", lib, lib)
     take = min(k + SPARE, len(lib))
     step = max(1, SCRATCH // max(1, len(lib), take * lib.shape[1]))
     rows, cols, dists = [], [], []
@@ -57,19 +59,33 @@ def nearest(q: np.ndarray, q_ids: np.ndarray, lib: np.ndarray, lib_ids: np.ndarr
         order = np.lexsort((place[cand], exact), axis=1)[:, :k]
         return np.take_along_axis(cand, order, 1), np.take_along_axis(exact, order, 1)
 
+    def over_all(v: np.ndarray, mine: int):
+        """The best ``k`` of the whole block for one query."""
+        exact, some = np.empty(len(lib)), max(1, SCRATCH // max(1, lib.shape[1]))
+        for at in range(0, len(lib), some):
+            exact[at : at + some] = np.sqrt(((lib[at : at + some] - v) ** 2).sum(axis=1))
+        if mine >= 0:
+            exact[mine] = np.inf
+        least = np.flatnonzero(exact <= np.partition(exact, k - 1)[k - 1])
+        order = least[np.lexsort((place[least], exact[least]))[:k]]
+        return order, exact[order]
+
     for a in range(0, len(q), step):
         part, mine = q[a : a + step], own[a : a + step]
-        sq = (part * part).sum(axis=1)
-        guess = sq[:, None] + sq_lib[None, :] - 2.0 * (part @ lib.T)
-        has = np.flatnonzero(mine >= 0)
-        guess[has, mine[has]] = np.inf
         if take < len(lib):
+            sq = (part * part).sum(axis=1)
+            guess = part @ lib.T
+            guess *= -2.0
+            guess += sq_lib
+            guess += sq[:, None]
+            has = np.flatnonzero(mine >= 0)
+            guess[has, mine[has]] = np.inf
             near = np.argpartition(guess, take - 1, axis=1)[:, :take]
             best, exact = measured(part, mine, near)
             slack = 1e-9 * (sq + sq_lib.max() + 1.0)
             unsure = np.take_along_axis(guess, near, 1).max(axis=1) <= exact[:, -1] ** 2 + slack
             for i in np.flatnonzero(unsure):
-                best[i], exact[i] = (x[0] for x in measured(part[i : i + 1], mine[i : i + 1], np.arange(len(lib))[None, :]))
+                best[i], exact[i] = over_all(part[i], mine[i])
         else:
             best, exact = measured(part, mine, np.broadcast_to(np.arange(len(lib)), (len(part), len(lib))))
         i, j = np.nonzero(np.isfinite(exact))
@@ -132,18 +148,18 @@ def knn(
         return pd.concat([left, right], axis=1).assign(distance=d, rank=rank)
 
     if (shape["n"] or 0) * (shape["d"] or 0) * 8 <= broadcast_bytes:
-        shared = queries.sparkSession.sparkContext.broadcast(lib.toPandas())
+        table = lib.toPandas()
+        groups = table.groupby(g) if g else [((), table)]
+        # Vectors go as one matrix for each asset, which takes no more than their numbers.
+        shared = queries.sparkSession.sparkContext.broadcast(
+            {key: (rows.drop(columns="__v"), _matrix(rows["__v"])) for key, rows in groups if len(rows)}
+        )
 
         def local(batches):
-            table = shared.value
-            groups = dict(tuple(table.groupby(g))) if g else {(): table}
-            made = {}
             for pdf in batches:
                 for key, rows in pdf.groupby(g) if g else [((), pdf)]:
-                    if key in groups:
-                        if key not in made:
-                            made[key] = _matrix(groups[key]["__v"])
-                        yield search(rows, groups[key], made[key])
+                    if key in shared.value:
+                        yield search(rows, *shared.value[key])
 
         found = q.mapInPandas(local, schema)
     else:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -167,3 +169,15 @@ def test_nearest_in_blocks_of_queries(monkeypatch):
             e[i] = np.inf
             order = np.lexsort((ids, e))[:3]
             assert list(c[r == i]) == list(order) and list(d[r == i]) == list(e[order])
+
+
+def test_memory_beside_the_library_is_bounded():
+    # Copies of one vector tie at the last place, so their queries are measured against all.
+    lib, ids = np.zeros((300_000, 16)), np.arange(300_000)
+    tracemalloc.start()
+    r, c, d = neighbors.nearest(lib[:4], ids[:4], lib, ids, 3, True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert c.tolist() == [1, 2, 3, 0, 2, 3, 0, 1, 3, 0, 1, 2] and not d.any()
+    assert peak < 8 * (3 * neighbors.SCRATCH + 8 * len(lib))
+    assert neighbors.BROADCAST_BYTES <= 32 << 20
