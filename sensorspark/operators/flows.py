@@ -20,18 +20,20 @@ def profile(flows: DataFrame, *, protocol: str = "prot", top: int = 3, shards: i
     """Top protocols, bytes, flows, mean bytes, active hours and distinct peers per device.
 
     The endpoints are read once: every row counts for its
-    device by hour, by peer and by protocol in one aggregate, combined before the shuffle.  The groups of a device are then reduced in
-    ``shards`` and merged, so a busy device is many tasks and nothing is joined.
+    device by hour, by peer and by protocol in one aggregate, combined before the shuffle.  Only groups by
+    protocol carry sums.  Hours and peers are then counted before their rows move, and a device's protocols are
+    ranked in ``shards`` and merged, so a busy device is many tasks and nothing is joined.
     """
     rows = endpoints(flows, protocol).withColumn("__by", F.explode(F.array(*[F.lit(i) for i in range(3)])))
-    value = F.when(F.col("__by") == 0, F.col("hour").cast("string")).when(F.col("__by") == 1, F.col("peer")).otherwise(F.col("protocol"))
+    value = F.when(F.col("__by") == 0, F.hex(F.unix_seconds("hour"))).when(F.col("__by") == 1, F.col("peer")).otherwise(F.col("protocol"))
+    of = lambda by, c: F.when(F.col("__by") == by, F.col(c))
     groups = rows.groupBy("device", "__by", value.alias("value")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("up").alias("up"), F.sum("down").alias("down")
+        F.count(of(2, "__by")).alias("n"), F.sum(of(2, "up")).alias("up"), F.sum(of(2, "down")).alias("down")
     )
-    of = lambda by, c: F.when(F.col("__by") == by, F.col(c))
     # The most frequent first, then by name.
     named = F.when(F.col("__by") == 2, F.struct((-F.col("n")).alias("c"), F.col("value").alias("protocol")))
-    parts = groups.groupBy("device", F.pmod(F.xxhash64("value"), F.lit(shards)).alias("__shard")).agg(
+    shard = F.when(F.col("__by") == 2, F.pmod(F.xxhash64("value"), F.lit(shards))).otherwise(F.lit(0).cast("long"))
+    parts = groups.groupBy("device", shard.alias("__shard")).agg(
         F.sum(of(2, "n")).alias("n"),
         F.sum(of(2, "up")).alias("up"),
         F.sum(of(2, "down")).alias("down"),
