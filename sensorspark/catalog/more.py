@@ -72,6 +72,11 @@ def sensor_without_time(t: Tables) -> DataFrame:
     return readers.read_sensors(t.spark, path, keep_time=False).select("quantity", "tax")
 
 
+def turns_by_conversation(t: Tables) -> DataFrame:
+    """Turns dealt to tasks by conversation: many small documents need many writers, however few bytes they are."""
+    return t.conversations.repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")), "conv_id")
+
+
 @query(
     "manual_scan",
     """SELECT conv_id::VARCHAR AS id, turn::INT AS step, text AS instruction, turn * 2.0::DOUBLE AS timestamp_start FROM conversations""",
@@ -80,7 +85,7 @@ def manual_scan(t: Tables) -> DataFrame:
     """One document per conversation; every third is wrapped in an array."""
     path = fresh_path(t.spark, "manuals")
     step = F.struct(F.col("turn").alias("step"), F.col("text").alias("instruction"), (F.col("turn") * 2.0).alias("timestamp_start"))
-    docs = t.conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(step)).alias("results"))
+    docs = turns_by_conversation(t).groupBy("conv_id").agg(F.array_sort(F.collect_list(step)).alias("results"))
     record = F.to_json(F.struct(F.col("conv_id").cast("string").alias("id"), "results"))
     body = F.when(F.col("conv_id") % 3 == 0, F.concat(F.lit("["), record, F.lit("]"))).otherwise(record)
     docs.select("conv_id", body.alias("value")).write.partitionBy("conv_id").text(path)
@@ -96,7 +101,7 @@ def procedure_scan(t: Tables) -> DataFrame:
     """A comment and an empty line stand before the steps of each procedure."""
     path = fresh_path(t.spark, "procedures")
     line = F.struct("turn", F.trim(F.replace("text", F.lit("\n"), F.lit(" "))).alias("line"))
-    docs = t.conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    docs = turns_by_conversation(t).groupBy("conv_id").agg(F.array_sort(F.collect_list(line)).alias("lines"))
     body = F.concat(F.lit("# steps\n\n"), F.array_join(F.col("lines")["line"], "\n"))
     docs.select("conv_id", body.alias("value")).write.partitionBy("conv_id").text(path)
     steps = readers.read_procedures(t.spark, path)

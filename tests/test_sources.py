@@ -9,6 +9,8 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from sensorspark.catalog import more
+from sensorspark.catalog.registry import QUERIES, Tables
 from sensorspark.functions import models
 from sensorspark.operators import lof
 from sensorspark.sources import readers, sinks
@@ -165,3 +167,16 @@ def test_every_file_is_read_by_its_own_header(spark, tmp_path):
     out = readers.read_sensors(spark, str(tmp_path))
     assert out.columns[2:] == ["timestamp", "temp", "vib"] or set(out.columns[3:]) == {"temp", "vib"}
     assert sorted((r.timestamp, r.temp, r.vib) for r in out.collect()) == [(1, 10.0, 0.5), (2, 11.0, 0.6), (3, 12.0, 0.7)]
+
+
+def test_small_documents_have_many_writers_and_few_listing_tasks(spark, tmp_path):
+    rows = [(c, i, "user", f"say {c} {i}") for c in range(60) for i in range(3)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {(r.id, r.step, r.instruction, r.timestamp_start) for r in QUERIES["manual_scan"](spark, str(tmp_path)).collect()}
+    assert got == {(str(c), i, text, i * 2.0) for c, i, _, text in rows}
+    assert [(r.step_no, r.n) for r in QUERIES["procedure_scan"](spark, str(tmp_path)).orderBy("step_no").collect()] == [(1, 60), (2, 60), (3, 60)]
+    # Adaptive execution puts few bytes into one task, which would write all the files.
+    docs = more.turns_by_conversation(Tables(spark, str(tmp_path))).groupBy("conv_id").agg(F.count("turn").alias("n"))
+    tasks = docs.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks > 4
+    assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) <= 200
