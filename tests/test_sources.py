@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sensorspark.catalog import more
 from sensorspark.catalog.registry import QUERIES, Tables
 from sensorspark.functions import models
-from sensorspark.operators import lof
+from sensorspark.operators import flows, lof
 from sensorspark.sources import readers, sinks
 
 
@@ -180,3 +180,16 @@ def test_small_documents_have_many_writers_and_few_listing_tasks(spark, tmp_path
     tasks = docs.select(F.spark_partition_id().alias("p")).distinct().count()
     assert tasks > 4
     assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) <= 200
+
+
+def test_flow_profile_moves_sums_with_protocols_only(spark, capsys):
+    schema = "time_utc timestamp, mac_a string, mac_b string, prot string, bytes_a long, bytes_b long"
+    at = "2024-01-01 0{}:10:00"
+    rows = [(0, "a", "b", "x", 1, 2), (0, "a", "b", "y", 3, 4), (1, "a", None, "x", 5, 6), (None, "a", "c", None, 7, 8)]
+    df = spark.createDataFrame([(None if h is None else at.format(h), *r) for h, *r in rows], schema.replace("timestamp", "string"))
+    out = flows.profile(df)
+    got = {r.device: tuple(r)[1:] for r in out.collect()}
+    assert got["a"] == (4, 16, 20, 9.0, 3, 3, "x,y") and got["b"] == (2, 6, 4, 5.0, 1, 1, "x,y")
+    assert got["c"] == (1, 8, 7, 15.0, 1, 1, "") and got[None] == (1, 6, 5, 11.0, 1, 1, "x")
+    out.explain("extended")
+    assert "sum(CASE WHEN (__by" in capsys.readouterr().out
