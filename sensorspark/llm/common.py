@@ -90,7 +90,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def batches(batch: pa.RecordBatch, text: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def batches(batch: pa.RecordBatch, text: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of an Arrow batch with about ``limit`` bytes of text each."""
     column = batch.column(text)
     if len(column):
