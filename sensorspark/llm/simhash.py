@@ -154,128 +154,262 @@ def near_duplicates(docs: DataFrame, most: int = MOST, n_words: int = 3) -> Data
 
 # --- similar texts -------------------------------------------------------------------------
 #
-# Texts whose shingles agree to four fifths differ in up to a ninth of the bits of a
-# fingerprint, far more than three of 64.  The set of their words agrees better: on a wide
-# fingerprint over distinct words some segment differs by at most one bit in all but a few of a
-# thousand such pairs, and the same one-wildcard keys find them.
-
-# Segments of a wide fingerprint, and the bits of each that are indexed; more bits suit more texts.
-WIDTH, SEGMENT = 10, 28
-AT_ONCE = 2
-# Texts that share a key by chance differ in half of these 64 bits, similar ones in a tenth at most.
-FAR = 16
-CANDIDATE = "bucket int, key array<int>, id array<long>, sig array<long>"
-
-
-def wide_fingerprints(h: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """``WIDTH`` 32-bit segments for each text from the hashes of its words; every word counts once."""
-    out = np.zeros((len(word) - 1, WIDTH), np.uint32)
-    for i in range(len(word) - 1):
-        own = np.unique(h[word[i] : word[i + 1]])
-        total = np.zeros(32 * WIDTH, np.int64)
-        for a in range(0, len(own), 1 << 14):
-            part = own[a : a + (1 << 14)]
-            with np.errstate(over="ignore"):
-                wide = np.stack([mix64(part + np.uint64((j + 1) * 0x9E3779B97F4A7C15 % 2**64)) for j in range(WIDTH // 2)], axis=1)
-            total += np.unpackbits(wide.view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
-        out[i] = np.packbits(total * 2 > len(own)).view(np.uint32)
-    return out
-
-
-def _keys(parts: Iterator[pa.RecordBatch], segments: range, spread: int) -> Iterator[pa.RecordBatch]:
-    """One-wildcard keys of some segments, dealt by segment, wildcard and ``spread`` parts of the value."""
-    for part in parts:
-        ids, fp = part.column("id").to_numpy(), part.column("wide").flatten().to_numpy().view(np.uint32).reshape(-1, WIDTH)
-        sig = np.ascontiguousarray(fp[:, :2]).view(np.int64)[:, 0]
-        for j in segments:
-            for bit in range(SEGMENT):
-                key = fp[:, j] & np.uint32((1 << SEGMENT) - 1) & ~np.uint32(1 << bit)
-                bucket = (mix64(key.astype(np.uint64)) % np.uint64(spread)).astype(np.int64) + (j * SEGMENT + bit) * spread
-                yield packed(bucket, {"key": key.view(np.int32), "id": ids, "sig": sig})
-
-
-def _candidates(table: pa.Table) -> pa.Table:
-    """Pairs that share a key: all of a few texts, else each with the one nearest to the majority."""
-    e = unpacked(table, ["key", "id", "sig"])
+# Sets of shingles that agree to ``t`` share ``t * n`` of the ``n`` of either, so in any common
+# order of all shingles one of the first ``n - ceil(t * n) + 1`` of both is the same.  Texts meet
+# under these first shingles; the order puts what many texts of a sample hold last.  Any order is
+# exact, the sample only decides how many texts meet in vain.
+
+# Texts whose shingles the order is learned from.
+LEARNED = 4_000
+# Bits of a parity sketch; sketches differ in no more bits than the sets have different members.
+SKETCH = 2_048
+# The same for pairs that are about to be verified, whose texts may be long.
+WIDE_SKETCH = 16_384
+# Texts of a shingle that are compared pair by pair at once; more are led by a few of them first.
+FEW = 8
+# Entries of a bucket, and texts of one side of a crowded shingle that a task compares.
+ENTRIES = 250_000
+CROWD = 20_000
+# Texts whose numbers are broadcast to fetch them; more are fetched by a join.
+MAX_BROADCAST = 200_000
+MEETING = "key long, a long, b long, crowd boolean"
+
+
+def _shingles(part: pa.RecordBatch, n_words: int) -> Iterator[np.ndarray]:
+    """The set of shingles of each text, sorted."""
+    h, _, _, word = word_hashes(*utf8(part.column("text")))
+    for x, y in zip(word[:-1].tolist(), word[1:].tolist()):
+        yield np.unique(gram_hashes(h[x:y], min(n_words, max(y - x, 1))))
+
+
+def _lists(values: list[np.ndarray]) -> pa.ListArray:
+    bounds = pa.array(np.r_[0, np.cumsum([len(v) for v in values])].astype(np.int32))
+    return pa.ListArray.from_arrays(bounds, pa.array(np.concatenate([v.view(np.int64) for v in values])))
+
+
+def sketch(own: np.ndarray, size: int = SKETCH) -> np.ndarray:
+    """Whether each of ``size`` classes of hashes has an odd number of members, as 64-bit words."""
+    odd = np.bincount((own % np.uint64(size)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
+def first_shingles(own: np.ndarray, often: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """The shingles of a set of which every set that agrees to ``similarity`` has one among its own."""
+    if not len(own):
+        return np.zeros(1, np.uint64)
+    known, count = often
+    rank = np.zeros(len(own), np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+        rank = np.where(known[at] == own, count[at], 0)
+    # A little room for products that are whole numbers but for their last bit.
+    most = len(own) - int(np.ceil(similarity * len(own) - 1e-9)) + 1
+    return own[np.lexsort((own, rank))[:most]]
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+
+
+def _meetings(table: pa.Table, similarity: float) -> pa.Table:
+    """Pairs of similar size that share a first shingle, and the shingles of more than ``FEW`` texts as they are."""
+    e = unpacked(table, ["key", "id", "n"])
     o = np.lexsort((e["id"], e["key"]))
-    key, ids, sig = e["key"][o], e["id"][o], e["sig"][o].view(np.uint64)
+    key, ids, n = e["key"][o], e["id"][o], e["n"][o]
     begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     size = np.diff(np.r_[begin, len(key)])
     a, b = [ids[:0]], [ids[:0]]
-    for n in range(2, 9):
-        some = begin[size == n]
-        for x in range(n):
-            for y in range(x + 1, n):
-                near = some[np.bitwise_count(sig[some + x] ^ sig[some + y]) <= FAR]
-                a.append(ids[near + x])
-                b.append(ids[near + y])
-    for s, n in zip(begin[size > 8].tolist(), size[size > 8].tolist()):
-        own = sig[s : s + n]
-        bits = np.zeros(64, np.int64)
-        for at in range(0, n, 1 << 16):
-            bits += np.unpackbits(own[at : at + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-        majority = np.uint64(int.from_bytes(np.packbits(bits * 2 > n).tobytes(), "big"))
-        center = ids[s + int(np.bitwise_count(own ^ majority).argmin())]
-        others = ids[s : s + n][np.bitwise_count(own ^ own[ids[s : s + n] == center][0]) <= FAR]
-        others = others[others != center]
-        a.append(np.minimum(others, center))
-        b.append(np.maximum(others, center))
-    pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0)
+    for m in range(2, FEW + 1):
+        some = begin[size == m]
+        for x in range(m):
+            for y in range(x + 1, m):
+                fit = some[_fit(n[some + x], n[some + y], similarity)]
+                a.append(ids[fit + x])
+                b.append(ids[fit + y])
+    pairs = _pairs(np.concatenate(a), np.concatenate(b))
+    many = np.repeat(size > FEW, size)
+    return pa.table(
+        {
+            "key": pa.array(np.r_[np.zeros(len(pairs), np.int64), key[many]]),
+            "a": pa.array(np.r_[pairs[:, 0], ids[many]]),
+            "b": pa.array(np.r_[pairs[:, 1], ids[many]]),
+            "crowd": pa.array(np.r_[np.zeros(len(pairs), bool), np.ones(many.sum(), bool)]),
+        }
+    )
+
+
+def _fit(n: np.ndarray, m: np.ndarray, similarity: float) -> np.ndarray:
+    return np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-9
+
+
+def _alike(n: np.ndarray, bits: np.ndarray, i: int, some: np.ndarray, similarity: float) -> np.ndarray:
+    """Those of ``some`` whose sizes and sketches allow that they agree with text ``i``."""
+    some = some[_fit(n[some], n[i], similarity)]
+    apart = np.bitwise_count(bits[some] ^ bits[i]).sum(axis=1, dtype=np.int64)
+    return some[apart <= (1 - similarity) / (1 + similarity) * (n[some] + n[i]) + 1e-9]
+
+
+def _led(table: pa.Table, similarity: float) -> pa.Table:
+    """Each text of a crowded shingle with the first leader it may agree with; others lead themselves."""
+    ids, n, bits, _ = _crowd(table)
+    left, a, b = np.arange(len(ids)), [ids[:0]], [ids[:0]]
+    while len(left) > 1:
+        near = _alike(n, bits, left[0], left[1:], similarity)
+        a.append(np.full(len(near), ids[left[0]]))
+        b.append(ids[near])
+        left = np.setdiff1d(left[1:], near, assume_unique=True)
+    return _table(np.concatenate(a), np.concatenate(b))
+
+
+def _across(table: pa.Table, similarity: float) -> pa.Table:
+    """Pairs of texts of a crowded shingle that may agree and are not linked yet."""
+    ids, n, bits, root = _crowd(table)
+    group, at, size = np.unique(root, return_inverse=True, return_counts=True)
+    a, b = [ids[:0]], [ids[:0]]
+    # Of a pair with two roots one is not of the most frequent.
+    for i in np.flatnonzero(at != size.argmax()).tolist():
+        near = _alike(n, bits, i, np.flatnonzero(at != at[i]), similarity)
+        a.append(np.full(len(near), ids[i]))
+        b.append(ids[near])
+    return _table(np.concatenate(a), np.concatenate(b))
+
+
+def _crowd(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    column = {c: table.column(c).combine_chunks() for c in ("id", "n", "bits", "root")}
+    ids, n, root = (column[c].to_numpy(zero_copy_only=False) for c in ("id", "n", "root"))
+    o = np.argsort(ids)
+    bits = column["bits"].flatten().to_numpy().view(np.uint64).reshape(len(ids), -1)
+    return ids[o], n[o].astype(np.int64), bits[o], root[o]
+
+
+def _table(a: np.ndarray, b: np.ndarray) -> pa.Table:
+    pairs = _pairs(a, b)
     return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
 
+def _often(texts: DataFrame, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that three or more of ``texts`` hold, sorted, and how many."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in parts:
+            for part in batches(whole, "text"):
+                yield pa.record_batch({"gram": _lists(list(_shingles(part, n_words))).flatten()})
+
+    grams = texts.select("text").mapInArrow(run, "gram long").groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 2").toArrow()
+    known, count = grams.column("gram").to_numpy().view(np.uint64), grams.column("n").to_numpy()
+    o = np.argsort(known)
+    return known[o], count[o]
+
+
 def similar_links(rows: DataFrame, nodes: DataFrame, similarity: float = 0.8, n_words: int = 5) -> DataFrame:
-    """``(a, b)``: ids of nodes ``(id, key, copy)`` whose texts' sets of word shingles agree to ``similarity``.
+    """``(a, b)``: links that connect all nodes ``(id, key, copy)`` whose sets of word shingles agree to ``similarity``.
 
-    Candidates share a one-wildcard key of their wide fingerprints, the segments being taken
-    ``AT_ONCE`` at a time to keep little on disk; each is verified on the shingles of both
-    whole texts, which ``rows`` holds by ``(key, copy)``.
+    Texts meet under their first shingles, which loses no pair; where few meet, all pairs of similar
+    size are verified on the shingles of both whole texts, which ``rows`` holds by ``(key, copy)``.
+    A shingle of many texts is led first: each text is verified with the first leader that its size
+    and sketch allow.  Of those that are not connected then, all pairs that sizes and sketches allow
+    are verified.
     """
 
     def prints(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in parts:
             for part in batches(whole, "text"):
-                h, _, _, word = word_hashes(*utf8(part.column("text")))
-                wide = wide_fingerprints(h, word).view(np.int32).reshape(-1)
-                bounds = pa.array(np.arange(len(part) + 1, dtype=np.int32) * WIDTH)
-                yield pa.record_batch({"id": part.column("id"), "wide": pa.ListArray.from_arrays(bounds, pa.array(wide))})
+                sets = list(_shingles(part, n_words))
+                yield pa.record_batch(
+                    {
+                        "id": part.column("id"),
+                        "n": pa.array([len(s) for s in sets], pa.int32()),
+                        "bits": _lists([sketch(s) for s in sets]),
+                        "first": _lists([first_shingles(s, often.value, similarity) for s in sets]),
+                    }
+                )
+
+    def entries(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            first = part.column("first")
+            size = np.diff(first.offsets.to_numpy())
+            key = first.flatten().to_numpy()
+            bucket = (mix64(key.view(np.uint64)) % np.uint64(spread)).astype(np.int64)
+            yield packed(bucket, {"key": key, **{c: np.repeat(part.column(c).to_numpy(), size) for c in ("id", "n")}})
 
     def shingles(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in parts:
             for part in batches(whole, "text"):
-                h, _, _, word = word_hashes(*utf8(part.column("text")))
-                sets = []
-                for x, y in zip(word[:-1].tolist(), word[1:].tolist()):
-                    own = gram_hashes(h[x:y], min(n_words, max(y - x, 1)))
-                    sets.append(np.unique(own.astype(np.uint32)).view(np.int32))
-                bounds = pa.array(np.r_[0, np.cumsum([len(s) for s in sets])].astype(np.int32))
-                yield pa.record_batch({"id": part.column("id"), "grams": pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(sets)))})
+                sets = list(_shingles(part, n_words))
+                yield pa.record_batch(
+                    {
+                        "id": part.column("id"),
+                        "n": pa.array([len(s) for s in sets], pa.int32()),
+                        "bits": _lists([sketch(s, WIDE_SKETCH) for s in sets]),
+                        "grams": _lists(sets),
+                    }
+                )
 
     def texts(of: DataFrame) -> DataFrame:
         return rows.select("key", "copy", "text").join(of, ["key", "copy"]).select("id", "text")
 
+    def possible(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+        """Those of ``pairs`` whose sketches allow that they agree."""
+        for x in ("a", "b"):
+            pairs = pairs.join(bits.withColumnsRenamed({"id": x, "n": f"n{x}", "bits": f"bits{x}"}), x)
+        apart = F.expr("aggregate(zip_with(bitsa, bitsb, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)")
+        most = F.lit((1 - similarity) / (1 + similarity)) * (F.col("na") + F.col("nb")) + 1e-9
+        return pairs.filter(apart <= most).select("a", "b")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+        wanted = cut(nodes.join(wanted, "id", "left_semi"))
+        wanted = F.broadcast(wanted) if wanted.count() <= MAX_BROADCAST else wanted
+        grams = cut(texts(wanted).mapInArrow(shingles, "id long, n int, bits array<long>, grams array<long>"))
+        release(spark)
+        pairs = cut(possible(pairs, grams.select("id", "n", "bits")))
+        release(spark)
+        left = grams.select(F.col("id").alias("a"), F.col("grams").alias("x"))
+        right = grams.select(F.col("id").alias("b"), F.col("grams").alias("y"))
+        both = F.size(F.array_intersect("x", "y"))
+        enough = both >= F.lit(similarity) * (F.size("x") + F.size("y") - both)
+        return cut(pairs.join(left, "a").join(right, "b").filter(enough).select("a", "b"))
+
     spark = rows.sparkSession
-    wide = cut(texts(nodes).mapInArrow(prints, "id long, wide array<int>"))
+    sample = nodes.filter(F.pmod("id", F.lit(1 + nodes.count() // LEARNED)) == 0)
+    often = spark.sparkContext.broadcast(_often(texts(F.broadcast(sample)), n_words))
+    held = cut(texts(nodes).mapInArrow(prints, "id long, n int, bits array<long>, first array<long>"))
     release(spark)
-    # A bucket holds one segment, one wildcard and about a million texts.
-    spread = 1 + wide.count() // 1_000_000
-    found = []
-    for j in range(0, WIDTH, AT_ONCE):
-        segments = range(j, min(j + AT_ONCE, WIDTH))
-        keys = wide.mapInArrow(lambda parts, s=segments: _keys(parts, s, spread), CANDIDATE)
-        found.append(cut(keys.groupBy("bucket").applyInArrow(_candidates, "a long, b long").distinct()))
-        del keys
-        release(spark)
-    pairs = cut(reduce(DataFrame.unionByName, found).distinct())
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    grams = cut(texts(nodes.join(wanted, "id", "left_semi")).mapInArrow(shingles, "id long, grams array<int>"))
-    del wide, found, wanted
+    spread = 1 + (held.agg(F.sum(F.size("first"))).first()[0] or 0) // ENTRIES
+    keyed = held.select("id", "n", "first").mapInArrow(entries, "bucket int, key array<long>, id array<long>, n array<int>")
+    met = cut(keyed.groupBy("bucket").applyInArrow(lambda t: _meetings(t, similarity), MEETING))
+    del keyed
     release(spark)
-    left = grams.select(F.col("id").alias("a"), F.col("grams").alias("x"))
-    right = grams.select(F.col("id").alias("b"), F.col("grams").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    enough = both >= F.lit(similarity) * (F.size("x") + F.size("y") - both)
-    return pairs.join(left, "a").join(right, "b").filter(enough).select("a", "b")
+    bits = held.select("id", "n", "bits")
+    pairs = possible(met.filter("not crowd").select("a", "b").distinct(), bits)
+    crowd = met.filter("crowd").select("key", F.col("a").alias("id"))
+    crowded = not crowd.isEmpty()
+    if crowded:
+        # A shingle of very many texts is dealt to parts, and each part meets each other one.
+        parts = crowd.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(CROWD)).alias("parts"))
+        home = F.pmod(F.xxhash64("id", "key"), F.col("parts"))
+        other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+        dealt = crowd.join(parts, "key").withColumn("home", home).withColumn("other", other)
+        dealt = dealt.select("key", "id", "home", F.least("home", "other").alias("i"), F.greatest("home", "other").alias("j"))
+        led = dealt.filter("i = home and j = home").join(bits, "id").withColumn("root", F.col("id"))
+        led = led.groupBy("key", "i").applyInArrow(lambda t: _led(t, similarity), "a long, b long")
+        pairs = pairs.unionByName(led).distinct()
+    pairs = cut(pairs)
+    release(spark)
+    found = verified(pairs)
+    del pairs
+    release(spark)
+    if crowded:
+        roots = components(found).withColumnRenamed("node", "id")
+        dealt = cut(dealt.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")))
+        open_ = dealt.groupBy("key", "i", "j").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key", "i", "j")
+        left = dealt.join(open_, ["key", "i", "j"], "left_semi").join(bits, "id")
+        rest = cut(left.groupBy("key", "i", "j").applyInArrow(lambda t: _across(t, similarity), "a long, b long").distinct())
+        del left, open_, dealt
+        release(spark)
+        if not rest.isEmpty():
+            found = found.unionByName(verified(rest))
+    return found
 
 
 def keep_one(docs: DataFrame, similarity: float = 0.8, n_words: int = 5) -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import random
 import re
 
 import pytest
@@ -44,6 +45,56 @@ def test_near_duplicates_against_all_pairs(spark):
     assert want <= got and len(got - want) <= 0.02 * (len(rows) - len(want))
 
 
+def odd_pairs(seed: int) -> list[str]:
+    """Texts that were appended to, use few words, were permuted in blocks, form chains, or crowd under one passage."""
+    r = random.Random(seed)
+    many, few = [f"w{i}" for i in range(5_000)], [f"v{i}" for i in range(12)]
+    prose = lambda n, of=many: [r.choice(of) for _ in range(n)]
+    out = []
+    for extra in (10, 25, 45, 49, 50, 55):
+        for _ in range(6):
+            base = prose(200)
+            out += [base, base + prose(extra)]
+    for _ in range(15):
+        base = prose(600, few)
+        out += [base, base + prose(40, few), base[: 500 + r.randrange(90)]]
+    for _ in range(8):
+        base = prose(400)
+        out += [base, base[200:] + base[:200], base[300:] + base[100:300] + base[:100]]
+    # Each follows the last one closely; the ends have nothing in common, and all stand beside one passage.
+    passage, own = prose(60), prose(120)
+    for i in range(60):
+        out.append(passage + own)
+        own = own[5:] + prose(5)
+    # Many share most of a passage: some by enough, others by a little less.
+    for i in range(60):
+        out.append(passage * 3 + prose(r.choice([20, 40, 44, 60, 200])))
+    out += [prose(n) for n in (1, 2, 3, 4, 5, 6)]
+    return [" ".join(x) for x in out]
+
+
+@pytest.mark.parametrize("crowd", [simhash.CROWD, 7])
+def test_near_duplicates_lose_no_link(spark, monkeypatch, crowd):
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    texts = odd_pairs(5)
+    sets = [shingles(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for b in range(len(texts)):
+        for a in range(b):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    want = [i for i in range(len(texts)) if find(i) == i]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == want
+
+
 def test_the_mix_drops_what_it_does_not_take(spark):
     docs = spark.createDataFrame([(i, f"word {i}", "abc"[i % 3]) for i in range(60)] + [(60, "", "a")], "doc_id long, text string, source string")
     want = {r.doc_id: r.taken for r in mixing.mix(docs, 1.5, 2).collect()}
