@@ -21,6 +21,8 @@ THRESHOLDS = (0.1, 0.3, 0.5)
 CROWDED = 64
 # Intervals of one side that a task sweeps at once.
 SWEPT_ROWS = 50_000
+# Intervals of both sides that a task joins, where there are more than a few times as many.
+JOINED_ROWS = 500_000
 
 
 def hull(reference: DataFrame, keys: Sequence[str] = (), step: str = "step") -> DataFrame:
@@ -35,17 +37,21 @@ def _spread(df: DataFrame, lo: str, hi: str, bucket: float) -> DataFrame:
 
 
 def overlap_pairs(
-    a: DataFrame, b: DataFrame, keys: Sequence[str], bucket: float, without: DataFrame | None = None
+    a: DataFrame, b: DataFrame, keys: Sequence[str], bucket: float, without: DataFrame | None = None, parts: int = 0
 ) -> DataFrame:
     """Overlapping pairs of ``a(a_start, a_end)`` and ``b(b_start, b_end)``, each exactly once.
 
     An equi join on time buckets of width ``bucket``; a pair is kept in the first bucket
     both reach.  Only overlapping pairs are produced, never all pairs of a key.  Buckets
     of ``without`` are left out, and a pair is then kept in every other bucket it shares.
+    Buckets are dealt to ``parts`` tasks, or to as many as Spark sees fit.
     """
-    left = _spread(a, "a_start", "a_end", bucket)
-    joined = left if without is None else left.join(without, [*keys, "__b"], "left_anti")
-    joined = joined.join(_spread(b, "b_start", "b_end", bucket), [*keys, "__b"])
+    left, right = _spread(a, "a_start", "a_end", bucket), _spread(b, "b_start", "b_end", bucket)
+    if without is not None:
+        left, right = (x.join(without, [*keys, "__b"], "left_anti") for x in (left, right))
+    if parts:
+        left, right = (x.repartition(parts, *keys, "__b") for x in (left, right))
+    joined = left.join(right, [*keys, "__b"])
     met = (F.col("a_start") < F.col("b_end")) & (F.col("b_start") < F.col("a_end"))
     if without is None:
         met = met & (F.col("__b") == F.floor(F.greatest("a_start", "b_start") / bucket))
@@ -109,20 +115,26 @@ def best_match(
     A bucket with few pairs is joined; in one with more than ``crowded`` for each interval the
     intervals are packed into blocks, and a block meets those whose bound on the IoU can win.
     """
-    spans = candidates.groupBy(*keys, F.col("start").alias("b_start"), F.col("end").alias("b_end")).agg(
-        F.min_by(F.struct(position, *carry), position).alias("__c")
-    )
+    # Numbers are combined in a hash table, structs only after a sort.
+    least = F.min_by(F.struct(position, *carry), position) if carry else F.struct(F.min(position).alias(position))
+    spans = candidates.groupBy(*keys, F.col("start").alias("b_start"), F.col("end").alias("b_end")).agg(least.alias("__c"))
     asked = reference.select(*keys, F.col("start").alias("a_start"), F.col("end").alias("a_end")).distinct()
     full, n_full = _crowded(asked, spans, keys, bucket, crowded)
-    if not n_full:
-        pairs = overlap_pairs(asked, spans, keys, bucket)
-    else:
-        side = F.broadcast(full) if n_full <= MAX_BROADCAST_CELLS else full
-        pairs = overlap_pairs(asked, spans, keys, bucket, side.select(*keys, "__b"))
+    value = iou(F.col("a_start"), F.col("a_end"), F.col("b_start"), F.col("b_end"))
+    side = F.broadcast(full) if n_full <= MAX_BROADCAST_CELLS else full
+    without = side.select(*keys, "__b") if n_full else None
+    rows = reference.count() + candidates.count()
+    # Spark joins parts together until they hold many rows; here a task's rows do not grow with the tables.
+    parts = -(-rows // JOINED_ROWS) if rows > 8 * JOINED_ROWS else 0
+    # A maximum of numbers is kept in a hash table, one of structs sorts all pairs of a task. So the
+    # pairs are met once for the maximum and once for those that reach it, which are few.
+    top = overlap_pairs(asked, spans.drop("__c"), keys, bucket, without, parts).groupBy(*keys, "a_start", "a_end").agg(F.max(value).alias("__top"))
+    aimed = cut(top)
+    pairs = overlap_pairs(aimed, spans, keys, bucket, without, parts).filter(value == F.col("__top")).drop("__top")
+    if n_full:
         won = _swept(asked, spans, keys, bucket, side, position, swept_rows)
         known = spans.select(*keys, *[F.col(c).cast("double").alias(c) for c in ("b_start", "b_end")], "__c")
         pairs = pairs.unionByName(won.join(known, [*keys, "b_start", "b_end"]))
-    value = iou(F.col("a_start"), F.col("a_end"), F.col("b_start"), F.col("b_end"))
     pairs = pairs.withColumn("iou", value)
     best = pairs.groupBy(*keys, "a_start", "a_end").agg(
         F.max_by(F.struct("iou", "__c"), F.struct("iou", (-F.col("__c")[position]).alias("p"))).alias("__m")

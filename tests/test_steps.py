@@ -77,6 +77,25 @@ def test_best_match_with_a_crowded_clip(spark, options):
         assert got[step] == (pytest.approx(value), position, None if position is None else f"n{position}")
 
 
+@pytest.mark.parametrize("options", [{}, {"crowded": 2, "swept_rows": 40}])
+def test_pairs_are_not_sorted_and_parts_follow_the_rows(spark, monkeypatch, options):
+    refs, reference = spans(spark, 240, 1, "step")
+    _, candidates = spans(spark, 300, 2, "position")
+    want = sorted(map(str, steps.best_match(reference, candidates, ["clip"], **options).collect()))
+    joined, cuts = [], []
+    pairs, cut = steps.overlap_pairs, steps.cut
+    monkeypatch.setattr(steps, "JOINED_ROWS", 50)
+    monkeypatch.setattr(steps, "overlap_pairs", lambda *a, **k: joined.append(pairs(*a, **k)) or joined[-1])
+    monkeypatch.setattr(steps, "cut", lambda df: cuts.append(df) or cut(df))
+    got = sorted(map(str, steps.best_match(reference, candidates, ["clip"], **options).collect()))
+    assert got == want and len(got) == len(refs)
+    # 540 rows, 50 to a task.
+    assert joined and all(x.rdd.getNumPartitions() == 11 for x in joined)
+    # All pairs go into a hash table; what is sorted are the few that reach the maximum.
+    plan = cuts[-1]._jdf.queryExecution().executedPlan().toString()
+    assert "max(" in plan and "SortAggregate" not in plan
+
+
 def test_best_match_without_keys_and_of_empty_tables(spark):
     _, reference = spans(spark, 90, 1, "step")
     _, candidates = spans(spark, 90, 2, "position")
