@@ -412,20 +412,31 @@ def similar_links(rows: DataFrame, nodes: DataFrame, similarity: float = 0.8, n_
     return found
 
 
-def keep_one(docs: DataFrame, similarity: float = 0.8, n_words: int = 5) -> DataFrame:
+def keep_one(docs: DataFrame, similarity: float = 0.8, n_words: int = 5, most: int | None = None) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each group the first in document order stays.
 
     Equal texts are near duplicates, and so are texts whose sets of ``n_words``-word shingles
-    agree to ``similarity``; a group is what links of these kinds reach.  Texts without a word
-    are alike only if they are equal.
+    agree to ``similarity``, those of texts without a word among themselves included.  With ``most``
+    so are texts that :func:`near_duplicates` links at this distance.  A group is what links of
+    these kinds reach.
     """
     rows = numbered(docs, whole=True)
     # Equal texts share a node; only the first of them is compared with others.
     nodes = cut(rows.select("key", "copy", F.xxhash64("text").alias("id")))
     first = nodes.groupBy("id").agg(F.min(F.struct("key", "copy")).alias("at")).select("id", "at.*")
-    found = components(similar_links(rows, first, similarity, n_words))
+    linked = [] if most is None else [_print_links(rows, first, most)]
+    release(docs.sparkSession)
+    linked.append(similar_links(rows, first, similarity, n_words))
+    found = components(reduce(DataFrame.unionByName, linked))
     rooted = first.join(found.withColumnRenamed("node", "id"), "id", "left").select("key", "copy", F.coalesce("root", "id").alias("root"))
     kept = cut(rooted.groupBy("root").agg(F.min(F.struct("key", "copy")).alias("first")).select("first.*"))
-    del nodes, first, found, rooted
+    del nodes, first, linked, found, rooted
     release(docs.sparkSession)
     return rows.join(kept, ["key", "copy"], "left_semi").select("row.*")
+
+
+def _print_links(rows: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
+    """``(a, b)``: each node ``(id, key, copy)`` with the smallest one of its component of fingerprints."""
+    texts = rows.select("key", "copy", "text").join(nodes, ["key", "copy"]).select(F.col("id").alias("doc_id"), "text")
+    found = near_duplicates(texts, most).filter("doc_id <> component_id")
+    return cut(found.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b")))

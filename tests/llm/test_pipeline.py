@@ -6,6 +6,7 @@ import re
 
 import pytest
 from edge import empty, frame
+from test_simhash import brute_print
 
 import corpus_pipeline
 from sensorspark.llm import mixing, simhash
@@ -128,3 +129,33 @@ def test_odd_rows(spark, make):
         out.write.parquet(path)
         docs = spark.read.parquet(path)
     corpus_pipeline.source_mix(spark, docs, SMALL).count()
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_the_stage_joins_fingerprints_and_shingles(spark, repeated):
+    texts = odd_pairs(5) + ["", "  \n", "!!!"]
+    sets, prints = [shingles(t) for t in texts], [brute_print(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    by_print = 0
+    for b in range(len(texts)):
+        for a in range(b):
+            alike = len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+            near = (prints[a] ^ prints[b]).bit_count() <= simhash.MOST
+            by_print += near and not alike
+            if alike or near:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    want = [i for i in range(len(texts)) if find(i) == i]
+    assert by_print
+    # Rows without an id come first; rows that come twice are near duplicates of each other.
+    rows = [(i or None, t, "s") for i, t in enumerate(texts)] * (1 + repeated)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    stays = corpus_pipeline.near_duplicates(spark, docs, SMALL)
+    assert stays.columns == docs.columns
+    assert sorted(r.doc_id or 0 for r in stays.collect()) == want
